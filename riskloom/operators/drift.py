@@ -334,9 +334,11 @@ def _pearson(df: DataFrame, cols: list[str]) -> DataFrame:
     return row.select(F.inline(F.array(*structs)))
 
 
-def average_ranks(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def average_ranks(
+    df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET, n: int | None = None
+) -> DataFrame:
     """``(feature, value, rank)``: average rank of every distinct value."""
-    ranked = ranked_values(df, cols, {"n": F.lit(1)}, rows_per_bucket)
+    ranked = ranked_values(df, cols, {"n": F.lit(1)}, rows_per_bucket, totals=False, n=n)
     mid = F.col("before_n") + (F.col("n") + F.lit(1)) / F.lit(2.0)
     return ranked.select("feature", "value", mid.alias("rank"))
 
@@ -355,17 +357,15 @@ def correlations(
     if method != "spearman":
         raise ValueError("method must be 'pearson' or 'spearman'")
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    ranks = average_ranks(complete, cols, rows_per_bucket)
+    n = complete.count()
     table = complete.groupBy(*cols).agg(F.count("*").alias("__n"))
     for c in cols:
-        one = ranks.where(F.col("feature") == c).select(F.col("value").alias(c), F.col("rank").alias(f"__r_{c}"))
-        table = table.join(one, c).drop(c)
-    total = F.sum("__n").cast("double")
-    mean = complete.agg((F.count("*") + F.lit(1)) / F.lit(2.0)).scalar()
+        ranks = average_ranks(complete.select(c), [c], rows_per_bucket, n)
+        table = table.join(ranks.select(F.col("value").alias(c), F.col("rank").alias(f"__r_{c}")), c).drop(c)
+    mean = F.lit((n + 1) / 2.0)
     centred = table.select("__n", *[(F.col(f"__r_{c}") - mean).alias(c) for c in cols])
     pairs = list(combinations(cols, 2))
-    aggs = [total.alias("__total")]
-    aggs += [F.sum(F.col("__n") * F.col(c) * F.col(c)).alias(f"v_{c}") for c in cols]
+    aggs = [F.sum(F.col("__n") * F.col(c) * F.col(c)).alias(f"v_{c}") for c in cols]
     aggs += [F.sum(F.col("__n") * F.col(a) * F.col(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
     structs = [
         F.struct(

@@ -45,7 +45,7 @@ DEFAULTS: dict[str, dict] = {
     "logistic_regression": {"max_iter": 1000, "c": 1.0},
     "random_forest": {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 1},
     "gradient_boosting": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3},
-    "svm": {"max_iter": 100, "reg": 0.01},
+    "svm": {"max_iter": 1000, "c": 1.0},
 }
 
 
@@ -65,6 +65,7 @@ def _estimator(family: str, label: str, params: dict, seed: int):
             maxIter=p["max_iter"],
             regParam=p.get("reg", 0.0),
             standardization=False,
+            tol=1e-4,
         )
         return [model], model
     if family == "random_forest":
@@ -93,7 +94,8 @@ def _estimator(family: str, label: str, params: dict, seed: int):
             featuresCol=VECTOR,
             labelCol=label,
             maxIter=p["max_iter"],
-            regParam=p["reg"],
+            regParam=p.get("reg", 0.0),
+            tol=1e-3,
             rawPredictionCol="margins",
             predictionCol="prediction",
         )

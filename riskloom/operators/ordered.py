@@ -17,22 +17,33 @@ value into the same bucket as before.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 100_000
+EXACT_ROWS = 100_000
+SELECT_BUCKETS = 128
 MAX_BUCKETS = 10_000
 _SAMPLE_PER_BUCKET = 200
 
 
 def bucket_cuts(
-    df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS
+    df: DataFrame,
+    cols: list[str],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    max_buckets: int = MAX_BUCKETS,
+    n: int | None = None,
 ) -> dict[str, list[float]]:
-    """Inner cut points per column; an empty list means one bucket is enough."""
-    n = df.count()
+    """Inner cut points per column; an empty list means one bucket is enough.
+
+    ``n`` is the row count when the caller already knows it.
+    """
+    n = df.count() if n is None else n
     buckets = min(max_buckets, math.ceil(n / rows_per_bucket))
     if buckets <= 1:
         return {c: [] for c in cols}
@@ -49,8 +60,17 @@ def bucket_cuts(
     }
 
 
-def long_values(df: DataFrame, cols: list[str], cuts: dict[str, list[float]], extra: list[str] = ()) -> DataFrame:
-    """``(extra…, feature, bucket, value)`` rows of the non-missing values."""
+def long_values(
+    df: DataFrame,
+    cols: list[str],
+    cuts: dict[str, list[float]],
+    extra: list[str] = (),
+    only: dict[str, list[int]] | None = None,
+) -> DataFrame:
+    """``(extra…, feature, bucket, value)`` rows of the non-missing values.
+
+    ``only`` keeps the listed buckets per column.
+    """
     base = df.select(*extra, *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
     split = [i for i, c in enumerate(cols) if cuts.get(c)]
     if split:
@@ -60,14 +80,13 @@ def long_values(df: DataFrame, cols: list[str], cuts: dict[str, list[float]], ex
             outputCols=[f"__b{i}" for i in split],
             handleInvalid="keep",
         ).transform(base)
-    cells = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            (F.col(f"__b{i}").cast("int") if i in split else F.lit(0)).alias("bucket"),
-            F.col(f"__v{i}").alias("value"),
-        )
-        for i, c in enumerate(cols)
-    ]
+    cells = []
+    for i, c in enumerate(cols):
+        bucket = F.col(f"__b{i}").cast("int") if i in split else F.lit(0)
+        value = F.col(f"__v{i}")
+        if only is not None:
+            value = F.when(bucket.isin(only[c]), value) if only[c] else F.lit(None).cast("double")
+        cells.append(F.struct(F.lit(c).alias("feature"), bucket.alias("bucket"), value.alias("value")))
     long = base.select(*extra, F.inline(F.array(*cells)))
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
@@ -129,55 +148,77 @@ def ranked_values(
     cols: list[str],
     measures: dict[str, Column | str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    totals: bool = True,
+    n: int | None = None,
 ) -> DataFrame:
-    """Distinct values with measures, sums before them, the next value, and totals."""
-    cuts = bucket_cuts(df, cols, rows_per_bucket)
+    """Distinct values with measures, sums before them, the next value, and (optionally) totals."""
+    cuts = bucket_cuts(df, cols, rows_per_bucket, n=n)
     counted = counted_values(df, cols, measures, cuts)
     names = list(measures)
     running = running_totals(counted, names, any(cuts.values()))
-    return running.join(F.broadcast(feature_totals(counted, names)), "feature")
+    return running.join(F.broadcast(feature_totals(counted, names)), "feature") if totals else running
 
 
 # --- percentiles ---------------------------------------------------------------
 
 
-def _interpolated(values: dict[int, float], position: float) -> float:
-    lo, hi = math.floor(position), math.ceil(position)
-    return values[lo] + (values[hi] - values[lo]) * (position - lo)
-
+def order_statistics(
+    df: DataFrame, cols: list[str], wanted_ranks: Callable[[int], set[int]], n: int
+) -> tuple[dict[str, dict[int, float]], dict[str, int]]:
+    """Exact values at given ranks, by selection: (value per rank, non-missing count) per column.
 
-def _selected(df: DataFrame, cols: list[str], ps: list[float], rows_per_bucket: int) -> dict[str, list]:
-    """Exact quantiles by selection: count per bucket, then order only the buckets that are hit."""
-    cuts = bucket_cuts(df, cols, rows_per_bucket)
-    long = long_values(df, cols, cuts)
+    ``wanted_ranks`` maps a column's non-missing count to 0-based ranks. Two
+    passes over the columns and, for large tables, one small sample: count per
+    bucket, then order only the buckets that hold a wanted rank (a few out of at
+    least ``SELECT_BUCKETS``). The driver sees bucket counts and the wanted
+    values, never rows.
+    """
+    per_bucket = n if n <= EXACT_ROWS else min(ROWS_PER_BUCKET, n // SELECT_BUCKETS)
+    cuts = bucket_cuts(df, cols, max(per_bucket, 1), n=n)
     sizes: dict[str, list[tuple[int, int]]] = {c: [] for c in cols}
-    for r in long.groupBy("feature", "bucket").count().collect():  # columns x buckets numbers
+    for r in long_values(df, cols, cuts).groupBy("feature", "bucket").count().collect():
         sizes[r["feature"]].append((r["bucket"], r["count"]))
-    positions = {c: [p * (sum(n for _, n in sizes[c]) - 1) for p in ps] for c in cols if sizes[c]}
+    present = {c: sum(k for _, k in sizes[c]) for c in cols}
     wanted = []
-    for c, spots in positions.items():
-        ranks = {f(x) for x in spots for f in (math.floor, math.ceil)}
-        start = 0
-        for bucket, n in sorted(sizes[c]):
-            wanted += [(c, bucket, start, r) for r in ranks if start <= r < start + n]
-            start += n
-    spark = df.sparkSession
-    targets = spark.createDataFrame(wanted, "feature string, bucket int, start bigint, target bigint")
-    hit = targets.select("feature", "bucket").distinct()
-    counts = (
-        long.join(F.broadcast(hit), ["feature", "bucket"], "left_semi")
-        .groupBy("feature", "bucket", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    for c in cols:
+        ranks, start = wanted_ranks(present[c]) if present[c] else set(), 0
+        for bucket, k in sorted(sizes[c]):
+            wanted += [(c, bucket, start, r) for r in ranks if start <= r < start + k]
+            start += k
+    found: dict[str, dict[int, float]] = {c: {} for c in cols}
+    if not wanted:
+        return found, present
+    hits = {c: sorted({b for f, b, *_ in wanted if f == c}) for c in cols}
+    counts = long_values(df, cols, cuts, only=hits).groupBy("feature", "bucket", "value").agg(F.count("*").alias("n"))
     order = Window.partitionBy("feature", "bucket").orderBy("value")
     upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ordered = counts.withColumn("upto", upto)
-    inside = (F.col("target") - F.col("start")).between(F.col("upto") - F.col("n"), F.col("upto") - 1)
-    found: dict[str, dict[int, float]] = {c: {} for c in cols}
-    picked = ordered.join(F.broadcast(targets), ["feature", "bucket"]).where(inside)
-    for r in picked.select("feature", "target", "value").collect():  # two values per percentile
-        found[r["feature"]][r["target"]] = r["value"]
-    return {c: [_interpolated(found[c], x) for x in positions[c]] if c in positions else [None] * len(ps) for c in cols}
+    here = lambda c, b, offset: (
+        (F.col("feature") == c) & (F.col("bucket") == b) & (F.col("upto") > offset) & (F.col("upto") - F.col("n") <= offset)
+    )
+    covers = reduce(lambda x, y: x | y, [here(c, b, r - start) for c, b, start, r in wanted])
+    for row in counts.withColumn("upto", upto).where(covers).collect():
+        for c, b, start, r in wanted:
+            if (c, b) == (row["feature"], row["bucket"]) and row["upto"] - row["n"] <= r - start < row["upto"]:
+                found[c][r] = row["value"]
+    return found, present
+
+
+def ranks_around(position: float) -> set[int]:
+    return {math.floor(position), math.ceil(position)}
+
+
+def interpolated(values: dict[int, float], position: float) -> float:
+    lo, hi = math.floor(position), math.ceil(position)
+    return values[lo] + (values[hi] - values[lo]) * (position - lo)
+
+
+def _selected(df: DataFrame, cols: list[str], ps: list[float], n: int) -> dict[str, list]:
+    found, present = order_statistics(
+        df, cols, lambda k: set().union(*[ranks_around(p * (k - 1)) for p in ps]), n
+    )
+    return {
+        c: [interpolated(found[c], p * (present[c] - 1)) for p in ps] if present[c] else [None] * len(ps) for c in cols
+    }
 
 
 def _builtin(df: DataFrame, cols: list[str], ps: list[float], approx: bool) -> DataFrame:
@@ -191,7 +232,12 @@ def _builtin(df: DataFrame, cols: list[str], ps: list[float], approx: bool) -> D
 
 
 def percentile_values(
-    df: DataFrame, cols: list[str], ps: list[float], approx: bool = False, exact_rows: int = ROWS_PER_BUCKET
+    df: DataFrame,
+    cols: list[str],
+    ps: list[float],
+    approx: bool = False,
+    exact_rows: int = EXACT_ROWS,
+    n: int | None = None,
 ) -> dict[str, list]:
     """Linearly interpolated percentiles as driver numbers (columns x percentiles of them).
 
@@ -200,14 +246,16 @@ def percentile_values(
     resolved exactly by bucket selection. ``approx=True`` is one sketch pass.
     """
     cols, ps = list(cols), [float(p) for p in ps]
-    if not approx and df.count() > exact_rows:
-        return _selected(df, cols, ps, exact_rows)
+    if not approx:
+        n = df.count() if n is None else n
+        if n > exact_rows:
+            return _selected(df, cols, ps, n)
     row = _builtin(df, cols, ps, approx).first()
     return {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(ps) for i, c in enumerate(cols)}
 
 
 def percentiles(
-    df: DataFrame, cols: list[str], ps: list[float], approx: bool = False, exact_rows: int = ROWS_PER_BUCKET
+    df: DataFrame, cols: list[str], ps: list[float], approx: bool = False, exact_rows: int = EXACT_ROWS
 ) -> DataFrame:
     """``(feature, p, value)`` rows."""
     values = percentile_values(df, cols, ps, approx, exact_rows)

@@ -126,13 +126,15 @@ def retrain_request(decisions: DataFrame, requested_at, carry: list[str] = ()) -
 
 
 def alert_record(statuses: DataFrame, carry: list[str] = (), levels=("alert", "critical")) -> DataFrame:
-    """Rows to append to the alert table."""
+    """Rows to append to the alert table, with the retraining outcome when it is known."""
+    known = [F.col("retrain_needed").alias("retraining_triggered")] if "retrain_needed" in statuses.columns else []
     return statuses.where(F.col("monitoring_status").isin(list(levels))).select(
         *carry,
         "monitoring_status",
         F.size("alerts").alias("alerts_count"),
         "alerts",
         F.upper("monitoring_status").alias("subject_status"),
+        *known,
     )
 
 

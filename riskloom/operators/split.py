@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.operators.joins import join_small
 
+EDGE_ROWS = 50_000
+MAX_PREFIX = 6
+
 
 def split_hash(seed: int, key: list[str]) -> Column:
     """md5 of the seed and the key: the same on every engine, run and partitioning."""
@@ -15,17 +20,25 @@ def split_hash(seed: int, key: list[str]) -> Column:
 
 
 def mark_test(
-    df: DataFrame, label: str, frac: float, seed: int, key: list[str], prefix_chars: int = 4, out: str = "is_test"
+    df: DataFrame,
+    label: str,
+    frac: float,
+    seed: int,
+    key: list[str],
+    prefix_chars: int | None = None,
+    out: str = "is_test",
 ) -> DataFrame:
     """Flag exactly ``ceil(frac * n)`` rows of every class as test rows.
 
     Rows are ordered by hash inside their class, but no class is ever sorted
     whole: a histogram of hash prefixes finds the prefix where the quota is
-    reached, and only the rows of that prefix (one in ``16**prefix_chars``) are
-    ordered. The result is one cut hash per class; marking the table is then a
+    reached, and only the rows of that prefix (one in ``16**prefix_chars``, by
+    default about ``EDGE_ROWS`` of them) are ordered. The result is one cut hash per class; marking the table is then a
     narrow comparison. ``key`` must identify a row. Rows without a label stay
     in the training part.
     """
+    if prefix_chars is None:
+        prefix_chars = min(MAX_PREFIX, max(1, math.ceil(math.log(max(df.count() / EDGE_ROWS, 1), 16))))
     hashed = df.withColumn("__h", split_hash(seed, key))
     slim = hashed.select(label, "__h").where(F.col(label).isNotNull())
     prefix = F.substring("__h", 1, prefix_chars)
@@ -61,7 +74,7 @@ def mark_test(
 
 
 def stratified_split(
-    df: DataFrame, label: str, frac: float, seed: int, key: list[str], prefix_chars: int = 4
+    df: DataFrame, label: str, frac: float, seed: int, key: list[str], prefix_chars: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test); see :func:`mark_test`."""
     marked = mark_test(df, label, frac, seed, key, prefix_chars, "__is_test")

@@ -106,7 +106,7 @@ def monitor(ref: DataFrame, cur: DataFrame, cfg: MonitorConfig, run_id: str, run
 
 def save_monitoring(result: MonitorResult, root: str, run_ts) -> None:
     """Append results, alerts and retrain requests; refresh the dashboard document."""
-    carry = ["run_id", "run_ts"]
+    carry = ["run_id", "run_ts", "n_rows", "n_columns"]
     write_table(result.results, f"{root}/results", mode="append")
     write_table(alert_record(result.results, carry), f"{root}/alerts", mode="append")
     write_table(retrain_request(result.results, run_ts, carry), f"{root}/retrain_requests", mode="append")

@@ -24,8 +24,9 @@ from riskloom.operators.models import (
 from riskloom.operators.prep import PrepModel
 from riskloom.operators.registry import log_run, register
 from riskloom.operators.rollup import training_report
-from riskloom.operators.split import stratified_split
-from riskloom.sources.sinks import write_summary
+from riskloom.operators.split import mark_test
+from riskloom.sources.sinks import write_summary, write_table
+from riskloom.sources.tables import read_table
 
 
 class GateError(ValueError):
@@ -59,10 +60,16 @@ def train_job(
 ) -> TrainResult:
     """Run the whole training flow and register the champion only if it passes the gate.
 
-    ``root`` is a folder in shared storage that holds models, run log and registry.
+    ``root`` is a folder in shared storage that holds splits, models, run log and
+    registry. The marked table is written once, partitioned by side, so every
+    later pass reads only its side and its columns and no lineage reaches
+    further back than that table.
     """
     spark, key = df.sparkSession, list(cfg.key)
-    train_raw, test_raw = stratified_split(df, cfg.label, test_share, seed, key)
+    marked = mark_test(df, cfg.label, test_share, seed, key)
+    splits = read_table(spark, write_table(marked, f"{root}/splits", partition_by=["is_test"]))
+    train_raw = splits.where(~F.col("is_test")).drop("is_test")
+    test_raw = splits.where(F.col("is_test")).drop("is_test")
     prep = PrepModel(cfg).fit(train_raw)
     names = cfg.output
 
