@@ -67,9 +67,10 @@ def train_job(
     """
     spark, key = df.sparkSession, list(cfg.key)
     marked = mark_test(df, cfg.label, test_share, seed, key)
-    splits = read_table(spark, write_table(marked, f"{root}/splits", partition_by=["is_test"]))
-    train_raw = splits.where(~F.col("is_test")).drop("is_test")
-    test_raw = splits.where(F.col("is_test")).drop("is_test")
+    sided = marked.withColumn("part", F.when(F.col("is_test"), F.lit("test")).otherwise(F.lit("train"))).drop("is_test")
+    splits = read_table(spark, write_table(sided, f"{root}/splits", partition_by=["part"]))
+    train_raw = splits.where(F.col("part") == "train").drop("part")
+    test_raw = splits.where(F.col("part") == "test").drop("part")
     prep = PrepModel(cfg).fit(train_raw)
     names = cfg.output
 
