@@ -49,7 +49,7 @@ def _(spark, sf):
     "select cast(coalesce(sum(n - 1), 0) as bigint) as n_duplicates from (select count(*) as n from documents group by text, lang)",
 )
 def _(spark, sf):
-    return A.duplicate_rows(table(spark, sf, "documents").select("text", "lang"))
+    return A.duplicate_rows(table(spark, sf, "documents"), ["text", "lang"], digest=["text"])
 
 
 @query(

@@ -335,4 +335,4 @@ def _(spark, sf):
          select count(*) as n from documents group by text having min(source) <> max(source))""",
 )
 def _(spark, sf):
-    return D.conflicts(table(spark, sf, "documents"), ["text"], "source")
+    return D.conflicts(table(spark, sf, "documents"), ["text"], "source", digest=["text"])

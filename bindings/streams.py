@@ -151,6 +151,24 @@ def _(spark, sf):
     )
 
 
+@query(
+    "windowed_drift_alerts",
+    f"""with edge as (select min(value) as lo, max(value) as hi from events where ts < timestamp '2024-01-15'),
+        binned as (select *, least(greatest(floor((value - lo) / ((hi - lo) / 10)), 0), 9) as bin from events, edge),
+        ref as (select {_PSI_REF} from binned where ts < timestamp '2024-01-15'),
+        w as (select {_bucket(24)}, count(*) as n, {_PSI_BINS} from binned group by 1),
+        p as (select window_start, {_PSI_TERMS} as psi from w, ref)
+        select window_start, round(psi, 6) as psi_value, 'alert' as monitoring_status, 'Data drift detected' as alerts
+        from p where psi >= 0.025::double""",
+)
+def _(spark, sf):
+    first_half = table(spark, sf, "events").where(F.col("ts") < F.expr("timestamp_ntz '2024-01-15'"))
+    reference = W.reference_shares(first_half, ["value"])
+    windows = W.windowed_psi(events_stream(spark, sf), "ts", reference, width="24 hours")
+    alerts = W.alert_stream(finished(spark, windows, ["window_start"]), psi_threshold=0.025)
+    return rounded(as_text(alerts).withColumn("alerts", F.concat_ws("|", "alerts")))
+
+
 @query("stream_score")
 def _(spark, sf):
     """Fit on the stored events, score the stream into a table, summarise the table."""

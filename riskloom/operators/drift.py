@@ -27,7 +27,7 @@ from pyspark.sql.types import DoubleType
 from riskloom.functions import safe_divide
 from riskloom.operators.joins import compare_counts, tag_snapshots
 from riskloom.operators.ordered import ROWS_PER_BUCKET, ranked_values
-from riskloom.operators.profile import per_column
+from riskloom.operators.profile import digested, per_column
 
 PSI_BINS = 10
 PSI_EPS = 1e-4
@@ -378,13 +378,14 @@ def correlations(
     return centred.agg(*aggs).select(F.inline(F.array(*structs)))
 
 
-def conflicts(df: DataFrame, features: list[str], y: str) -> DataFrame:
+def conflicts(df: DataFrame, features: list[str], y: str, digest: list[str] = ()) -> DataFrame:
     """Groups of identical features that carry different values of ``y``.
 
     Grouping combines copies before the shuffle and keeps only min, max and a
-    count per group, whatever the group's size.
+    count per group, whatever the group's size. Long text features can be
+    compared by digest, as in ``duplicate_rows``.
     """
-    groups = df.groupBy(*features).agg(F.count("*").alias("n"), F.min(y).alias("lo"), F.max(y).alias("hi"))
+    groups = digested(df.select(*features, y), list(digest)).groupBy(*features).agg(F.count("*").alias("n"), F.min(y).alias("lo"), F.max(y).alias("hi"))
     clash = groups.where(F.col("lo") != F.col("hi"))
     return clash.agg(
         F.count("*").alias("n_groups"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows")

@@ -60,6 +60,15 @@ def bucket_cuts(
     }
 
 
+def _listed_bucket(value: Column, cuts: list[float], buckets: list[int]) -> Column:
+    """Number of the listed bucket that holds the value, else NULL; plain comparisons for a few buckets."""
+    chain = F.when(F.lit(False), F.lit(0))
+    for b in buckets:
+        inside = value.isNotNull() if b == 0 else value >= F.lit(cuts[b - 1])
+        chain = chain.when(inside & (value < F.lit(cuts[b])) if b < len(cuts) else inside, F.lit(b))
+    return chain
+
+
 def long_values(
     df: DataFrame,
     cols: list[str],
@@ -73,7 +82,7 @@ def long_values(
     """
     base = df.select(*extra, *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
     split = [i for i, c in enumerate(cols) if cuts.get(c)]
-    if split:
+    if split and only is None:
         base = Bucketizer(
             splitsArray=[[-math.inf, *cuts[cols[i]], math.inf] for i in split],
             inputCols=[f"__v{i}" for i in split],
@@ -82,10 +91,12 @@ def long_values(
         ).transform(base)
     cells = []
     for i, c in enumerate(cols):
-        bucket = F.col(f"__b{i}").cast("int") if i in split else F.lit(0)
         value = F.col(f"__v{i}")
         if only is not None:
-            value = F.when(bucket.isin(only[c]), value) if only[c] else F.lit(None).cast("double")
+            bucket = _listed_bucket(value, cuts.get(c, []), only[c])
+            value = F.when(bucket.isNotNull(), value)
+        else:
+            bucket = F.col(f"__b{i}").cast("int") if i in split else F.lit(0)
         cells.append(F.struct(F.lit(c).alias("feature"), bucket.alias("bucket"), value.alias("value")))
     long = base.select(*extra, F.inline(F.array(*cells)))
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))

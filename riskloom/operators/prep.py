@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.config import Bin, FeatureConfig
-from riskloom.operators.ordered import interpolated, order_statistics, percentile_values, ranks_around
+from riskloom.operators.ordered import EXACT_ROWS, interpolated, order_statistics, percentile_values, ranks_around
 from riskloom.operators.projection import engineer
 
 STATS_SCHEMA = "position int, feature string, median double, center double, scale double"
@@ -113,11 +113,12 @@ class PrepModel:
 
     def fit(self, df: DataFrame) -> PrepModel:
         engineered = engineer(df, self.cfg).select(*self.cfg.numeric)
-        if self.approx:
-            medians = fit_impute(engineered, self.cfg.numeric, True)
-            scaling = fit_scale(engineered, medians, True)
+        n = 0 if self.approx else df.count()
+        if self.approx or n <= EXACT_ROWS:
+            medians = fit_impute(engineered, self.cfg.numeric, self.approx, n)
+            scaling = fit_scale(engineered, medians, self.approx, n)
         else:
-            medians, scaling = fit_statistics(engineered, self.cfg.numeric, df.count())
+            medians, scaling = fit_statistics(engineered, self.cfg.numeric, n)
         return PrepModel(self.cfg, medians, scaling, self.approx)
 
     def transform(self, df: DataFrame) -> DataFrame:

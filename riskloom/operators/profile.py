@@ -36,9 +36,19 @@ def missing_report(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return report.select("feature", "n_missing", pct.alias("pct_missing"))
 
 
-def duplicate_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """Rows that repeat an earlier row. Copies are combined before the shuffle."""
-    groups = df.groupBy(*(subset or df.columns)).agg(F.count("*").alias("n"))
+def digested(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Replace long text columns by their SHA-256 (32 bytes) for grouping; NULL stays NULL."""
+    return df.withColumns({c: F.unhex(F.sha2(F.col(c).cast("binary"), 256)) for c in cols}) if cols else df
+
+
+def duplicate_rows(df: DataFrame, subset: list[str] | None = None, digest: list[str] = ()) -> DataFrame:
+    """Rows that repeat an earlier row. Copies are combined before the shuffle.
+
+    ``digest`` names long text columns that are compared by whole-value SHA-256,
+    so the shuffle moves 32 bytes instead of the text.
+    """
+    cols = subset or df.columns
+    groups = digested(df.select(*cols), list(digest)).groupBy(*cols).agg(F.count("*").alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"))
 
 

@@ -78,7 +78,7 @@ def train_job(
         columns = [F.col(c).cast("double").alias(c) for c in names]
         return prep.transform(part).select(*key, F.col(cfg.label).cast("double").alias(cfg.label), *columns)
 
-    train_df = stable_layout(ready(train_raw), key, partitions).persist()
+    train_df = stable_layout(ready(train_raw), key, partitions, train_raw.count()).persist()
     test_df = ready(test_raw).persist()
     try:
         trained = baselines(train_df, test_df, names, cfg.label, families, params, seed)

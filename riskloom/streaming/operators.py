@@ -97,12 +97,29 @@ def windowed_psi(
     return _flat(agg.select("window", *keys, *scores), keys)
 
 
-def alert_stream(windows: DataFrame, thresholds: MonitorThresholds = MonitorThresholds()) -> DataFrame:
-    """Windows whose accuracy is below the limit, with status and message; projection and filter only."""
-    weak = F.col("accuracy") < F.lit(thresholds.accuracy)
-    return windows.where(weak).withColumns(
+def alert_stream(
+    windows: DataFrame, thresholds: MonitorThresholds = MonitorThresholds(), psi_threshold: float = 0.2
+) -> DataFrame:
+    """Windows that need attention, with status and messages; projection and filter only.
+
+    Uses whichever numbers the windows carry: ``accuracy`` below its limit is
+    critical, a share of drifted ``psi_*`` columns above its limit is an alert.
+    """
+    no = F.lit(False)
+    scores = [c for c in windows.columns if c.startswith("psi_")]
+    drifted = no
+    if scores:
+        flags = [(F.col(c) >= F.lit(psi_threshold)).cast("int") for c in scores]
+        drifted = sum(flags[1:], flags[0]) / F.lit(len(scores)) > F.lit(thresholds.drift)
+    weak = F.col("accuracy") < F.lit(thresholds.accuracy) if "accuracy" in windows.columns else no
+    drifted, weak = F.coalesce(drifted, no), F.coalesce(weak, no)
+    messages = [
+        F.when(drifted, F.lit("Data drift detected")),
+        F.when(weak, F.lit("Model performance below threshold")),
+    ]
+    return windows.where(drifted | weak).withColumns(
         {
-            "monitoring_status": F.lit("critical"),
-            "alerts": F.array(F.lit("Model performance below threshold")),
+            "monitoring_status": F.when(weak, F.lit("critical")).otherwise(F.lit("alert")),
+            "alerts": F.array_compact(F.array(*messages)),
         }
     )

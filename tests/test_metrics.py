@@ -162,6 +162,7 @@ def test_groups_without_rows_or_label_are_ignored(spark):
 def test_profiles(spark):
     df = spark.createDataFrame([(1.0, "a"), (1.0, "a"), (3.0, "b"), (None, "a")], "x double, c string")
     assert A.duplicate_rows(df).first()[0] == 1
+    assert A.duplicate_rows(df, ["c"]).first()[0] == A.duplicate_rows(df, ["c"], digest=["c"]).first()[0] == 2
     missing = {r["feature"]: (r["n_missing"], r["pct_missing"]) for r in A.missing_report(df).collect()}
     assert missing == {"x": (1, 25.0), "c": (0, 0.0)}
     counts = [(r["c"], r["n"], r["pct"]) for r in A.value_counts(df, "c").collect()]

@@ -86,6 +86,9 @@ def test_alerts_are_a_projection(spark):
     df = spark.createDataFrame([(0.9,), (0.74,)], "accuracy double")
     rows = W.alert_stream(df).collect()
     assert [(r["accuracy"], r["monitoring_status"]) for r in rows] == [(0.74, "critical")]
+    both = spark.createDataFrame([(0.9, 0.1), (0.9, 0.3), (0.5, 0.3)], "accuracy double, psi_x double")
+    rows = W.alert_stream(both).orderBy("accuracy").collect()
+    assert [(r["monitoring_status"], len(r["alerts"])) for r in rows] == [("critical", 2), ("alert", 1)]
 
 
 class FakeSession:
