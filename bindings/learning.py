@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.base import FEATURES, KEY, LINES, label, lines, query, rounded
+from bindings.base import FEATURES, KEY, LINES, label, lines, query, rounded, table
+from bindings.streams import with_scores
 from riskloom.operators import models as L
 from riskloom.operators.metrics import comparison, pick_best
 from riskloom.operators.prep import PrepModel
@@ -73,17 +74,25 @@ def _(spark, sf):
         train.unpersist()
         test.unpersist()
     best = pick_best(results).select(F.col("model").alias("winner"))
-    table = comparison(results)
-    return rounded(table.withColumn("is_best", F.col("model") == best.scalar()))
+    ordered = comparison(results)
+    return rounded(ordered.withColumn("is_best", F.col("model") == best.scalar()))
 
 
 @query("hyperparameter_search")
 def _(spark, sf):
-    """Seeded random search over the forest ranges, refit, and test metrics of the refitted model."""
-    _prep, _raw, train, test = prepared(spark, sf)
-    train, test = train.persist(), test.persist()
+    """Seeded random search over the forest ranges on the events, refit, test metrics of the refitted model."""
+    names = ["value", "shift", "hour"]
+    events = with_scores(table(spark, sf, "events")).select(
+        "event_id",
+        "value",
+        F.get_json_object("props", "$.k").cast("double").alias("shift"),
+        F.hour("ts").cast("double").alias("hour"),
+        F.col("label").cast("double").alias("label"),
+    )
+    train, test = stratified_split(events, "label", 0.2, L.SEED, ["event_id"])
+    train, test = L.stable_layout(train, ["event_id"]).persist(), test.persist()
     try:
-        tuned = L.search(train, "random_forest", NAMES, "label", trials=2)
+        tuned = L.search(train, "random_forest", names, "label", trials=2)
         tuned.metrics = L.evaluate(tuned.model, test, "label")
     finally:
         train.unpersist()

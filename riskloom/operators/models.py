@@ -49,7 +49,7 @@ DEFAULTS: dict[str, dict] = {
 }
 
 
-ROWS_PER_PARTITION = 25_000
+ROWS_PER_PARTITION = 12_500
 
 
 def stable_layout(
