@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.config import Bin, FeatureConfig
+from riskloom.session import shared_dir
 from riskloom.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +35,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf}/{name}.parquet")
 
 
+def workspace(spark: SparkSession, kind: str) -> str:
+    """A new folder in the shared storage of the session."""
+    return shared_dir(spark, kind, uuid.uuid4().hex)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round floating columns and drop the sign of a zero."""
     floating = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]

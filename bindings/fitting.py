@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.base import FEATURES, KEY, LINES, ROW, lines, query, rounded
+from bindings.base import FEATURES, KEY, LINES, ROW, lines, query, rounded, workspace
 from bindings.projections import ENGINEERED_SQL
 from riskloom.operators import prep as Z
 from riskloom.operators import split as S
@@ -113,7 +113,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     df = lines(spark, sf).select(*KEY, "l_returnflag", *FEATURES)
-    train, test = S.stratified_split(df, "l_returnflag", 0.2, 42, KEY)
+    train, test = S.written_split(df, "l_returnflag", 0.2, 42, KEY, workspace(spark, "splits"))
     _model, train, test = Z.prepare(train, test, LINES)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return rounded(

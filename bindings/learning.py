@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.base import FEATURES, KEY, LINES, label, lines, query, rounded, table
+from bindings.base import FEATURES, KEY, LINES, label, lines, query, rounded, table, workspace
 from bindings.streams import with_scores
 from riskloom.operators import models as L
 from riskloom.operators.metrics import comparison, pick_best
 from riskloom.operators.prep import PrepModel
 from riskloom.operators.profile import prediction_summary
-from riskloom.operators.split import stratified_split
+from riskloom.operators.split import written_split
 from riskloom.plans.predict import score_table
 
 NAMES = LINES.output
@@ -22,7 +22,7 @@ def labeled(spark, sf):
 
 def prepared(spark, sf):
     """(prep, raw test rows, prepared train rows, prepared test rows): exact 80/20 split, fit on train only."""
-    train, test = stratified_split(labeled(spark, sf), "label", 0.2, L.SEED, KEY)
+    train, test = written_split(labeled(spark, sf), "label", 0.2, L.SEED, KEY, workspace(spark, "splits"))
     prep = PrepModel(LINES).fit(train)
 
     def ready(df):
@@ -89,7 +89,7 @@ def _(spark, sf):
         F.hour("ts").cast("double").alias("hour"),
         F.col("label").cast("double").alias("label"),
     )
-    train, test = stratified_split(events, "label", 0.2, L.SEED, ["event_id"])
+    train, test = written_split(events, "label", 0.2, L.SEED, ["event_id"], workspace(spark, "splits"))
     train, test = L.stable_layout(train, ["event_id"]).persist(), test.persist()
     try:
         tuned = L.search(train, "random_forest", names, "label", trials=2)

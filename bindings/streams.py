@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bindings.base import query, rounded, table
+from bindings.base import query, rounded, table, workspace
 from riskloom.operators import models as L
-from riskloom.session import shared_dir
 from riskloom.streaming import operators as W
 from riskloom.streaming.sinks import latest_windows, run_append, run_windows, stream_validate
 from riskloom.streaming.source import read_stream
@@ -40,13 +37,9 @@ def events_stream(spark, sf) -> DataFrame:
     return read_stream(spark, sf, schema, ts="ts", glob="events.parquet")
 
 
-def workspace(spark) -> str:
-    return shared_dir(spark, "streams", uuid.uuid4().hex)
-
-
 def finished(spark, windows: DataFrame, keys: list[str]) -> DataFrame:
     """Run a windowed stream over all available files and read its final windows."""
-    root = workspace(spark)
+    root = workspace(spark, "streams")
     run_windows(windows, f"{root}/out", f"{root}/state")
     return latest_windows(spark, f"{root}/out", keys)
 
@@ -69,7 +62,7 @@ _BAD = "value < 1 or value > 150 or user_id < 0 or user_id > 80"
           count(*) filter (value < 1 or value > 150) as value_errors from events group by 1""",
 )
 def _(spark, sf):
-    root = workspace(spark)
+    root = workspace(spark, "streams")
     stream_validate(events_stream(spark, sf), BOUNDS, f"{root}/good", f"{root}/bad", f"{root}/state")
     good = spark.read.parquet(f"{root}/good").select(
         F.lit("valid").alias("part"), "event_id", F.lit(None).cast("string").alias("errors")
@@ -179,7 +172,7 @@ def _(spark, sf):
 
     history = L.stable_layout(ready(table(spark, sf, "events")), ["event_id"])
     model = L.train(history, "logistic_regression", names, "label")
-    root = workspace(spark)
+    root = workspace(spark, "streams")
     scored = L.score(model, ready(events_stream(spark, sf)), "predicted", "risk").select("event_id", "predicted", "risk")
     run_append(scored, f"{root}/scored", f"{root}/state")
     return rounded(

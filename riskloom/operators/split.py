@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.operators.joins import join_small
+from riskloom.sources.sinks import write_table
 
 EDGE_ROWS = 50_000
 MAX_PREFIX = 6
@@ -84,5 +85,21 @@ def stratified_split(
     )
 
 
+def written_split(
+    df: DataFrame, label: str, frac: float, seed: int, key: list[str], path: str
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test) read back from ``path`` in shared storage, partitioned by side.
+
+    The table is hashed and marked once; every later pass prunes to its side and
+    its columns, and no lineage reaches further back than the written table.
+    """
+    marked = mark_test(df, label, frac, seed, key, out="__is_test")
+    part = F.when(F.col("__is_test"), F.lit("test")).otherwise(F.lit("train"))
+    write_table(marked.withColumn("part", part).drop("__is_test"), path, partition_by=["part"])
+    splits = df.sparkSession.read.parquet(path)
+    train, test = (splits.where(F.col("part") == side).drop("part") for side in ("train", "test"))
+    return train, test
+
+
 def union_splits(train: DataFrame, test: DataFrame) -> DataFrame:
     return train.unionByName(test)

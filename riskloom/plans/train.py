@@ -24,9 +24,8 @@ from riskloom.operators.models import (
 from riskloom.operators.prep import PrepModel
 from riskloom.operators.registry import log_run, register
 from riskloom.operators.rollup import training_report
-from riskloom.operators.split import mark_test
-from riskloom.sources.sinks import write_summary, write_table
-from riskloom.sources.tables import read_table
+from riskloom.operators.split import written_split
+from riskloom.sources.sinks import write_summary
 
 
 class GateError(ValueError):
@@ -61,16 +60,10 @@ def train_job(
     """Run the whole training flow and register the champion only if it passes the gate.
 
     ``root`` is a folder in shared storage that holds splits, models, run log and
-    registry. The marked table is written once, partitioned by side, so every
-    later pass reads only its side and its columns and no lineage reaches
-    further back than that table.
+    registry.
     """
     spark, key = df.sparkSession, list(cfg.key)
-    marked = mark_test(df, cfg.label, test_share, seed, key)
-    sided = marked.withColumn("part", F.when(F.col("is_test"), F.lit("test")).otherwise(F.lit("train"))).drop("is_test")
-    splits = read_table(spark, write_table(sided, f"{root}/splits", partition_by=["part"]))
-    train_raw = splits.where(F.col("part") == "train").drop("part")
-    test_raw = splits.where(F.col("part") == "test").drop("part")
+    train_raw, test_raw = written_split(df, cfg.label, test_share, seed, key, f"{root}/splits")
     prep = PrepModel(cfg).fit(train_raw)
     names = cfg.output
 
