@@ -12,7 +12,12 @@ from riskloom.plans.monitor import save_monitoring
 from riskloom.plans.train import GateError
 
 RUN_TS = "2024-01-02 03:04:05"
-LIGHT = {"random_forest": {"n_estimators": 10, "max_depth": 5}, "gradient_boosting": {"n_estimators": 5}}
+LIGHT = {
+    "logistic_regression": {"max_iter": 50},
+    "random_forest": {"n_estimators": 10, "max_depth": 5},
+    "gradient_boosting": {"n_estimators": 5},
+    "svm": {"max_iter": 30},
+}
 
 
 @pytest.fixture(scope="module")
