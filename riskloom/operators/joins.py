@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 SMALL_ROWS = 10_000
 
@@ -20,7 +21,8 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot preserve the replicated side: {how}")
-    spread = F.xxhash64(*[F.col(c) for c in big.columns], F.spark_partition_id())
+    hashable = [f.name for f in big.schema if isinstance(f.dataType, AtomicType)]
+    spread = F.xxhash64(*[F.col(c) for c in hashable], F.spark_partition_id())
     salt = F.pmod(spread, F.lit(salts)).cast("int")
     left = big.withColumn("__salt", salt)
     right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -34,12 +34,17 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    fmt: str = "parquet",
+    nan_as_null: bool = True,
 ) -> DataFrame:
     """Read a table; a path that does not exist is a ``FileNotFoundError`` naming it.
 
     Text formats need an explicit schema (inference would scan the data twice).
-    NaN becomes NULL on the way in.
+    NaN becomes NULL on the way in; a table known to hold no NaN can skip that
+    with ``nan_as_null=False``, so filters on floating columns reach the files.
     """
     if schema is None and fmt in ("csv", "json"):
         raise ValueError(f"an explicit schema is required for {fmt}")
@@ -49,7 +54,8 @@ def read_table(
     if fmt == "csv":
         reader = reader.option("header", True)
     try:
-        return nulls_for_nan(reader.load(path))
+        df = reader.load(path)
+        return nulls_for_nan(df) if nan_as_null else df
     except AnalysisException as error:
         if _missing_path(error):
             raise FileNotFoundError(f"Input table not found: {path}") from error

@@ -24,6 +24,9 @@ def test_csv_round_trip_with_nan(spark, tmp_path):
     path = K.write_table(df, str(tmp_path / "csv"), fmt="csv")
     back = {r["i"]: r["x"] for r in S.read_table(spark, path, "i int, x double", "csv").collect()}
     assert back == {1: None, 2: 0.5}
+    stored = K.write_table(df, str(tmp_path / "pq"))
+    plain = S.read_table(spark, stored, nan_as_null=False).where("x > 0.25")
+    assert "GreaterThan(x,0.25)" in plain._jdf.queryExecution().executedPlan().toString()
 
 
 def test_run_stamp_partition_and_summary(spark, tmp_path):
