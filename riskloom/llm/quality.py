@@ -12,6 +12,8 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -23,50 +25,62 @@ from riskloom.session import cut_lineage
 
 BUCKETS = 1 << 16
 MAX_TRAIN = 8192  # rows the scorer is trained on: labelled rows first, then rows by hash
+UNLABELLED_TRUST = 0.2  # weight of a row without a reference label, where others have one
 SEED = 7
 TARGETS = ("junk", "toxic")
 INSULTS = frozenset(
-    "bastard clown crap cretin damn disgusting dumb fool freak garbage hateful hell idiot idiotic imbecile jerk loser "
-    "lunatic moron moronic nasty pathetic pervert pig rat retard scum scumbag shit shut sick slut stupid sucker trash "
-    "ugly vermin vile worthless".split()
+    b"bastard clown crap cretin damn disgusting dumb fool garbage hateful idiot idiotic imbecile jerk loser "
+    b"lunatic moron moronic nasty pathetic pervert pig retard scum scumbag shit sick slut stupid sucker trash "
+    b"ugly vermin worthless".split()
 )
 
 _SYMBOLS = re.compile(rb"[^\w\s.,;:'\"()!?\x80-\xff-]")
-_ENDS = re.compile(rb"[.!?]+")
+_PUNCTUATION = b".,;:!?'\"()[]"
+_PROSE = re.compile(rb"(?:[A-Za-z\x80-\xff][a-z\x80-\xff'-]*|\d+)$")
+_LETTER = re.compile(rb"[A-Za-z0-9\x80-\xff]")
+_RUNS = re.compile(rb"(.)\1+", re.DOTALL)
+_SHAPES = bytes(
+    48 if chr(c).isdigit() and c < 128 else 65 if 65 <= c <= 90 else 97 if c >= 128 or 97 <= c <= 122 else c for c in range(256)
+)
 _STRIP = b".,;:!?'\"()[]{}*#%$&|"
 
 
-def _vote(value: float, bad_from: float, good_to: float) -> int:
-    """1 bad, 0 good, 2 no vote."""
-    return 1 if value >= bad_from else 0 if value <= good_to else 2
+def _from(value: float, bad_from: float) -> int:
+    """1 bad, 2 no vote. A labeller that looks for one fault has no opinion where it finds none."""
+    return 1 if value >= bad_from else 2
 
 
 def votes(text: bytes) -> tuple[list[int], list[int]]:
-    """What the labellers of both targets say about a whole text."""
+    """What the labellers of both targets say about a whole text: 0 good, 1 bad, 2 nothing."""
     words = text.split()
     n = len(words)
     if not n:
-        return [1] + [2] * 7, [0, 2, 0]
-    size = sum(map(len, words))
+        return [1] + [2] * 7, [0, 2, 2, 2]
     counts = Counter(words)
-    again = sum(a == b for a, b in zip(words, words[1:]))
-    bare = sum(c for w, c in counts.items() if not any(ch >= 128 or chr(ch).isalnum() for ch in w))
-    caps = sum(c for w, c in counts.items() if len(w) > 1 and w.isupper())
+    again = sum(map(eq, words, islice(words, 1, None)))
+    plain = bare = caps = hits = 0
+    for word, c in counts.items():
+        core = word.strip(_PUNCTUATION)
+        if _PROSE.match(core):
+            plain += c
+        elif core.isupper():
+            caps += c * (len(core) > 1)
+        elif not _LETTER.search(word):
+            bare += c
+        if core.lower() in INSULTS:
+            hits += c
     lines = [x for x in text.split(b"\n") if x.strip()]
-    short = sum(c for w, c in counts.items() if len(w.strip(_STRIP)) <= 3)
     junk = [
-        2,
-        _vote(again / n, 0.2, 0.04),
-        _vote(len(_SYMBOLS.findall(text)) / size, 0.06, 0.02),
-        _vote(bare / n, 0.1, 0.02),
-        _vote(caps / n, 0.4, 0.1),
-        _vote(text.count(b"!") / n, 0.4, 0.1),
-        _vote(1 - len(counts) / n, 0.75 if n > 40 else 2, 0.6),
-        _vote(1 - len(set(lines)) / len(lines), 0.5, 0.2),
+        1 if plain < 0.6 * n else 0 if plain >= 0.85 * n and again < 0.05 * n else 2,
+        _from(again / n, 0.2),
+        _from(len(_SYMBOLS.findall(text)) / n, 0.3),
+        _from(bare / n, 0.2),
+        _from(caps / n, 0.4),
+        _from(text.count(b"!") / n, 0.4),
+        _from(1 - len(counts) / n, 0.75 if n > 40 else 2),
+        _from(1 - len(set(lines)) / len(lines), 0.5),
     ]
-    junk[0] = _vote(n / max(1, len(_ENDS.findall(text))), 80, 30) if n > 20 else 0 if short else 2
-    hits = sum(c for w, c in counts.items() if w.strip(_STRIP).lower() in INSULTS)
-    toxic = [1 if hits else 0, 1 if hits > 0.01 * n else 2, 1 if hits > 1 else 2 if hits else 0]
+    toxic = [2 if hits else 0, 1 if hits else 2, _from(hits / n, 0.01), _from(hits, 2)]
     return junk, toxic
 
 
@@ -89,87 +103,116 @@ def _vote_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def label_model(patterns: Counter, labellers: int, rounds: int = 60) -> dict[tuple[str, int | None], float]:
     """Posterior of bad for every (votes, reference label or None); ``patterns`` counts them.
 
-    Labellers are independent given the class, each with its own rate of every outcome in either class. The first
-    guess is the share of bad among the votes cast.
+    Labellers err independently, each with its own accuracy over the votes it casts; a labeller that says nothing is
+    no evidence. The first guess is bad where any labeller says so, since each knows one kind of bad text.
     """
     keys = list(patterns)
     if not keys:
         return {}
     weight = np.array([patterns[k] for k in keys], float)
-    cast = np.array([[int(v) for v in k[0]] for k in keys])
-    one = np.stack([cast == v for v in range(3)], axis=2).astype(float)  # pattern, labeller, outcome
+    cast = np.array([[int(v) for v in k[0]] for k in keys]).reshape(len(keys), labellers)
+    bad, good = (cast == 1).astype(float), (cast == 0).astype(float)
     held = np.array([np.nan if k[1] is None else k[1] for k in keys], float)
-    n_votes = (cast < 2).sum(1)
-    post = np.where(n_votes > 0, (cast == 1).sum(1) / np.maximum(n_votes, 1), 0.5)
-    post = np.clip(post, 0.02, 0.98)
+    open_ = np.isnan(held)
+    post = np.where(bad.any(1), 0.99, 0.01)
     for _ in range(rounds):
-        post = np.where(np.isnan(held), post, held)
-        log = []
-        for p in (1 - post, post):
-            rate = np.einsum("p,plv->lv", weight * p, one) + 1.0
-            rate /= rate.sum(1, keepdims=True)
-            prior = (weight * p).sum() + 1.0
-            log.append(np.log(prior) + np.einsum("plv,lv->p", one, np.log(rate)))
-        new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
-        moved = np.abs(new - post)[np.isnan(held)].max(initial=0)
+        post = np.where(open_, post, held)
+        right = (weight * post) @ bad + (weight * (1 - post)) @ good
+        accuracy = np.clip((right + 9) / (weight @ (bad + good) + 10), 0.5, 0.995)
+        prior = np.clip((weight @ post + 1) / (weight.sum() + 2), 0.001, 0.999)
+        odds = np.log(prior / (1 - prior)) + (bad - good) @ np.log(accuracy / (1 - accuracy))
+        new = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+        moved = np.abs(new - post)[open_].max(initial=0)
         post = new
         if moved < 1e-6:
             break
-    post = np.where(np.isnan(held), post, held)
+    post = np.where(open_, post, held)
     return dict(zip(keys, post.tolist()))
 
 
 class Hasher:
-    """Hashed features of a text: words, word beginnings, word shapes, repeats of the word before."""
-
-    def __init__(self, buckets: int = BUCKETS):
-        self.mask = buckets - 1
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def of(self, word: bytes) -> tuple[int, ...]:
-        found = self.known.get(word)
-        if found is None:
-            plain = word.strip(_STRIP).lower()
-            shape = re.sub(rb"[a-z\x80-\xff]+", b"a", re.sub(rb"[A-Z]+", b"A", re.sub(rb"\d+", b"0", word)))[:8]
-            names = (b"w " + plain, b"p " + plain[:5], b"q " + plain[:7], b"s " + shape)
-            found = tuple(zlib.crc32(x) & self.mask for x in names)
-            if len(self.known) >= 200_000:
-                self.known.clear()
-            self.known[word] = found
-        return found
-
-    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of a text's distinct words (word, beginnings, shape), and its share of repeats in a row.
+
+    A feature's value is the number of distinct words that have it over the root of their number, so a text's score is a
+    sum over its distinct words and a word's part of it is worked out once.
+    """
+
+    AGAIN, BIAS = (zlib.crc32(x) & (BUCKETS - 1) for x in (b"again", b"bias"))
+
+    def __init__(self, weights: np.ndarray | None = None):
+        self.weights = weights  # complex: one part a target
+        self.known: dict[bytes, object] = {}
+
+    @staticmethod
+    def of(word: bytes) -> tuple[int, ...]:
+        plain = word.strip(_STRIP).lower()
+        shape = _RUNS.sub(rb"\1", word.translate(_SHAPES))
+        return (
+            zlib.crc32(plain) % BUCKETS,
+            zlib.crc32(plain[:6], 5) % BUCKETS,
+            zlib.crc32(plain[:7], 7) % BUCKETS,
+            zlib.crc32(shape[:8], 1) % BUCKETS,
+        )
+
+    def _look(self, words: set[bytes], make) -> list:
+        known = self.known
+        new = [w for w in words if w not in known]
+        if new:
+            if len(known) + len(new) > 200_000:
+                known.clear()
+                new = list(words)
+            known.update(zip(new, make(new)))
+        return [known[w] for w in words]
+
+    def _buckets(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        return [self.of(w) for w in words]
+
+    def _parts(self, words: list[bytes]) -> list[complex]:
+        """The scores of both targets, one as the imaginary part."""
+        return self.weights[np.array([self.of(w) for w in words])].sum(1).tolist()
+
+    @staticmethod
+    def again(words: list[bytes]) -> float:
+        return 4 * sum(map(eq, words, islice(words, 1, None))) / max(1, len(words))
+
+    def features(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        words = text.split()
+        distinct = set(words)
+        at, count = np.unique(
+            np.fromiter(chain.from_iterable(self._look(distinct, self._buckets)), np.int32), return_counts=True
+        )
+        value = count / np.sqrt(max(1, len(distinct)))
+        return (
+            np.concatenate([at, [self.AGAIN, self.BIAS]]).astype(np.int32),
+            np.concatenate([value, [self.again(words), 1.0]]).astype(np.float32),
+        )
+
+    def score(self, text: bytes) -> complex:
         words = text.split()
-        counts: Counter = Counter()
-        for word, c in Counter(words).items():
-            for bucket in self.of(word):
-                counts[bucket] += c
-        again = sum(a == b for a, b in zip(words, words[1:]))
-        if again:
-            counts[zlib.crc32(b"again") & self.mask] += 4 * again
-        counts[zlib.crc32(b"bias") & self.mask] += max(1, len(words))
-        at = np.fromiter(counts, np.int32, len(counts))
-        value = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)) / max(1, len(words)))
-        return at, value
+        distinct = set(words)
+        total = self.weights[self.BIAS] + self.weights[self.AGAIN] * self.again(words)
+        return total + sum(self._look(distinct, self._parts)) / max(1, len(distinct)) ** 0.5
 
 
 def _feature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = Hasher()
     for batch in slices(batches, 256):
-        made = [hasher(t or b"") for t in utf8(batch.column("text"))]
+        made = [hasher.features(t or b"") for t in utf8(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),
-                *(batch.column(t) for t in TARGETS),
+                *(batch.column(t) for t in (*TARGETS, "trust")),
                 pa.array([a.tobytes() for a, _ in made], pa.binary()),
                 pa.array([v.tobytes() for _, v in made], pa.binary()),
             ],
-            names=["row", *TARGETS, "at", "value"],
+            names=["row", *TARGETS, "trust", "at", "value"],
         )
 
 
-def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 12, rate: float = 0.5) -> np.ndarray:
-    """Weights of a logistic scorer for soft labels, by AdaGrad over seeded batches."""
+def fit_scorer(
+    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, trust: np.ndarray, epochs: int = 20, rate: float = 0.5
+) -> np.ndarray:
+    """Weights of a logistic scorer for soft labels, by AdaGrad over seeded batches; ``trust`` weighs the rows."""
     weights, grown = np.zeros(BUCKETS), np.full(BUCKETS, 1e-3)
     dice = np.random.default_rng(SEED)
     for _ in range(epochs):
@@ -181,6 +224,7 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ep
             owner = np.repeat(np.arange(len(part)), [len(rows[i][0]) for i in part])
             margin = np.bincount(owner, weights[at] * value, len(part))
             error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[part]
+            error *= trust[part]
             touched, place = np.unique(at, return_inverse=True)
             gradient = np.bincount(place, error[owner] * value, len(touched)) / len(part) + 1e-6 * weights[touched]
             grown[touched] += gradient**2
@@ -192,13 +236,13 @@ def _train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One task over the bounded sample."""
     rows, labels, order = [], [], []
     for batch in batches:
-        for row, *known, at, value in zip(*(batch.column(c).to_pylist() for c in ("row", *TARGETS, "at", "value"))):
+        for row, *known, at, value in zip(*(batch.column(c).to_pylist() for c in ("row", *TARGETS, "trust", "at", "value"))):
             rows.append((np.frombuffer(at, np.int32), np.frombuffer(value, np.float32)))
             labels.append(known)
             order.append(row)
     by_row = np.argsort(np.array(order, np.int64), kind="stable")
-    rows, labels = [rows[i] for i in by_row], np.array(labels, float).reshape(-1, len(TARGETS))[by_row]
-    fitted = [fit_scorer(rows, labels[:, k]).tobytes() if rows else np.zeros(BUCKETS, np.float32).tobytes() for k in range(len(TARGETS))]
+    rows, labels = [rows[i] for i in by_row], np.array(labels, float).reshape(-1, len(TARGETS) + 1)[by_row]
+    fitted = [fit_scorer(rows, labels[:, k], labels[:, -1]).tobytes() if rows else np.zeros(BUCKETS, np.float32).tobytes() for k in range(len(TARGETS))]
     yield pa.RecordBatch.from_arrays(
         [pa.array(range(len(TARGETS)), pa.int32()), pa.array(fitted, pa.binary())], names=["target", "weights"]
     )
@@ -206,15 +250,14 @@ def _train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _scorer(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, weights = Hasher(), [np.frombuffer(w, np.float32) for w in shared.value]
+        junk, toxic = (np.frombuffer(w, np.float32).astype(float) for w in shared.value)
+        hasher = Hasher(junk + 1j * toxic)
         for batch in slices(batches, 256):
-            scores = np.empty((batch.num_rows, len(weights)))
-            for i, text in enumerate(utf8(batch.column("text"))):
-                at, value = hasher(text or b"")
-                scores[i] = [float(w[at] @ value) for w in weights]
+            both = np.fromiter((hasher.score(t or b"") for t in utf8(batch.column("text"))), complex, batch.num_rows)
+            scores = np.stack([both.real, both.imag], axis=1)
             chance = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc"), *(pa.array(chance[:, k]) for k in range(len(weights)))],
+                [batch.column("row"), batch.column("doc"), *(pa.array(chance[:, k]) for k in range(len(TARGETS)))],
                 names=["row", "doc", *TARGETS],
             )
 
@@ -264,9 +307,10 @@ def classify(
     for target, post in zip(TARGETS, posterior):
         same = (chosen[target] == post[target]) & chosen[f"known_{target}"].eqNullSafe(post[f"known_{target}"])
         chosen = chosen.join(F.broadcast(post), same).select(chosen["*"], post[f"post_{target}"])
-    chosen = cut_lineage(chosen.select("row", *(F.col(f"post_{t}").alias(t) for t in TARGETS)))
+    trust = F.when(F.col("known_junk").isNull(), UNLABELLED_TRUST).otherwise(1.0).alias("trust")
+    chosen = cut_lineage(chosen.select("row", *(F.col(f"post_{t}").alias(t) for t in TARGETS), trust))
     sample = source.join(F.broadcast(chosen), "row")  # max_train rows at most
-    features = sample.mapInArrow(_feature_rows, "row bigint, junk double, toxic double, at binary, value binary")
+    features = sample.mapInArrow(_feature_rows, "row bigint, junk double, toxic double, trust double, at binary, value binary")
     fitted = features.repartition(1).mapInArrow(_train, "target int, weights binary").orderBy("target").collect()
     shared = spark.sparkContext.broadcast([bytes(r.weights) for r in fitted])
     scored = source.mapInArrow(_scorer(shared), "row bigint, doc bigint, junk double, toxic double")
