@@ -11,7 +11,9 @@ need no padding.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from struct import Struct
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +29,8 @@ CAPACITY = 2048
 CLASSES = 6  # 1024 ... 32; shorter rests are one stream
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-_CACHED = 150_000  # words whose ids a worker remembers
+CACHED_WORDS = 800_000  # words whose ids a worker remembers, at most
+_END = END_ID.to_bytes(4, "little")
 _PIECES = pa.schema(
     [
         ("doc", pa.int64()),
@@ -47,31 +50,41 @@ _PIECES_SQL = (
 class WordIds:
     """Ids of whole texts for a tokenizer that never joins ids across ASCII white space.
 
-    Texts are split there, and each distinct word is encoded once; the memory of words is bounded.
+    Texts are split there, and a distinct word is encoded once while it is remembered. The memory of words is
+    bounded: when one half is full it becomes the old half, from which words still in use come back.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, list[int]] = {}
-
-    def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        known = self.known
-        for text in texts:
-            words = text.split()
-            new = list({w for w in words if w not in known})
-            if new:
-                if len(known) + len(new) > _CACHED:
-                    known.clear()
-                    new = list(set(words))
-                for at in range(0, len(new), 10_000):
-                    part = new[at : at + 10_000]
-                    coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-                    known.update((w, c.ids) for w, c in zip(part, coded))
-            ids: list[int] = []
-            for word in words:
-                ids += known[word]
-            ids.append(END_ID)
-            yield np.array(ids, "<u4")
+        self.half = cached // 2
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def learn(self, words: set[bytes]) -> None:
+        known, old, pack_id = self.known, self.old, Struct("<I").pack
+        new = []
+        for word in words:
+            ids = old.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                known[word] = ids
+        for at in range(0, len(new), 10_000):
+            part = new[at : at + 10_000]
+            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            known.update((w, b"".join(map(pack_id, c.ids))) for w, c in zip(part, coded))
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        words = text.split()
+        missing = set(words).difference(self.known)
+        if missing:
+            if len(self.known) > self.half:
+                self.old, self.known = self.known, {}
+                missing = set(words)
+            self.learn(missing)
+        ids = b"".join(map(self.known.__getitem__, words))
+        return np.frombuffer(ids + _END, "<u4")
 
 
 class _Open:
@@ -141,9 +154,8 @@ def _pack(path: str, capacity: int, classes: int):
         open_ = _Open(capacity, classes, TaskContext.get().partitionId() << 33)
         out = Rows(_PIECES)
         for batch in slices(batches, 256):
-            texts = [t or b"" for t in utf8(batch.column(1))]
-            for doc, ids in zip(batch.column(0).to_pylist(), coder(texts)):
-                for piece in open_.put(doc, ids):
+            for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                for piece in open_.put(doc, coder(text or b"")):
                     if out.add(piece, len(piece[3])):
                         yield out.batch()
         for piece in open_.end():
