@@ -1,6 +1,6 @@
 """Importing this module registers the queries of the package."""
 
-from riskloom.llm import exact_dedup, html_text, mixing, neighbours, packing, quality, sharding, simhash  # noqa: F401
+from riskloom.llm import exact_dedup, html_text, mixing, neighbours, packing, passages, quality, sharding, simhash  # noqa: F401
 from riskloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
