@@ -11,9 +11,10 @@ need no padding.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterable, Iterator
-from struct import Struct
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +31,10 @@ CLASSES = 6  # 1024 ... 32; shorter rests are one stream
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 CACHED_WORDS = 800_000  # words whose ids a worker remembers, at most
+#: the end of a pattern that takes runs of letters, single digits, and runs of anything else
+_LETTERS_APART = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: letters that lower-case one by one, and punctuation without apostrophes or marks of special tokens
+_LATIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([.,;:!?%*#$&\"()\[\]+=@/_^~`{}\\-]*)")
 _END = END_ID.to_bytes(4, "little")
 _PIECES = pa.schema(
     [
@@ -52,6 +57,10 @@ class WordIds:
 
     Texts are split there, and a distinct word is encoded once while it is remembered. The memory of words is
     bounded: when one half is full it becomes the old half, from which words still in use come back.
+
+    Where the tokenizer lower-cases, splits letters from all else and marks the ends of words, a Latin word with
+    punctuation behind it is its lower-case letters and its punctuation, and many such parts are encoded in one text and
+    told apart at the end marks. Other words, and all words of other tokenizers, are encoded one by one.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -60,20 +69,64 @@ class WordIds:
         self.half = cached // 2
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        model = json.loads(self.tokenizer.to_str())
+        steps = (model["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        suffix = model["model"].get("end_of_word_suffix")
+        self.by_parts = (
+            bool(suffix)
+            and "Lowercase" in json.dumps(model["normalizer"])
+            and (steps[0].get("pattern") or {}).get("Regex", "").endswith(_LETTERS_APART)
+        )
+        if self.by_parts:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[k for token, k in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def encode(self, words: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(words), 10_000):
+            for coded in self.tokenizer.encode_batch_fast(words[at : at + 10_000], add_special_tokens=False):
+                yield np.array(coded.ids, "<u4").tobytes()
+
+    def learn_parts(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 2000):
+            some = parts[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) == len(some):
+                raw, start = ids.tobytes(), 0
+                for part, stop in zip(some, stops.tolist()):
+                    self.parts[part] = raw[start:stop]
+                    start = stop
+            else:
+                self.parts.update(zip(some, self.encode(some)))
 
-    def learn(self, words: set[bytes]) -> None:
-        known, old, pack_id = self.known, self.old, Struct("<I").pack
-        new = []
+    def learn(self, words: Iterable[bytes]) -> None:
+        known, old, parts = self.known, self.old, self.parts
+        whole, split, new = [], [], {}
         for word in words:
             ids = old.get(word)
-            if ids is None:
-                new.append(word)
-            else:
+            if ids is not None:
                 known[word] = ids
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            known.update((w, b"".join(map(pack_id, c.ids))) for w, c in zip(part, coded))
+                continue
+            text = word.decode()
+            found = _LATIN.fullmatch(text) if self.by_parts else None
+            if found:
+                letters, rest = found[1].lower(), found[2]
+                split.append((word, letters, rest))
+                if letters not in parts:
+                    new[letters] = None
+                if rest and rest not in parts:
+                    new[rest] = None
+            else:
+                whole.append((word, text))
+        if len(parts) + len(new) > self.half:
+            parts.clear()
+            new = dict.fromkeys(p for _, *both in split for p in both if p)
+        self.learn_parts(list(new))
+        for word, letters, rest in split:
+            known[word] = parts[letters] + parts[rest] if rest else parts[letters]
+        known.update(zip((w for w, _ in whole), self.encode([t for _, t in whole])))
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.split()
