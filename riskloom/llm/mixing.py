@@ -43,15 +43,18 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     level = (F.sum("source_size").over(everything) - max_epochs * F.coalesce(F.sum("source_size").over(by_cap), F.lit(0))) / (
         F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(by_cap), F.lit(0))
     )
-    stops = F.col("level") * F.col("weight") > max_epochs * F.col("source_size")
-    leveled = named.withColumn("level", level).withColumn("open", F.min(F.when(~stops, F.col("level"))).over(everything))
+    leveled = named.withColumns({"level": level, "place": F.row_number().over(Window.orderBy(F.col("source_size") / F.col("weight"), "src"))})
+    stays = F.when(F.col("level") * F.col("weight") <= max_epochs * F.col("source_size"), F.struct("place", "level"))
+    # the first source that stays below its cap sets the level of all that follow it
+    leveled = leveled.withColumn("open", F.min(stays).over(everything))
+    stops = F.col("open").isNull() | (F.col("place") < F.col("open.place"))
     return leveled.select(
         "src",
         "source_size",
         "rows",
         "weight",
         F.when(stops, (max_epochs * F.col("source_size")).cast("double"))
-        .otherwise(F.col("open") * F.col("weight"))
+        .otherwise(F.col("open.level") * F.col("weight"))
         .alias("target"),
     )
 
@@ -159,13 +162,14 @@ with d as (
          coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size
   from documents),
 s0 as (select src, sum(size)::bigint as source_size from d group by src),
-s1 as (select *, 1 + (row_number() over (order by src collate c) - 1) % 3 as weight from s0),
-s2 as (select *, (sum(source_size) over () - 3 * coalesce(sum(source_size) over w, 0))
+s1 as (select *, 1 + (row_number() over (order by src) - 1) % 3 as weight from s0),
+s2 as (select *, row_number() over (order by source_size / weight, src) as place,
+              (sum(source_size) over () - 3 * coalesce(sum(source_size) over w, 0))
             / (sum(weight) over () - coalesce(sum(weight) over w, 0))::double as level
        from s1 window w as (order by source_size / weight, src rows between unbounded preceding and 1 preceding)),
-s3 as (select *, level * weight > 3 * source_size as stops from s2),
-s4 as (select *, min(case when not stops then level end) over () as open from s3),
-s5 as (select src, source_size, case when stops then 3.0::double * source_size else open * weight end as target,
+s3 as (select *, case when level * weight <= 3 * source_size then place end as stays from s2),
+s4 as (select *, min(stays) over () as first, min_by(level, stays) over () as open from s3),
+s5 as (select src, source_size, case when first is null or place < first then 3.0::double * source_size else open * weight end as target,
               greatest(1, sum(source_size) over () // {BLOCKS})::bigint as block,
               sum(source_size) over () as words, count(*) over () as sources from s4),
 s6 as (select *, round(words / block)::bigint as seats from s5),
@@ -189,7 +193,7 @@ from laid join plan using (src)
 """
 
 
-@query("op4_source_mixing", _SQL.replace("src collate c", "src"))
+@query("op4_source_mixing", _SQL)
 def op4_source_mixing(spark, sf):
     mixed = mix(table(spark, sf, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.col("taken").cast("bigint"))
