@@ -48,6 +48,7 @@ ENDED_BY = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
+_MARKUP = re.compile(r"<[!?/a-zA-Z]")
 _TOKEN = re.compile(r"[a-z]+")
 
 
@@ -155,6 +156,9 @@ def main_text(html: str) -> str:
     parser = Lines()
     try:
         parser.feed(html)
+        unfinished = _MARKUP.search(parser.rawdata)  # a tag or comment that the page ends in is no text
+        if unfinished:
+            parser.rawdata = parser.rawdata[: unfinished.start()]
         parser.close()
     except (AssertionError, ValueError):  # malformed declarations; what came before them counts
         pass

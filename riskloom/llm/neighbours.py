@@ -38,6 +38,7 @@ class Tree:
         self.offsets: list[float] = []
         self.children: list[list[int]] = []
         self.leaves = 0
+        self.width = points.shape[1]
         dice = np.random.default_rng(seed)
         todo = [(np.arange(len(points)), -1, 0)]
         while todo:
@@ -80,9 +81,8 @@ class Tree:
         return (normal, offset, left) if 0 < left.sum() < len(rows) else None
 
     def pack(self) -> tuple:
-        d = len(self.normals[0]) if self.normals else 0
         return (
-            np.array(self.normals, float).reshape(-1, d),
+            np.array(self.normals, float).reshape(len(self.normals), self.width),
             np.array(self.offsets, float),
             np.array(self.children, np.int64).reshape(-1, 2),
             self.leaves,
