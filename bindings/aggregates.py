@@ -109,7 +109,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     # The route for tables too large for the built-in exact aggregate, forced here by a low switch point.
-    return rounded(percentiles(lines(spark, sf), FEATURES, [0.1, 0.5, 0.9], exact_rows=5_000))
+    return rounded(percentiles(lines(spark, sf), FEATURES, [0.1, 0.5, 0.9]))
 
 
 @query(
@@ -205,6 +205,19 @@ def _(spark, sf):
     return A.profile(lines(spark, sf), [*FEATURES, "l_suppkey"])
 
 
+@query(
+    "profile_types",
+    """select 'big' as feature, min(l_orderkey + 9007199254740992)::double as min, max(l_orderkey + 9007199254740992)::double as max,
+              count(distinct l_orderkey) as n_unique from lineitem
+       union all select 'l_linestatus', null, null, count(distinct l_linestatus) from lineitem
+       union all select 'l_shipdate', null, null, count(distinct l_shipdate) from lineitem""",
+)
+def _(spark, sf):
+    """Ids beyond 2**53, text and times keep their exact distinct counts."""
+    df = lines(spark, sf).withColumn("big", F.col("l_orderkey") + F.lit(1 << 53))
+    return A.profile(df, ["big", "l_linestatus", "l_shipdate"])
+
+
 @query(
     "imbalance",
     """select round(min(n) / sum(n), 6) as minority_ratio

@@ -14,8 +14,13 @@ COLS = ["l_quantity", "l_extendedprice", "l_discount"]
 CATS = ["l_returnflag", "l_linestatus"]
 
 
+def bin_sql(c: str) -> str:
+    return f"""case when {c} < lo then -1 when {c} > hi then 10 when {c} is null then null when hi = lo then 0
+      else least(floor(({c} - lo) / ((hi - lo) / 10)), 9) end"""
+
+
 def _psi_sql(c: str, source: str = "lineitem") -> str:
-    bin_of = f"least(greatest(floor(({c} - lo) / ((hi - lo) / 10)), 0), 9)"
+    bin_of = bin_sql(c)
     return f"""select '{c}' as feature, sum((c - r) * ln(c / r)) as psi from (
         select greatest(n_ref / sum(n_ref) over (), 0.0001::double) as r,
                greatest(n_cur / sum(n_cur) over (), 0.0001::double) as c
@@ -188,7 +193,7 @@ def _(spark, sf):
 
 @query(
     "column_drift",
-    f"""select feature, method, round(score, 6) as score, threshold, score >= threshold as drifted from (
+    f"""select feature, method, round(score, 6) as score, threshold, score >= threshold as drifted, 'ok' as status from (
           select feature, 'psi' as method, psi as score, {LIMITS["psi"]}::double as threshold
             from ({_psi_sql("l_quantity")} union all {_psi_sql("l_extendedprice")})
           union all select feature, 'wasserstein', wasserstein, {LIMITS["wasserstein"]}::double from ({_w_sql("l_discount")})
@@ -199,6 +204,54 @@ def _(spark, sf):
     return rounded(D.column_drift(*_both(spark, sf), METHODS, LIMITS))
 
 
+# lineitem with a vanished, a constant, a retyped, a new and an always empty column
+_DAMAGED = {"l_quantity": "psi", "l_extendedprice": "ks", "l_discount": "wasserstein", "l_returnflag": "js", "l_tax": "psi",
+            "fresh": "psi", "nothing": "ks", "other": "psi"}
+
+
+def _damaged(spark, sf):
+    ref, cur = _both(spark, sf)
+    none = F.lit(None).cast("double")
+    ref = ref.withColumns({"l_tax": F.lit(5.0), "fresh": none, "nothing": none, "other": F.lit(1.0)})
+    cur = cur.withColumns(
+        {c: none for c in ("l_quantity", "l_extendedprice", "l_discount", "nothing")} | {"l_tax": F.lit(100.0), "fresh": F.lit(1.0)}
+    ).withColumns({"l_returnflag": F.lit(None).cast("string"), "other": F.lit("one")})
+    return ref, cur
+
+
+@query(
+    "column_drift_missing",
+    """select * from (values
+         ('l_quantity', 'psi', null::double, 0.2::double, true, 'no_current'),
+         ('l_extendedprice', 'ks', null, 0.05, true, 'no_current'),
+         ('l_discount', 'wasserstein', null, 0.1, true, 'no_current'),
+         ('l_returnflag', 'js', null, 0.1, true, 'no_current'),
+         ('l_tax', 'psi', round(2 * (1 - 0.0001::double) * ln(1 / 0.0001::double), 6), 0.2, true, 'ok'),
+         ('fresh', 'psi', null, 0.2, true, 'no_reference'),
+         ('nothing', 'ks', null, 0.05, false, 'no_data'),
+         ('other', 'psi', null, 0.2, true, 'type_changed')) t(feature, method, score, threshold, drifted, status)
+       where (select count(*) from lineitem) > 0""",
+)
+def _(spark, sf):
+    """Every asked column appears, whatever happened to it."""
+    return rounded(D.column_drift(*_damaged(spark, sf), _DAMAGED))
+
+
+@query(
+    "psi_constant",
+    f"""select feature, round(sum((greatest(c, 0.0001::double) - greatest(r, 0.0001::double))
+          * ln(greatest(c, 0.0001::double) / greatest(r, 0.0001::double))), 6) as psi
+        from (select 'l_quantity' as feature, count(*) filter ({REF_SQL}) / (select count(*) from lineitem where {REF_SQL}) as r,
+                     count(*) filter ({CUR_SQL}) / (select count(*) from lineitem where {CUR_SQL}) as c
+              from (select *, case when {REF_SQL} or l_quantity = 20 then 0 when l_quantity < 20 then -1 else 1 end as bin
+                    from lineitem) group by bin) group by feature""",
+)
+def _(spark, sf):
+    """The reference is 20 throughout."""
+    ref, cur = _both(spark, sf)
+    return rounded(D.psi(ref.withColumn("l_quantity", F.lit(20.0)), cur, ["l_quantity"]))
+
+
 @query(
     "missing_compare",
     """select feature, missing_ref, missing_cur, round(missing_ref / n_ref, 6) as share_ref,
@@ -314,6 +367,25 @@ def _(spark, sf):
     return Q.suite_summary(_suite(spark, sf))
 
 
+@query(
+    "dq_type_mismatch",
+    f"""with {DQ_SQL} select position, test, feature,
+          case when test = 'column_types' or test = 'drifted_columns' then 'FAIL'
+               when feature = 'l_discount' then 'ERROR' when ok then 'SUCCESS' else 'FAIL' end as status,
+          case when test = 'column_types' then 1 when test = 'drifted_columns' then d.n
+               when feature <> 'l_discount' then round(value, 6) end as value
+        from tests, (select count(*) + 1 as n from ({_psi_sql("l_quantity", "l")} union all {_psi_sql("l_extendedprice", "l")})
+                     where psi >= 0.2::double) d
+        where position >= 5 and position <> 6""",
+)
+def _(spark, sf):
+    """The current discount is text: the suite reports it and goes on with the other columns."""
+    ref, cur = snapshots(zero_to_null(lines(spark, sf), ["l_discount"]))
+    cur = cur.withColumn("l_discount", F.concat(F.col("l_discount").cast("string"), F.lit("%")))
+    tests = Q.run_suite(ref, cur, SUITE, SUITE_COLS, SUITE_NUM).where("position >= 5 and position <> 6")
+    return rounded(tests.select("position", "test", "feature", "status", "value"))
+
+
 def _conflict_sql(y: str) -> str:
     return f"""with {SCORED} select count(*) as n_groups, cast(coalesce(sum(n), 0) as bigint) as n_rows from (
         select count(*) as n from scored group by l_quantity, l_discount, l_tax having min({y}) <> max({y}))"""

@@ -10,10 +10,13 @@ from riskloom.operators import prep as Z
 from riskloom.operators import split as S
 from riskloom.operators.projection import zero_to_null
 
+SPLIT_KEY_SQL = "concat('42;', " + ", ".join(
+    f"coalesce(length({k}::varchar)::varchar || ':' || {k}::varchar || ';', 'n;')" for k in KEY
+) + ")"
 RANKED_SQL = f"""ranked as (
   select {ROW}, l_returnflag,
          row_number() over (partition by l_returnflag order by
-           md5(concat_ws('|', '42', l_orderkey::varchar, l_linenumber::varchar, l_partkey::varchar, l_suppkey::varchar)))
+           md5({SPLIT_KEY_SQL}))
            as rn,
          count(*) over (partition by l_returnflag) as n
   from lineitem),

@@ -54,6 +54,21 @@ def _(spark, sf):
     return M.confusion(scored_lines(spark, sf), "label", "prediction")
 
 
+_THREE = "case when l_quantity > 45 then 2 else label end as actual"
+
+
+@query(
+    "confusion_three_classes",
+    f"""with {SCORED}, c as (select {_THREE}, prediction as predicted from scored), k as (select unnest([0, 1, 2]) as class)
+        select a.class::integer as actual, p.class::integer as predicted,
+               (select count(*) from c where actual = a.class and predicted = p.class) as n from k a, k p""",
+)
+def _(spark, sf):
+    """A class that nobody declared and nobody predicts."""
+    actual = F.when(F.col("l_quantity") > 45, 2).otherwise(F.col("label"))
+    return M.confusion(scored_lines(spark, sf).withColumn("actual", actual), "actual", "prediction")
+
+
 @query(
     "quality_by_class",
     f"""with {SCORED}, s as (

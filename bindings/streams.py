@@ -107,19 +107,21 @@ def _(spark, sf):
     return rounded(as_text(finished(spark, windows, ["window_start"])))
 
 
-_PSI_BINS = ", ".join(f"count(*) filter (bin = {b}) as n{b}" for b in range(10))
-_PSI_REF = ", ".join(f"count(*) filter (bin = {b}) / count(*) as r{b}" for b in range(10))
+_PSI_BINS = ", ".join(f"count(*) filter (bin = {b - 1}) as n{b}" for b in range(12))
+_PSI_REF = ", ".join(f"count(*) filter (bin = {b - 1}) / count(*) as r{b}" for b in range(12))
+_PSI_BIN = """case when value < lo then -1 when value > hi then 10
+    else least(floor((value - lo) / ((hi - lo) / 10)), 9) end as bin"""
 _PSI_TERMS = " + ".join(
     f"(greatest(n{b} / n, 0.0001::double) - greatest(r{b}, 0.0001::double)) * "
     f"ln(greatest(n{b} / n, 0.0001::double) / greatest(r{b}, 0.0001::double))"
-    for b in range(10)
+    for b in range(12)
 )
 
 
 @query(
     "windowed_psi",
     f"""with edge as (select min(value) as lo, max(value) as hi from events where ts < timestamp '2024-01-15'),
-        binned as (select *, least(greatest(floor((value - lo) / ((hi - lo) / 10)), 0), 9) as bin from events, edge),
+        binned as (select *, {_PSI_BIN} from events, edge),
         ref as (select {_PSI_REF} from binned where ts < timestamp '2024-01-15'),
         w as (select {_bucket(4)}, event_type, count(*) as n, {_PSI_BINS} from binned group by 1, 2)
         select window_start, event_type, round({_PSI_TERMS}, 6) as psi_value from w, ref""",
@@ -138,7 +140,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     windows = W.windowed_performance(with_scores(events_stream(spark, sf)), "ts", "label", "prediction")
-    alerts = W.alert_stream(finished(spark, windows, ["window_start"]))
+    alerts = W.active_alerts(finished(spark, W.alert_stream(windows), ["window_start"]))
     return rounded(
         as_text(alerts).select("window_start", "accuracy", "monitoring_status", F.concat_ws("|", "alerts").alias("alerts"))
     )
@@ -147,7 +149,7 @@ def _(spark, sf):
 @query(
     "windowed_drift_alerts",
     f"""with edge as (select min(value) as lo, max(value) as hi from events where ts < timestamp '2024-01-15'),
-        binned as (select *, least(greatest(floor((value - lo) / ((hi - lo) / 10)), 0), 9) as bin from events, edge),
+        binned as (select *, {_PSI_BIN} from events, edge),
         ref as (select {_PSI_REF} from binned where ts < timestamp '2024-01-15'),
         w as (select {_bucket(24)}, count(*) as n, {_PSI_BINS} from binned group by 1),
         p as (select window_start, {_PSI_TERMS} as psi from w, ref)
@@ -158,7 +160,7 @@ def _(spark, sf):
     first_half = table(spark, sf, "events").where(F.col("ts") < F.expr("timestamp_ntz '2024-01-15'"))
     reference = W.reference_shares(first_half, ["value"])
     windows = W.windowed_psi(events_stream(spark, sf), "ts", reference, width="24 hours")
-    alerts = W.alert_stream(finished(spark, windows, ["window_start"]), psi_threshold=0.025)
+    alerts = W.active_alerts(finished(spark, W.alert_stream(windows, psi_threshold=0.025), ["window_start"]))
     return rounded(as_text(alerts).withColumn("alerts", F.concat_ws("|", "alerts")))
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.base import KEY, PROBABILITY_SQL, REF_SQL, CUR_SQL, ROW, SCORED, lines, query, rounded, scored_lines, snapshots, table
+from bindings.drifting import bin_sql
 from riskloom.operators import drift as D
 from riskloom.operators import joins as J
 from riskloom.operators import projection as P
 from riskloom.operators import validation as V
 from riskloom.operators.profile import summary_measures
-from riskloom.sources.sinks import to_batch_response
+from riskloom.sources.sinks import batch_statuses, to_batch_response
 
 BOUNDS = {"l_quantity": (2, 48), "l_extendedprice": (1500, 100000), "l_discount": (0, 0.09)}
 SCHEMA_BOUNDS = {"l_quantity": (1, 50), "l_extendedprice": (1000, 104000), "l_tax": (0, 0.07)}
@@ -135,11 +136,11 @@ def _(spark, sf):
     predictions = orders.select(
         F.col("o_orderkey").alias("l_orderkey"), (F.col("o_totalprice") > 250000).cast("int").alias("prediction")
     )
-    return J.attach_predictions(lines(spark, sf).select(*KEY), predictions, ["l_orderkey"], salts=8)
+    return J.attach_predictions(lines(spark, sf).select(*KEY), predictions, ["l_orderkey"])
 
 
 def _hist_sql(c: str) -> str:
-    bin_of = f"cast(least(greatest(floor(({c} - lo) / ((hi - lo) / 10)), 0), 9) as integer)"
+    bin_of = f"cast({bin_sql(c)} as integer)"
     return f"""select '{c}' as feature, {bin_of} as bin,
          count(*) filter ({REF_SQL}) as n_ref, count(*) filter ({CUR_SQL}) as n_cur
        from lineitem, (select min({c}) as lo, max({c}) as hi from lineitem where {REF_SQL}) group by 1, 2"""
@@ -154,26 +155,32 @@ def _(spark, sf):
 @query(
     "batch_response",
     f"""with {SCORED}
-        select l_orderkey as batch_id, count(*) as n_predictions,
-               round(sum(probability), 6) as probability_sum, count(*) as total,
-               count(*) filter (prediction = 1) as predicted_positive,
-               count(*) filter (probability >= 0.7::double) as high_risk, round(avg(probability), 6) as average_score
-        from scored group by l_orderkey having count(*) <= 1000""",
+        select l_orderkey as batch_id, case when count(*) <= 5 then 'accepted' else 'rejected' end as status,
+               count(*) as n_members,
+               case when count(*) <= 5 then round(sum(probability), 6) end as probability_sum,
+               case when count(*) <= 5 then count(*) end as total,
+               case when count(*) <= 5 then count(*) filter (prediction = 1) end as predicted_positive,
+               case when count(*) <= 5 then count(*) filter (probability >= 0.7::double) end as high_risk,
+               case when count(*) <= 5 then round(avg(probability), 6) end as average_score
+        from scored group by l_orderkey""",
 )
 def _(spark, sf):
+    """Every batch; those of more than five members are rejected."""
     scored = scored_lines(spark, sf).withColumnRenamed("l_orderkey", "batch_id")
-    docs, _oversize = to_batch_response(
+    docs, oversize = to_batch_response(
         scored,
         "batch_id",
         ["l_linenumber", "l_partkey"],
         ["prediction", "probability"],
         summary_measures("prediction", "probability", inclusive=True),
+        limit=5,
     )
     total = F.aggregate("predictions", F.lit(0.0), lambda acc, e: acc + e["probability"])
     return rounded(
-        docs.select(
+        batch_statuses(docs, oversize, "batch_id").select(
             "batch_id",
-            F.size("predictions").cast("bigint").alias("n_predictions"),
+            "status",
+            "n_members",
             total.alias("probability_sum"),
             "summary.total",
             "summary.predicted_positive",

@@ -2,15 +2,17 @@
 
 Definitions the reference behaviour leaves to a library are fixed here:
 
-* PSI: equal-width bins over the reference range, outside values clamped into
-  the end bins, shares floored at ``eps``.
+* PSI: equal-width bins over the reference range and one bin on either side of it,
+  shares floored at ``eps``. A constant reference has one bin and its two neighbours.
 * KS p-value: the asymptotic series with the usual small-sample correction.
 * Wasserstein: first-order distance divided by the reference standard deviation.
 * Jensen-Shannon: natural-log divergence; the distance is ``sqrt(js / ln 2)``.
 * chi-square: two-sample statistic over the 2 x k table of counts.
-* Automatic choice: more than 1000 reference rows use Wasserstein (numeric) and
-  Jensen-Shannon distance (categorical) at 0.1; smaller ones use KS and
-  chi-square at 0.05.
+* Default methods, at every size: Wasserstein (numeric) and Jensen-Shannon
+  distance (categorical) at 0.1.
+* Damaged columns: without values on both sides there is no score (NULL). A column
+  with values on one side only, of another type, or absent from a snapshot has
+  drifted; one without values on either side has not. NaN is no value.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from riskloom.functions import safe_divide
 from riskloom.operators.joins import compare_counts, tag_snapshots
@@ -34,24 +36,30 @@ PSI_EPS = 1e-4
 THRESHOLDS = {"psi": 0.2, "psi_cat": 0.2, "ks": 0.05, "wasserstein": 0.1, "js": 0.1, "chi2": 0.05, "z": 0.05}
 P_VALUE_METHODS = ("ks", "chi2", "z")
 DATASET_SHARE = 0.5
-AUTO_ROWS = 1000
+
+
+def _number(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def value_ranges(ref: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
     """Reference minimum and maximum: two numbers per column, one aggregation."""
     row = ref.agg(
-        *[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))]
+        *[f(_number(c)).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))]
     ).first()
     return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
 
 
 def equal_width_bin(c: str, lo: float | None, hi: float | None, bins: int) -> Column:
-    """0-based bin of a value, clamped into the reference range; NULL stays NULL."""
-    x = F.col(c).cast("double")
-    if lo is None or hi is None or hi == lo:
+    """0-based bin of a value inside the reference range, -1 below it, ``bins`` above it; NULL stays NULL."""
+    x = _number(c)
+    if lo is None or hi is None:
         return F.when(x.isNotNull(), F.lit(0))
-    raw = F.floor((x - F.lit(lo)) / F.lit((hi - lo) / bins))
-    return F.when(x.isNotNull(), F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))).cast("int")
+    inside = F.lit(0)
+    if hi > lo:
+        inside = F.least(F.floor((x - F.lit(lo)) / F.lit((hi - lo) / bins)), F.lit(bins - 1))
+    return F.when(x < F.lit(lo), F.lit(-1)).when(x > F.lit(hi), F.lit(bins)).when(x.isNotNull(), inside).cast("int")
 
 
 def compare_hist(
@@ -88,8 +96,14 @@ def psi_term(r: Column, c: Column, eps: float = PSI_EPS) -> Column:
     return (c - r) * F.log(c / r)
 
 
+def _if_both(score: Column, n_ref: str = "total_ref", n_cur: str = "total_cur") -> Column:
+    """An aggregate that is NULL unless both sides have values."""
+    return F.when((F.max(n_ref) > 0) & (F.max(n_cur) > 0), score)
+
+
 def psi_of(hist: DataFrame, eps: float = PSI_EPS) -> DataFrame:
-    return with_shares(hist).groupBy("feature").agg(F.sum(psi_term(F.col("r"), F.col("c"), eps)).alias("psi"))
+    score = _if_both(F.sum(psi_term(F.col("r"), F.col("c"), eps)))
+    return with_shares(hist).groupBy("feature").agg(score.alias("psi"))
 
 
 def psi(ref, cur, cols: list[str], bins: int = PSI_BINS, eps: float = PSI_EPS, ranges: dict | None = None) -> DataFrame:
@@ -111,8 +125,9 @@ def js_divergence(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
         return F.when(x > 0, x * F.log(x / m)).otherwise(F.lit(0.0))
 
     div = F.sum((part(r) + part(c)) / F.lit(2.0))
-    out = with_shares(compare_categories(ref, cur, cols)).groupBy("feature").agg(div.alias("js_divergence"))
-    return out.withColumn("js_distance", F.sqrt(F.greatest(F.col("js_divergence"), F.lit(0.0)) / F.lit(math.log(2))))
+    out = with_shares(compare_categories(ref, cur, cols)).groupBy("feature").agg(_if_both(div).alias("js_divergence"))
+    positive = F.when(F.col("js_divergence") > 0, F.col("js_divergence")).otherwise(F.col("js_divergence") * F.lit(0.0))
+    return out.withColumn("js_distance", F.sqrt(positive / F.lit(math.log(2))))
 
 
 def _two_samples(ref: DataFrame, cur: DataFrame, cols: list[str], rows_per_bucket: int) -> DataFrame:
@@ -127,16 +142,16 @@ def _cdf_gap() -> Column:
 
 
 def ks_p_value(d: Column, n: Column, m: Column) -> Column:
-    """Asymptotic two-sample series, 100 terms."""
-    root = F.sqrt(n * m / (n + m))
-    lam = (root + F.lit(0.12) + F.lit(0.11) / root) * d
+    """Asymptotic two-sample series, 100 terms; NULL without a distance."""
+    root = F.sqrt(safe_divide(n * m, n + m))
+    lam = (root + F.lit(0.12) + safe_divide(F.lit(0.11), root)) * d
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)),
         F.lit(0.0),
         lambda acc, k: acc
         + F.when(k % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0)) * F.exp(F.lit(-2.0) * k * k * lam * lam),
     )
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+    return F.when(lam < 0.2, F.lit(1.0)).when(lam.isNotNull(), F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
 def ks(ref: DataFrame, cur: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -161,7 +176,7 @@ def wasserstein(
     area = (
         _two_samples(ref, cur, cols, rows_per_bucket)
         .groupBy("feature")
-        .agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("wasserstein"))
+        .agg(_if_both(F.coalesce(F.sum(step), F.lit(0.0))).alias("wasserstein"))
     )
     if not normed:
         return area
@@ -203,7 +218,7 @@ def chi2_stat(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
         expected = pooled * F.col(total)
         terms.append(F.coalesce(safe_divide((F.col(n) - expected) * (F.col(n) - expected), expected), F.lit(0.0)))
     return shares.groupBy("feature").agg(
-        F.sum(terms[0] + terms[1]).alias("chi2"), (F.count("*") - 1).alias("dof")
+        _if_both(F.sum(terms[0] + terms[1])).alias("chi2"), (F.count("*") - 1).alias("dof")
     )
 
 
@@ -231,7 +246,8 @@ def prop_z(ref: DataFrame, cur: DataFrame, tests: dict[str, Column | str]) -> Da
     p1, p2 = safe_divide("x1", "n1"), safe_divide("x2", "n2")
     pooled = safe_divide(F.col("x1") + F.col("x2"), F.col("n1") + F.col("n2"))
     spread = F.sqrt(pooled * (1 - pooled) * (safe_divide(F.lit(1), F.col("n1")) + safe_divide(F.lit(1), F.col("n2"))))
-    return stats.select("feature", F.coalesce(safe_divide(p2 - p1, spread), F.lit(0.0)).alias("z"))
+    measured = (F.col("n1") > 0) & (F.col("n2") > 0)
+    return stats.select("feature", F.when(measured, F.coalesce(safe_divide(p2 - p1, spread), F.lit(0.0))).alias("z"))
 
 
 def z_test(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
@@ -241,43 +257,76 @@ def z_test(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
 
 
 _SCORES = {
-    "psi": (lambda r, c, cols: psi(r, c, cols), "psi"),
-    "psi_cat": (lambda r, c, cols: psi_cat(r, c, cols), "psi"),
-    "ks": (lambda r, c, cols: ks(r, c, cols), "p_value"),
-    "wasserstein": (lambda r, c, cols: wasserstein(r, c, cols), "wasserstein"),
-    "js": (lambda r, c, cols: js_divergence(r, c, cols), "js_distance"),
-    "chi2": (lambda r, c, cols: chi2(r, c, cols), "p_value"),
-    "z": (lambda r, c, cols: z_test(r, c, cols), "p_value"),
+    "psi": (lambda r, c, cols, bins: psi(r, c, cols, bins), "psi"),
+    "psi_cat": (lambda r, c, cols, bins: psi_cat(r, c, cols), "psi"),
+    "ks": (lambda r, c, cols, bins: ks(r, c, cols), "p_value"),
+    "wasserstein": (lambda r, c, cols, bins: wasserstein(r, c, cols), "wasserstein"),
+    "js": (lambda r, c, cols, bins: js_divergence(r, c, cols), "js_distance"),
+    "chi2": (lambda r, c, cols, bins: chi2(r, c, cols), "p_value"),
+    "z": (lambda r, c, cols, bins: z_test(r, c, cols), "p_value"),
 }
 
 
-def choose_methods(ref: DataFrame, numeric: list[str], categorical: list[str] = ()) -> dict[str, str]:
-    """Default method per column by reference size."""
-    large = ref.count() > AUTO_ROWS
-    methods = {c: "wasserstein" if large else "ks" for c in numeric}
-    methods.update({c: "js" if large else "chi2" for c in categorical})
-    return methods
+def choose_methods(numeric: list[str], categorical: list[str] = ()) -> dict[str, str]:
+    """Default method per column, the same for tables of every size."""
+    return {**{c: "wasserstein" for c in numeric}, **{c: "js" for c in categorical}}
+
+
+def comparable(ref: DataFrame, cur: DataFrame, c: str) -> bool:
+    """Both snapshots have the column and their types can be united: both numeric, or equal."""
+    if c not in ref.columns or c not in cur.columns:
+        return False
+    a, b = ref.schema[c].dataType, cur.schema[c].dataType
+    return a == b or (isinstance(a, NumericType) and isinstance(b, NumericType))
+
 
+def _filled(df: DataFrame, cols: list[str]) -> dict[str, int]:
+    """Values per column."""
+    floating = (FloatType, DoubleType)
+    known = [_number(c) if isinstance(df.schema[c].dataType, floating) else F.col(c) for c in cols]
+    return dict(zip(cols, df.agg(*[F.count(x).alias(f"n{i}") for i, x in enumerate(known)]).first())) if cols else {}
 
-def column_drift(ref: DataFrame, cur: DataFrame, methods: dict[str, str], thresholds: dict | None = None) -> DataFrame:
-    """``(feature, method, score, threshold, drifted)``; one job per method, not per column."""
+
+def column_status(ref: DataFrame, cur: DataFrame, cols: list[str]) -> dict[str, str]:
+    """``ok``, ``no_reference``, ``no_current``, ``no_data``, ``type_changed`` or ``missing_column`` per column."""
+    usable = [c for c in cols if comparable(ref, cur, c)]
+    n_ref, n_cur = _filled(ref, usable), _filled(cur, usable)
+    out = {}
+    for c in cols:
+        if c not in usable:
+            out[c] = "type_changed" if c in ref.columns and c in cur.columns else "missing_column"
+        elif n_ref[c] and n_cur[c]:
+            out[c] = "ok"
+        else:
+            out[c] = "no_current" if n_ref[c] else "no_reference" if n_cur[c] else "no_data"
+    return out
+
+
+def column_drift(
+    ref: DataFrame, cur: DataFrame, methods: dict[str, str], thresholds: dict | None = None, bins: int = PSI_BINS
+) -> DataFrame:
+    """``(feature, method, score, threshold, drifted, status)`` of every asked column; one job per method.
+
+    Only columns with values on both sides are scored; see the module header for the others.
+    """
     limits = {**THRESHOLDS, **(thresholds or {})}
+    status = column_status(ref, cur, list(methods))
+    rows = [(c, m, float(limits[m]), status[c]) for c, m in methods.items()]
+    asked = ref.sparkSession.createDataFrame(rows, "feature string, method string, threshold double, status string")
     parts = []
     for method in dict.fromkeys(methods.values()):
-        cols = [c for c, m in methods.items() if m == method]
-        compute, column = _SCORES[method]
-        limit, score = F.lit(float(limits[method])), F.col(column)
-        drifted = score < limit if method in P_VALUE_METHODS else score >= limit
-        parts.append(
-            compute(ref, cur, cols).select(
-                "feature",
-                F.lit(method).alias("method"),
-                score.alias("score"),
-                limit.alias("threshold"),
-                F.coalesce(drifted, F.lit(False)).alias("drifted"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+        cols = [c for c, m in methods.items() if m == method and status[c] == "ok"]
+        if cols:
+            compute, column = _SCORES[method]
+            parts.append(compute(ref, cur, cols, bins).select("feature", F.col(column).cast("double").alias("score")))
+    if parts:
+        joined = asked.join(F.broadcast(reduce(DataFrame.unionByName, parts)), "feature", "left")  # one row per column
+    else:
+        joined = asked.withColumn("score", F.lit(None).cast("double"))
+    small = F.col("method").isin(*P_VALUE_METHODS)
+    crossed = F.when(small, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold"))
+    drifted = F.when(F.col("status") == "ok", F.coalesce(crossed, F.lit(False))).otherwise(F.col("status") != "no_data")
+    return joined.select("feature", "method", "score", "threshold", drifted.alias("drifted"), "status")
 
 
 def drift_summary(columns: DataFrame, share: float = DATASET_SHARE) -> DataFrame:

@@ -56,19 +56,23 @@ def roc_auc(df: DataFrame, y: str, score: str, rows_per_bucket: int = ROWS_PER_B
 
 
 def confusion(df: DataFrame, y: str, prediction: str, classes: list = (0, 1)) -> DataFrame:
-    """``(actual, predicted, n)`` with a row for every pair of the declared classes."""
-    cells = [(a, p) for a in classes for p in classes]
-    row = df.agg(
-        *[
-            F.count_if((F.col(y).cast("int") == a) & (F.col(prediction).cast("int") == p)).alias(f"c{i}")
-            for i, (a, p) in enumerate(cells)
-        ]
+    """``(actual, predicted, n)`` for every pair of the declared classes and those found in the data.
+
+    Rows without a label or prediction count nowhere.
+    """
+    pairs = (
+        df.where(F.col(y).isNotNull() & F.col(prediction).isNotNull())
+        .groupBy(F.col(y).cast("int").alias("actual"), F.col(prediction).cast("int").alias("predicted"))
+        .agg(F.count("*").alias("n"))
+    )
+    declared = F.array(*[F.lit(c) for c in classes]).cast("array<int>")
+    found = F.concat(F.collect_set("actual"), F.collect_set("predicted"), declared)
+    names = pairs.agg(F.array_distinct(found).alias("classes"))
+    cells = names.select(F.explode("classes").alias("actual"), "classes")
+    cells = cells.select("actual", F.explode("classes").alias("predicted"))
+    return cells.join(pairs, ["actual", "predicted"], "left").select(
+        "actual", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
     )
-    structs = [
-        F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted"), F.col(f"c{i}").alias("n"))
-        for i, (a, p) in enumerate(cells)
-    ]
-    return row.select(F.inline(F.array(*structs)))
 
 
 def by_class(df: DataFrame, y: str, prediction: str) -> DataFrame:

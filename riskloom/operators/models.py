@@ -55,17 +55,14 @@ ROWS_PER_PARTITION = 12_500
 def stable_layout(
     df: DataFrame, key: list[str], partitions: int | None = None, rows: int | None = None
 ) -> DataFrame:
-    """Fixed partitioning and order, so a seeded tree fit sees the same rows every time.
+    """Fixed placement by key hash and fixed order, so a seeded tree fit sees the same rows every time.
 
-    Without an explicit number, small tables get few partitions (each training
-    iteration is one job over all of them) and large ones at most
-    ``spark.sql.shuffle.partitions``. ``rows`` saves a count when known.
+    Neither the layout of the input nor a session setting moves a row. Without an explicit number there is a
+    partition for every ``ROWS_PER_PARTITION`` rows, without an upper end; ``rows`` saves a count when known.
     """
     if partitions is None:
-        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        n = df.count() if rows is None else rows
-        partitions = max(1, min(most, -(-n // ROWS_PER_PARTITION)))
-    return df.repartitionByRange(partitions, *key).sortWithinPartitions(*key)
+        partitions = max(1, -(-(df.count() if rows is None else rows) // ROWS_PER_PARTITION))
+    return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
 def _estimator(family: str, label: str, params: dict, seed: int):

@@ -26,9 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 ROWS_PER_BUCKET = 100_000
-EXACT_ROWS = 100_000
 SELECT_BUCKETS = 128
-MAX_BUCKETS = 10_000
 _SAMPLE_PER_BUCKET = 200
 
 
@@ -36,7 +34,6 @@ def bucket_cuts(
     df: DataFrame,
     cols: list[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
     n: int | None = None,
 ) -> dict[str, list[float]]:
     """Inner cut points per column; an empty list means one bucket is enough.
@@ -44,7 +41,7 @@ def bucket_cuts(
     ``n`` is the row count when the caller already knows it.
     """
     n = df.count() if n is None else n
-    buckets = min(max_buckets, math.ceil(n / rows_per_bucket))
+    buckets = math.ceil(n / rows_per_bucket)
     if buckets <= 1:
         return {c: [] for c in cols}
     fraction = min(1.0, _SAMPLE_PER_BUCKET * buckets / n)
@@ -129,7 +126,7 @@ def running_totals(counted: DataFrame, measures: list[str], bucketed: bool) -> D
     )
     if not bucketed:
         return inside
-    # At most (columns x MAX_BUCKETS) rows by construction, hence safe to order and broadcast.
+    # One row per column and bucket, a bucket being ROWS_PER_BUCKET rows.
     totals = counted.groupBy("feature", "bucket").agg(
         *[F.sum(m).alias(f"__t_{m}") for m in measures], F.min("value").alias("__first")
     )
@@ -184,7 +181,7 @@ def order_statistics(
     least ``SELECT_BUCKETS``). The driver sees bucket counts and the wanted
     values, never rows.
     """
-    per_bucket = n if n <= EXACT_ROWS else min(ROWS_PER_BUCKET, n // SELECT_BUCKETS)
+    per_bucket = n if n <= ROWS_PER_BUCKET else min(ROWS_PER_BUCKET, n // SELECT_BUCKETS)
     cuts = bucket_cuts(df, cols, max(per_bucket, 1), n=n)
     sizes: dict[str, list[tuple[int, int]]] = {c: [] for c in cols}
     for r in long_values(df, cols, cuts).groupBy("feature", "bucket").count().collect():
@@ -232,43 +229,30 @@ def _selected(df: DataFrame, cols: list[str], ps: list[float], n: int) -> dict[s
     }
 
 
-def _builtin(df: DataFrame, cols: list[str], ps: list[float], approx: bool) -> DataFrame:
-    grid = F.array(*[F.lit(float(p)) for p in ps])
-
-    def q(c):
-        value = F.col(c).cast("double")
-        return F.percentile_approx(value, grid, F.lit(10_000)) if approx else F.percentile(value, grid)
-
-    return df.agg(*[q(c).alias(f"q{i}") for i, c in enumerate(cols)])
+def _sketched(df: DataFrame, cols: list[str], ps: list[float]) -> dict[str, list]:
+    grid = F.array(*[F.lit(p) for p in ps])
+    numbers = [F.col(c).cast("double") for c in cols]
+    quantiles = [F.percentile_approx(F.when(~F.isnan(x), x), grid, F.lit(10_000)) for x in numbers]
+    row = df.agg(*[q.alias(f"q{i}") for i, q in enumerate(quantiles)]).first()
+    return {c: list(row[f"q{i}"] or [None] * len(ps)) for i, c in enumerate(cols)}
 
 
 def percentile_values(
-    df: DataFrame,
-    cols: list[str],
-    ps: list[float],
-    approx: bool = False,
-    exact_rows: int = EXACT_ROWS,
-    n: int | None = None,
+    df: DataFrame, cols: list[str], ps: list[float], approx: bool = False, n: int | None = None
 ) -> dict[str, list]:
     """Linearly interpolated percentiles as driver numbers (columns x percentiles of them).
 
-    The built-in exact aggregate keeps every distinct value in one task, so it is
-    used only for tables counted to be at most ``exact_rows``; larger ones are
-    resolved exactly by bucket selection. ``approx=True`` is one sketch pass.
+    Exact by bucket selection at every size; the built-in exact aggregate would keep
+    every distinct value in one task. ``approx=True`` is one sketch pass. NaN is no value.
     """
     cols, ps = list(cols), [float(p) for p in ps]
-    if not approx:
-        n = df.count() if n is None else n
-        if n > exact_rows:
-            return _selected(df, cols, ps, n)
-    row = _builtin(df, cols, ps, approx).first()
-    return {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(ps) for i, c in enumerate(cols)}
+    if approx:
+        return _sketched(df, cols, ps)
+    return _selected(df, cols, ps, df.count() if n is None else n)
 
 
-def percentiles(
-    df: DataFrame, cols: list[str], ps: list[float], approx: bool = False, exact_rows: int = EXACT_ROWS
-) -> DataFrame:
+def percentiles(df: DataFrame, cols: list[str], ps: list[float], approx: bool = False) -> DataFrame:
     """``(feature, p, value)`` rows."""
-    values = percentile_values(df, cols, ps, approx, exact_rows)
+    values = percentile_values(df, cols, ps, approx)
     rows = [(c, float(p), v) for c, vs in values.items() for p, v in zip(ps, vs)]
     return df.sparkSession.createDataFrame(rows, "feature string, p double, value double")

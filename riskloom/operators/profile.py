@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from riskloom.functions import safe_divide
 
@@ -112,24 +113,32 @@ def describe(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
-    """min, max and distinct count per column.
+    """min and max of numeric columns, distinct count of any column.
 
-    Exact distinct counts go through one grouped aggregation over
-    ``(feature, value)`` so a hot value collapses before the shuffle;
-    ``approx=True`` uses one HyperLogLog pass instead.
+    Distinct values are told apart by their text, which is exact for every atomic type;
+    one grouped aggregation over ``(feature, value)`` lets a hot value collapse before
+    the shuffle. ``approx=True`` uses one HyperLogLog pass instead.
     """
-    measures = {
-        "min": lambda c: F.min(F.col(c).cast("double")),
-        "max": lambda c: F.max(F.col(c).cast("double")),
-    }
+    numeric = {c for c in cols if isinstance(df.schema[c].dataType, NumericType)}
+
+    def number(c: str) -> Column:
+        return F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
+
     if approx:
+        measures = {"min": lambda c: F.min(number(c)), "max": lambda c: F.max(number(c))}
         return per_column(df, cols, {**measures, "n_unique": lambda c: F.approx_count_distinct(c)})
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
-    values = df.select(F.inline(cells)).groupBy("feature", "value").agg(F.lit(1).alias("one"))
-    unique = values.groupBy("feature").agg(
-        F.min("value").alias("min"), F.max("value").alias("max"), F.count("value").alias("n_unique")
+
+    def text(c: str) -> Column:
+        zero = isinstance(df.schema[c].dataType, (FloatType, DoubleType))
+        return (F.col(c) + F.lit(0.0) if zero else F.col(c)).cast("string")  # no second zero
+
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("feature"), text(c).alias("value"), number(c).alias("number")) for c in cols]
+    )
+    values = df.select(F.inline(cells)).groupBy("feature", "value").agg(F.first("number").alias("number"))
+    return values.groupBy("feature").agg(
+        F.min("number").alias("min"), F.max("number").alias("max"), F.count("value").alias("n_unique")
     )
-    return unique
 
 
 def imbalance(df: DataFrame, label: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 The reference behaviour gives no pass rule for the counting tests; ours is
 "current <= reference" unless ``SuiteConfig.fixed_limits`` names a bound. The
-drift test passes while fewer than a third of the columns drift.
+drift test passes while fewer than a third of the columns drift. Types are compared
+first: a column whose types cannot be united fails that test, counts as drifted and
+is left out of the statistics of the others.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import SuiteConfig
-from riskloom.operators.drift import psi
+from riskloom.operators.drift import column_drift, comparable
 from riskloom.operators.joins import tag_snapshots
 
 RESULT_SCHEMA = "position int, test string, feature string, status string, value double, lower double, upper double"
@@ -56,7 +58,7 @@ def run_suite(
     ref: DataFrame, cur: DataFrame, suite: SuiteConfig, cols: list[str], numeric: list[str]
 ) -> DataFrame:
     """Every test of the suite as a row; a test whose column is absent has status ERROR."""
-    shared = [c for c in cols if c in ref.columns and c in cur.columns]
+    shared = [c for c in cols if comparable(ref, cur, c)]
     used = [c for c in numeric if c in shared]
     stats = snapshot_stats(ref, cur, shared, used)
     copies = duplicate_counts(ref, cur, shared)
@@ -94,9 +96,9 @@ def run_suite(
             continue
         reach = suite.sigmas * (std or 0.0)
         add("mean_in_sigmas", name, abs(mean - centre) <= reach, mean, centre - reach, centre + reach)
-    ranges = {name: (r.get(f"min_{name}"), r.get(f"max_{name}")) for name in used}
-    drifted = psi(ref, cur, used, suite.psi_bins, ranges=ranges).where(F.col("psi") >= suite.psi_threshold).count()
-    allowed = suite.fixed_limits.get("drifted_columns", max(0, len(used) // 3 - 1))
+    scores = column_drift(ref, cur, {c: "psi" for c in numeric}, {"psi": suite.psi_threshold}, suite.psi_bins)
+    drifted = scores.where("drifted").count()
+    allowed = suite.fixed_limits.get("drifted_columns", max(0, len(numeric) // 3 - 1))
     add("drifted_columns", "", drifted <= allowed, drifted, None, allowed)
     return ref.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
 

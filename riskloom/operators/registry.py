@@ -73,16 +73,34 @@ def register(
     return last + 1
 
 
+def _best_version(spark: SparkSession, root: str, name: str):
+    path = f"{root}/model_versions"
+    if not table_exists(spark, path):
+        return None
+    return latest_version(spark.read.schema(VERSIONS).parquet(path).where(F.col("name") == name)).first()
+
+
 def load_champion(spark: SparkSession, root: str, name: str, fallback: str | None = None):
     """The preferred registered model, or the one at ``fallback`` when none is registered."""
     from riskloom.operators.models import load_model
 
-    path = f"{root}/model_versions"
-    if table_exists(spark, path):
-        versions = spark.read.schema(VERSIONS).parquet(path).where(F.col("name") == name)
-        best = latest_version(versions).first()
-        if best:
-            return load_model(best["model_path"]), str(best["version"])
+    best = _best_version(spark, root, name)
+    if best:
+        return load_model(best["model_path"]), str(best["version"])
     if fallback is None:
         raise FileNotFoundError(f"no registered model named {name} and no fallback given")
     return load_model(fallback), "fallback"
+
+
+def load_scorer(spark: SparkSession, root: str, name: str, fallback: str | None = None):
+    """(preprocessing, model, version): all a new session needs to score raw rows.
+
+    The training job saves both parts of a version in one folder, ``model`` beside ``prep``;
+    ``fallback`` is such a model path.
+    """
+    from riskloom.operators.prep import PrepModel
+
+    best = _best_version(spark, root, name)
+    path = best["model_path"] if best else fallback
+    model, version = load_champion(spark, root, name, fallback)
+    return PrepModel.load(spark, f"{path.rstrip('/').rpartition('/')[0]}/prep"), model, version

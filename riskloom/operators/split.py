@@ -16,8 +16,15 @@ MAX_PREFIX = 6
 
 
 def split_hash(seed: int, key: list[str]) -> Column:
-    """md5 of the seed and the key: the same on every engine, run and partitioning."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+    """md5 of the seed and the key: the same on every engine, run and partitioning.
+
+    Every part is written with its length and a NULL with none, so different keys never read alike.
+    """
+    parts = [F.lit(f"{seed};")]
+    for k in key:
+        text = F.col(k).cast("string")
+        parts.append(F.when(text.isNull(), F.lit("n;")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text, F.lit(";"))))
+    return F.md5(F.concat(*parts))
 
 
 def mark_test(

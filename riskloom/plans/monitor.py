@@ -61,7 +61,7 @@ def monitor(ref: DataFrame, cur: DataFrame, cfg: MonitorConfig, run_id: str, run
     numbers: dict[str, object] = {}
 
     def drift():
-        methods = cfg.drift_methods or choose_methods(ref, list(roles.numeric), list(roles.categorical))
+        methods = cfg.drift_methods or choose_methods(list(roles.numeric), list(roles.categorical))
         frames["drift"] = column_drift(ref, cur, methods).persist()
         frames["missing"] = missing_compare(ref, cur, compared)
         frames["correlations"] = correlations(cur, list(roles.numeric))

@@ -1,6 +1,7 @@
 """The scoring and monitoring jobs as Structured Streaming."""
 
 from riskloom.streaming.operators import (
+    active_alerts,
     alert_stream,
     windowed_performance,
     windowed_psi,
@@ -10,6 +11,7 @@ from riskloom.streaming.sinks import latest_windows, run_windows, stream_validat
 from riskloom.streaming.source import event_time, read_stream
 
 __all__ = [
+    "active_alerts",
     "alert_stream",
     "event_time",
     "latest_windows",

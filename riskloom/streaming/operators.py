@@ -50,18 +50,21 @@ def windowed_performance(
 def reference_shares(
     ref: DataFrame, cols: list[str], bins: int = 10
 ) -> dict[str, tuple[tuple[float, float], list[float]]]:
-    """Range and bin shares per column: a few numbers that stay fixed while the stream runs."""
+    """Range and bin shares per column: a few numbers that stay fixed while the stream runs.
+
+    The first and the last share are those below and above the range.
+    """
     ranges = value_ranges(ref, cols)
     row = ref.agg(
         *[
-            F.count_if(equal_width_bin(c, *ranges[c], bins) == b).alias(f"n{i}_{b}")
+            F.count_if(equal_width_bin(c, *ranges[c], bins) == b - 1).alias(f"n{i}_{b}")
             for i, c in enumerate(cols)
-            for b in range(bins)
+            for b in range(bins + 2)
         ]
     ).first()
     out = {}
     for i, c in enumerate(cols):
-        counts = [row[f"n{i}_{b}"] for b in range(bins)]
+        counts = [row[f"n{i}_{b}"] for b in range(bins + 2)]
         total = sum(counts) or 1
         out[c] = (ranges[c], [n / total for n in counts])
     return out
@@ -83,8 +86,8 @@ def windowed_psi(
     """
     counts: list[Column] = []
     for i, (c, ((lo, hi), shares)) in enumerate(reference.items()):
-        where = equal_width_bin(c, lo, hi, len(shares))
-        counts += [F.count_if(where == b).alias(f"n{i}_{b}") for b in range(len(shares))]
+        where = equal_width_bin(c, lo, hi, len(shares) - 2)
+        counts += [F.count_if(where == b - 1).alias(f"n{i}_{b}") for b in range(len(shares))]
     agg = _windows(df, ts, width, watermark, keys).agg(*counts)
     scores = []
     for i, (c, (_, shares)) in enumerate(reference.items()):
@@ -100,10 +103,11 @@ def windowed_psi(
 def alert_stream(
     windows: DataFrame, thresholds: MonitorThresholds = MonitorThresholds(), psi_threshold: float = 0.2
 ) -> DataFrame:
-    """Windows that need attention, with status and messages; projection and filter only.
+    """Every window with its status and messages; a projection, so a window that recovers says so.
 
     Uses whichever numbers the windows carry: ``accuracy`` below its limit is
-    critical, a share of drifted ``psi_*`` columns above its limit is an alert.
+    critical, a share of drifted ``psi_*`` columns above its limit is an alert, all else is
+    healthy. ``active_alerts`` picks the windows that need attention when the table is read.
     """
     no = F.lit(False)
     scores = [c for c in windows.columns if c.startswith("psi_")]
@@ -117,9 +121,14 @@ def alert_stream(
         F.when(drifted, F.lit("Data drift detected")),
         F.when(weak, F.lit("Model performance below threshold")),
     ]
-    return windows.where(drifted | weak).withColumns(
+    return windows.withColumns(
         {
-            "monitoring_status": F.when(weak, F.lit("critical")).otherwise(F.lit("alert")),
+            "monitoring_status": F.when(weak, F.lit("critical")).when(drifted, F.lit("alert")).otherwise(F.lit("healthy")),
             "alerts": F.array_compact(F.array(*messages)),
         }
     )
+
+
+def active_alerts(windows: DataFrame) -> DataFrame:
+    """Windows whose latest status is not healthy."""
+    return windows.where(F.col("monitoring_status") != "healthy")

@@ -60,9 +60,13 @@ def stream_validate(
     """Split each micro-batch into valid and quarantined rows, one folder per micro-batch."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        valid, rejected = quarantine(batch, bounds, null_policy)
-        valid.write.mode("overwrite").parquet(f"{good}/{EPOCH}={epoch}")
-        rejected.write.mode("overwrite").parquet(f"{bad}/{EPOCH}={epoch}")
+        batch = batch.persist()
+        try:
+            valid, rejected = quarantine(batch, bounds, null_policy)
+            valid.write.mode("overwrite").parquet(f"{good}/{EPOCH}={epoch}")
+            rejected.write.mode("overwrite").parquet(f"{bad}/{EPOCH}={epoch}")
+        finally:
+            batch.unpersist()
 
     return _run(stream, write, checkpoint, "append", wait)
 

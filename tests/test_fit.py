@@ -88,9 +88,9 @@ def test_selection_equals_numpy_with_hot_value(spark, monkeypatch):
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.lognormal(0, 3, 2000), np.full(1000, 1.25)])
     df = spark.createDataFrame([(float(v), float(-v)) for v in x], "x double, y double").repartition(5)
-    monkeypatch.setattr(O, "EXACT_ROWS", 100)
+    monkeypatch.setattr(O, "ROWS_PER_BUCKET", 100)
     ps = [0.0, 0.1, 0.333, 0.5, 0.65, 0.999, 1.0]
-    got = O.percentile_values(df, ["x", "y"], ps, exact_rows=100)
+    got = O.percentile_values(df, ["x", "y"], ps)
     assert got["x"] == pytest.approx(list(np.percentile(x, [p * 100 for p in ps])))
     assert got["y"] == pytest.approx(list(np.percentile(-x, [p * 100 for p in ps])))
 
@@ -101,6 +101,21 @@ def test_percentiles_of_empty_and_single(spark):
     assert O.percentile_values(df.where("x > 9"), ["x"], [0.5])["x"] == [None]
 
 
+def test_nan_is_no_value_at_any_size(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i),) for i in range(9)] + [(float("nan"),)] * 4, "x double")
+    want = [4.0, 7.92]
+    assert O.percentile_values(df, ["x"], [0.5, 0.99])["x"] == pytest.approx(want)
+    monkeypatch.setattr(O, "ROWS_PER_BUCKET", 2)
+    assert O.percentile_values(df, ["x"], [0.5, 0.99])["x"] == pytest.approx(want)
+    assert O.percentile_values(df, ["x"], [0.5], approx=True)["x"] == [4.0]
+
+
+def test_split_keys_with_nulls_differ(spark):
+    rows = [("a", None, "b", 0), ("a", "b", None, 0), (None, "a", "b", 0), ("ab", None, None, 0), ("a;1:b", None, None, 0)]
+    df = spark.createDataFrame(rows * 1, "p string, q string, r string, y int")
+    assert mark_test(df, "y", 0.2, 1, ["p", "q", "r"]).where("is_test").count() == 1
+
+
 @pytest.mark.parametrize("prefix", [None, 1, 3])
 def test_split_is_exact_and_layout_free(spark, sf, prefix):
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price"]

@@ -6,7 +6,7 @@ from riskloom.functions import cut_column
 from riskloom.operators import models as L
 from riskloom.operators.prep import PrepModel
 from riskloom.operators.quality import run_suite, suite_summary
-from riskloom.operators.registry import load_champion, run_leaderboard
+from riskloom.operators.registry import load_champion, load_scorer, run_leaderboard
 from riskloom.plans import MonitorConfig, monitor, predict, score_table, train_job
 from riskloom.plans.monitor import save_monitoring
 from riskloom.plans.train import GateError
@@ -59,6 +59,8 @@ def test_gate_blocks_registration(spark, patients, tmp_path):
 def test_prediction_job(spark, patients, trained, tmp_path):
     root, result = trained
     model, version = load_champion(spark, root, "champion")
+    prep, _, same = load_scorer(spark, root, "champion")
+    assert same == version and prep.medians == result.prep.medians and prep.feature_names == result.prep.feature_names
     assert version == "1"
     out = predict(patients, result.prep, model, str(tmp_path / "p"), RUN_TS, version)
     rows = out.predictions

@@ -131,10 +131,51 @@ def test_proportion_test(spark):
     assert D.z_test(ref, cur, ["x"]).first()["p_value"] < 0.05
 
 
-def test_methods_follow_reference_size(spark, pair):
-    ref, _, _, _ = pair
-    assert D.choose_methods(ref, ["g"], ["c"]) == {"g": "ks", "c": "chi2"}
-    assert D.choose_methods(spark.range(1001), ["id"], ["c"]) == {"id": "wasserstein", "c": "js"}
+def test_methods_do_not_follow_size():
+    assert D.choose_methods(["g"], ["c"]) == {"g": "wasserstein", "c": "js"}
+
+
+@pytest.mark.parametrize("method", ["psi", "ks", "wasserstein", "psi_cat", "js", "chi2", "z"])
+def test_every_method_has_one_rule_for_empty_sides(spark, method):
+    schema = "gone double, fresh double, nothing double, same double"
+    ref = spark.createDataFrame([(float(i % 2), None, None, float(i % 2)) for i in range(50)], schema)
+    cur = spark.createDataFrame([(None, float(i % 2), None, float(i % 2)) for i in range(50)], schema)
+    nan = cur.withColumn("gone", F.lit(float("nan")))
+    for now in (cur, nan) if method in ("psi", "ks", "wasserstein") else (cur,):
+        out = D.column_drift(ref, now, {c: method for c in ("gone", "fresh", "nothing", "same", "absent")})
+        got = {r["feature"]: (r["score"] is None, r["drifted"], r["status"]) for r in out.collect()}
+        assert got == {
+            "gone": (True, True, "no_current"),
+            "fresh": (True, True, "no_reference"),
+            "nothing": (True, False, "no_data"),
+            "same": (False, False, "ok"),
+            "absent": (True, True, "missing_column"),
+        }
+
+
+def test_scores_alone_are_null_without_values(spark):
+    ref = spark.createDataFrame([(1.0, "a")] * 5, "x double, c string")
+    none = ref.select(F.lit(None).cast("double").alias("x"), F.lit(None).cast("string").alias("c"))
+    assert D.psi(ref, none, ["x"]).first()["psi"] is None
+    assert tuple(D.ks(ref, none, ["x"]).first())[1:] == (None, None)
+    assert D.wasserstein(ref, none, ["x"]).first()["wasserstein"] is None
+    assert tuple(D.js_divergence(ref, none, ["c"]).first())[1:] == (None, None)
+    assert D.chi2_stat(ref, none, ["c"]).first()["chi2"] is None
+    assert D.prop_z(ref, none, {"x": F.col("x") == 1}).first()["z"] is None
+
+
+def test_constant_reference_drifts(spark):
+    ref = spark.createDataFrame([(5.0,)] * 20, "x double")
+    assert D.psi(ref, ref.select((F.col("x") + 95).alias("x")), ["x"]).first()["psi"] > 10
+    assert D.psi(ref, ref, ["x"]).first()["psi"] == 0
+
+
+def test_same_shift_same_verdict_at_every_size(spark):
+    for n in (1000, 1100):
+        ref = spark.range(n).select((F.col("id") % 97).cast("double").alias("x"))
+        cur = ref.select((F.col("x") + 4.5).alias("x"))
+        row = D.column_drift(ref, cur, D.choose_methods(["x"])).first()
+        assert (row["method"], row["drifted"]) == ("wasserstein", True)
 
 
 def test_spearman_against_pandas(pair):

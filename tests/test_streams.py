@@ -84,11 +84,27 @@ def test_stream_quarantine_splits_all_rows(spark, tmp_path):
 
 def test_alerts_are_a_projection(spark):
     df = spark.createDataFrame([(0.9,), (0.74,)], "accuracy double")
-    rows = W.alert_stream(df).collect()
+    rows = W.active_alerts(W.alert_stream(df)).collect()
     assert [(r["accuracy"], r["monitoring_status"]) for r in rows] == [(0.74, "critical")]
-    both = spark.createDataFrame([(0.9, 0.1), (0.9, 0.3), (0.5, 0.3)], "accuracy double, psi_x double")
+    both = spark.createDataFrame([(0.9, 0.1), (0.91, 0.3), (0.5, 0.3)], "accuracy double, psi_x double")
     rows = W.alert_stream(both).orderBy("accuracy").collect()
-    assert [(r["monitoring_status"], len(r["alerts"])) for r in rows] == [("critical", 2), ("alert", 1)]
+    assert [(r["monitoring_status"], len(r["alerts"])) for r in rows] == [("critical", 2), ("healthy", 0), ("alert", 1)]
+
+
+def test_alerts_retract_when_a_window_recovers(spark, tmp_path):
+    source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+
+    def run(rows):
+        feed(spark, source, rows)
+        frame = read_stream(spark, source, SCHEMA)
+        windows = W.windowed_performance(frame, "ts", "label", "prediction", watermark="10 days")
+        run_windows(W.alert_stream(windows), out, state)
+        return W.active_alerts(latest_windows(spark, out, ["window_start"])).count()
+
+    wrong = [("2024-01-01 01:00:00", "a", 1.0, 0, 1)]
+    right = [("2024-01-01 01:30:00", "a", 1.0, 1, 1)] * 19
+    assert run(wrong) == 1
+    assert run(right) == 0
 
 
 class FakeSession:
