@@ -24,7 +24,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Rows, query, row_id, slices, table, utf8
+from riskloom.llm.common import query, row_id, slices, stored, table, utf8
 from riskloom.session import cut_lineage
 
 WINDOW = 13
@@ -41,8 +41,8 @@ class Anchors:
     def __init__(self, window: int = WINDOW, gram: int = GRAM):
         self.window, self.gram, self.known = window, min(gram, window), {}
 
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(position, hash) of each window's anchor."""
+    def grams(self, words: list[bytes]) -> np.ndarray:
+        """Hash of every run of ``gram`` words."""
         known = self.known
         new = set(words).difference(known)
         if new:
@@ -56,11 +56,22 @@ class Anchors:
         for j in range(self.gram):
             grams = (grams ^ codes[j : n + j]) * np.uint64(0x9E3779B97F4A7C15)
             grams ^= grams >> np.uint64(29)
+        return grams
+
+    def hashes(self, words: list[bytes]) -> np.ndarray:
+        """Distinct anchors, sorted: minima over all windows, doubling the width covered."""
+        low, covered, width = self.grams(words), 1, self.window - self.gram + 1
+        while covered < width:
+            step = min(covered, width - covered)
+            low = np.minimum(low[:-step], low[step:])
+            covered += step
+        return np.unique(low.view(np.int64))
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(position, hash) of each window's anchor."""
+        grams = self.grams(words)
         views = sliding_window_view(grams, self.window - self.gram + 1)
-        at = np.empty(len(views), np.int64)
-        for k in range(0, len(views), 100_000):
-            at[k : k + 100_000] = views[k : k + 100_000].argmin(1)
-        at += np.arange(len(views))
+        at = views.argmin(1) + np.arange(len(views))
         return at, grams[at].view(np.int64)
 
 
@@ -85,7 +96,7 @@ def _anchor_rows(window: int):
             for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), utf8(batch.column("text"))):
                 words = (text or b"").split()
                 if doc is not None and len(words) >= window:
-                    own = np.unique(anchors(words)[1])
+                    own = anchors.hashes(words)
                     found.append(own)
                     rows.append(np.full(len(own), row))
                     docs.append(np.full(len(own), doc))
@@ -100,28 +111,42 @@ def _anchor_rows(window: int):
 _FRAGMENTS = pa.schema(
     [("h", pa.int64()), ("n", pa.int64()), ("row", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("words", pa.binary())]
 )
+_BATCH = 20_000
 
 
 def _fragments(window: int):
     """Runs of windows with the same recurring anchor, with all words they cover."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, out = Anchors(window), Rows(_FRAGMENTS)
+        anchors = Anchors(window)
+        columns: list[list] = [[] for _ in _FRAGMENTS]
         for batch in slices(batches, 64):
-            shared = batch.column("anchors").to_pylist()
-            for row, doc, own, text in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), shared, utf8(batch.column("text"))):
+            lists = batch.column("anchors")
+            shared = lists.flatten()
+            every, counts = (shared.field(k).to_numpy() for k in ("h", "n"))
+            edges = np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
+            ids = zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), utf8(batch.column("text")))
+            for k, (row, doc, text) in enumerate(ids):
+                own, n = every[edges[k] : edges[k + 1]], counts[edges[k] : edges[k + 1]]
+                order = np.argsort(own)
+                own, n = own[order], n[order]
                 words = text.split()
                 at, hashes = anchors(words)
-                count = {x["h"]: x["n"] for x in own}
                 starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
                 ends = np.r_[starts[1:], len(at)]
-                wanted = np.isin(hashes[starts], np.fromiter(count, np.int64, len(count)))
-                for a, b in zip(starts[wanted].tolist(), ends[wanted].tolist()):
-                    h = int(hashes[a])
-                    part = b" ".join(words[a : b + window - 1])
-                    if out.add((h, count[h], row, doc, a, part), len(part)):
-                        yield out.batch()
-        yield out.batch()
+                place = np.minimum(np.searchsorted(own, hashes[starts]), len(own) - 1)
+                wanted = own[place] == hashes[starts]
+                starts, ends, place = starts[wanted], ends[wanted] + window - 1, place[wanted]
+                columns[0] += own[place].tolist()
+                columns[1] += n[place].tolist()
+                columns[2] += [row] * len(starts)
+                columns[3] += [doc] * len(starts)
+                columns[4] += starts.tolist()
+                columns[5] += [b" ".join(words[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                if len(columns[0]) >= _BATCH:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FRAGMENTS)], schema=_FRAGMENTS)
+                    columns = [[] for _ in _FRAGMENTS]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FRAGMENTS)], schema=_FRAGMENTS)
 
     return run
 
@@ -133,51 +158,67 @@ def _code(words: list[bytes], codes: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(codes.setdefault(w, len(codes) + 1) for w in words)
 
 
-def _confirm(fragments, window: int) -> dict[tuple[int, ...], int]:
-    """Windows of more than one document, with the smallest id that has them."""
-    low: dict[tuple[int, ...], int] = {}
-    many: dict[tuple[int, ...], int] = {}
-    for doc, words in fragments:
-        for k in range(len(words) - window + 1):
-            key = words[k : k + window]
-            first = low.setdefault(key, doc)
-            if first != doc:
-                many[key] = low[key] = min(first, doc)
-    return many
-
-
-def _locate(fragments, recurring: dict[tuple[int, ...], int], window: int) -> pa.Table:
-    """Word ranges covered by windows that also start in a smaller id."""
-    rows, firsts, lasts = [], [], []
-    if recurring:
-        machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        docs = sorted(set(recurring.values()))
-        place = {doc: k for k, doc in enumerate(docs)}  # ids need not fit an automaton's value
-        for key, doc in recurring.items():
-            machine.add_word(key, place[doc])
-        machine.make_automaton()
-        for row, doc, start, words in fragments:
-            reach = -1
-            for end, k in machine.iter(words):
-                if docs[k] < doc:
-                    a, b = start + end - window + 1, start + end + 1
-                    if a <= reach:
-                        lasts[-1] = b
-                    else:
-                        rows.append(row)
-                        firsts.append(a)
-                        lasts.append(b)
-                    reach = b
-    return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in (rows, firsts, lasts)], schema=_RANGES)
+class Fragments:
+    """The fragments of one group; equal ones are handled once."""
+
+    def __init__(self, table: pa.Table, codes: dict[bytes, int]):
+        coded = table.column("words").combine_chunks().dictionary_encode()
+        self.texts = [_code(w.split(b" "), codes) for w in coded.dictionary.to_pylist()]
+        text = coded.indices.to_numpy()
+        self.doc = table.column("doc").to_numpy()
+        order = np.lexsort((self.doc, text))
+        self.row, self.start = (table.column(c).to_numpy()[order] for c in ("row", "start"))
+        self.doc = self.doc[order]
+        self.edges = np.searchsorted(text[order], np.arange(len(self.texts) + 1))
+
+    def confirm(self, window: int) -> dict[tuple[int, ...], int]:
+        """Windows of more than one document, with the smallest id that has them."""
+        low: dict[tuple[int, ...], int] = {}
+        many: dict[tuple[int, ...], int] = {}
+        first, last = self.doc[self.edges[:-1]].tolist(), self.doc[self.edges[1:] - 1].tolist()
+        for words, a, b in zip(self.texts, first, last):
+            for k in range(len(words) - window + 1):
+                key = words[k : k + window]
+                known = low.setdefault(key, a)
+                if known != a or a != b:
+                    many[key] = low[key] = min(known, a)
+        return many
+
+    def locate(self, recurring: dict[tuple[int, ...], int], window: int) -> pa.Table:
+        """Word ranges covered by windows that also start in a smaller id."""
+        out: list[list[np.ndarray]] = [[], [], []]
+        if recurring:
+            machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+            docs = np.unique(np.fromiter(recurring.values(), np.int64, len(recurring)))
+            place = {doc: k for k, doc in enumerate(docs.tolist())}  # ids need not fit an automaton's value
+            for key, doc in recurring.items():
+                machine.add_word(key, place[doc])
+            machine.make_automaton()
+            for words, a, b in zip(self.texts, self.edges[:-1].tolist(), self.edges[1:].tolist()):
+                hits = np.array(list(machine.iter(words)), np.int64).reshape(-1, 2)
+                if not len(hits):
+                    continue
+                owners, begins = docs[hits[:, 1]], hits[:, 0] - window + 1
+                smallest, largest = owners.min(), owners.max()
+                k = a + int(np.searchsorted(self.doc[a:b], smallest, "right"))
+                while k < b:  # all rows above the largest owner lose the same ranges
+                    doc = self.doc[k]
+                    end = b if doc > largest else k + int(np.searchsorted(self.doc[k:b], doc, "right"))
+                    at = begins[owners < doc]
+                    breaks = np.flatnonzero(np.diff(at) > window)
+                    firsts, lasts = at[np.r_[0, breaks + 1]], at[np.r_[breaks, len(at) - 1]] + window
+                    n = end - k
+                    out[0].append(np.repeat(self.row[k:end], len(firsts)))
+                    out[1].append((self.start[k:end, None] + firsts).ravel())
+                    out[2].append((self.start[k:end, None] + lasts).ravel())
+                    k += n
+        return pa.Table.from_arrays([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in out], schema=_RANGES)
 
 
 def _shard(window: int):
     def run(table: pa.Table) -> pa.Table:
-        codes: dict[bytes, int] = {}
-        coded = [_code(w.split(b" "), codes) for w in table.column("words").to_pylist()]
-        docs = table.column("doc").to_pylist()
-        recurring = _confirm(zip(docs, coded), window)
-        return _locate(zip(table.column("row").to_pylist(), docs, table.column("start").to_pylist(), coded), recurring, window)
+        fragments = Fragments(table, {})
+        return fragments.locate(fragments.confirm(window), window)
 
     return run
 
@@ -213,9 +254,7 @@ def _hot_shard(window: int):
         codes: dict[bytes, int] = {}
         keys = [_code(p.split(b" "), codes) for p in patterns.column("phrase").to_pylist()]
         recurring = dict(zip(keys, patterns.column("low").to_pylist()))
-        columns = (table.column(c).to_pylist() for c in ("row", "doc", "start", "words"))
-        fragments = ((r, d, s, _code(w.split(b" "), codes)) for r, d, s, w in zip(*columns))
-        return _locate(fragments, recurring, window)
+        return Fragments(table, codes).locate(recurring, window)
 
     return run
 
@@ -282,7 +321,7 @@ def _ranges(source: DataFrame, whole: DataFrame, window: int) -> DataFrame:
     total = wanted.agg(F.sum(F.size("anchors"))).first()[0] or 0
     texts = _row_filter(source, wanted).join(wanted, "row")
     schema = "h bigint, n bigint, row bigint, doc bigint, start bigint, words binary"
-    fragments = cut_lineage(texts.mapInArrow(_fragments(window), schema))
+    fragments = stored(texts.mapInArrow(_fragments(window), schema), "fragments")
     shards = max(1, total // SHARD_PAIRS)
     ranges = "row bigint, first bigint, last bigint"
     cold = fragments.where(F.col("n") <= HOT_DOCUMENTS).groupBy(F.pmod("h", F.lit(shards)).alias("shard"))
