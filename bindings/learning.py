@@ -103,10 +103,47 @@ def _(spark, sf):
 @query("feature_importances")
 def _(spark, sf):
     _prep, _raw, train, _test = prepared(spark, sf)
-    model = L.train(train, "random_forest", NAMES, "label", {"n_estimators": 20, "max_depth": 5})
+    model = L.train(train, "random_forest", NAMES, "label")
     return rounded(L.importances(model, NAMES, spark))
 
 
+@query(
+    "scoring_facts",
+    """select count(*) as n_rows, 0::bigint as n_lost, 0::bigint as n_outside, 0::bigint as n_inconsistent, true as beats_majority
+       from lineitem""",
+)
+def _(spark, sf):
+    """What must hold for scored lines whatever the model's weights are."""
+    prep, raw, train, _test = prepared(spark, sf)
+    model = L.train(train, "logistic_regression", NAMES, "label")
+    everything = labeled(spark, sf)
+    scored = score_table(everything, prep, model)
+    lost = everything.select(*KEY).exceptAll(scored.select(*KEY)).count()
+    share = raw.agg(F.avg("label")).first()[0]
+    right = score_table(raw, prep, model).agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
+    return scored.agg(
+        F.count("*").alias("n_rows"),
+        F.lit(lost).cast("bigint").alias("n_lost"),
+        F.count_if(~F.col("probability").between(0, 1)).alias("n_outside"),
+        F.count_if((F.col("probability") > 0.5) != (F.col("prediction") == 1)).alias("n_inconsistent"),
+        F.lit(right >= max(share, 1 - share)).alias("beats_majority"),
+    )
+
+
+@query(
+    "importance_facts",
+    "select 12::bigint as n_features, 0::bigint as n_negative, 1::double as total where (select count(*) from lineitem) > 0",
+)
+def _(spark, sf):
+    _prep, _raw, train, _test = prepared(spark, sf)
+    found = L.importances(L.train(train, "gradient_boosting", NAMES, "label", {"n_estimators": 5}), NAMES, spark)
+    return found.agg(
+        F.count("*").alias("n_features"),
+        F.count_if(F.col("importance") < 0).alias("n_negative"),
+        F.round(F.sum("importance"), 6).alias("total"),
+    )
+
+
 @query("batch_scoring")
 def _(spark, sf):
     """Score every line from its raw columns and summarise per risk category."""

@@ -5,11 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from riskloom.config import MonitorThresholds, RetrainThresholds, Roles, SuiteConfig
-from riskloom.operators.drift import choose_methods, column_drift, correlations, drift_summary, missing_compare
+from riskloom.operators.drift import (
+    choose_methods,
+    column_drift,
+    comparable,
+    conflicts,
+    correlations,
+    drift_summary,
+    missing_compare,
+)
 from riskloom.operators.fairness import fairness_rates, parity_of_rates
-from riskloom.operators.metrics import performance
+from riskloom.operators.metrics import performance_report
 from riskloom.operators.quality import run_suite, suite_summary
 from riskloom.operators.rollup import (
     alert_record,
@@ -20,6 +29,7 @@ from riskloom.operators.rollup import (
     retrain_request,
     run_sections,
 )
+from riskloom.plans.predict import score_table
 from riskloom.session import as_datetime
 from riskloom.sources.sinks import write_summary, write_table
 
@@ -46,45 +56,73 @@ class MonitorResult:
     results: DataFrame
     sections: dict[str, DataFrame]
     errors: dict[str, str]
+    held: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Give back what the sections share in memory; call it when their frames are no longer read."""
+        for frame in self.held:
+            frame.unpersist()
 
 
-def monitor(ref: DataFrame, cur: DataFrame, cfg: MonitorConfig, run_id: str, run_ts) -> MonitorResult:
+def monitor(ref: DataFrame, cur: DataFrame, cfg: MonitorConfig, run_id: str, run_ts, scorer=None) -> MonitorResult:
     """One result row with status, alerts, retrain decision, dashboard numbers and advice.
 
-    Sections fail on their own: a broken one becomes an error entry and its
-    numbers take the documented defaults. Performance and fairness run only
-    when the current table carries a prediction column.
+    ``scorer`` is a ``(prep, model)`` pair, as the first two of ``load_scorer``: it scores a current table
+    that carries no predictions yet. Sections fail on their own: a broken one becomes an error entry and its
+    numbers take the documented defaults. Performance, conflicts and fairness run only when there
+    are predictions. Every section's rows are in ``sections`` by name.
     """
     spark, roles = cur.sparkSession, cfg.roles
     compared = [*roles.numeric, *roles.categorical]
     frames: dict[str, DataFrame] = {}
     numbers: dict[str, object] = {}
+    if scorer is not None and roles.prediction not in cur.columns:
+        cur = score_table(cur, *scorer, roles.prediction, roles.score or "probability")
+    cur = cur.persist()
+    held = [cur]
+
+    def keep(name: str, frame: DataFrame) -> DataFrame:
+        frames[name] = frame.persist()
+        held.append(frames[name])
+        return frames[name]
 
     def drift():
         methods = cfg.drift_methods or choose_methods(list(roles.numeric), list(roles.categorical))
-        frames["drift"] = column_drift(ref, cur, methods).persist()
-        frames["missing"] = missing_compare(ref, cur, compared)
-        frames["correlations"] = correlations(cur, list(roles.numeric))
-        numbers["drift_share"] = drift_summary(frames["drift"]).first()["drift_share"]
+        found = keep("drift", column_drift(ref, cur, methods))
+        frames["missing"] = missing_compare(ref, cur, [c for c in compared if comparable(ref, cur, c)])
+        numbers["drift_share"] = drift_summary(found).first()["drift_share"]
+
+    def correlation():
+        numeric = [c for c in roles.numeric if comparable(ref, cur, c)]
+        sides = [correlations(df, numeric).withColumnRenamed("correlation", name) for df, name in ((ref, "ref"), (cur, "cur"))]
+        both = sides[0].join(F.broadcast(sides[1]), ["a", "b"])  # one row per column pair
+        frames["correlations"] = both.withColumn("change", F.col("cur") - F.col("ref"))
 
     def quality():
-        frames["quality"] = run_suite(ref, cur, cfg.suite, compared, list(roles.numeric))
-        numbers.update(suite_summary(frames["quality"]).first().asDict())
+        results = keep("quality", run_suite(ref, cur, cfg.suite, compared, list(roles.numeric)))
+        numbers.update(suite_summary(results).first().asDict())
 
     def model_performance():
-        frames["performance"] = performance(cur, roles.target, roles.prediction, roles.score).persist()
-        row = frames["performance"].first()
-        numbers["accuracy"], numbers["f1"] = row["accuracy"], row["f1_score"]
+        report = keep("performance", performance_report(cur, roles.target, roles.prediction, roles.score, ref))
+        found = {r["name"]: r["value"] for r in report.where("section = 'quality'").collect()}  # five rows
+        numbers["accuracy"], numbers["f1"] = found["accuracy"], found["f1_score"]
+
+    def conflicting():
+        parts = [
+            conflicts(cur, list(compared), y).withColumn("conflict", F.lit(name))
+            for name, y in (("target", roles.target), ("prediction", roles.prediction))
+        ]
+        frames["conflicts"] = parts[0].unionByName(parts[1])
 
     def bias():
-        rates = fairness_rates(cur, cfg.sensitive, roles.prediction, roles.target).persist()
-        frames["fairness"] = rates
+        rates = keep("fairness", fairness_rates(cur, cfg.sensitive, roles.prediction, roles.target))
         found = parity_of_rates(rates).collect()  # one row per sensitive feature
         numbers["parity"] = {r["feature"]: r["parity_difference"] for r in found}
 
-    sections = {"drift": drift, "quality": quality}
+    sections = {"drift": drift, "correlations": correlation, "quality": quality}
     if roles.prediction in cur.columns:
         sections["performance"] = model_performance
+        sections["conflicts"] = conflicting
         if cfg.sensitive:
             sections["fairness"] = bias
     _, errors = run_sections(sections)
@@ -101,12 +139,16 @@ def monitor(ref: DataFrame, cur: DataFrame, cfg: MonitorConfig, run_id: str, run
     results = spark.createDataFrame([row], RESULT_SCHEMA)
     results = monitor_status(results, cfg.thresholds, cfg.mode)
     results = retrain_decision(results, cfg.retrain, cfg.mode)
-    return MonitorResult(recommendations(dashboard(results)), frames, errors)
+    return MonitorResult(recommendations(dashboard(results)), frames, errors, held)
 
 
 def save_monitoring(result: MonitorResult, root: str, run_ts) -> None:
-    """Append results, alerts and retrain requests; refresh the dashboard document."""
+    """Append results, every section's rows, alerts and retrain requests; refresh the dashboard document."""
     carry = ["run_id", "run_ts", "n_rows", "n_columns"]
+    run = result.results.first()["run_id"]
+    for name, frame in result.sections.items():
+        stamped = frame.select(F.lit(run).alias("run_id"), F.lit(as_datetime(run_ts)).alias("run_ts"), "*")
+        write_table(stamped, f"{root}/sections/{name}", mode="append")
     write_table(result.results, f"{root}/results", mode="append")
     write_table(alert_record(result.results, carry), f"{root}/alerts", mode="append")
     write_table(retrain_request(result.results, run_ts, carry), f"{root}/retrain_requests", mode="append")

@@ -137,9 +137,49 @@ def test_monitoring_job(spark, patients, tmp_path):
     save_monitoring(same, str(tmp_path / "m"), RUN_TS)
     save_monitoring(same, str(tmp_path / "m"), RUN_TS)
     assert spark.read.parquet(str(tmp_path / "m" / "results")).count() == 2
+    assert set(same.sections) == {"drift", "missing", "correlations", "quality", "performance", "conflicts", "fairness"}
+    for name in same.sections:
+        saved = spark.read.parquet(str(tmp_path / "m" / "sections" / name))
+        assert saved.count() == 2 * same.sections[name].count() > 0
+    assert same.sections["correlations"].where("abs(change) > 1e-9").count() == 0
+    report = {(r["section"], r["name"]) for r in same.sections["performance"].collect()}
+    assert {s for s, _ in report} == {"quality", "confusion", "by_class", "class_balance"}
+    same.release()
     assert spark.read.json(str(tmp_path / "m" / "dashboard")).first()["run_id"] == "r1"
 
 
+def test_monitoring_scores_with_the_champion(spark, patients, trained):
+    root, _ = trained
+    prep, model, _ = load_scorer(spark, root, "champion")
+    out = monitor(patients, patients, MonitorConfig(CLINICAL_ROLES, CLINICAL_SUITE), "r", RUN_TS, (prep, model))
+    assert out.errors == {} and out.results.first()["accuracy"] > 0.7
+    out.release()
+
+
+def test_monitoring_of_a_table_that_lost_its_values(spark, patients):
+    """Vanished columns are drift, not an error."""
+    names = [*CLINICAL_ROLES.numeric]
+    gone = patients.withColumns({c: F.lit(None).cast("double") for c in names})
+    out = monitor(patients, gone, MonitorConfig(CLINICAL_ROLES, CLINICAL_SUITE), "r", RUN_TS)
+    row = out.results.first()
+    assert out.errors == {} and row["drift_share"] == 1.0 and "Data drift detected" in row["alerts"]
+
+
+def test_forest_is_the_same_for_two_layouts_of_a_large_table(spark):
+    """600,000 rows: far more than any sample of split points or boundaries."""
+    df = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 40000).cast("double").alias("y"),
+    )
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    forests = []
+    for layout in (df, df.repartition(5)):
+        ready = L.stable_layout(layout, key, 12)
+        model = L.train(ready, "random_forest", ["l_quantity", "l_extendedprice"], "y", {"n_estimators": 3, "max_depth": 4})
+        forests.append(model.stages[-1].toDebugString.split("\n", 1)[1])
+    assert forests[0] == forests[1]
+
+
 def test_monitoring_survives_a_broken_section(spark, patients):
     cfg = MonitorConfig(CLINICAL_ROLES, CLINICAL_SUITE, {"gone": "no_such_column"})
     out = monitor(patients, scored(patients), cfg, "r", RUN_TS)
