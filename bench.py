@@ -37,6 +37,8 @@ HEADLINE = [
     "fairness",
     "prediction_summary",
     "monitor_status",
+    "monitor",
+    "logistic_regression",
     "windowed_summary",
     "windowed_psi",
 ]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bindings.base import FEATURES, lines, query, rounded, scored_lines, snapshots
+from bindings.base import CUR_SQL, FEATURES, REF_SQL, SCORED, lines, query, rounded, scored_lines, snapshots
+from bindings.drifting import CATS, _js_sql, _psi_sql, _w_sql
 from bindings.measuring import COUNTS_SQL, RATIOS_SQL
 from riskloom.config import Roles, SuiteConfig
 from riskloom.functions import cut_column
@@ -198,7 +199,57 @@ ROLES = Roles(
 SUITE = SuiteConfig(ranges=RANGES, means=("l_quantity", "l_discount"))
 
 
-@query("monitor")
+_ALL = [*FEATURES, *CATS]
+
+
+def _side(name: str, test: str) -> str:
+    return f"""{name} as (select {" + ".join(f"(count(*) filter ({c} is null) > 0)::int" for c in _ALL)} as columns_missing,
+        count(*) filter ({" or ".join(f"{c} is null" for c in _ALL)}) as rows_missing,
+        {" + ".join(f"coalesce(min({c}) = max({c}), true)::int" for c in _ALL)} as constant_columns,
+        ({" + ".join(f"count(*) filter ({c} is null)" for c in _ALL)}) / (count(*) * {len(_ALL)}) as missing_share,
+        (select coalesce(sum(n - 1), 0) from (select count(*) as n from lineitem where {test} group by {", ".join(_ALL)})) as copies,
+        {", ".join(f"min({c}) as min_{c}, max({c}) as max_{c}, avg({c}) as avg_{c}, stddev_samp({c}) as std_{c}" for c in FEATURES)}
+      from lineitem where {test})"""
+
+
+_FAILED = " + ".join(
+    [f"(c.{x} > r.{x})::int" for x in ("columns_missing", "rows_missing", "constant_columns", "copies", "missing_share")]
+    + [f"(not (c.min_{x} >= {lo} and c.max_{x} <= {hi}))::int" for x, (lo, hi) in RANGES.items()]
+    + [f"(abs(c.avg_{x} - r.avg_{x}) > 2 * r.std_{x})::int" for x in ("l_quantity", "l_discount")]
+    + [f"((select count(*) from ({' union all '.join(_psi_sql(x) for x in FEATURES)}) where psi >= 0.2::double) > 0)::int"]
+)
+_MOVED = " union all ".join(
+    [f"select wasserstein >= 0.1::double as moved from ({_w_sql(x)})" for x in FEATURES]
+    + [f"select sqrt(greatest(js_divergence, 0) / ln(2)) >= 0.1::double from ({_js_sql(x)})" for x in CATS]
+)
+
+
+@query(
+    "monitor",
+    f"""with {SCORED}, {_side("r", REF_SQL)}, {_side("c", CUR_SQL)}, now as (
+          select *, case when l_quantity > 0 and l_quantity <= 10 then 'tiny' when l_quantity > 10 and l_quantity <= 25 then 'small'
+                         when l_quantity > 25 and l_quantity <= 40 then 'medium' when l_quantity > 40 and l_quantity <= 50 then 'large'
+                    end as band from scored where {CUR_SQL}),
+        q as (select n, {RATIOS_SQL} from (select count(*) as n, {COUNTS_SQL} from now)),
+        p as (select (select max(a) - min(a) from (select avg(prediction) as a from now where band is not null group by band)) as band,
+                     (select max(a) - min(a) from (select avg(prediction) as a from now group by l_returnflag)) as flag),
+        f as (select {_FAILED} as failed from r, c), d as (select avg(moved::int) as share from ({_MOVED}))
+        select 'lines' as run_id, n as n_rows, round(share, 6) as drift_share, failed::bigint as failed_tests, 13::bigint as total_tests,
+               round(accuracy, 6) as accuracy, round(f1_score, 6) as f1,
+               case when greatest(band, flag) > 0.1::double then 'warning' when accuracy < 0.75::double then 'critical'
+                    when failed > 0 then 'warning' when share > 0.25::double then 'alert' else 'healthy' end as monitoring_status,
+               concat_ws('|', case when share > 0.25::double then 'Data drift detected' end,
+                         case when failed > 0 then 'Data quality tests failed: ' || failed end,
+                         case when accuracy < 0.75::double then 'Model performance below threshold' end,
+                         case when band > 0.1::double then 'Bias detected in quantity' end,
+                         case when flag > 0.1::double then 'Bias detected in returnflag' end) as alerts,
+               case when f1_score < 0.7::double then 'high' when accuracy < 0.75::double then 'critical'
+                    when share > 0.3::double then 'high'
+                    when greatest(band, flag) > 0.15::double or failed > 2 then 'medium' else 'low' end as priority,
+               round((13 - failed) / 13, 6) as data_quality_score, round(greatest(band, flag), 6) as bias_max_difference,
+               0::integer as n_errors
+        from q, p, f, d""",
+)
 def _(spark, sf):
     """The whole monitoring job: current snapshot against the reference one."""
     ref, cur = snapshots(scored_lines(spark, sf))

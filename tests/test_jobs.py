@@ -1,13 +1,14 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.config import CLINICAL, CLINICAL_ROLES, CLINICAL_SUITE, SuiteConfig
+from riskloom.config import CLINICAL, CLINICAL_ROLES, CLINICAL_SUITE, RISK_LABELS, SuiteConfig
 from riskloom.functions import cut_column
 from riskloom.operators import models as L
 from riskloom.operators.prep import PrepModel
 from riskloom.operators.quality import run_suite, suite_summary
 from riskloom.operators.registry import load_champion, load_scorer, run_leaderboard
-from riskloom.plans import MonitorConfig, monitor, predict, score_table, train_job
+from riskloom.plans import MonitorConfig, monitor, predict, respond, score_table, train_job
 from riskloom.plans.monitor import save_monitoring
 from riskloom.plans.train import GateError
 
@@ -148,6 +149,32 @@ def test_monitoring_job(spark, patients, tmp_path):
     assert spark.read.json(str(tmp_path / "m" / "dashboard")).first()["run_id"] == "r1"
 
 
+def test_requests_get_responses(spark, patients, trained):
+    root, _ = trained
+    prep, model, version = load_scorer(spark, root, "champion")
+    member = F.struct(*[F.col(c) for c in patients.columns if c != "target"]).alias("m")
+    whole = patients.where("glucose between 1 and 300 and bmi between 10 and 80 and insulin >= 0").select("patient_id", member)
+    rows = [r.m for r in whole.orderBy("patient_id").limit(6).collect()]
+    kind = T.StructType([T.StructField("batch_id", T.StringType()), T.StructField("patients", T.ArrayType(whole.schema["m"].dataType))])
+    bad = rows[2].asDict() | {"glucose": 400.0}
+    requests = spark.createDataFrame(
+        [("good", rows[:2]), ("bad", [rows[0], bad]), ("large", rows[:5]), ("none", []), ("null", None)], kind
+    )
+    responses, errors = respond(requests, prep, model, {"glucose": (50, 300)}, RUN_TS, version, limit=4)
+    got = {r.batch_id: r for r in responses.collect()}
+    assert {k: (r.status, r.n_members, r.n_invalid) for k, r in got.items()} == {
+        "good": ("accepted", 2, 0), "bad": ("rejected", 2, 1), "large": ("rejected", 5, 0),
+        "none": ("rejected", 0, 0), "null": ("rejected", 0, 0),
+    }
+    good = got["good"]
+    assert [p.patient_id for p in good.predictions] == [r.patient_id for r in rows[:2]]
+    assert all(p.risk_category in RISK_LABELS for p in good.predictions)
+    assert good.summary.total == 2 and good.model_version == version and good.processing_timestamp is not None
+    assert all(r.predictions is None for k, r in got.items() if k != "good")
+    assert [(r.batch_id, r.position) for r in errors.collect()] == [("bad", 2)]
+    assert errors.first().message.startswith("Patient 2: glucose must be between 50 and 300")
+
+
 def test_monitoring_scores_with_the_champion(spark, patients, trained):
     root, _ = trained
     prep, model, _ = load_scorer(spark, root, "champion")
