@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import query, row_id, slices, table, utf8
 from riskloom.session import cut_lineage
 
-HEAD_CLASSES = 16
+HEAD_CLASSES = 8
 CLASS_WORDS = 48
-TAIL_CLASSES = 48
+TAIL_CLASSES = 32
 HIDDEN = 16
 LANES = 256
 STEPS = 32  # of an unrolled window
@@ -40,7 +40,7 @@ RATE = 0.1
 SEED = 5
 SMOOTH = 0.1
 _FLUSH = 400_000
-_SCORE_TOKENS = 2_000_000  # tokens that are scored side by side, about
+_SCORE_TOKENS = 1_000_000  # tokens that are scored side by side, about
 _TOP = np.float32(60)  # states lie between -1 and 1 and weights stay small; keeps exp finite
 _LN10 = math.log(10)
 
@@ -84,7 +84,7 @@ class Ids:
         known = self.known
         new = set(tokens).difference(known)
         if new:
-            if len(known) > 300_000:
+            if len(known) > 200_000:
                 known.clear()
                 new = set(tokens)
             known.update((w, self.words.id_of(w)) for w in new)
@@ -154,7 +154,7 @@ class Network:
     def log_chance(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log of each target's chance: its class, and its word inside a class of frequent words."""
         head = targets < HEAD_CLASSES * CLASS_WORDS
-        classes = np.where(head, targets // CLASS_WORDS, targets - HEAD_CLASSES * CLASS_WORDS + HEAD_CLASSES)
+        classes = np.where(head, targets // CLASS_WORDS, targets - HEAD_CLASSES * CLASS_WORDS + HEAD_CLASSES).astype(np.int16)
         logits = states @ self.w["class_w"] + self.w["class_b"]
         np.minimum(logits, _TOP, out=logits)
         out = logits[np.arange(len(targets)), classes]
@@ -166,8 +166,9 @@ class Network:
             if len(rows):
                 span = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
                 inner = states[rows] @ self.w["word_w"][span].T + self.w["word_b"][span]
-                inner -= inner.max(1)[:, None]
-                out[rows] += inner[np.arange(len(rows)), targets[rows] - c * CLASS_WORDS] - np.log(np.exp(inner).sum(1))
+                np.minimum(inner, _TOP, out=inner)
+                picked = inner[np.arange(len(rows)), targets[rows] - c * CLASS_WORDS]
+                out[rows] += picked - np.log(np.exp(inner, out=inner).sum(1))
         return out
 
     def gradient(self, ids: np.ndarray, targets: np.ndarray, state: np.ndarray, start: int):
@@ -182,7 +183,7 @@ class Network:
         flat, goal = states.reshape(-1, n), targets.ravel()
         scale = np.float32(1 / len(goal))
         head = goal < HEAD_CLASSES * CLASS_WORDS
-        classes = np.where(head, goal // CLASS_WORDS, goal - HEAD_CLASSES * CLASS_WORDS + HEAD_CLASSES)
+        classes = np.where(head, goal // CLASS_WORDS, goal - HEAD_CLASSES * CLASS_WORDS + HEAD_CLASSES).astype(np.int16)
         p = flat @ w["class_w"] + w["class_b"]
         np.exp(np.minimum(p, _TOP, out=p), out=p)
         p /= p.sum(1)[:, None]
@@ -198,8 +199,7 @@ class Network:
                 span = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
                 own = flat[rows]
                 q = own @ w["word_w"][span].T + w["word_b"][span]
-                q -= q.max(1)[:, None]
-                np.exp(q, out=q)
+                np.exp(np.minimum(q, _TOP, out=q), out=q)
                 q /= q.sum(1)[:, None]
                 q[np.arange(len(rows)), goal[rows] - c * CLASS_WORDS] -= 1
                 q *= scale
@@ -223,7 +223,7 @@ class Network:
             dh = dh * z + inner @ w["u"].T
             dh[ids[t] == start] = 0
         flat_ids = ids.ravel()
-        order = np.argsort(flat_ids, kind="stable")
+        order = np.argsort(flat_ids.astype(np.int16), kind="stable")  # a few hundred ids
         firsts = np.flatnonzero(np.r_[True, np.diff(flat_ids[order]) != 0])
         rows = flat_ids[order][firsts]
         return g, (rows, np.add.reduceat(gates.reshape(-1, 3 * n)[order], firsts)), state
@@ -378,6 +378,9 @@ def _score(shared, blob):
         logs = {w: math.log10(c + SMOOTH) for w, c in words.counts.items()}
         share = np.log10(words.tail_tokens + SMOOTH * (words.tail_words + 1))
         end_log = math.log10(words.ends + SMOOTH)
+        head_log = np.zeros(words.n_head)
+        for word, k in words.head.items():
+            head_log[k] = logs[word]
         waiting: list[tuple] = []
         size = 0
 
@@ -401,8 +404,7 @@ def _score(shared, blob):
                 tokens = (text or b"").lower().split()
                 coded = ids(tokens)
                 counts = Counter(tokens)
-                listed, known, tail, rare = end_log, int(words.ends > 0), 0.0, {}
-                head = words.head
+                listed, known, rare = end_log, int(words.ends > 0), {}
                 for word, c in counts.items():
                     log = logs.get(word)
                     if log is None:
@@ -410,10 +412,9 @@ def _score(shared, blob):
                     else:
                         known += c
                         listed += c * log
-                        if word not in head:
-                            tail += c * log
-                in_tail = coded[coded >= words.n_head] - words.n_head
-                tail -= float(share[in_tail].sum())
+                is_tail = coded >= words.n_head
+                # listed words of tail classes, in their share of the class
+                tail = listed - end_log - float(head_log[coded[~is_tail]].sum() + share[coded[is_tail] - words.n_head].sum())
                 waiting.append((row, coded, len(coded), known, listed, tail, rare))
                 size += len(coded)
                 if size >= _SCORE_TOKENS:
@@ -429,8 +430,15 @@ def learn_words(training: DataFrame, listed: int = LISTED) -> tuple[Words, DataF
     """Counts over all training texts: what every task holds, and the whole table (word, c)."""
     counts = cut_lineage(training.mapInArrow(_count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c")))
     ends = training.count()
-    top = counts.orderBy(F.desc("c"), "word").limit(listed).toArrow()
+    # how many words have each count: a short table; it gives the least count of a listed word
+    least, room = None, listed
+    for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).toLocalIterator():
+        if r.n > room:
+            break
+        least, room = r.c, room - r.n
+    top = counts.where(F.col("c") >= least).toArrow() if least is not None else counts.limit(0).toArrow()
     known = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist()))
+    known = dict(sorted(known.items(), key=lambda x: (-x[1], x[0])))
     head = {w: k for k, w in enumerate(list(known)[: HEAD_CLASSES * CLASS_WORDS - 1], start=1)}
     total, distinct = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     tail = F.crc32(F.expr("substring(word, -2, 2)")) % TAIL_CLASSES
