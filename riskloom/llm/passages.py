@@ -19,7 +19,6 @@ from collections.abc import Iterable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,40 +35,60 @@ MAX_BITS = 1 << 28  # 32 MB, the most a row filter takes
 
 
 class Anchors:
-    """Anchor hash of every window of a list of words; word hashes are remembered, within a bound."""
+    """Anchor hash of every window of a text's words.
 
-    def __init__(self, window: int = WINDOW, gram: int = GRAM):
-        self.window, self.gram, self.known = window, min(gram, window), {}
+    A word's hash is a polynomial in its bytes: the difference of two prefix sums over the text, moved to position 0.
+    Equal words have equal hashes, and unequal words that share one only add candidates.
+    """
 
-    def grams(self, words: list[bytes]) -> np.ndarray:
+    FACTOR = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
+
+    def __init__(self, window: int = WINDOW, gram: int = GRAM):
+        self.window, self.gram = window, min(gram, window)
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.up) < n:
+            size = max(n, 2 * len(self.up), 1 << 16)
+            for name, factor in (("up", self.FACTOR), ("down", pow(self.FACTOR, -1, 1 << 64))):
+                table = np.full(size, factor, np.uint64)
+                table[0] = 1
+                setattr(self, name, np.multiply.accumulate(table))
+
+    def codes(self, text: bytes) -> np.ndarray:
+        """Hash of every word."""
+        raw = np.frombuffer(text, np.uint8)
+        self._powers(len(raw) + 1)
+        gap = (raw == 32) | ((raw >= 9) & (raw <= 13))
+        edge = np.flatnonzero(np.diff(gap, prepend=True, append=True))
+        starts, ends = edge[::2], edge[1::2]
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(raw * self.up[: len(raw)], out=sums[1:])
+        codes = (sums[ends] - sums[starts]) * self.down[starts]
+        codes ^= codes >> np.uint64(32)
+        return codes * np.uint64(0xD6E8FEB86659FD93)
+
+    def grams(self, codes: np.ndarray) -> np.ndarray:
         """Hash of every run of ``gram`` words."""
-        known = self.known
-        new = set(words).difference(known)
-        if new:
-            if len(known) > 300_000:
-                known.clear()
-                new = set(words)
-            known.update((w, xxhash.xxh64_intdigest(w)) for w in new)
-        codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = len(codes) - self.gram + 1
         grams = np.zeros(n, np.uint64)
         for j in range(self.gram):
-            grams = (grams ^ codes[j : n + j]) * np.uint64(0x9E3779B97F4A7C15)
+            grams = (grams ^ codes[j : n + j]) * np.uint64(self.FACTOR)
             grams ^= grams >> np.uint64(29)
         return grams
 
-    def hashes(self, words: list[bytes]) -> np.ndarray:
+    def hashes(self, codes: np.ndarray) -> np.ndarray:
         """Distinct anchors, sorted: minima over all windows, doubling the width covered."""
-        low, covered, width = self.grams(words), 1, self.window - self.gram + 1
+        low, covered, width = self.grams(codes), 1, self.window - self.gram + 1
         while covered < width:
             step = min(covered, width - covered)
             low = np.minimum(low[:-step], low[step:])
             covered += step
         return np.unique(low.view(np.int64))
 
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, hash) of each window's anchor."""
-        grams = self.grams(words)
+        grams = self.grams(codes)
         views = sliding_window_view(grams, self.window - self.gram + 1)
         at = views.argmin(1) + np.arange(len(views))
         return at, grams[at].view(np.int64)
@@ -94,9 +113,9 @@ def _anchor_rows(window: int):
         for batch in slices(batches, 256):
             rows, docs, found = [], [], []
             for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), utf8(batch.column("text"))):
-                words = (text or b"").split()
-                if doc is not None and len(words) >= window:
-                    own = anchors.hashes(words)
+                codes = anchors.codes(text or b"")
+                if doc is not None and len(codes) >= window:
+                    own = anchors.hashes(codes)
                     found.append(own)
                     rows.append(np.full(len(own), row))
                     docs.append(np.full(len(own), doc))
@@ -131,7 +150,7 @@ def _fragments(window: int):
                 order = np.argsort(own)
                 own, n = own[order], n[order]
                 words = text.split()
-                at, hashes = anchors(words)
+                at, hashes = anchors(anchors.codes(text))
                 starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
                 ends = np.r_[starts[1:], len(at)]
                 place = np.minimum(np.searchsorted(own, hashes[starts]), len(own) - 1)
@@ -186,33 +205,41 @@ class Fragments:
 
     def locate(self, recurring: dict[tuple[int, ...], int], window: int) -> pa.Table:
         """Word ranges covered by windows that also start in a smaller id."""
-        out: list[list[np.ndarray]] = [[], [], []]
+        rows, firsts, lasts = [], [], []
         if recurring:
             machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-            docs = np.unique(np.fromiter(recurring.values(), np.int64, len(recurring)))
-            place = {doc: k for k, doc in enumerate(docs.tolist())}  # ids need not fit an automaton's value
+            docs = sorted(set(recurring.values()))
+            place = {doc: k for k, doc in enumerate(docs)}  # ids need not fit an automaton's value
             for key, doc in recurring.items():
                 machine.add_word(key, place[doc])
             machine.make_automaton()
-            for words, a, b in zip(self.texts, self.edges[:-1].tolist(), self.edges[1:].tolist()):
-                hits = np.array(list(machine.iter(words)), np.int64).reshape(-1, 2)
-                if not len(hits):
+            ids, numbers, starts = self.doc.tolist(), self.row.tolist(), self.start.tolist()
+            edges = self.edges.tolist()
+            for words, a, b in zip(self.texts, edges, edges[1:]):
+                hits = [(end - window + 1, docs[k]) for end, k in machine.iter(words)]
+                if not hits or ids[b - 1] <= (smallest := min(doc for _, doc in hits)):
                     continue
-                owners, begins = docs[hits[:, 1]], hits[:, 0] - window + 1
-                smallest, largest = owners.min(), owners.max()
-                k = a + int(np.searchsorted(self.doc[a:b], smallest, "right"))
-                while k < b:  # all rows above the largest owner lose the same ranges
-                    doc = self.doc[k]
-                    end = b if doc > largest else k + int(np.searchsorted(self.doc[k:b], doc, "right"))
-                    at = begins[owners < doc]
-                    breaks = np.flatnonzero(np.diff(at) > window)
-                    firsts, lasts = at[np.r_[0, breaks + 1]], at[np.r_[breaks, len(at) - 1]] + window
-                    n = end - k
-                    out[0].append(np.repeat(self.row[k:end], len(firsts)))
-                    out[1].append((self.start[k:end, None] + firsts).ravel())
-                    out[2].append((self.start[k:end, None] + lasts).ravel())
-                    k += n
-        return pa.Table.from_arrays([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in out], schema=_RANGES)
+                largest = max(doc for _, doc in hits)
+                whole = _merged([at for at, _ in hits], window)
+                for k in range(a, b):
+                    doc, start = ids[k], starts[k]
+                    if doc > smallest:
+                        for first, last in whole if doc > largest else _merged([at for at, d in hits if d < doc], window):
+                            rows.append(numbers[k])
+                            firsts.append(start + first)
+                            lasts.append(start + last)
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (rows, firsts, lasts)], schema=_RANGES)
+
+
+def _merged(begins: list[int], window: int) -> list[tuple[int, int]]:
+    """Windows at ascending places as ranges that do not touch."""
+    out: list[tuple[int, int]] = []
+    for at in begins:
+        if out and at <= out[-1][1]:
+            out[-1] = (out[-1][0], at + window)
+        else:
+            out.append((at, at + window))
+    return out
 
 
 def _shard(window: int):
