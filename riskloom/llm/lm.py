@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import query, row_id, slices, table, utf8
 from riskloom.session import cut_lineage
 
-HEAD_CLASSES = 8
+HEAD_CLASSES = 16
 CLASS_WORDS = 48
-TAIL_CLASSES = 32
+TAIL_CLASSES = 48
 HIDDEN = 16
 LANES = 256
 STEPS = 32  # of an unrolled window
@@ -238,32 +238,47 @@ class Trainer:
         self.tokens = 0
 
     def fit(self, documents: Iterable[np.ndarray], buffer: int = LANES * 8 * STEPS) -> None:
-        waiting, size = [], 0
+        """A stream of start, tokens, end ...; where a document begins the target is its first token.
+
+        What does not fill the lanes of a buffer leads the next one; at the end it is laid in fewer lanes.
+        """
+        waiting, size, most = [], 0, 1
         for ids in documents:
-            waiting.append(np.concatenate([[self.start], ids]).astype(np.int32))
+            waiting.append((np.concatenate([[self.start], ids[:-1]]).astype(np.int32), ids))
             size += len(ids)
             if size >= buffer:
-                self._run(waiting)
-                waiting, size = [], 0
-        if waiting:
-            self._run(waiting)
-
-    def _run(self, documents: list[np.ndarray]) -> None:
-        """A stream of start, tokens, end ...; where a document begins the target is its first token."""
-        inputs = np.concatenate([d[:-1] for d in documents])
-        goals = np.concatenate([d[1:] for d in documents])
-        lanes = max(1, min(LANES, len(inputs) // STEPS))
+                most = max(most, self._lanes(size))
+                waiting = [self._run(waiting)]
+                size = len(waiting[0][0])
+        while size:
+            lanes = self._lanes(size)
+            most = max(most, lanes)
+            waiting = [self._run(waiting, lanes / most)]  # a token counts as in a window of all lanes
+            size = len(waiting[0][0])
+
+    @staticmethod
+    def _lanes(size: int) -> int:
+        return max(1, min(LANES, size // STEPS))
+
+    def _run(self, stream: list[tuple[np.ndarray, np.ndarray]], weight: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+        """Train on the stream's inputs and targets, and return what is left over; gradients count ``weight``."""
+        inputs, goals = map(np.concatenate, zip(*stream))
+        lanes = self._lanes(len(inputs))
         length = len(inputs) // lanes
-        self.tokens += len(inputs)
-        ids, targets = (a[: lanes * length].reshape(lanes, length).T.copy() for a in (inputs, goals))
+        used, weight = lanes * length, np.float32(weight)
+        self.tokens += used
+        ids, targets = (a[:used].reshape(lanes, length).T.copy() for a in (inputs, goals))
         state = np.zeros((lanes, self.network.hidden), np.float32)
         for t in range(0, length, STEPS):
             g, (rows, x), state = self.network.gradient(ids[t : t + STEPS], targets[t : t + STEPS], state, self.start)
             for name, value in g.items():
+                value = value * weight
                 self.grown[name] += value * value
                 self.network.w[name] -= self.rate * value / np.sqrt(self.grown[name])
+            x = x * weight
             self.grown["x"][rows] += x * x
             self.network.w["x"][rows] -= self.rate * x / np.sqrt(self.grown["x"][rows])
+        return inputs[used:], goals[used:]
 
 
 def score_documents(network: Network, documents: list[np.ndarray], start: int) -> np.ndarray:

@@ -239,6 +239,28 @@ def test_gradients_match_differences():
             assert (up - down) / 2e-5 == pytest.approx(gradient[at], rel=1e-4, abs=1e-8)
 
 
+def test_every_token_is_trained_once():
+    words, dice = small_words(), np.random.default_rng(3)
+    docs = [dice.integers(1, words.start, n).astype(np.int32) for n in (700, 1, 333, 90, 2000, 5)]
+    for buffer in (1000, 10**6):
+        trainer, seen = lm.Trainer(lm.Network.fresh(words), words.start), Counter()
+        gradient = trainer.network.gradient
+
+        def noted(ids, targets, state, start):
+            seen.update(zip(ids.ravel().tolist(), targets.ravel().tolist()))
+            return gradient(ids, targets, state, start)
+
+        trainer.network.gradient = noted
+        trainer.fit(iter(docs), buffer)
+        want = Counter(p for d in docs for p in zip([words.start, *d[:-1].tolist()], d.tolist()))
+        assert seen == want and trainer.tokens == sum(map(len, docs))
+
+
+def test_the_network_tells_enough_words_apart():
+    words = small_words()
+    assert (words.n_head, lm.TAIL_CLASSES) == (16 * 48, 48)
+
+
 def test_chances_of_all_continuations_sum_to_one():
     words = small_words()
     net = lm.Network.fresh(words)
