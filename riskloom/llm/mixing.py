@@ -1,9 +1,9 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-The mix is a number of equal blocks of words. Sources get whole blocks by highest quotient (target / (2k + 1)), and the
-blocks are dealt out to shards, so every shard has an integer quota per source. A source's documents are laid
-end to end in seeded order; its blocks are taken from the start of that stream, and again from the start where
-the quota exceeds the stream.
+The mix is a number of equal blocks of words, one word each unless a caller asks for coarser ones. Sources get whole blocks by
+highest quotient (target / (2k + 1)), and the blocks are dealt out to shards, so every shard has an integer quota per
+source. A source's documents are laid end to end in seeded order; its blocks are taken from the start of that stream, and
+again from the start where the quota exceeds the stream.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from riskloom.session import cut_lineage
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
-BLOCKS = 1 << 20  # of the whole mix
+BLOCKS = 1 << 20  # of a coarse mix, whose blocks grow with the table
+WORDS = 1 << 62  # more blocks than a table has words: every block is one word, so no source is too small for one
 SHARDS = 8
 SEED = 17
 
@@ -114,7 +115,7 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    blocks: int = BLOCKS,
+    blocks: int = WORDS,
     shards: int = SHARDS,
     seed: int = SEED,
 ) -> DataFrame:

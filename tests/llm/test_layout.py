@@ -172,6 +172,22 @@ def test_mixed_documents_hold_the_words_taken(odd_docs, no_docs):
     assert mixing.mixed_documents(no_docs).count() == 0
 
 
+def test_a_tiny_source_beside_huge_ones_is_taken(spark, tmp_path):
+    """Eight million words and more: a share of 2^20 of them is longer than the tiny sources."""
+    huge = spark.range(8).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 1 << 20).alias("text"), F.concat(F.lit("huge"), F.col("id") % 2).alias("source"))
+    tiny = spark.createDataFrame([(100, "one", "a"), (101, "two words", "b"), (102, "three", "tiny")], huge.schema)
+    huge.unionByName(tiny).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    rows = mixing.mix(df).collect()
+    assert sum(r.taken for r in rows) == sum(r["size"] for r in rows)
+    assert {r.id: r.taken for r in rows if r.id >= 100} == {100: 3, 101: 6, 102: 3}
+    for k in range(2):
+        huge_rows = [r for r in rows if r.id < 100 and r.id % 2 == k]
+        assert abs(sum(r.taken for r in huge_rows) - huge_rows[0].target) < 1
+    kept = {r.doc_id for r in mixing.mixed_documents(df).select("doc_id").collect()}
+    assert kept >= {100, 101, 102}
+
+
 # --- sharding ------------------------------------------------------------------
 
 
