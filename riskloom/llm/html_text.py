@@ -50,6 +50,8 @@ ENDED_BY = {
 }
 _MARKUP = re.compile(r"<[!?/a-zA-Z]")
 _TOKEN = re.compile(r"[a-z]+")
+_CLOSED = re.compile(r"<!\[\s*(?:temp|cdata|ignore|include|rcdata)\b", re.IGNORECASE)  # sections that end at ]]>
+_LONG = re.compile(r"&#[0-9]{4300,};?")  # beyond what int() reads, so no character
 
 
 class Lines(HTMLParser):
@@ -131,6 +133,14 @@ class Lines(HTMLParser):
                 del self.stack[k:]
                 return
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A section that has its ]]> ends there; any other <![ ends at its >, as a bogus comment does."""
+        close = self.rawdata.find("]]>", i + 3) if _CLOSED.match(self.rawdata, i) else -1
+        if close >= 0:
+            return close + 3
+        end = self.rawdata.find(">", i + 3)
+        return end + 1 if end >= 0 else -1
+
     def handle_data(self, data: str) -> None:
         if not (self.stack and self.stack[-1][1]):
             self.data.append(data)
@@ -154,14 +164,11 @@ def _upper(ratios: np.ndarray) -> np.ndarray:
 def main_text(html: str) -> str:
     """The main text of one page: its content lines in page order, one a line; empty if there are none."""
     parser = Lines()
-    try:
-        parser.feed(html)
-        unfinished = _MARKUP.search(parser.rawdata)  # a tag or comment that the page ends in is no text
-        if unfinished:
-            parser.rawdata = parser.rawdata[: unfinished.start()]
-        parser.close()
-    except (AssertionError, ValueError):  # malformed declarations; what came before them counts
-        pass
+    parser.feed(_LONG.sub("\ufffd", html))
+    unfinished = _MARKUP.search(parser.rawdata)  # a tag or comment that the page ends in is no text
+    if unfinished:
+        parser.rawdata = parser.rawdata[: unfinished.start()]
+    parser.close()
     parser.cut()
     lines = parser.lines
     if not lines:

@@ -142,6 +142,16 @@ def test_main_text(page, want):
     assert html_text.main_text(page or "") == want
 
 
+@pytest.mark.parametrize(
+    "mark", ["<![x]>", "<![ foo>", "<![>", "<![endif]-->", "<![if !IE]>", "<![CDATA[x>", "<![CDATA[a > b]]>", "<!x>", f"&#{'9' * 5000};", "<?x>", "</ >", "<!>"]
+)
+def test_text_behind_a_malformed_declaration_is_kept(mark):
+    ahead = html_text.main_text(f"{mark}<article><p>{PROSE}</p></article>")
+    assert ahead == PROSE.strip()
+    inside = html_text.main_text(f"<article><p>{PROSE}</p>{mark}<p>{PROSE}End</p></article>").splitlines()
+    assert inside[0] == PROSE.strip() and inside[-1] == f"{PROSE}End"
+
+
 def test_extract_handles_odd_rows(store):
     rows = [(i, None if i % 2 else "u", page, "x") for i, (page, _) in enumerate(PAGES)] + [(None, None, PAGES[4][0], "x")] * 2
     rows.append((99, "u", f"<article><p>{'long ' * 200_000}</p></article>", "x"))
