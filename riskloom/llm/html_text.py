@@ -3,7 +3,8 @@
 The standard library's parser streams its events; block tags cut them into lines. A line's ratio is its characters
 over its tags; the ratios are smoothed with a Gaussian and cut in two clusters by an iterated threshold. A region (an
 article or main element, else the nearest container) that holds a line of the upper cluster is content, and all of
-its lines are kept, short ones and headings too. Menus, forms and the like are no lines of any region.
+its lines are kept, short ones and headings too. Menus, forms and the like are no lines of any region; elements that only
+their class, id or role names so are judged at the page's end, when it is known what they enclose.
 """
 
 from __future__ import annotations
@@ -30,15 +31,23 @@ BLOCKS = frozenset(
 MARKED = frozenset(("article", "main"))
 CONTAINERS = frozenset("body div section td blockquote figure details".split())
 NOISE = frozenset(
-    "aside audio button canvas datalist dialog footer form frameset head header iframe math menu nav noframes noscript object "
+    "aside audio button canvas datalist dialog footer form frameset head header iframe menu nav noframes noscript object "
     "script select style svg template textarea title video".split()
 )
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
+    "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
     "pagination popup promo promoted promotion related reply replies respond share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: hints of readers' comments, each often an article of its own
+COMMENTS = frozenset("comment comments disqus replies reply respond".split())
+#: elements that no hint makes noise
+KEPT = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+#: "with-sidebar" says what is around an element, not what it is
+AROUND = frozenset("hide hides has no not with without".split())
+#: "comment-list" is what "comment" is
+PARTS = frozenset("area bar block bottom box container inner item items left list right section top wrap wrapper".split())
 #: an open element of the first kind ends where one of the second kind opens
 ENDED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -48,49 +57,89 @@ ENDED_BY = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
+_NOISE = -1
 _MARKUP = re.compile(r"<[!?/a-zA-Z]")
 _TOKEN = re.compile(r"[a-z]+")
 _CLOSED = re.compile(r"<!\[\s*(?:temp|cdata|ignore|include|rcdata)\b", re.IGNORECASE)  # sections that end at ]]>
 _LONG = re.compile(r"&#[0-9]{4300,};?")  # beyond what int() reads, so no character
 
 
+def hint_of(attrs: list[tuple[str, str | None]]) -> str | None:
+    """The hint that a class, id or role ends in, whole names or their last part."""
+    for name, value in attrs:
+        if name in ("class", "id", "role") and value:
+            for whole in value.lower().split():
+                parts = _TOKEN.findall(whole)
+                while len(parts) > 1 and parts[-1] in PARTS:
+                    parts.pop()
+                if parts and parts[-1] in HINTS and AROUND.isdisjoint(parts[:-1]):
+                    return parts[-1]
+    return None
+
+
 class Lines(HTMLParser):
     """Lines of a page: (text, tags, region); text in noise elements is left out."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
+        self.raw: list[tuple[list[tuple[int, str]], int, int]] = []  # pieces of a line with their hinted element
         self.marked: set[int] = set()
-        self.stack: list[tuple[str, bool, int]] = []  # name, noise, region
+        self.stack: list[tuple[str, int, int]] = []  # name, noise: hinted element or _NOISE, region
+        self.hinted: list[tuple[int, str]] = [(0, "")]  # the hinted element around each hinted element, and its hint
+        self.enclosing: set[int] = set()  # hinted elements around an article or main; 0 if one is in no hinted element
         self.regions = 1
-        self.data: list[str] = []
+        self.data: list[tuple[int, str]] = []
         self.tags = 0
 
     def cut(self) -> None:
         if self.data:
-            text = " ".join("".join(self.data).split())
-            self.data.clear()
+            self.raw.append((self.data, self.tags, self.stack[-1][2] if self.stack else 0))
+            self.data, self.tags = [], 0
+
+    def around(self, hinted: int) -> Iterator[int]:
+        while hinted:
+            yield hinted
+            hinted = self.hinted[hinted][0]
+
+    def lines(self) -> list[tuple[str, int, int]]:
+        """Without noise by hint: hinted elements that neither enclose an article or main nor hold most of the text.
+
+        Comments stay noise on a page that has an article or main elsewhere.
+        """
+        noise: set[int] = set()
+        if len(self.hinted) > 1:
+            total, sizes = 0, [0] * len(self.hinted)
+            for pieces, _, _ in self.raw:
+                for hinted, text in pieces:
+                    size = len("".join(text.split()))
+                    total += size
+                    sizes[hinted] += size
+            for k in range(len(sizes) - 1, 0, -1):  # an element comes after those around it
+                sizes[self.hinted[k][0]] += sizes[k]
+            for k, (outer, hint) in enumerate(self.hinted):
+                kept = k in self.enclosing or 2 * sizes[k] > total
+                if k and (outer in noise or not kept or (hint in COMMENTS and 0 in self.enclosing)):
+                    noise.add(k)
+        out, tags = [], 0
+        for pieces, own, region in self.raw:
+            text = " ".join("".join([text for hinted, text in pieces if hinted not in noise]).split())
+            tags += own
             if text:
-                self.lines.append((text, self.tags, self.stack[-1][2] if self.stack else 0))
-                self.tags = 0
-
-    @staticmethod
-    def hinted(attrs: list[tuple[str, str | None]]) -> bool:
-        for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                if not HINTS.isdisjoint(_TOKEN.findall(value.lower())):
-                    return True
-            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
-        return False
+                out.append((text, tags, region))
+                tags = 0
+        return out
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         block = tag in BLOCKS
         if tag in VOID:
-            self.data.append(" ")
+            self.data.append((0, " "))
             return
-        noise = tag in NOISE or (bool(attrs) and tag not in ("html", "body") and self.hinted(attrs))
+        hidden = tag in NOISE
+        hint = None
+        if attrs and tag not in ("html", "body"):
+            hidden = hidden or any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs)
+            hint = hint_of(attrs) if tag not in KEPT and not hidden else None
         if block:
             self.cut()
             if self.stack and self.stack[-1][0] == "p":
@@ -103,17 +152,25 @@ class Lines(HTMLParser):
                     if self.stack[k][0] in closed:
                         del self.stack[k:]
                         break
-        elif not noise:
+        elif not (hidden or hint):
             return
-        above = self.stack[-1] if self.stack else ("", False, 0)
-        region = above[2]
-        if not (noise or above[1]) and (tag in MARKED or tag in CONTAINERS) and region not in self.marked:
-            region, self.regions = self.regions, self.regions + 1
+        _, noise, region = self.stack[-1] if self.stack else ("", 0, 0)
+        if noise != _NOISE and (hidden or hint):
+            if not block:
+                self.data.append((noise, " "))
+            if hidden:
+                noise = _NOISE
+            else:
+                self.hinted.append((noise, hint))
+                noise = len(self.hinted) - 1
+        if noise != _NOISE:
             if tag in MARKED:
-                self.marked.add(region)
-        if noise and not above[1]:
-            self.cut() if block else self.data.append(" ")
-        self.stack.append((tag, noise or above[1], region))
+                self.enclosing.update(self.around(noise) if noise else (0,))
+            if (tag in MARKED or tag in CONTAINERS) and region not in self.marked:
+                region, self.regions = self.regions, self.regions + 1
+                if tag in MARKED:
+                    self.marked.add(region)
+        self.stack.append((tag, noise, region))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         if tag in VOID:
@@ -142,8 +199,9 @@ class Lines(HTMLParser):
         return end + 1 if end >= 0 else -1
 
     def handle_data(self, data: str) -> None:
-        if not (self.stack and self.stack[-1][1]):
-            self.data.append(data)
+        noise = self.stack[-1][1] if self.stack else 0
+        if noise != _NOISE:
+            self.data.append((noise, data))
 
 
 def _upper(ratios: np.ndarray) -> np.ndarray:
@@ -170,7 +228,7 @@ def main_text(html: str) -> str:
         parser.rawdata = parser.rawdata[: unfinished.start()]
     parser.close()
     parser.cut()
-    lines = parser.lines
+    lines = parser.lines()
     if not lines:
         return ""
     upper = _upper(np.array([len(text) / max(1, tags) for text, tags, _ in lines]))

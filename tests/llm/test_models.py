@@ -152,6 +152,26 @@ def test_text_behind_a_malformed_declaration_is_kept(mark):
     assert inside[0] == PROSE.strip() and inside[-1] == f"{PROSE}End"
 
 
+HINTED = [
+    (f"<article class='post has-sidebar'><p>{PROSE}</article>", [PROSE]),
+    (f"<main class='no-comments'><p>{PROSE}</main>", [PROSE]),
+    (f"<article class='comment'><p>{PROSE}</article>", [PROSE]),
+    (f"<div class='page with-sidebar'><p>{PROSE}<p>{PROSE}</div>", [PROSE, PROSE]),
+    (f"<div class=widget><div id=sidebar><article><p>{PROSE}</article></div></div><div class=ad>{PROSE * 3}</div>", [PROSE]),
+    (f"<div class=widget><p>{PROSE * 3}</div><div class=ad>{PROSE}</div>", [PROSE * 3]),
+    (f"<article><h2 id='related-work'>Related</h2><p>{PROSE}<section id='discussion'><h2 class=header>D</h2><p>{PROSE}</section></article>", ["Related", PROSE, "D", PROSE]),
+    (f"<article><p>{PROSE}<p>so <math><mi>a</mi><mo>=</mo><mn>1</mn></math> holds</article>", [PROSE, "so a=1 holds"]),
+    (f"<article><p>{PROSE}<span class=ad>Buy <b>now</b></span> tail<div class='comment-list'>c {PROSE * 5}</div></article>", [f"{PROSE}tail"]),
+    (f"<article><p>{PROSE}</article><div id=comments><article class=comment-body><p>{PROSE}</article></div>", [PROSE]),
+    (f"<article><p>{PROSE}<ul class=share-buttons hidden><li>x</ul><ul class='social share'><li>y</ul></article>", [PROSE]),
+]
+
+
+@pytest.mark.parametrize("page, want", HINTED)
+def test_names_of_classes_and_ids(page, want):
+    assert html_text.main_text(page).splitlines() == [x.strip() for x in want]
+
+
 def test_extract_handles_odd_rows(store):
     rows = [(i, None if i % 2 else "u", page, "x") for i, (page, _) in enumerate(PAGES)] + [(None, None, PAGES[4][0], "x")] * 2
     rows.append((99, "u", f"<article><p>{'long ' * 200_000}</p></article>", "x"))
