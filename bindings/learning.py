@@ -92,7 +92,7 @@ def _(spark, sf):
     train, test = written_split(events, "label", 0.2, L.SEED, ["event_id"], workspace(spark, "splits"))
     train, test = L.stable_layout(train, ["event_id"]).persist(), test.persist()
     try:
-        tuned = L.search(train, "random_forest", names, "label", trials=2)
+        tuned = L.search(train, "random_forest", names, "label")
         tuned.metrics = L.evaluate(tuned.model, test, "label")
     finally:
         train.unpersist()
@@ -136,7 +136,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     _prep, _raw, train, _test = prepared(spark, sf)
-    found = L.importances(L.train(train, "gradient_boosting", NAMES, "label", {"n_estimators": 5}), NAMES, spark)
+    found = L.importances(L.train(train, "gradient_boosting", NAMES, "label"), NAMES, spark)
     return found.agg(
         F.count("*").alias("n_features"),
         F.count_if(F.col("importance") < 0).alias("n_negative"),

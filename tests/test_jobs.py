@@ -1,3 +1,4 @@
+import inspect
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,6 +121,33 @@ def test_search_spaces_and_search(spark, patients):
     assert L.search(df, "svm", ["glucose", "bmi"], "target") is None
 
 
+def test_queries_do_not_lower_the_budgets(spark, sf, monkeypatch):
+    from __spark_entry__ import queries
+
+    called = {}
+
+    class Enough(Exception):
+        pass
+
+    def stop(name):
+        def made(*args, **kwargs):
+            called[name] = inspect.signature(original[name]).bind(*args, **kwargs)
+            called[name].apply_defaults()
+            raise Enough
+
+        return made
+
+    original = {name: getattr(L, name) for name in ("search", "train")}
+    for name in original:
+        monkeypatch.setattr(L, name, stop(name))
+    for query in ("hyperparameter_search", "importance_facts"):
+        with pytest.raises(Enough):
+            queries()[query](spark, sf)
+    assert called["search"].arguments["trials"] == L.TRIALS == 50 and called["search"].arguments["space"] is None
+    assert not called["train"].arguments["params"]
+
+
+
 def scored(df):
     return df.withColumn("diabetes_prediction", (F.col("glucose") + 2 * F.col("bmi") > 220).cast("int"))
 
