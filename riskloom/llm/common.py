@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from riskloom.session import cut_lineage, shared_dir
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+MAX_BITS = 1 << 28  # 32 MB, the most a row filter takes
+BITS_PER_ROW = 16
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -45,13 +50,63 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_id() -> Column:
-    """Identifies a row of a stored table, whatever its columns hold.
+_ROWS_PER_FILE = 36  # bits of the place in a file
+
+
+def _has_places(df: DataFrame) -> bool:
+    try:
+        df.select(df.metadataColumn("_metadata").getField("row_index"))
+    except AnalysisException:
+        return False
+    return True
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A frame whose rows have a place in a file: ``df`` itself if it scans Parquet files, else a stored copy."""
+    return df if _has_places(df) else stored(df, "rows")
+
+
+def free_name(df: DataFrame, base: str = "row") -> str:
+    """A column name that no column of ``df`` has, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    while base in taken:
+        base += "_"
+    return base
+
+
+def with_row(df: DataFrame, name: str) -> DataFrame:
+    """``df``, which must be settled, with a bigint that identifies a row: number of its file, place in the file.
 
-    Partition number and position in the partition; the same for every scan of the same files, so a
-    lost task that runs again numbers its rows as before.
+    It depends on the files alone, not on how a scan is split, so two scans agree even if executors come and go in
+    between. The files are numbered by the listing that the driver holds for the scan.
     """
-    return F.monotonically_increasing_id()
+    meta = df.metadataColumn("_metadata")
+    place = meta.getField("row_index")
+    files = sorted(set(df.inputFiles()))
+    if len(files) < 2:
+        return df.withColumn(name, place)
+    path, number = free_name(df, "file_path"), free_name(df, "file_number")
+    own = f"{path}_of_row"
+    while own in df.columns:
+        own += "_"
+    listed = df.sparkSession.createDataFrame(list(enumerate(files)), f"{number} bigint, {path} string")
+    named = df.select("*", place.alias(name), meta.getField("file_path").alias(own))
+    joined = named.join(F.broadcast(listed), F.col(own) == F.col(path), "left")  # the driver's own list of files
+    number = F.coalesce(F.col(number), F.raise_error(F.lit("a scanned file is not in the listing")).cast("bigint"))
+    return joined.select(*(df[c] for c in df.columns), (F.shiftleft(number, _ROWS_PER_FILE) + F.col(name)).alias(name))
+
+
+def identified(df: DataFrame, **columns: Column) -> DataFrame:
+    """(row, *columns) of a settled frame."""
+    name = free_name(df)
+    return with_row(df, name).select(F.col(name).alias("row"), *(c.alias(k) for k, c in columns.items()))
+
+
+def keep_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of a settled frame whose identity is in ``rows(row)``, with all their columns and no other."""
+    name = free_name(df)
+    kept = rows.select(F.col("row").alias(name))
+    return with_row(df, name).join(kept, name, "left_semi").select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def utf8(column: pa.Array) -> Iterator[bytes | None]:
@@ -123,3 +178,35 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components are not settled after {rounds} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def _bits_of(rows: np.ndarray, bits: int) -> np.ndarray:
+    mixed = rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed ^ (mixed >> np.uint64(31))) % np.uint64(bits)).astype(np.int64)
+
+
+def rows_among(source: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of ``source(row, doc, text)`` that may be among ``rows(row)``: a bit set of bounded size keeps most others out of the join behind it."""
+    spark = source.sparkSession
+    bits = int(min(MAX_BITS, max(64, BITS_PER_ROW * rows.count())))
+
+    def places(batches):
+        for batch in batches:
+            at = _bits_of(batch.column(0).to_numpy(), bits)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], names=["at", "bit"]
+            )
+
+    marks = rows.select("row").mapInArrow(places, "at bigint, bit bigint").groupBy("at").agg(F.bit_or("bit").alias("bits"))
+    got = marks.toArrow()  # at most MAX_BITS / 64 rows
+    filled = np.zeros(bits // 64 + 1, np.int64)
+    filled[got.column("at").to_numpy()] = got.column("bits").to_numpy()
+    shared = spark.sparkContext.broadcast(filled)
+
+    def pass_on(batches):
+        for batch in batches:
+            at = _bits_of(batch.column("row").to_numpy(), bits)
+            hit = (shared.value[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(hit.astype(bool)))
+
+    return source.mapInArrow(pass_on, "row bigint, doc bigint, text binary")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Rows, query, row_id, slices, table, utf8
+from riskloom.llm.common import Rows, identified, keep_rows, query, settled, slices, table, utf8
 from riskloom.session import cut_lineage
 
 BLOCK_BYTES = 4096
@@ -144,9 +144,7 @@ def text_identity(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null text counts as empty; an empty text is one empty block. Rows are told apart by their place in the stored
     table, so repeated or null ids do no harm.
     """
-    source = df.select(
-        row_id().alias("row"), F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("binary").alias("text")
-    )
+    source = identified(settled(df), doc=F.col(id_col).cast("bigint"), text=F.col(text_col).cast("binary"))
     blocks = source.mapInArrow(_cut(block_bytes), "row bigint, doc bigint, sha string, n bigint, idx bigint, block binary")
     named = _name(blocks.withColumns({"h1": F.xxhash64("block"), "h2": F.xxhash64("block", F.lit(1))}))
     named = named.withColumn("blocks", F.col("n"))
@@ -197,9 +195,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns."""
-    mark = "__row__"
-    kept = exact_groups(df, id_col, text_col).where("kept").select(F.col("row").alias(mark))
-    return df.withColumn(mark, row_id()).join(kept, mark, "left_semi").drop(mark)
+    df = settled(df)
+    return keep_rows(df, exact_groups(df, id_col, text_col).where("kept"))
 
 
 @query(

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import query, row_id, slices, table, utf8
+from riskloom.llm.common import identified, query, settled, slices, table, utf8
 from riskloom.session import cut_lineage
 
 HEAD_CLASSES = 16
@@ -482,11 +482,11 @@ def score_texts(
     empty table gives an empty result.
     """
     spark = df.sparkSession
-    source = df.select(
-        row_id().alias("row"),
-        F.col(id_col).alias("doc"),
-        F.coalesce(training, F.lit(False)).alias("trains"),
-        F.col(text_col).cast("binary").alias("text"),
+    source = identified(
+        settled(df),
+        doc=F.col(id_col),
+        trains=F.coalesce(training, F.lit(False)),
+        text=F.col(text_col).cast("binary"),
     )
     train = source.where("trains").select("row", "text")
     words, counts = learn_words(train, listed)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import query, row_id, table
+from riskloom.llm.common import identified, query, settled, table
 from riskloom.llm.order import before, digits_for, seeded, source_key
 from riskloom.session import cut_lineage
 
@@ -126,7 +126,7 @@ def mix(
     size, so reruns agree. An empty table gives an empty result.
     """
     sized = df.select(
-        row_id().alias("row"),
+        F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
         source_key(F.col(source_col)).alias("src"),
         n_words(F.col(text_col)).alias("size"),
@@ -210,7 +210,7 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     plan = plan.select(
         F.col("row").alias(mark), F.col("copies").alias("__copies"), (F.col("taken") - F.col("copies") * F.col("size")).alias("__part")
     )
-    joined = df.withColumn(mark, row_id()).join(plan, mark)
+    joined = df.withColumn(mark, F.monotonically_increasing_id()).join(plan, mark)
     takes = joined.withColumn(
         "__take", F.explode(F.expr("sequence(1, cast(__copies + if(__part > 0, 1, 0) as int))"))
     )

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import query, row_id, slices, table
+from riskloom.llm.common import query, slices, table
 from riskloom.session import cut_lineage
 
 TREES = 10
@@ -224,7 +224,7 @@ def nearest(
     """
     spark = df.sparkSession
     rows = df.select(
-        row_id().alias("row"), F.col(id_col).alias("id"), is_query.alias("asks"), F.col(vector_col).alias("vector")
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), is_query.alias("asks"), F.col(vector_col).alias("vector")
     )
     sound = (
         "vector is not null and forall(vector, x -> x is not null and not isnan(x) and abs(x) < 'infinity')"

@@ -23,15 +23,13 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import query, row_id, slices, stored, table, utf8
+from riskloom.llm.common import identified, query, rows_among, settled, slices, stored, table, utf8
 from riskloom.session import cut_lineage
 
 WINDOW = 13
 GRAM = 5
 SHARD_PAIRS = 8_000  # (anchor, document) pairs a shard holds, about
 HOT_DOCUMENTS = 8_000  # an anchor of more documents is spread over tasks
-BITS_PER_ROW = 16
-MAX_BITS = 1 << 28  # 32 MB, the most a row filter takes
 
 
 class Anchors:
@@ -306,38 +304,6 @@ def _keep_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bits_of(rows: np.ndarray, bits: int) -> np.ndarray:
-    mixed = rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed ^ (mixed >> np.uint64(31))) % np.uint64(bits)).astype(np.int64)
-
-
-def _row_filter(source: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of ``source`` that may be among ``rows``: a bit set of bounded size keeps most other texts out of the join."""
-    spark = source.sparkSession
-    bits = int(min(MAX_BITS, max(64, BITS_PER_ROW * rows.count())))
-
-    def places(batches):
-        for batch in batches:
-            at = _bits_of(batch.column(0).to_numpy(), bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], names=["at", "bit"]
-            )
-
-    marks = rows.select("row").mapInArrow(places, "at bigint, bit bigint").groupBy("at").agg(F.bit_or("bit").alias("bits"))
-    got = marks.toArrow()  # at most MAX_BITS / 64 rows
-    filled = np.zeros(bits // 64 + 1, np.int64)
-    filled[got.column("at").to_numpy()] = got.column("bits").to_numpy()
-    shared = spark.sparkContext.broadcast(filled)
-
-    def pass_on(batches):
-        for batch in batches:
-            at = _bits_of(batch.column("row").to_numpy(), bits)
-            hit = (shared.value[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64)) & np.uint64(1)
-            yield batch.filter(pa.array(hit.astype(bool)))
-
-    return source.mapInArrow(pass_on, "row bigint, doc bigint, text binary")
-
-
 def _ranges(source: DataFrame, whole: DataFrame, window: int) -> DataFrame:
     """(row, first, last): word ranges to remove, copies of whole texts left out."""
     found = source.mapInArrow(_anchor_rows(window), "h bigint, row bigint, doc bigint")
@@ -346,7 +312,7 @@ def _ranges(source: DataFrame, whole: DataFrame, window: int) -> DataFrame:
     pairs = found.select("h", "row").join(shared, "h").groupBy("row").agg(F.collect_list(F.struct("h", "n")).alias("anchors"))
     wanted = cut_lineage(pairs.join(whole.where("not copy").select("row"), "row", "left_semi"))
     total = wanted.agg(F.sum(F.size("anchors"))).first()[0] or 0
-    texts = _row_filter(source, wanted).join(wanted, "row")
+    texts = rows_among(source, wanted).join(wanted, "row")
     schema = "h bigint, n bigint, row bigint, doc bigint, start bigint, words binary"
     fragments = stored(texts.mapInArrow(_fragments(window), schema), "fragments")
     shards = max(1, total // SHARD_PAIRS)
@@ -371,16 +337,14 @@ def drop_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with a null id are left alone and count for no one; rows that share an id are one document to others and are
     not compared with each other. An empty table gives an empty result.
     """
-    source = df.select(
-        row_id().alias("row"), F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("binary").alias("text")
-    )
+    source = identified(settled(df), doc=F.col(id_col).cast("bigint"), text=F.col(text_col).cast("binary"))
     digests = cut_lineage(source.mapInArrow(_digest, "row bigint, doc bigint, n bigint, sha string"))
     firsts = digests.groupBy("sha", "n").agg(F.min("doc").alias("low"))
     copy = F.coalesce((F.col("doc") > F.col("low")) & (F.col("n") >= window), F.lit(False))
     whole = cut_lineage(digests.join(firsts, ["sha", "n"]).select("row", "doc", "n", "sha", copy.alias("copy")))
     ranges = _ranges(source, whole, window).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     ranges = cut_lineage(ranges)
-    cut = _row_filter(source, ranges).join(ranges, "row")
+    cut = rows_among(source, ranges).join(ranges, "row")
     cut = cut.mapInArrow(_keep_words, "row bigint, removed bigint, left_sha string, left_text binary")
     none = hashlib.sha256(b"").hexdigest()
     return whole.join(cut, "row", "left").select(

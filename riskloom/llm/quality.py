@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import query, row_id, slices, table, utf8
+from riskloom.llm.common import identified, keep_rows, query, settled, slices, table, utf8
 from riskloom.session import cut_lineage
 
 BUCKETS = 1 << 16
@@ -280,9 +280,7 @@ def classify(
     gives an empty result.
     """
     spark = df.sparkSession
-    source = df.select(
-        row_id().alias("row"), F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("binary").alias("text")
-    )
+    source = identified(settled(df), doc=F.col(id_col).cast("bigint"), text=F.col(text_col).cast("binary"))
     said = source.mapInArrow(_vote_rows, "row bigint, doc bigint, junk string, toxic string")
     if labels is not None:
         known = labels.groupBy(F.col("doc_id").alias("doc")).agg(
@@ -319,9 +317,8 @@ def classify(
 
 def accepted(df: DataFrame, labels: DataFrame | None = None, **options) -> DataFrame:
     """The rows of ``df`` that the classifier accepts, with all their columns."""
-    mark = "__row__"
-    good = classify(df, labels, **options).where("accepted").select(F.col("row").alias(mark))
-    return df.withColumn(mark, row_id()).join(good, mark, "left_semi").drop(mark)
+    df = settled(df)
+    return keep_rows(df, classify(df, labels, **options).where("accepted"))
 
 
 @query("op3_weak_label_quality")

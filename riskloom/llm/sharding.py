@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import query, row_id, table
+from riskloom.llm.common import identified, query, settled, table
 from riskloom.llm.order import ROWS_PER_BUCKET, before, digits_for, seeded, source_key
 from riskloom.session import cut_lineage
 
@@ -33,12 +33,12 @@ def interleave(
     """
     text = F.col(text_col)
     rows = cut_lineage(
-        df.select(
-            row_id().alias("row"),
-            F.col(id_col).alias("id"),
-            source_key(F.col(source_col)).alias("src"),
-            (F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 1).alias("size"),
-            F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        identified(
+            settled(df),
+            id=F.col(id_col),
+            src=source_key(F.col(source_col)),
+            size=F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 1,
+            text_crc32=F.crc32(F.coalesce(text, F.lit("")).cast("binary")),
         ).withColumn("place", seeded("id", seed, "row"))
     )
     total = rows.count()

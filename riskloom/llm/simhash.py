@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import connected_components, query, row_id, slices, table, utf8
+from riskloom.llm.common import connected_components, identified, keep_rows, query, settled, slices, table, utf8
 from riskloom.session import cut_lineage
 
 BITS = 64
@@ -68,9 +68,7 @@ def _fingerprints(shingle: int, seed: int):
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(row, doc, fp) of every row; null text counts as empty."""
-    source = df.select(
-        row_id().alias("row"), F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("binary").alias("text")
-    )
+    source = identified(settled(df), doc=F.col(id_col).cast("bigint"), text=F.col(text_col).cast("binary"))
     return source.mapInArrow(_fingerprints(shingle, seed), "row bigint, doc bigint, fp bigint")
 
 
@@ -156,12 +154,12 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component stays, with all its columns: the smallest id, the first stored row of equal ids."""
-    mark = "__row__"
+    df = settled(df)
     groups = near_groups(df, id_col, text_col)
     first = groups.groupBy("component_id").agg(
-        F.min_by("row", F.struct(F.col("doc").isNull(), F.col("doc"), F.col("row"))).alias(mark)
+        F.min_by("row", F.struct(F.col("doc").isNull(), F.col("doc"), F.col("row"))).alias("row")
     )
-    return df.withColumn(mark, row_id()).join(first.select(mark), mark, "left_semi").drop(mark)
+    return keep_rows(df, first)
 
 
 @query("op1_simhash_near_dedup")
