@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-The mix is a number of equal blocks of words, one word each unless a caller asks for coarser ones. Sources get whole blocks by
-highest quotient (target / (2k + 1)), and the blocks are dealt out to shards, so every shard has an integer quota per
-source. A source's documents are laid end to end in seeded order; its blocks are taken from the start of that stream, and
-again from the start where the quota exceeds the stream.
+The mix is made of equal blocks of words. Sources get whole blocks by highest quotient (target / (2k + 1)), and the blocks are dealt out
+to shards, so every shard has an integer quota of blocks per source. A source's documents are laid end to end in seeded
+order, three times over, and this stream is cut into blocks. A seeded permutation ranks the blocks that start in one pass; the first
+ones in (pass, rank) are selected, and the rank also names the shard. What a source's target leaves below a block is
+settled exactly by the next block in rank, so a source shorter than a block keeps its share beside huge ones.
 """
 
 from __future__ import annotations
@@ -11,16 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import identified, query, settled, table
+from riskloom.llm.common import free_name, identified, query, settled, table, with_row
 from riskloom.llm.order import before, digits_for, seeded, source_key
 from riskloom.session import cut_lineage
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
-BLOCKS = 1 << 20  # of a coarse mix, whose blocks grow with the table
-WORDS = 1 << 62  # more blocks than a table has words: every block is one word, so no source is too small for one
+BLOCK_WORDS = 256
 SHARDS = 8
 SEED = 17
+#: Factors of the block permutation; one of them at least does not divide a number of blocks below 2^41.
+FACTORS = (786433, 1572869, 3145739)
 
 
 def n_words(text: Column) -> Column:
@@ -60,22 +62,16 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     )
 
 
-def apportion(targets: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """``block`` (words a block) and ``quota`` (blocks) per source, by highest quotient target / (2k + 1).
+def apportion(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``quota`` (blocks) per source, by highest quotient target / (2k + 1), and ``wanted``, its words.
 
     Every quota lies within half a seat of its share of a total that is off by at most half a seat a source; only
     the quotients in that range are listed, about six rows a source.
     """
     everything = Window.partitionBy()
     total = F.sum("source_size").over(everything)
-    shares = targets.withColumns(
-        {
-            "block": F.greatest(F.lit(1).cast("bigint"), F.expr(f"cast(1 as bigint) * (sum(source_size) over () div {blocks})")),
-            "all_words": total,
-            "sources": F.count(F.lit(1)).over(everything),
-        }
-    )
-    shares = shares.withColumn("seats", F.round(F.col("all_words") / F.col("block")).cast("bigint"))
+    shares = targets.withColumns({"all_words": total, "sources": F.count(F.lit(1)).over(everything)})
+    shares = shares.withColumn("seats", F.round(F.col("all_words") / block_words).cast("bigint"))
     share = F.when(F.col("all_words") > 0, F.col("target") / F.col("all_words")).otherwise(F.lit(0.0))
     low = F.greatest(F.lit(0).cast("bigint"), F.floor(share * (F.col("seats") - F.col("sources") / 2) - 1.5))
     high = F.ceil(share * (F.col("seats") + F.col("sources") / 2) + 1.5)
@@ -85,10 +81,11 @@ def apportion(targets: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     best = Window.orderBy((F.col("target") / (2 * F.col("k") + 1)).desc(), "src", "k")
     won = quotients.withColumn("place", F.row_number().over(best)).where("place <= open")
     won = won.groupBy(F.col("src").alias("__src")).agg(F.count(F.lit(1)).alias("won"))
+    wanted = F.least(F.floor(F.col("target") + 0.5), MAX_EPOCHS * F.col("source_size"))
     return (
         ranged.join(won, F.col("src") == F.col("__src"), "left")
         .withColumn("quota", F.col("low") + F.coalesce("won", F.lit(0)))
-        .select("src", "source_size", "rows", "weight", "target", "block", "quota")
+        .select("src", "source_size", "rows", "weight", "target", "quota", wanted.alias("wanted"))
     )
 
 
@@ -100,61 +97,113 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
     """
     ahead = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, -1)
     dealt = quotas.withColumn("__ahead", F.coalesce(F.sum("quota").over(ahead), F.lit(0))).select(
-        "src", "block", "quota", "__ahead", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+        "src", "quota", "__ahead", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
     )
     count = F.expr(f"(quota + {shards - 1} - pmod(shard - __ahead, {shards})) div {shards}")
     dealt = dealt.withColumn("blocks", count)
     earlier = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return dealt.select(
-        "src", "shard", "block", F.coalesce(F.sum("blocks").over(earlier), F.lit(0)).alias("first"), "blocks"
+        "src", "shard", F.coalesce(F.sum("blocks").over(earlier), F.lit(0)).alias("first"), "blocks"
+    )
+
+
+def block_plan(quotas: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+    """What places a source's blocks: ``ahead`` (blocks of earlier sources) and the passes, (first, blocks, factor, shift) each.
+
+    A pass holds the blocks that start in it; ``blocks`` whole ones in all, and the rest of the stream is a last, shorter one.
+    """
+    ahead = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, -1)
+    whole = f"({MAX_EPOCHS} * source_size div {block_words})"
+    passes = []
+    for e in range(MAX_EPOCHS):
+        first = f"least(({e} * source_size + {block_words - 1}) div {block_words}, {whole})"
+        end = f"least(({e + 1} * source_size + {block_words - 1}) div {block_words}, {whole})"
+        count = f"greatest({end} - {first}, 1)"
+        factor = f"case when {count} % {FACTORS[0]} <> 0 then {FACTORS[0]} when {count} % {FACTORS[1]} <> 0 then {FACTORS[1]} else {FACTORS[2]} end"
+        shift = f"cast(conv(substring(md5(concat(src, ':{e}:{seed}')), 1, 8), 16, 10) as bigint) % {count}"
+        passes.append(f"named_struct('first', {first}, 'count', {count}, 'factor', cast({factor} as bigint), 'shift', {shift})")
+    return quotas.withColumns(
+        {
+            "ahead": F.coalesce(F.sum("quota").over(ahead), F.lit(0)),
+            "blocks": F.expr(whole),
+            "passes": F.expr(f"array({', '.join(passes)})"),
+        }
     )
 
 
+def _pieces(block_words: int, shards: int) -> Column:
+    """Array of (block, place, shard, first, words): what the mix takes of a document, block by block.
+
+    ``place`` is the block's place in its source's selection, ``first`` the piece's first word in the document.
+    """
+    epochs = F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1))
+
+    def of_pass(e: Column) -> Column:
+        low = e * F.col("source_size") + F.col("start")
+        blocks = F.sequence(F.floor(low / block_words), F.floor((low + F.col("size") - 1) / block_words))
+
+        def piece(j: Column) -> Column:
+            begins = F.least(F.floor(j * block_words / F.col("source_size")), F.lit(MAX_EPOCHS - 1)).cast("int")
+            own = F.element_at("passes", begins + 1)
+            place = own["first"] + (own["factor"] * (j - own["first"]) + own["shift"]) % own["count"]
+            place = F.when(j < F.col("blocks"), place).otherwise(F.col("blocks"))
+            left = F.greatest(F.lit(0), F.least(F.lit(block_words), F.col("wanted") - place * block_words))
+            first = F.greatest(low, j * block_words)
+            words = F.least(low + F.col("size"), j * block_words + left) - first
+            return F.struct(
+                j.alias("block"),
+                place.alias("place"),
+                F.pmod(F.col("ahead") + place, F.lit(shards)).cast("int").alias("shard"),
+                (first - low).alias("first"),
+                words.alias("words"),
+            )
+
+        return F.filter(F.transform(blocks, piece), lambda x: x["words"] > 0)
+
+    taken = F.flatten(F.transform(epochs, of_pass))
+    return F.when(F.col("size") > 0, taken)
+
+
+def _laid(df: DataFrame, id_col: str, text_col: str, source_col: str, block_words: int, seed: int) -> DataFrame:
+    """Every row with its place in its source's stream and its source's plan."""
+    sized = cut_lineage(
+        identified(settled(df), id=F.col(id_col), src=source_key(F.col(source_col)), size=n_words(F.col(text_col)))
+    )
+    plan = block_plan(apportion(source_targets(sized), block_words), block_words, seed)
+    digits = digits_for(sized.count())
+    order = sized.withColumn("place", seeded("id", seed, "row")).withColumn("bucket", F.substring("place", 1, digits))
+    laid = before(order, "src", "bucket", ["place", "id", "size"], F.col("size"), "start")
+    return laid.drop("place").join(plan.drop("rows"), "src")
+
+
 def mix(
     df: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    blocks: int = WORDS,
+    block_words: int = BLOCK_WORDS,
     shards: int = SHARDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """Per row: row, id, size, source_size, target, taken (words the mix takes, repeats counted), copies.
+    """Per row: row, id, size, source_size, target, taken (words the mix takes, repeats counted), pieces.
 
-    ``copies`` counts whole takes; ``taken - copies * size`` words from the document's start come on top. A null text
-    has size 0 and is never taken; null sources are one source, the last. Rows that share an id are ordered by
-    size, so reruns agree. An empty table gives an empty result.
+    ``pieces`` lists what is taken block by block: (block, place, shard, first, words). A null text has size 0 and is never
+    taken; null sources are one source, the last. Rows that share an id are ordered by size, so reruns agree. An empty
+    table gives an empty result.
     """
-    sized = df.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).alias("id"),
-        source_key(F.col(source_col)).alias("src"),
-        n_words(F.col(text_col)).alias("size"),
-    )
-    sized = cut_lineage(sized)
-    quotas = apportion(source_targets(sized), blocks)
-    dealt = shard_quotas(quotas, shards).groupBy("src").agg(
-        F.sum(F.col("blocks") * F.col("block")).alias("dealt")
-    )
-    plan = quotas.join(dealt, "src").select(
-        "src", "source_size", "target", F.least("dealt", F.col("source_size") * MAX_EPOCHS).alias("wanted")
-    )
-    digits = digits_for(sized.count())
-    order = sized.withColumn("place", seeded("id", seed, "row")).withColumn("bucket", F.substring("place", 1, digits))
-    laid = before(order, "src", "bucket", ["place", "id", "size"], F.col("size"), "start")
-    joined = laid.join(plan, "src")
-    whole = F.expr("if(source_size > 0, wanted div source_size, 0)")
-    rest = F.expr("if(source_size > 0, wanted % source_size, 0)")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("start")))
-    return joined.select(
-        "row",
-        "id",
-        "size",
-        "source_size",
-        "target",
-        (whole * F.col("size") + part).alias("taken"),
-        (whole + F.when((F.col("size") > 0) & (part == F.col("size")), 1).otherwise(0)).alias("copies"),
-    )
+    laid = _laid(df, id_col, text_col, source_col, block_words, seed).withColumn("pieces", _pieces(block_words, shards))
+    taken = F.aggregate("pieces", F.lit(0).cast("bigint"), lambda s, x: s + x["words"])
+    return laid.select("row", "id", "size", "source_size", "target", F.coalesce(taken, F.lit(0)).cast("bigint").alias("taken"), "pieces")
+
+
+def shard_words(pieces: Column, shards: int = SHARDS) -> Column:
+    """Words per shard, joined by commas."""
+
+    def of_shard(k: Column) -> Column:
+        own = F.filter(pieces, lambda x: x["shard"] == k)
+        return F.coalesce(F.aggregate(own, F.lit(0).cast("bigint"), lambda s, x: s + x["words"]), F.lit(0)).cast("string")
+
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), of_shard), ",")
 
 
 _SQL = f"""
@@ -171,9 +220,8 @@ s2 as (select *, row_number() over (order by source_size / weight, src) as place
 s3 as (select *, case when level * weight <= 3 * source_size then place end as stays from s2),
 s4 as (select *, min(stays) over () as first, min_by(level, stays) over () as open from s3),
 s5 as (select src, source_size, case when first is null or place < first then 3.0::double * source_size else open * weight end as target,
-              greatest(1, sum(source_size) over () // {BLOCKS})::bigint as block,
               sum(source_size) over () as words, count(*) over () as sources from s4),
-s6 as (select *, round(words / block)::bigint as seats from s5),
+s6 as (select *, round(words / {BLOCK_WORDS})::bigint as seats, least(floor(target + 0.5)::bigint, 3 * source_size) as wanted from s5),
 s7 as (select *, greatest(0, floor(target / words * (seats - sources / 2) - 1.5))::bigint as low,
               ceil(target / words * (seats + sources / 2) + 1.5)::bigint as high from s6),
 s8 as (select *, seats - sum(low) over () as places from s7),
@@ -182,38 +230,57 @@ q as (select src, places, target / (2 * k + 1) as quotient, k
 won as (select src, count(*) as won
         from (select *, row_number() over (order by quotient desc, src, k) as place from q) where place <= places
         group by src),
-plan as (select src, source_size, target,
-                least((low + coalesce(won, 0)) * block, 3 * source_size)::bigint as wanted
+plan as (select src, source_size, target, wanted, 3 * source_size // {BLOCK_WORDS} as blocks,
+                coalesce(sum(low + coalesce(won, 0)) over (order by src rows between unbounded preceding and 1 preceding), 0)::bigint as ahead
          from s8 left join won using (src)),
+passes as (select *, greatest(last - first, 1) as n
+           from (select src, e, least((e * source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS}, blocks) as first,
+                        least(((e + 1) * source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS}, blocks) as last
+                 from plan, range(3) r(e))),
+perm as (select src, e, first, n,
+                ('0x' || substr(md5(src || ':' || e || ':{SEED}'), 1, 8))::bigint % n as shift,
+                case when n % {FACTORS[0]} <> 0 then {FACTORS[0]}
+                     when n % {FACTORS[1]} <> 0 then {FACTORS[1]} else {FACTORS[2]} end as factor
+         from passes),
 laid as (select *, coalesce(sum(size) over (partition by src order by md5(doc_id::varchar || ':{SEED}'), doc_id, size
-                  rows between unbounded preceding and 1 preceding), 0)::bigint as start from d)
-select doc_id, size, source_size, target,
-       (case when source_size > 0 then (wanted // source_size) * size
-             + greatest(0, least(size, wanted % source_size - start)) else 0 end)::bigint as taken
-from laid join plan using (src)
+                  rows between unbounded preceding and 1 preceding), 0)::bigint as start from d),
+met as (select doc_id, src, size, source_size, wanted, blocks, ahead, p * source_size + start as low,
+               unnest(range((p * source_size + start) // {BLOCK_WORDS}, (p * source_size + start + size - 1) // {BLOCK_WORDS} + 1)) as j
+        from laid join plan using (src), range(3) r(p) where size > 0),
+placed as (select met.*, case when j < blocks then perm.first + (factor * (j - perm.first) + shift) % n else blocks end as place
+           from met join perm on perm.src = met.src and perm.e = least(j * {BLOCK_WORDS} // source_size, 2)),
+pieces as (select doc_id, (ahead + place) % {SHARDS} as shard,
+                  least(low + size, j * {BLOCK_WORDS} + greatest(0, least({BLOCK_WORDS}, wanted - place * {BLOCK_WORDS})))
+                  - greatest(low, j * {BLOCK_WORDS}) as words
+           from placed),
+shards as (select doc_id, shard, sum(words) as words from pieces where words > 0 group by doc_id, shard),
+docs as (select doc_id, sum(words) as taken, list(words) as w, list(shard) as k from shards group by doc_id)
+select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken,
+       array_to_string(list_transform(range({SHARDS}), lambda x: coalesce(w[list_position(k, x)], 0)::bigint), ',') as shard_words
+from laid join plan using (src) left join docs using (doc_id)
 """
 
 
 @query("op4_source_mixing", _SQL)
 def op4_source_mixing(spark, sf):
     mixed = mix(table(spark, sf, "documents"))
-    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.col("taken").cast("bigint"))
+    return mixed.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", shard_words(F.col("pieces")).alias("shard_words")
+    )
 
 
-def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: a row per whole take of a document, and one with its first words where a part is taken.
+def mixed_documents(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED
+) -> DataFrame:
+    """The mix by whole documents: a row for each take, with all columns as they are.
 
-    All columns are kept. A part's words are joined by one space.
+    A source's target is the mix's. Its documents are taken in seeded order, whole passes first; the document at
+    the target's border is taken whole if that lies nearer to the target, else not at all. Documents without words are not taken.
     """
-    mark, fields = "__row__", df.columns
-    plan = mix(df, id_col, text_col, source_col, **options).where("taken > 0")
-    plan = plan.select(
-        F.col("row").alias(mark), F.col("copies").alias("__copies"), (F.col("taken") - F.col("copies") * F.col("size")).alias("__part")
-    )
-    joined = df.withColumn(mark, F.monotonically_increasing_id()).join(plan, mark)
-    takes = joined.withColumn(
-        "__take", F.explode(F.expr("sequence(1, cast(__copies + if(__part > 0, 1, 0) as int))"))
-    )
-    words = F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.col("__part")).cast("int")), " ")
-    return takes.withColumn(text_col, F.when(F.col("__take") > F.col("__copies"), cut).otherwise(F.col(text_col))).select(*fields)
+    df = settled(df)
+    laid = _laid(df, id_col, text_col, source_col, BLOCK_WORDS, seed).where("size > 0")
+    rest = F.expr("2 * (wanted % source_size - start) >= size")
+    plan = laid.select("row", (F.expr("wanted div source_size") + rest.cast("int")).cast("int").alias("takes")).where("takes > 0")
+    row, takes = free_name(df), free_name(df, "takes")
+    plan = plan.select(F.col("row").alias(row), F.explode(F.sequence(F.lit(1), "takes")).alias(takes))
+    return with_row(df, row).join(plan, row).select(*(F.col(f"`{c}`") for c in df.columns))
