@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -51,6 +52,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 _ROWS_PER_FILE = 36  # bits of the place in a file
+_SCHEME = r"^(\w+):/+"  # a path is written with one slash or three
 
 
 def _has_places(df: DataFrame) -> bool:
@@ -82,7 +84,7 @@ def with_row(df: DataFrame, name: str) -> DataFrame:
     """
     meta = df.metadataColumn("_metadata")
     place = meta.getField("row_index")
-    files = sorted(set(df.inputFiles()))
+    files = sorted({re.sub(_SCHEME, r"\1:/", f) for f in df.inputFiles()})
     if len(files) < 2:
         return df.withColumn(name, place)
     path, number = free_name(df, "file_path"), free_name(df, "file_number")
@@ -90,7 +92,7 @@ def with_row(df: DataFrame, name: str) -> DataFrame:
     while own in df.columns:
         own += "_"
     listed = df.sparkSession.createDataFrame(list(enumerate(files)), f"{number} bigint, {path} string")
-    named = df.select("*", place.alias(name), meta.getField("file_path").alias(own))
+    named = df.select("*", place.alias(name), F.regexp_replace(meta.getField("file_path"), _SCHEME, "$1:/").alias(own))
     joined = named.join(F.broadcast(listed), F.col(own) == F.col(path), "left")  # the driver's own list of files
     number = F.coalesce(F.col(number), F.raise_error(F.lit("a scanned file is not in the listing")).cast("bigint"))
     return joined.select(*(df[c] for c in df.columns), (F.shiftleft(number, _ROWS_PER_FILE) + F.col(name)).alias(name))
