@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from riskloom.llm import mixing, packing, sharding
+from riskloom.llm.common import identified
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -105,22 +106,21 @@ def slow_targets(sizes):
         capped |= over
 
 
-def slow_quotas(target, total, blocks):
-    block = max(1, total // blocks)
-    seats = round(total / block)
+def slow_quotas(target, total, block):
+    seats = int(total / block + 0.5)
     quota = dict.fromkeys(target, 0)
     for _ in range(seats):
         best = max(sorted(target), key=lambda s: target[s] / (2 * quota[s] + 1))
         quota[best] += 1
-    return block, quota
+    return quota
 
 
 def source(r):
     return "1" if r.source is None else "0" + r.source
 
 
-@pytest.mark.parametrize("blocks", [20, 300])
-def test_targets_and_quotas_match_the_slow_way(spark, sf, odd_docs, blocks):
+@pytest.mark.parametrize("block", [7, 1000])
+def test_targets_and_quotas_match_the_slow_way(spark, sf, odd_docs, block):
     table = spark.read.parquet(f"{sf}/documents.parquet")
     tiny = table.where("source not in ('src3', 'src5') or doc_id in (3, 5)")
     for df in (tiny, odd_docs):
@@ -129,14 +129,15 @@ def test_targets_and_quotas_match_the_slow_way(spark, sf, odd_docs, blocks):
         for r in rows:
             sizes[source(r)] += len(WORD.findall(r.text or ""))
         target = slow_targets(sizes)
-        block, quota = slow_quotas({s: t for s, t in target.items() if t}, sum(sizes.values()), blocks)
+        quota = slow_quotas({s: t for s, t in target.items() if t}, sum(sizes.values()), block)
         sized = df.select(mixing.source_key(F.col("source")).alias("src"), mixing.n_words(F.col("text")).alias("size"))
-        quotas = mixing.apportion(mixing.source_targets(sized), blocks)
+        quotas = mixing.apportion(mixing.source_targets(sized), block)
         got = {r.src: r for r in quotas.collect()}
         assert set(got) == set(sizes)
         for s, r in got.items():
             assert r.target == pytest.approx(float(target[s]))
-            assert (r.block, r.quota) == (block, quota.get(s, 0))
+            assert r.quota == quota.get(s, 0)
+            assert abs(r.wanted - target[s]) <= Fraction(1, 2) + Fraction(1, 10**6) and r.wanted <= 3 * sizes[s]
         dealt = mixing.shard_quotas(quotas, 8).collect()
         per_shard, per_source = Counter(), Counter()
         for r in dealt:
@@ -147,28 +148,52 @@ def test_targets_and_quotas_match_the_slow_way(spark, sf, odd_docs, blocks):
         assert max(per_shard.values()) - min(per_shard[k] for k in range(8)) <= 1
 
 
-def test_mix_takes_the_targets(spark, sf, odd_docs, no_docs):
+@pytest.mark.parametrize("block", [5, 256])
+def test_mix_takes_whole_blocks_and_the_exact_rest(spark, sf, odd_docs, no_docs, block):
     for df in (spark.read.parquet(f"{sf}/documents.parquet"), odd_docs):
-        rows = mixing.mix(df).collect()
+        rows = mixing.mix(df, block_words=block).collect()
         assert len(rows) == df.count()
-        taken, target = Counter(), {}
+        blocks, shards, words, target = Counter(), defaultdict(set), Counter(), {}
         for r in rows:
             key = (r.source_size, r.target)
-            taken[key] += r.taken
             target[key] = r.target
-            assert 0 <= r.taken <= 3 * r.size and r.copies * r.size <= r.taken < (r.copies + 1) * r.size or r.size == r.taken == 0
+            pieces = r.pieces or []
+            assert r.taken == sum(p.words for p in pieces) <= 3 * r.size
+            times = Counter(w for p in pieces for w in range(p.first, p.first + p.words))
+            assert all(0 <= w < r.size and n <= 3 for w, n in times.items())
+            for p in pieces:
+                blocks[key, p.place] += p.words
+                shards[key, p.place].add((p.block, p.shard))
+                words[key, p.shard] += p.words
         for key, goal in target.items():
-            assert abs(taken[key] - goal) <= 2
-        again = mixing.mix(df).collect()
+            wanted = min(int(goal + 0.5), 3 * key[0])
+            own = {place: n for (k, place), n in blocks.items() if k == key}
+            assert sum(own.values()) == wanted
+            for place, n in own.items():  # a block is one stretch of the stream, in one shard
+                assert n == (block if place < wanted // block else wanted % block)
+                assert len(shards[key, place]) == 1
+            by_shard = [words[key, k] for k in range(8)]
+            assert max(by_shard) - min(by_shard) <= 2 * block
+        again = mixing.mix(df, block_words=block).collect()
         assert sorted(map(str, rows)) == sorted(map(str, again))
     assert mixing.mix(no_docs).count() == 0
 
 
-def test_mixed_documents_hold_the_words_taken(odd_docs, no_docs):
-    mixed = mixing.mixed_documents(odd_docs)
-    assert mixed.columns == odd_docs.columns
-    words = sum(len(WORD.findall(r.text or "")) for r in mixed.collect())
-    assert words == sum(r.taken for r in mixing.mix(odd_docs).collect())
+def test_mixed_documents_are_whole_and_near_the_targets(spark, sf, odd_docs, no_docs):
+    for df in (spark.read.parquet(f"{sf}/documents.parquet"), odd_docs):
+        mixed = mixing.mixed_documents(df)
+        assert mixed.columns == df.columns
+        texts = {r.text for r in df.collect()}
+        size, longest, got = Counter(), Counter(), Counter()
+        for r in df.collect():
+            n = len(WORD.findall(r.text or ""))
+            size[source(r)] += n
+            longest[source(r)] = max(longest[source(r)], n)
+        for r in mixed.collect():
+            assert r.text in texts
+            got[source(r)] += len(WORD.findall(r.text))
+        for s, goal in slow_targets(size).items():
+            assert abs(got[s] - goal) <= longest[s] / 2 + 1
     assert mixing.mixed_documents(no_docs).count() == 0
 
 
@@ -215,7 +240,7 @@ def test_shards_match_the_slow_way(spark, sf, odd_docs, no_docs, monkeypatch):
     monkeypatch.setattr("riskloom.llm.order.ROWS_PER_BUCKET", 8)
     monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 8)
     for df in (spark.read.parquet(f"{sf}/documents.parquet"), odd_docs):
-        rows = df.select(sharding.row_id().alias("row"), "doc_id", "text", "source").collect()
+        rows = identified(df, **{c: F.col(c) for c in ("doc_id", "text", "source")}).collect()
         want = slow_interleave([(r.row, r.doc_id, source(r)) for r in rows], 8)
         got = {r.row: r for r in sharding.interleave(df).collect()}
         assert {k: (r.shard, r.slot) for k, r in got.items()} == want
