@@ -14,6 +14,7 @@ from bindings import (  # noqa: F401  (importing registers the queries)
     rolling,
     streams,
     validating,
+    verified,
 )
 from bindings.base import ORACLES, QUERIES
 

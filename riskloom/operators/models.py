@@ -75,7 +75,7 @@ def _estimator(family: str, label: str, params: dict, seed: int):
             maxIter=p["max_iter"],
             regParam=p.get("reg", 0.0),
             standardization=False,
-            tol=1e-4,
+            tol=p.get("tol", 1e-4),
         )
         return [model], model
     if family == "random_forest":
@@ -115,6 +115,11 @@ def _estimator(family: str, label: str, params: dict, seed: int):
     raise ValueError(f"unknown family {family!r}; expected one of {FAMILIES}")
 
 
+def family_stages(family: str, label: str, params: dict | None = None, seed: int = SEED) -> list:
+    """The stages that follow the feature vector."""
+    return _estimator(family, label, params or {}, seed)[0]
+
+
 def pipeline(family: str, features: list[str], label: str, params: dict | None = None, seed: int = SEED) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(features), outputCol=VECTOR)
     stages, _ = _estimator(family, label, params or {}, seed)

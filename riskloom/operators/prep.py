@@ -94,6 +94,27 @@ def impute_scale(df: DataFrame, medians: dict[str, float], scaling: dict[str, tu
     )
 
 
+def config_to_dict(cfg: FeatureConfig) -> dict:
+    return asdict(cfg)
+
+
+def config_from_dict(raw: dict) -> FeatureConfig:
+    """The configuration whose fields went through JSON, tuples restored."""
+    return FeatureConfig(
+        **{
+            **raw,
+            "features": tuple(raw["features"]),
+            "zero_missing": tuple(raw["zero_missing"]),
+            "bins": tuple(Bin(**{**b, "edges": tuple(b["edges"]), "labels": tuple(b["labels"])}) for b in raw["bins"]),
+            "products": tuple(map(tuple, raw["products"])),
+            "ratios": tuple(map(tuple, raw["ratios"])),
+            "flags": tuple(map(tuple, raw["flags"])),
+            "aliases": {k: tuple(v) for k, v in raw["aliases"].items()},
+            "key": tuple(raw["key"]),
+        }
+    )
+
+
 @dataclass
 class PrepModel:
     """Fitted preprocessing state: a few numbers per feature, no data."""
@@ -142,31 +163,15 @@ class PrepModel:
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.stats(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
-        config = json.dumps({"cfg": asdict(self.cfg), "approx": self.approx})
+        config = json.dumps({"cfg": config_to_dict(self.cfg), "approx": self.approx})
         spark.createDataFrame([(config,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/config")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> PrepModel:
         saved = json.loads(spark.read.text(f"{path}/config", wholetext=False).first()["value"])
-        raw = saved["cfg"]
-        cfg = FeatureConfig(
-            **{
-                **raw,
-                "features": tuple(raw["features"]),
-                "zero_missing": tuple(raw["zero_missing"]),
-                "bins": tuple(
-                    Bin(**{**b, "edges": tuple(b["edges"]), "labels": tuple(b["labels"])}) for b in raw["bins"]
-                ),
-                "products": tuple(map(tuple, raw["products"])),
-                "ratios": tuple(map(tuple, raw["ratios"])),
-                "flags": tuple(map(tuple, raw["flags"])),
-                "aliases": {k: tuple(v) for k, v in raw["aliases"].items()},
-                "key": tuple(raw["key"]),
-            }
-        )
         stats = spark.read.parquet(f"{path}/stats").collect()
         return cls(
-            cfg,
+            config_from_dict(saved["cfg"]),
             {r["feature"]: r["median"] for r in stats},
             {r["feature"]: (r["center"], r["scale"]) for r in stats},
             saved["approx"],
