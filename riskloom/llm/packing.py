@@ -1,12 +1,13 @@
 """Harmonic packing.
 
-A document's ids are cut into pieces whose lengths are capacity / 2, capacity / 4, ... (whole sequences first): the
-reciprocal-capacity classes. Class j takes exactly j pieces a sequence, whatever the other classes do, so a
-worker fills its sequences on its own while it reads its documents: no shuffle, and an open sequence
-holds at most j pieces. Lengths below the last class are one stream that is cut at the capacity.
-
-What is left in open sequences at the end of a task is closed as sequences whose lengths are powers of two, which
-need no padding.
+Documents stay whole where they can. A document of a length in (capacity / (k + 1), capacity / k] is of class k, and a
+sequence of class k takes exactly k such documents, whatever the other classes do. So a worker fills its
+sequences on its own while it reads its documents: no shuffle, and an open sequence holds at most k documents.
+
+What k documents leave of a sequence would be padding. It takes short documents whole, those below the last class, and then
+a cut of the one stream that is made to be cut: documents longer than a sequence. Only where that stream runs dry is
+the worst filled of many waiting sequences taken apart into it. What is open at the end of a task is laid end to end and
+closed as sequences whose lengths are powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,7 +29,9 @@ from tokenizers import Tokenizer
 from riskloom.llm.common import Rows, query, slices, table, utf8
 
 CAPACITY = 2048
-CLASSES = 6  # 1024 ... 32; shorter rests are one stream
+CLASSES = 16  # documents below capacity / 17 ids fill gaps
+WAITING = 64  # full sequences of a task that wait for something to fill their gap
+RESERVE = 16  # sequences' worth of the stream, and of short documents, that a task keeps for gaps
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 CACHED_WORDS = 800_000  # words whose ids a worker remembers, at most
@@ -141,15 +145,15 @@ class WordIds:
 
 
 class _Open:
-    """Open sequences of one task, by class."""
+    """Open sequences of one task. A piece is (document, start, ids, ids of the document)."""
 
     def __init__(self, capacity: int, classes: int, first_id: int):
-        self.capacity, self.next_id = capacity, first_id
-        self.lengths = [capacity >> k for k in range(1, classes + 1) if capacity >> k]
-        self.least = self.lengths[-1] if self.lengths else capacity
-        self.waiting: dict[int, list[tuple]] = {n: [] for n in self.lengths}
-        self.rest: list[tuple] = []
-        self.rest_size = 0
+        self.capacity, self.classes, self.next_id = capacity, classes, first_id
+        self.waiting: list[list[tuple]] = [[] for _ in range(classes + 1)]
+        self.full: list[tuple[int, list[tuple]]] = []  # (gap, pieces)
+        self.short: deque[tuple] = deque()
+        self.stream: deque[tuple] = deque()
+        self.short_size = self.stream_size = 0
 
     def close(self, pieces: list[tuple]) -> list[tuple]:
         out, offset = [], 0
@@ -159,46 +163,91 @@ class _Open:
         self.next_id += 1
         return out
 
-    def put(self, doc, ids: np.ndarray) -> Iterator[tuple]:
-        at, total = 0, len(ids)
-        while total - at >= self.capacity:
-            yield from self.close([(doc, at, ids[at : at + self.capacity], total)])
-            at += self.capacity
-        for n in self.lengths:
-            if total - at >= n:
-                open_ = self.waiting[n]
-                open_.append((doc, at, ids[at : at + n], total))
-                at += n
-                if len(open_) * n == self.capacity:
-                    yield from self.close(open_)
-                    open_.clear()
-        if at < total:
-            self.rest.append((doc, at, ids[at:], total))
-            self.rest_size += total - at
-            if self.rest_size >= self.capacity:
-                yield from self.close(self.cut(self.capacity))
+    def pour(self, piece: tuple) -> None:
+        self.stream.append(piece)
+        self.stream_size += len(piece[2])
 
     def cut(self, size: int) -> list[tuple]:
-        """The first ``size`` ids of the stream of rests."""
+        """The first ``size`` ids of the stream."""
         taken, room = [], size
         while room:
-            doc, start, ids, total = self.rest.pop(0)
+            piece = self.stream.popleft()
+            doc, start, ids, total = piece
             if len(ids) > room:
-                self.rest.insert(0, (doc, start + room, ids[room:], total))
-                ids = ids[:room]
-            taken.append((doc, start, ids, total))
-            room -= len(ids)
-        self.rest_size -= size
+                self.stream.appendleft((doc, start + room, ids[room:], total))
+                piece = (doc, start, ids[:room], total)
+            taken.append(piece)
+            room -= len(piece[2])
+        self.stream_size -= size
         return taken
 
+    def fill(self, gap: int, pieces: list[tuple]) -> bool:
+        """Short documents that fit, then the stream; whether the sequence can be closed."""
+        while gap and self.short and len(self.short[0][2]) <= gap:
+            piece = self.short.popleft()
+            self.short_size -= len(piece[2])
+            pieces.append(piece)
+            gap -= len(piece[2])
+        if gap > self.stream_size:
+            self.full.append((gap, pieces))
+            return False
+        pieces.extend(self.cut(gap))
+        return True
+
+    def settle(self) -> Iterator[tuple]:
+        """Close what waits while the stream lasts."""
+        while self.full and self.full[-1][0] <= self.stream_size:
+            gap, pieces = self.full.pop()
+            if self.fill(gap, pieces):
+                yield from self.close(pieces)
+
+    def put(self, doc, ids: np.ndarray) -> Iterator[tuple]:
+        size = len(ids)
+        k = self.capacity // size
+        piece = (doc, 0, ids, size)
+        if k == 0:
+            self.pour(piece)
+        elif k > self.classes:
+            self.short.append(piece)
+            self.short_size += size
+            while self.short_size > RESERVE * self.capacity:
+                first = self.short.popleft()
+                self.short_size -= len(first[2])
+                self.pour(first)
+        else:
+            open_ = self.waiting[k]
+            open_.append(piece)
+            if len(open_) == k:
+                self.waiting[k] = []
+                if self.fill(self.capacity - sum(len(p[2]) for p in open_), open_):
+                    yield from self.close(open_)
+        if len(self.full) > WAITING:
+            worst = max(range(len(self.full)), key=lambda i: self.full[i][0])
+            for own in self.full.pop(worst)[1]:
+                self.pour(own)
+        if self.full:
+            yield from self.settle()
+        while self.stream_size > RESERVE * self.capacity:
+            yield from self.close(self.cut(self.capacity))
+
     def end(self) -> Iterator[tuple]:
-        for n, open_ in self.waiting.items():
-            while open_:
-                take = 1 << (len(open_).bit_length() - 1)
-                yield from self.close(open_[:take])
-                del open_[:take]
-        while self.rest_size:
-            yield from self.close(self.cut(1 << (self.rest_size.bit_length() - 1)))
+        for open_ in self.waiting:
+            for piece in open_:
+                self.pour(piece)
+        self.full.sort(key=lambda x: -x[0])  # small gaps first, from the end
+        yield from self.settle()
+        for piece in self.short:
+            self.pour(piece)
+        self.short.clear()
+        while self.full:
+            yield from self.settle()
+            if self.full:
+                for piece in self.full.pop(0)[1]:
+                    self.pour(piece)
+        while self.stream_size >= self.capacity:
+            yield from self.close(self.cut(self.capacity))
+        while self.stream_size:
+            yield from self.close(self.cut(1 << (self.stream_size.bit_length() - 1)))
 
 
 def _pack(path: str, capacity: int, classes: int):
