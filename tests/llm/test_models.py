@@ -172,6 +172,40 @@ def test_names_of_classes_and_ids(page, want):
     assert html_text.main_text(page).splitlines() == [x.strip() for x in want]
 
 
+OTHERS = [
+    (f"<div class=post><p>{PROSE}</p></div><div id=comments>" + f"<p>c {PROSE * 3}</p>" * 3 + "</div>", [PROSE]),
+    (f"<div class=post><p>{PROSE}</p></div><div class=sidebar>" + f"<p>c {PROSE * 3}</p>" * 3 + "</div>", [PROSE]),
+    (f"<div class=post><p>{PROSE}</p></div><div id=comments><article><p>{PROSE * 3}</p></article></div>", [PROSE]),
+    (f"<body><form id=f><div class=post><h1>T</h1><p>{PROSE}</p></div><select><option>x</select><button>Go</button></form></body>", ["T", PROSE]),
+    (f"<nav><ul><li><a href=x>Menu</a></ul><article><h1>T</h1><p>{PROSE}</p></article>", ["T", PROSE]),
+    (f"<div><nav><ul><li><a href=x>Menu</a></ul><article><h1>T</h1><p>{PROSE}</p></article></div>", ["T", PROSE]),
+    (f"<body><nav><a href=x>Menu</a><div><h1>T</h1><p>{PROSE}</p></div></body>", ["T", PROSE]),
+    (f"<header><h1>Site</h1></header><div class=post><h1>T</h1><p>{PROSE}</p></div><footer><h4>About</h4>{PROSE}</footer>", ["T", PROSE]),
+    (f"<body><section><p>{PROSE}</p></section><section><p>Short.</p></section><section><p>{PROSE}</p></section>", [PROSE, "Short.", PROSE]),
+    (f"<article><p>{PROSE * 3}</p></article><article><p>Short one.</p></article>", [PROSE * 3, "Short one."]),
+    (f"<article><p>{PROSE}</p></article><article class=comment><p>{PROSE * 4}</p></article>", [PROSE]),
+    (f"<article><p>{PROSE}</p><aside><h3>Related</h3><article><p>teaser {PROSE}</p></article></aside><p>End.</p></article>", [PROSE, "End."]),
+]
+
+
+@pytest.mark.parametrize("page, want", OTHERS)
+def test_pages_without_plain_structure(page, want):
+    assert html_text.main_text(page).splitlines() == [x.strip() for x in want]
+
+
+@pytest.mark.parametrize("make", [lambda n: "<div>" * n + "</p>" * n, lambda n: "<li><ul>" + "<div>" * n + "<li></li>" * n, lambda n: "<nav><h2>x" * n, lambda n: "<div class=ad><article>x" * n])
+def test_deep_markup_takes_linear_time(make):
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        html_text.main_text(make(n) + "x")
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 4 * 3 * max(seconds(10_000), 0.02)
+
+
 def test_extract_handles_odd_rows(store):
     rows = [(i, None if i % 2 else "u", page, "x") for i, (page, _) in enumerate(PAGES)] + [(None, None, PAGES[4][0], "x")] * 2
     rows.append((99, "u", f"<article><p>{'long ' * 200_000}</p></article>", "x"))
