@@ -6,6 +6,7 @@ equivalent SQL text next to it.
 
 from bindings import (  # noqa: F401  (importing registers the queries)
     aggregates,
+    answering,
     drifting,
     fitting,
     learning,

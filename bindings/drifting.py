@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings.base import CUR_SQL, FEATURES, REF_SQL, SCORED, lines, query, rounded, scored_lines, snapshots, table
 from riskloom.config import SuiteConfig
+from riskloom.functions.special import normal_two_sided
 from riskloom.operators import drift as D
 from riskloom.operators import quality as Q
 from riskloom.operators.projection import zero_to_null
@@ -136,39 +137,72 @@ def _(spark, sf):
     return rounded(D.wasserstein(*_both(spark, sf), COLS, rows_per_bucket=7_000))
 
 
-@query(
-    "chi2_stat",
-    "select feature, round(chi2, 6) as chi2, dof from ("
-    + " union all ".join(
+def _chi2_sql(cats: list[str]) -> str:
+    return " union all ".join(
         f"""select '{c}' as feature, count(*) - 1 as dof,
-              sum(power(n_ref - total_ref * q, 2) / (total_ref * q) + power(n_cur - total_cur * q, 2) / (total_cur * q)) as chi2
-            from (select *, (n_ref + n_cur) / (total_ref + total_cur) as q from {_shares_sql(c)})"""
-        for c in CATS
+          sum(power(n_ref - total_ref * q, 2) / (total_ref * q) + power(n_cur - total_cur * q, 2) / (total_cur * q)) as chi2
+        from (select *, (n_ref + n_cur) / (total_ref + total_cur) as q from {_shares_sql(c)})"""
+        for c in cats
     )
-    + ")",
-)
+
+
+@query("chi2_stat", f"select feature, round(chi2, 6) as chi2, dof from ({_chi2_sql(CATS)})")
 def _(spark, sf):
     return rounded(D.chi2_stat(*_both(spark, sf), CATS))
 
 
-@query(
-    "prop_z",
-    """select feature, round((x2 / n2 - x1 / n1) / sqrt(((x1 + x2) / (n1 + n2)) * (1 - (x1 + x2) / (n1 + n2)) * (1 / n1 + 1 / n2)), 6)
-         + 0::double as z from ("""
+PROP_SQL = (
+    "select feature, (x2 / n2 - x1 / n1) / sqrt(((x1 + x2) / (n1 + n2)) * (1 - (x1 + x2) / (n1 + n2)) * (1 / n1 + 1 / n2)) as z from ("
     + " union all ".join(
         f"""select '{name}' as feature, count(*) filter ({REF_SQL}) as n1, count(*) filter ({CUR_SQL}) as n2,
               count(*) filter ({REF_SQL} and {test}) as x1, count(*) filter ({CUR_SQL} and {test}) as x2 from lineitem"""
-        for name, test in (("returned", "l_returnflag = 'R'"), ("open", "l_linestatus = 'O'"), ("taxed", "l_tax > 0"))
+        for name, test in (
+            ("returned", "l_returnflag = 'R'"),
+            ("open", "l_linestatus = 'O'"),
+            ("taxed", "l_tax > 0"),
+            ("large", "l_quantity > 40"),
+        )
     )
-    + ")",
+    + ")"
 )
-def _(spark, sf):
-    tests = {
+
+
+def _proportions():
+    return {
         "returned": F.col("l_returnflag") == "R",
         "open": F.col("l_linestatus") == "O",
         "taxed": F.col("l_tax") > 0,
+        "large": F.col("l_quantity") > 40,
     }
-    return rounded(D.prop_z(*_both(spark, sf), tests))
+
+
+@query("prop_z", f"select feature, round(z, 6) + 0::double as z from ({PROP_SQL})")
+def _(spark, sf):
+    return rounded(D.prop_z(*_both(spark, sf), _proportions()))
+
+
+TESTED = [*CATS, "l_linenumber", "l_quantity", "l_tax"]
+#: P(X >= x) of a chi-square variable in SQL: one less the series of its lower half.
+CHI2_TAIL_SQL = """case when {x} is null then null when {x} <= 0 or {k} <= 0 then 1::double else
+  greatest(0::double, least(1::double, 1 - list_sum(list_transform(range(0, ({x} / 2 + 12 * sqrt({x} / 2 + {k}) + 60)::bigint),
+    lambda i: exp(({k} / 2::double + i) * ln({x} / 2) - {x} / 2 - lgamma({k} / 2::double + i + 1)))))) end"""
+
+
+@query(
+    "chi2_p",
+    f"with s as ({_chi2_sql(TESTED)}) select feature, round({CHI2_TAIL_SQL.format(x='chi2', k='dof')}, 6) + 0::double as p_value from s",
+)
+def _(spark, sf):
+    return rounded(D.chi2(*_both(spark, sf), TESTED).select("feature", "p_value"))
+
+
+@query(
+    "prop_z_p",
+    f"with s as ({PROP_SQL}) select feature, round({CHI2_TAIL_SQL.format(x='(z * z)', k='1')}, 6) + 0::double as p_value from s",
+)
+def _(spark, sf):
+    tested = D.prop_z(*_both(spark, sf), _proportions())
+    return rounded(tested.select("feature", normal_two_sided(F.col("z")).alias("p_value")))
 
 
 METHODS = {"l_quantity": "psi", "l_extendedprice": "psi", "l_discount": "wasserstein", "l_returnflag": "js"}

@@ -21,12 +21,12 @@ import math
 from functools import reduce
 from itertools import combinations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from riskloom.functions import safe_divide
+from riskloom.functions.special import chi2_tail, normal_two_sided
 from riskloom.operators.joins import compare_counts, tag_snapshots
 from riskloom.operators.ordered import ROWS_PER_BUCKET, ranked_values
 from riskloom.operators.profile import digested, per_column
@@ -186,29 +186,6 @@ def wasserstein(
     return joined.select("feature", (F.col("wasserstein") / scale).alias("wasserstein"))
 
 
-@F.pandas_udf(DoubleType())
-def _chi2_tail(x: pd.Series, k: pd.Series) -> pd.Series:
-    """P(X >= x) for k degrees of freedom, on one row per column."""
-
-    def tail(value: float, dof: int) -> float:
-        half = value / 2.0
-        if dof <= 0 or half <= 0:
-            return 1.0
-        a = 0.5 if dof % 2 else 1.0
-        total = math.erfc(math.sqrt(half)) if dof % 2 else math.exp(-half)
-        while a < dof / 2.0:
-            total += math.exp(a * math.log(half) - half - math.lgamma(a + 1.0))
-            a += 1.0
-        return min(total, 1.0)
-
-    return pd.Series([tail(float(v), int(d)) for v, d in zip(x, k)])
-
-
-@F.pandas_udf(DoubleType())
-def _normal_two_sided(z: pd.Series) -> pd.Series:
-    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)) if v is not None else None)
-
-
 def chi2_stat(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """``(feature, chi2, dof)``: two-sample chi-square over the category counts."""
     shares = with_shares(compare_categories(ref, cur, cols))
@@ -223,7 +200,7 @@ def chi2_stat(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def chi2(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    return chi2_stat(ref, cur, cols).withColumn("p_value", _chi2_tail("chi2", "dof"))
+    return chi2_stat(ref, cur, cols).withColumn("p_value", chi2_tail(F.col("chi2"), F.col("dof")))
 
 
 def prop_z(ref: DataFrame, cur: DataFrame, tests: dict[str, Column | str]) -> DataFrame:
@@ -253,7 +230,7 @@ def prop_z(ref: DataFrame, cur: DataFrame, tests: dict[str, Column | str]) -> Da
 def z_test(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """Two-sided p-value for 0/1 columns."""
     tests = {c: F.col(c).cast("int") == 1 for c in cols}
-    return prop_z(ref, cur, tests).withColumn("p_value", _normal_two_sided("z"))
+    return prop_z(ref, cur, tests).withColumn("p_value", normal_two_sided(F.col("z")))
 
 
 _SCORES = {

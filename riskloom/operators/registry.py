@@ -1,14 +1,16 @@
-"""Run log and model registry as append-only tables (MOD-13..16)."""
+"""Run log as append-only tables, model registry as one committed file a version (MOD-13..16)."""
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.session import as_datetime
-from riskloom.sources.tables import table_exists
 
 STAGE_ORDER = ("Production", "Staging", "None")
 RUNS = "run_id string, run_name string, logged_at timestamp"
@@ -59,25 +61,81 @@ def latest_version(registry: DataFrame, stages=STAGE_ORDER, name: str = "name",
     return best.select(name, "__best.*")
 
 
+def committed_versions(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The versions of a model, a row each; what a writer has not committed is no version."""
+    path = f"{root}/model_versions/{name}"
+    if not _file_system(spark, path).exists(_hadoop_path(spark, path)):
+        return spark.createDataFrame([], VERSIONS)
+    return spark.read.schema(VERSIONS).json(path)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def commit_file(spark: SparkSession, text: str, target: str) -> bool:
+    """Put ``text`` at ``target`` unless something is there; whether it was put. The file appears whole or not at all.
+
+    The text is written beside it under a name that readers skip, and then moved without replacing: a hard link on a
+    local disk, a rename that the file system refuses if the name is taken elsewhere.
+    """
+    fs, to = _file_system(spark, target), _hadoop_path(spark, target)
+    beside = _hadoop_path(spark, f"{to.getParent().toString()}/_{uuid.uuid4().hex}")
+    stream = fs.create(beside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(beside.toUri().getPath(), to.toUri().getPath())
+        else:
+            jvm = spark._jvm
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context.rename(beside, to, none)
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+    finally:
+        fs.delete(beside, False)
+
+
 def register(
     spark: SparkSession, root: str, name: str, run_id: str, model_path: str, tags: dict, created_at, stage: str = "None"
 ) -> int:
-    """Append a version (one writer at a time) and return its number."""
-    path = f"{root}/model_versions"
-    last = 0
-    if table_exists(spark, path):
-        versions = spark.read.schema(VERSIONS).parquet(path).where(F.col("name") == name)
-        last = versions.agg(F.max("version")).first()[0] or 0
-    row = [(name, last + 1, stage, run_id, model_path, {k: str(v) for k, v in tags.items()}, as_datetime(created_at))]
-    spark.createDataFrame(row, VERSIONS).coalesce(1).write.mode("append").parquet(path)
-    return last + 1
+    """Commit the next version of a model and return its number.
+
+    A version is one file named by its number, which only one writer can create. Who comes second takes the next
+    number, so writers in parallel get different numbers without gaps.
+    """
+    row = {
+        "name": name,
+        "stage": stage,
+        "run_id": run_id,
+        "model_path": model_path,
+        "tags": {k: str(v) for k, v in tags.items()},
+        "created_at": as_datetime(created_at).isoformat(),
+    }
+    folder = f"{root}/model_versions/{name}"
+    _file_system(spark, folder).mkdirs(_hadoop_path(spark, folder))
+    version = committed_versions(spark, root, name).agg(F.max("version")).first()[0] or 0
+    while True:
+        version += 1
+        if commit_file(spark, json.dumps({**row, "version": version}) + "\n", f"{folder}/{version:010d}.json"):
+            return version
 
 
 def _best_version(spark: SparkSession, root: str, name: str):
-    path = f"{root}/model_versions"
-    if not table_exists(spark, path):
-        return None
-    return latest_version(spark.read.schema(VERSIONS).parquet(path).where(F.col("name") == name)).first()
+    return latest_version(committed_versions(spark, root, name)).first()
 
 
 def load_champion(spark: SparkSession, root: str, name: str, fallback: str | None = None):

@@ -7,7 +7,7 @@ from riskloom.streaming.operators import (
     windowed_psi,
     windowed_summary,
 )
-from riskloom.streaming.sinks import latest_windows, run_windows, stream_validate
+from riskloom.streaming.sinks import latest_windows, run_windows, stream_respond, stream_validate
 from riskloom.streaming.source import event_time, read_stream
 
 __all__ = [
@@ -17,6 +17,7 @@ __all__ = [
     "latest_windows",
     "read_stream",
     "run_windows",
+    "stream_respond",
     "stream_validate",
     "windowed_performance",
     "windowed_psi",

@@ -84,3 +84,24 @@ def run_append(stream: DataFrame, out: str, checkpoint: str, wait: bool = True):
     if wait:
         query.awaitTermination()
     return query
+
+
+def stream_respond(
+    requests: DataFrame, answer: Callable[[DataFrame], tuple[DataFrame, DataFrame]], out: str, checkpoint: str, wait: bool = True
+):
+    """Answer a stream of nested requests: responses and messages of each micro-batch in folders of their own.
+
+    ``answer`` maps the requests of a micro-batch to (responses, messages), as ``plans.respond`` does. A request is one row, so a
+    batch never spans micro-batches and no state is kept; a replayed micro-batch overwrites its own folders.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            responses, messages = answer(batch)
+            responses.write.mode("overwrite").parquet(f"{out}/responses/{EPOCH}={epoch}")
+            messages.write.mode("overwrite").parquet(f"{out}/messages/{EPOCH}={epoch}")
+        finally:
+            batch.unpersist()
+
+    return _run(requests, write, checkpoint, "append", wait)

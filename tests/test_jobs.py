@@ -8,7 +8,7 @@ from riskloom.functions import cut_column
 from riskloom.operators import models as L
 from riskloom.operators.prep import PrepModel
 from riskloom.operators.quality import run_suite, suite_summary
-from riskloom.operators.registry import load_champion, load_scorer, run_leaderboard
+from riskloom.operators.registry import commit_file, committed_versions, load_champion, load_scorer, register, run_leaderboard
 from riskloom.plans import MonitorConfig, monitor, predict, respond, score_table, train_job
 from riskloom.plans.monitor import save_monitoring
 from riskloom.plans.train import GateError
@@ -81,7 +81,30 @@ def test_prediction_job(spark, patients, trained, tmp_path):
 
 
 def _model_path(spark, root):
-    return spark.read.parquet(f"{root}/model_versions").first()["model_path"]
+    return committed_versions(spark, root, "champion").first()["model_path"]
+
+
+def test_parallel_writers_get_different_versions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path)
+
+    def write(k):
+        return register(spark, root, "m", f"run{k}", f"/models/{k}", {"k": k}, RUN_TS)
+
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(write, range(8)))
+    assert sorted(numbers) == list(range(1, 9))
+    rows = {r.version: r for r in committed_versions(spark, root, "m").collect()}
+    assert {rows[v].run_id for v in numbers} == {f"run{k}" for k in range(8)}
+    assert all(rows[v].tags == {"k": str(k)} and rows[v].run_id == f"run{k}" for k, v in enumerate(numbers))
+    folder = tmp_path / "model_versions" / "m"
+    (folder / "_left_over").write_text("{not a version")  # of a writer that died before its commit
+    assert committed_versions(spark, root, "m").count() == 8
+    assert not commit_file(spark, "other", str(folder / "0000000003.json"))
+    assert committed_versions(spark, root, "m").where("version = 3").first() == rows[3]
+    assert register(spark, root, "m", "run8", "/models/8", {}, RUN_TS) == 9
+    assert committed_versions(spark, root, "other").count() == 0
 
 
 def test_scoring_needs_all_columns(spark, patients, trained):
