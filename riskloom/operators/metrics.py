@@ -115,9 +115,9 @@ def by_class(df: DataFrame, y: str, prediction: str) -> DataFrame:
 def class_balance(ref: DataFrame, cur: DataFrame, y: str) -> DataFrame:
     """Share of every class in both snapshots."""
     both = tag_snapshots(ref, cur, [y]).where(F.col(y).isNotNull())
-    n_ref = both.agg(F.sum("is_ref")).scalar()
-    n_cur = both.agg(F.sum(F.lit(1) - F.col("is_ref"))).scalar()
-    return compare_counts(both, [y]).select(
+    counts = compare_counts(both, [y])
+    n_ref, n_cur = (counts.agg(F.sum(c)).scalar() for c in ("n_ref", "n_cur"))
+    return counts.select(
         F.col(y).alias("class"),
         "n_ref",
         "n_cur",

@@ -56,29 +56,21 @@ def duplicate_rows(df: DataFrame, subset: list[str] | None = None, digest: list[
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Counts and percentages, largest first; missing values are not counted.
 
-    The total is an uncorrelated scalar subquery: no window over all groups.
+    The total sums the groups: the grouped shuffle is read again, the table is not.
     """
-    present = df.where(F.col(col).isNotNull())
-    total = present.agg(F.count("*")).scalar()
-    counts = present.groupBy(col).agg(F.count("*").alias("n"))
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
     share = F.col("n") * F.lit(100.0) / total
     return counts.select(col, "n", share.alias("pct")).orderBy(F.desc("n"), F.asc(col))
 
 
-def class_shares(df: DataFrame, col: str, out: str = "share") -> DataFrame:
-    present = df.where(F.col(col).isNotNull())
-    total = present.agg(F.count("*")).scalar()
-    return present.groupBy(col).agg((F.count("*") / total).alias(out))
-
-
 def distribution_shift(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     """Class shares in two stages and their absolute difference."""
     from riskloom.operators.joins import compare_counts, tag_snapshots
 
     both = tag_snapshots(a, b, [col]).where(F.col(col).isNotNull())
     counts = compare_counts(both, [col])
-    total_a = both.agg(F.sum("is_ref")).scalar()
-    total_b = both.agg(F.sum(1 - F.col("is_ref"))).scalar()
+    total_a, total_b = (counts.agg(F.sum(c)).scalar() for c in ("n_ref", "n_cur"))
     shares = counts.select(
         col,
         F.coalesce(safe_divide("n_ref", total_a), F.lit(0.0)).alias("share_a"),

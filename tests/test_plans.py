@@ -43,3 +43,11 @@ def test_narrow_queries_do_not_shuffle(spark, sf):
 def test_contract(spark):
     assert set(oracle_sql()) <= set(queries()) and set(bindings.QUERIES) <= set(queries())
     assert entry(spark).count() == 3
+
+
+@pytest.mark.parametrize("name", ["value_counts", "distribution_shift", "class_balance"])
+def test_totals_do_not_read_the_table_again(spark, sf, name):
+    """The executed plan: totals come from the grouped shuffle, which is reused."""
+    df = queries()[name](spark, sf)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
