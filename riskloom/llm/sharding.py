@@ -58,7 +58,30 @@ def interleave(
     )
 
 
-@query("op8_stratified_interleaving")
+#: The check sum folds the text's bytes over the table of its rule.
+_SQL = f"""
+with crc as (
+  select list(list_reduce([i::bigint, 0, 0, 0, 0, 0, 0, 0, 0],
+              lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from range(256) r(i)),
+d as (
+  select doc_id, case when source is null then '1' else '0' || source end as src, octet_length(encode(coalesce(text, '')))::bigint + 1 as size,
+         xor(list_reduce(list_concat([4294967295::bigint],
+               list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as text_crc32
+  from documents, crc),
+ranked as (
+  select *, (2 * (row_number() over (partition by src order by md5(doc_id::varchar || ':{SEED}'), doc_id) - 1) + 1)
+            / (2 * count(*) over (partition by src)) as fraction, count(*) over () as total from d),
+placed as (select *, row_number() over (order by fraction, src) - 1 as position from ranked),
+dealt as (select *, position * {SHARDS} // total as shard from placed)
+select doc_id, size, text_crc32::bigint as text_crc32, 'rows' as law, shard::int as shard,
+       (position - (shard * total + {SHARDS - 1}) // {SHARDS})::bigint as slot, null::int as grown_shard
+from dealt
+"""
+
+
+@query("op8_stratified_interleaving", _SQL)
 def op8_stratified_interleaving(spark, sf):
     return interleave(table(spark, sf, "documents")).select(
         F.col("id").alias("doc_id"),
