@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskloom.operators.joins import join_small
+from riskloom.session import cut_lineage
 from riskloom.sources.sinks import write_table
 
-EDGE_ROWS = 50_000
-MAX_PREFIX = 6
+#: Hex digits that a step adds to a class's boundary prefix, and digits in all.
+STEP_DIGITS = 3
+HASH_DIGITS = 32
+_ABOVE = "g"  # sorts after every hex digit
 
 
 def split_hash(seed: int, key: list[str]) -> Column:
@@ -27,65 +29,92 @@ def split_hash(seed: int, key: list[str]) -> Column:
     return F.md5(F.concat(*parts))
 
 
+def _boundaries(rows: DataFrame, label: str, take: Column, at: int, digits: int) -> DataFrame:
+    """Per class of ``rows``: the next digits of the prefix that holds the last wanted row.
+
+    Returns (label, __prefix, __take, __n): rows wanted of that prefix, and rows in it. Counts of at most 16**digits prefixes a class
+    are all that meets.
+    """
+    hist = rows.groupBy(label, F.substring("__h", 1, at + digits).alias("__p")).agg(
+        F.count("*").alias("n"), F.first("__take").alias("__take")
+    )
+    cells = hist.groupBy(label).agg(
+        F.sort_array(F.collect_list(F.struct("__p", "n"))).alias("cells"), F.sum("n").alias("__total"), F.first("__take").alias("__take")
+    )
+    cells = cells.withColumn("__take", take)
+
+    def step(state: Column, cell: Column) -> Column:
+        upto = state["upto"] + cell["n"]
+        here = state["p"].isNull() & (upto >= F.col("__take"))
+        return F.struct(
+            F.when(state["p"].isNull(), upto).otherwise(state["upto"]).alias("upto"),
+            F.when(here, cell["__p"]).otherwise(state["p"]).alias("p"),
+            F.when(here, cell["n"]).otherwise(state["n"]).alias("n"),
+        )
+
+    nothing = F.lit(0).cast("bigint")
+    start = F.struct(nothing.alias("upto"), F.lit(None).cast("string").alias("p"), nothing.alias("n"))
+    found = cells.withColumn("__f", F.aggregate("cells", start, step))
+    return found.select(
+        label,
+        F.col("__f.p").alias("__prefix"),
+        (F.col("__take") - F.col("__f.upto") + F.col("__f.n")).alias("__take"),
+        F.col("__f.n").alias("__n"),
+    )
+
+
+def class_cuts(slim: DataFrame, label: str, frac: float, digits: int = STEP_DIGITS) -> DataFrame:
+    """(label, __cut) per class of ``slim(label, __h)``: the quota's rows are those with ``__h <= __cut``.
+
+    A step counts prefixes of all classes at once and keeps the rows of each class's boundary prefix, one in
+    16**digits; it ends when every boundary prefix is wanted whole.
+    """
+    rows = slim.withColumn("__take", F.lit(None).cast("bigint"))
+    take = F.ceil(F.round(F.col("__total") * F.lit(float(frac)), 9)).cast("bigint")
+    settled, at = [], 0
+    while True:
+        edges = cut_lineage(_boundaries(rows, label, take, at, digits))  # a row a class
+        at = min(at + digits, HASH_DIGITS)
+        whole = F.col("__take") >= F.col("__n")
+        cut = F.when(F.col("__take") <= 0, F.lit("")).otherwise(F.concat("__prefix", F.lit(_ABOVE)))
+        settled.append(edges.where(whole | (F.col("__take") <= 0)).select(label, cut.alias("__cut")))
+        still = edges.where(~whole & (F.col("__take") > 0)).select(label, F.col("__prefix").alias("__p"), "__take")
+        if not still.limit(1).count():
+            return reduce(DataFrame.unionByName, settled)
+        if at == HASH_DIGITS:
+            raise ValueError("split key is not unique at the class boundary")
+        inside = rows.drop("__take").withColumn("__p", F.substring("__h", 1, at))
+        rows = cut_lineage(join_small(inside, still, [label, "__p"], "inner").select(label, "__h", "__take"))
+        take = F.col("__take")
+
+
 def mark_test(
     df: DataFrame,
     label: str,
     frac: float,
     seed: int,
     key: list[str],
-    prefix_chars: int | None = None,
+    digits: int | None = None,
     out: str = "is_test",
 ) -> DataFrame:
     """Flag exactly ``ceil(frac * n)`` rows of every class as test rows.
 
-    Rows are ordered by hash inside their class, but no class is ever sorted
-    whole: a histogram of hash prefixes finds the prefix where the quota is
-    reached, and only the rows of that prefix (one in ``16**prefix_chars``, by
-    default about ``EDGE_ROWS`` of them) are ordered. The result is one cut hash per class; marking the table is then a
-    narrow comparison. ``key`` must identify a row. Rows without a label stay
-    in the training part.
+    Rows are ordered by hash inside their class, but no class is ever sorted: ``class_cuts`` narrows the hash at which
+    the quota is reached by counting prefixes. The result is one cut hash per class; marking the table is then a
+    narrow comparison. ``key`` must identify a row. Rows without a label stay in the training part.
     """
-    if prefix_chars is None:
-        prefix_chars = min(MAX_PREFIX, max(1, math.ceil(math.log(max(df.count() / EDGE_ROWS, 1), 16))))
     hashed = df.withColumn("__h", split_hash(seed, key))
     slim = hashed.select(label, "__h").where(F.col(label).isNotNull())
-    prefix = F.substring("__h", 1, prefix_chars)
-
-    hist = slim.groupBy(label, prefix.alias("__p")).agg(F.count("*").alias("__n"))
-    order = Window.partitionBy(label).orderBy("__p")
-    upto = F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    total = F.sum("__n").over(Window.partitionBy(label))
-    quota = F.ceil(F.round(total * F.lit(float(frac)), 9)).cast("bigint")
-    edges = (
-        hist.select(label, "__p", "__n", upto.alias("__upto"), quota.alias("__quota"))
-        .where((F.col("__quota") > F.col("__upto") - F.col("__n")) & (F.col("__quota") <= F.col("__upto")))
-        .select(label, "__p", (F.col("__quota") - F.col("__upto") + F.col("__n")).alias("__take"))
-    )
-
-    at_edge = join_small(slim.withColumn("__p", prefix), edges, [label, "__p"], "inner")
-    per_hash = at_edge.groupBy(label, "__h").agg(F.count("*").alias("__n"), F.first("__take").alias("__take"))
-    in_class = Window.partitionBy(label).orderBy("__h")
-    reached = F.sum("__n").over(in_class.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cuts = (
-        per_hash.withColumn("__upto", reached)
-        .where((F.col("__take") > F.col("__upto") - F.col("__n")) & (F.col("__take") <= F.col("__upto")))
-        .select(
-            label,
-            F.when(F.col("__take") == F.col("__upto"), F.col("__h"))
-            .otherwise(F.raise_error(F.lit("split key is not unique at the class boundary")))
-            .alias("__cut"),
-        )
-    )
-    marked = join_small(hashed, cuts, [label], "left")
+    marked = join_small(hashed, class_cuts(slim, label, frac, digits or STEP_DIGITS), [label], "left")
     test = F.coalesce(F.col("__h") <= F.col("__cut"), F.lit(False))
     return marked.withColumn(out, test).select(*df.columns, out)
 
 
 def stratified_split(
-    df: DataFrame, label: str, frac: float, seed: int, key: list[str], prefix_chars: int | None = None
+    df: DataFrame, label: str, frac: float, seed: int, key: list[str], digits: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test); see :func:`mark_test`."""
-    marked = mark_test(df, label, frac, seed, key, prefix_chars, "__is_test")
+    marked = mark_test(df, label, frac, seed, key, digits, "__is_test")
     return (
         marked.where(~F.col("__is_test")).drop("__is_test"),
         marked.where(F.col("__is_test")).drop("__is_test"),
