@@ -61,13 +61,19 @@ def _odd(seed: int, n: int, kind) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, info.max, n, dtype=kind, endpoint=True) | kind(1)
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
 class Shingles:
     """Distinct 64-bit hashes of a text's shingles, sorted."""
 
     def __init__(self, width: int = SHINGLE, seed: int = SEED):
         self.width = width
         self.factors = _odd(seed, width, np.uint64)
-        self.known: dict[bytes, int] = {}
+        self.known = _WordHashes()
 
     def hashes(self, text: bytes) -> np.ndarray:
         words = text.lower().split()  # of bytes: A to Z only, split at ASCII white space
@@ -76,8 +82,6 @@ class Shingles:
         known = self.known
         if len(known) > _WORDS:
             known.clear()
-        for word in set(words) - known.keys():
-            known[word] = xxhash.xxh3_64_intdigest(word)
         codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         width = min(self.width, len(words))
         mixed = np.full(len(words) - width + 1, width, np.uint64)  # a short text is no part of a longer one
