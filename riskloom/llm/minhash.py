@@ -47,6 +47,8 @@ MISS = 1e-10
 SEED = 11
 #: Links a pivot verifies in one task.
 PIVOT_PAIRS = 512
+#: Pivots that a member is held against in one round.
+PIVOTS = 4
 #: Rounds of pivots drawn by hash that go on while a round joins components.
 ROUNDS = 4
 _WORDS = 1 << 18
@@ -145,31 +147,32 @@ def _sketches(shingle: int, bands: int, band: int):
     return run
 
 
-def _shared_bands(bands: int, band: int):
-    """(key, rep, n, bits_a, bits_b): a row for each band, with a two-word sketch of one bit a signature value."""
+def _band_keys(bands: int, band: int):
+    """(rep, n, bits_a, bits_b, keys): a key for each band, and a two-word sketch of one bit a signature value."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _odd(SEED + 3, band, np.uint64)
         for batch in slices(batches, 512):
-            if not batch.num_rows:
+            n = batch.num_rows
+            if not n:
                 continue
-            signs = np.frombuffer(b"".join(utf8(batch.column("signature"))), np.uint32).reshape(batch.num_rows, -1)
-            keys = (signs.reshape(batch.num_rows, bands, band) * factors).sum(2, dtype=np.uint64)
+            signs = np.frombuffer(b"".join(utf8(batch.column("signature"))), np.uint32).reshape(n, -1)
+            keys = (signs.reshape(n, bands, band) * factors).sum(2, dtype=np.uint64)
             keys = (keys ^ (keys >> np.uint64(29))) + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             bits = np.packbits((signs[:, :128] >> np.uint32(16)) & np.uint32(1), axis=1)
-            full = np.zeros((batch.num_rows, 16), np.uint8)
+            full = np.zeros((n, 16), np.uint8)
             full[:, : bits.shape[1]] = bits
             words = full.view(np.int64)
-            at = np.repeat(np.arange(batch.num_rows), bands)
+            offsets = np.arange(0, n * bands + 1, bands, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys.reshape(-1).view(np.int64)),
-                    batch.column("rep").take(pa.array(at)),
-                    batch.column("n").take(pa.array(at)),
-                    pa.array(words[at, 0]),
-                    pa.array(words[at, 1]),
+                    batch.column("rep"),
+                    batch.column("n"),
+                    pa.array(words[:, 0]),
+                    pa.array(words[:, 1]),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1).view(np.int64))),
                 ],
-                names=["key", "rep", "n", "bits_a", "bits_b"],
+                names=["rep", "n", "bits_a", "bits_b", "keys"],
             )
 
     return run
@@ -274,13 +277,13 @@ class Links:
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """(rep, root) after ``links`` between representatives join the components of ``roots``."""
+    """(rep, n, root) after ``links`` between representatives join the components of ``roots``."""
     ends = links.join(roots.select(F.col("rep").alias("a"), F.col("root").alias("ra")), "a")
     ends = ends.join(roots.select(F.col("rep").alias("b"), F.col("root").alias("rb")), "b")
     joined = connected_components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
     joined = joined.select("node", F.col("root").alias("joined"))
     return cut_lineage(
-        roots.join(joined, roots.root == joined.node, "left").select("rep", F.coalesce("joined", "root").alias("root"))
+        roots.join(joined, roots.root == joined.node, "left").select("rep", "n", F.coalesce("joined", "root").alias("root"))
     )
 
 
@@ -288,25 +291,37 @@ def _near_in_size(a: Column, b: Column, parts: int, least: int) -> Column:
     return parts * F.least(a, b) >= least * F.greatest(a, b)
 
 
+def _to_pivots(members: DataFrame, roots: DataFrame, rank: Column, parts: int, least: int) -> DataFrame:
+    """(a, b): each member b with the pivots a of its bands that lie in other components; those it shares most bands with."""
+    now = members.join(roots, "rep")
+    pivots = now.groupBy("key").agg(
+        F.max_by(F.struct("rep", "n", "root"), rank).alias("p"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    met = now.join(pivots.where("low < high"), "key").where(
+        (F.col("root") != F.col("p.root")) & _near_in_size(F.col("n"), F.col("p.n"), parts, least)
+    )
+    shared = met.groupBy("rep", F.col("p.rep").alias("pivot")).agg(F.count(F.lit(1)).alias("k"))
+    # at most a pivot for each band of a member
+    best = shared.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list(F.struct("k", "pivot")), asc=False), 1, PIVOTS).alias("best"))
+    return best.select(F.explode("best.pivot").alias("a"), F.col("rep").alias("b"))
+
+
 def linked_roots(
-    members: DataFrame, links: Links, parts: int, least: int, bits: int, rounds: int = ROUNDS
+    members: DataFrame, attributes: DataFrame, links: Links, parts: int, least: int, bits: int, rounds: int = ROUNDS
 ) -> DataFrame:
-    """(rep, root): components over all links between members (key, rep, n, bits_a, bits_b) of one band."""
-    weights = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("k")), "key")
-    weights = weights.groupBy("rep").agg(F.sum("k").alias("weight"))
-    members = cut_lineage(members.join(weights, "rep"))
-    roots = cut_lineage(members.select("rep", F.col("rep").alias("root")).distinct())
+    """(rep, n, root): components over all links between members (key, rep) of one band.
+
+    ``attributes(rep, n, bits_a, bits_b, keys)`` holds a row for each representative.
+    """
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
+    weights = cut_lineage(members.join(sizes, "key").groupBy("rep").agg(F.sum("k").alias("weight")))
+    roots = attributes.join(weights, "rep").select("rep", "n", F.col("rep").alias("root"))
+    roots = cut_lineage(roots)
     before = roots.count()
+    weighted = members.join(weights, "rep")
     for turn in range(rounds + 1):
-        now = members.join(roots, "rep")
         rank = F.struct("weight", "rep") if turn == 0 else F.struct(F.xxhash64("rep", F.lit(turn)), F.col("rep"))
-        pivots = now.groupBy("key").agg(
-            F.max_by(F.struct("rep", "n", "root"), rank).alias("p"), F.min("root").alias("low"), F.max("root").alias("high")
-        )
-        met = now.join(pivots.where("low < high"), "key").where(
-            (F.col("root") != F.col("p.root")) & _near_in_size(F.col("n"), F.col("p.n"), parts, least)
-        )
-        pairs = met.select(F.col("p.rep").alias("a"), F.col("rep").alias("b")).distinct()
+        pairs = _to_pivots(weighted if turn == 0 else members, roots, rank, parts, least)
         roots = _joined(roots, links.of(cut_lineage(pairs)))
         after = roots.select("root").distinct().count()
         if after == before and turn:
@@ -314,20 +329,23 @@ def linked_roots(
         before = after
     now = members.join(roots, "rep")
     open_keys = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    rest = cut_lineage(now.join(open_keys, "key").drop("weight"))
+    rest = now.join(open_keys, "key").join(attributes.drop("n"), "rep")
+    rest = cut_lineage(rest.withColumn("band", F.array_position("keys", F.col("key")).cast("int")))
     x, y = rest.alias("x"), rest.alias("y")
     apart = F.bit_count(F.col("x.bits_a").bitwiseXOR(F.col("y.bits_a"))) + F.bit_count(
         F.col("x.bits_b").bitwiseXOR(F.col("y.bits_b"))
     )
+    earlier = F.exists(F.arrays_zip(F.slice("x.keys", F.lit(1), F.col("x.band") - 1).alias("p"), F.slice("y.keys", F.lit(1), F.col("x.band") - 1).alias("q")), lambda z: z["p"] == z["q"])
     met = x.join(
         y,
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.rep") < F.col("y.rep"))
         & (F.col("x.root") != F.col("y.root"))
         & _near_in_size(F.col("x.n"), F.col("y.n"), parts, least)
-        & (apart <= bits),
+        & (apart <= bits)
+        & ~earlier,  # a pair is met in the first band it shares
     )
-    pairs = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    pairs = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
     return _joined(roots, links.of(cut_lineage(pairs)))
 
 
@@ -367,11 +385,12 @@ def near_documents(
         worded.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc").alias("low"), F.max("n").alias("n"))
     )
     signed = worded.select(F.col("row").alias("rep"), "n", "signature").join(nodes.select("rep"), "rep", "left_semi")
-    keyed = stored(
-        signed.mapInArrow(_shared_bands(bands, band), "key bigint, rep bigint, n bigint, bits_a bigint, bits_b bigint"), "bands"
+    attributes = stored(
+        signed.mapInArrow(_band_keys(bands, band), "rep bigint, n bigint, bits_a bigint, bits_b bigint, keys array<bigint>"), "bands"
     )
+    keyed = attributes.select("rep", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
-    members = stored(keyed.join(shared, "key"), "members")
+    members = stored(keyed.join(shared, "key").select("key", "rep"), "members")
     wanted = cut_lineage(members.select(F.col("rep").alias("row")).distinct())
     signatures = stored(
         worded.join(wanted, "row", "left_semi").select(F.col("row").alias("rep"), F.col("signature").alias("body")), "signatures"
@@ -382,8 +401,8 @@ def near_documents(
     )
     links = Links(signatures, sets, bands * band, parts, least, miss)
     bits = most_unequal_bits(min(128, bands * band), least / parts, miss)
-    roots = linked_roots(members, links, parts, least, bits)
-    rooted = nodes.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    roots = linked_roots(members, attributes, links, parts, least, bits)
+    rooted = nodes.join(roots.select("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     names = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.join(names, "root").select("digest", "component_id")
     with_words = worded.select("row", "doc", "n", "digest").join(named, "digest").select("row", "doc", F.col("n").alias("n_shingles"), "component_id")
