@@ -59,8 +59,8 @@ _PIECES_SQL = (
 class WordIds:
     """Ids of whole texts for a tokenizer that never joins ids across ASCII white space.
 
-    Texts are split there, and a distinct word is encoded once while it is remembered. The memory of words is
-    bounded: when one half is full it becomes the old half, from which words still in use come back.
+    Texts are split there, and a distinct word is encoded once while it is remembered. The memory of words, and
+    that of their parts, is bounded: when one half is full it becomes the old half, from which what is still in use comes back.
 
     Where the tokenizer lower-cases, splits letters from all else and marks the ends of words, a Latin word with
     punctuation behind it is its lower-case letters and its punctuation, and many such parts are encoded in one text and
@@ -74,6 +74,7 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
         model = json.loads(self.tokenizer.to_str())
         steps = (model["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         suffix = model["model"].get("end_of_word_suffix")
@@ -106,7 +107,9 @@ class WordIds:
                 self.parts.update(zip(some, self.encode(some)))
 
     def learn(self, words: Iterable[bytes]) -> None:
-        known, old, parts = self.known, self.old, self.parts
+        if len(self.parts) > self.half:
+            self.old_parts, self.parts = self.parts, {}
+        known, old, parts, old_parts = self.known, self.old, self.parts, self.old_parts
         whole, split, new = [], [], {}
         for word in words:
             ids = old.get(word)
@@ -118,15 +121,14 @@ class WordIds:
             if found:
                 letters, rest = found[1].lower(), found[2]
                 split.append((word, letters, rest))
-                if letters not in parts:
-                    new[letters] = None
-                if rest and rest not in parts:
-                    new[rest] = None
+                for part in (letters, rest) if rest else (letters,):
+                    if part not in parts:
+                        if part in old_parts:
+                            parts[part] = old_parts[part]
+                        else:
+                            new[part] = None
             else:
                 whole.append((word, text))
-        if len(parts) + len(new) > self.half:
-            parts.clear()
-            new = dict.fromkeys(p for _, *both in split for p in both if p)
         self.learn_parts(list(new))
         for word, letters, rest in split:
             known[word] = parts[letters] + parts[rest] if rest else parts[letters]
