@@ -65,7 +65,11 @@ def test_pack_of_odd_rows(odd_docs, no_docs):
 
 def test_pack_of_a_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    check_pack(docs, packing.pack(docs).collect(), 2048)
+    pieces = packing.pack(docs).collect()
+    check_pack(docs, pieces, 2048)
+    fits = {p.doc for p in pieces if p.doc_tokens <= 2048}
+    whole = {p.doc for p in pieces if p.length == p.doc_tokens <= 2048}
+    assert len(whole) >= 0.9 * len(fits) > 0
     row = packing.op2_harmonic_packing(spark, sf).first()
     assert row.ids_crc32 >= 0 and "ids" not in row.asDict()
 
