@@ -147,18 +147,36 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+ROWS_PER_TASK = 200_000  # of rows of a few numbers
+
+
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """A stored frame read by as many tasks as its rows need, so what follows leaves few files behind."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
+def compact(df: DataFrame) -> DataFrame:
+    kept = cut_lineage(df)
+    return few_tasks(kept, kept.count())
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges(a, b)``; root is the smallest node of the component.
 
-    Large-star and small-star steps over distributed edges, each round cut with a reliable checkpoint.
-    Neighbours are reduced to their minimum by aggregation, never gathered; nothing but a count and a
+    Large-star and small-star steps over distributed edges, each round cut with a reliable checkpoint, until a round changes
+    nothing. Neighbours are reduced to their minimum by aggregation, never gathered; nothing but a count and a
     checksum per round reaches the driver.
     """
     edges = cut_lineage(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     )
     before = None
-    for _ in range(rounds):
+    while True:
+        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        edges = few_tasks(edges, state[0])
+        if not state[0] or state == before:
+            break
+        before = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -170,14 +188,6 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             low.select("u", F.col("m").alias("v"))
         )
         edges = cut_lineage(small.where("u <> v").distinct())
-        state = edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if state == before:
-            break
-        before = state
-    else:
-        raise RuntimeError(f"components are not settled after {rounds} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 

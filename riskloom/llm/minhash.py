@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
     Rows,
+    compact,
     connected_components,
+    few_tasks,
     identified,
     query,
     rows_among,
@@ -49,8 +51,8 @@ SEED = 11
 PIVOT_PAIRS = 512
 #: Pivots that a member is held against in one round.
 PIVOTS = 4
-#: Rounds of pivots drawn by hash that go on while a round joins components.
-ROUNDS = 4
+#: Rounds of pivots drawn by hash, which end when a round joins less than one in WORTH of the components that are left.
+ROUNDS, WORTH = 4, 50
 _WORDS = 1 << 18
 _CHUNK = 2048
 
@@ -273,7 +275,7 @@ class Links:
     def of(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of ``pairs``, distinct, that are linked."""
         likely = _beside_pivots(pairs, self.signatures).mapInArrow(self.compare, "a bigint, b bigint")
-        return cut_lineage(_beside_pivots(cut_lineage(likely), self.sets).mapInArrow(self.verify, "a bigint, b bigint"))
+        return compact(_beside_pivots(compact(likely), self.sets).mapInArrow(self.verify, "a bigint, b bigint"))
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -282,7 +284,7 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     ends = ends.join(roots.select(F.col("rep").alias("b"), F.col("root").alias("rb")), "b")
     joined = connected_components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
     joined = joined.select("node", F.col("root").alias("joined"))
-    return cut_lineage(
+    return compact(
         roots.join(joined, roots.root == joined.node, "left").select("rep", "n", F.coalesce("joined", "root").alias("root"))
     )
 
@@ -314,17 +316,17 @@ def linked_roots(
     ``attributes(rep, n, bits_a, bits_b, keys)`` holds a row for each representative.
     """
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
-    weights = cut_lineage(members.join(sizes, "key").groupBy("rep").agg(F.sum("k").alias("weight")))
+    weights = compact(members.join(sizes, "key").groupBy("rep").agg(F.sum("k").alias("weight")))
     roots = attributes.join(weights, "rep").select("rep", "n", F.col("rep").alias("root"))
-    roots = cut_lineage(roots)
+    roots = compact(roots)
     before = roots.count()
     weighted = members.join(weights, "rep")
     for turn in range(rounds + 1):
         rank = F.struct("weight", "rep") if turn == 0 else F.struct(F.xxhash64("rep", F.lit(turn)), F.col("rep"))
         pairs = _to_pivots(weighted if turn == 0 else members, roots, rank, parts, least)
-        roots = _joined(roots, links.of(cut_lineage(pairs)))
+        roots = _joined(roots, links.of(compact(pairs)))
         after = roots.select("root").distinct().count()
-        if after == before and turn:
+        if turn and before - after <= before // WORTH:
             break
         before = after
     now = members.join(roots, "rep")
@@ -346,7 +348,7 @@ def linked_roots(
         & ~earlier,  # a pair is met in the first band it shares
     )
     pairs = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-    return _joined(roots, links.of(cut_lineage(pairs)))
+    return _joined(roots, links.of(compact(pairs)))
 
 
 def most_unequal_bits(n: int, similarity: float, miss: float) -> int:
@@ -391,6 +393,7 @@ def near_documents(
     keyed = attributes.select("rep", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
     members = stored(keyed.join(shared, "key").select("key", "rep"), "members")
+    members = few_tasks(members, members.count())
     wanted = cut_lineage(members.select(F.col("rep").alias("row")).distinct())
     signatures = stored(
         worded.join(wanted, "row", "left_semi").select(F.col("row").alias("rep"), F.col("signature").alias("body")), "signatures"
