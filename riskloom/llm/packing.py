@@ -34,7 +34,7 @@ WAITING = 64  # full sequences of a task that wait for something to fill their g
 RESERVE = 16  # sequences' worth of the stream, and of short documents, that a task keeps for gaps
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 800_000  # words whose ids a worker remembers, at most
+CACHED_WORDS = 1_300_000  # words whose ids a worker remembers, at most
 #: the end of a pattern that takes runs of letters, single digits, and runs of anything else
 _LETTERS_APART = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: letters that lower-case one by one, and punctuation without apostrophes or marks of special tokens
