@@ -197,9 +197,9 @@ def _bits_of(rows: np.ndarray, bits: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(31))) % np.uint64(bits)).astype(np.int64)
 
 
-def rows_among(source: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of ``source(row, doc, text)`` that may be among ``rows(row)``: a bit set of bounded size keeps most others out of the join behind it."""
-    spark = source.sparkSession
+def row_filter(rows: DataFrame) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """Keeps the rows of a batch whose ``row`` may be among ``rows(row)``: a bit set of bounded size, for use in tasks."""
+    spark = rows.sparkSession
     bits = int(min(MAX_BITS, max(64, BITS_PER_ROW * rows.count())))
 
     def places(batches):
@@ -215,10 +215,20 @@ def rows_among(source: DataFrame, rows: DataFrame) -> DataFrame:
     filled[got.column("at").to_numpy()] = got.column("bits").to_numpy()
     shared = spark.sparkContext.broadcast(filled)
 
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = _bits_of(batch.column("row").to_numpy(), bits)
+        hit = (shared.value[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64)) & np.uint64(1)
+        return batch.filter(pa.array(hit.astype(bool)))
+
+    return keep
+
+
+def rows_among(source: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of ``source(row, doc, text)`` that may be among ``rows(row)``; keeps most others out of the join behind it."""
+    keep = row_filter(rows)
+
     def pass_on(batches):
         for batch in batches:
-            at = _bits_of(batch.column("row").to_numpy(), bits)
-            hit = (shared.value[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64)) & np.uint64(1)
-            yield batch.filter(pa.array(hit.astype(bool)))
+            yield keep(batch)
 
     return source.mapInArrow(pass_on, "row bigint, doc bigint, text binary")

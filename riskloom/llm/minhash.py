@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from riskloom.llm.common import (
     few_tasks,
     identified,
     query,
-    rows_among,
+    row_filter,
     settled,
     slices,
     stored,
@@ -53,7 +53,7 @@ PIVOT_PAIRS = 512
 PIVOTS = 4
 #: Rounds of pivots drawn by hash, which end when a round joins less than one in WORTH of the components that are left.
 ROUNDS, WORTH = 4, 50
-_WORDS = 1 << 18
+_WORDS = 1 << 17
 _CHUNK = 2048
 
 _SKETCH = "row bigint, doc bigint, n bigint, digest binary, signature binary"
@@ -180,10 +180,12 @@ def _band_keys(bands: int, band: int):
     return run
 
 
-def _sets(shingle: int):
+def _sets(shingle: int, keep: Callable[[pa.RecordBatch], pa.RecordBatch]):
+    """Sets of the rows that ``keep`` lets through, in the same worker."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, out = Shingles(shingle), Rows(_SETS)
-        for batch in slices(batches, 512):
+        for batch in map(keep, slices(batches, 512)):
             for row, text in zip(batch.column("row").to_pylist(), utf8(batch.column("text"))):
                 hashes = shingles.hashes(text or b"").tobytes()
                 if out.add((row, hashes), len(hashes)):
@@ -398,10 +400,9 @@ def near_documents(
     signatures = stored(
         worded.join(wanted, "row", "left_semi").select(F.col("row").alias("rep"), F.col("signature").alias("body")), "signatures"
     )
-    texts = rows_among(source, wanted).join(wanted, "row", "left_semi")
-    sets = stored(
-        texts.mapInArrow(_sets(shingle), "row bigint, hashes binary").select(F.col("row").alias("rep"), F.col("hashes").alias("body")), "sets"
-    )
+    found = source.select("row", "text").mapInArrow(_sets(shingle, row_filter(wanted)), "row bigint, hashes binary")
+    sets = found.join(wanted, "row", "left_semi").select(F.col("row").alias("rep"), F.col("hashes").alias("body"))
+    sets = stored(sets, "sets")
     links = Links(signatures, sets, bands * band, parts, least, miss)
     bits = most_unequal_bits(min(128, bands * band), least / parts, miss)
     roots = linked_roots(members, attributes, links, parts, least, bits)
