@@ -13,7 +13,7 @@ from bindings.fitting import NUMERIC, _prep_sql, _scaled
 from bindings.projections import ENGINEERED_SQL
 from riskloom.operators import calibration as C
 from riskloom.operators import relations as R
-from riskloom.operators.models import VECTOR, stable_layout
+from riskloom.operators.models import VECTOR, WEIGHT, distinct_rows, stable_layout
 from riskloom.operators.stage import scoring_pipeline
 
 # --- one saved object, and the conditions that its fit must meet ---------------------------------
@@ -127,9 +127,16 @@ TREE_DEPTH, BOOST_DEPTH, ROUNDS, RATE = 4, 2, 3, 0.1
 
 
 def _split_rows(spark, sf):
-    df = lines(spark, sf).select(*KEY, *SPLITS, *[c for c in FEATURES if c not in SPLITS])
-    df = df.withColumn("label", label().cast("double")).select(*KEY[:1], *KEY[2:], *SPLITS, "label")
-    return stable_layout(df, [KEY[0], "l_linenumber"])
+    """All lines as the distinct rows of what the trees see, each with its number of lines."""
+    df = lines(spark, sf).withColumn("label", label().cast("double"))
+    cells = distinct_rows(df, [*SPLITS, "label"]).persist()
+    return stable_layout(cells, [*SPLITS, "label"]).persist()
+
+
+def _leaf_sums(scored):
+    return scored.groupBy(F.round("probability", 6).alias("probability")).agg(
+        F.sum(WEIGHT).cast("bigint").alias("n"), F.sum(F.col(WEIGHT) * F.col("label")).cast("bigint").alias("positives")
+    )
 
 
 @query(
@@ -141,15 +148,13 @@ def _split_rows(spark, sf):
 )
 def _(spark, sf):
     """A classification tree on all rows, exported as nodes and scored by a join: rows and positives per leaf value."""
-    df = _split_rows(spark, sf).persist()
+    df = _split_rows(spark, sf)
     forest = RandomForestClassifier(
-        featuresCol=VECTOR, labelCol="label", numTrees=1, maxDepth=TREE_DEPTH, maxBins=64, bootstrap=False, featureSubsetStrategy="all", seed=1
+        featuresCol=VECTOR, labelCol="label", weightCol=WEIGHT, numTrees=1, maxDepth=TREE_DEPTH, maxBins=64, bootstrap=False, featureSubsetStrategy="all", seed=1
     )
     model = Pipeline(stages=[VectorAssembler(inputCols=SPLITS, outputCol=VECTOR), forest]).fit(df)
     scored = R.score_trees(df, SPLITS, R.tree_nodes(spark, model), TREE_DEPTH, boosted=False)
-    return scored.groupBy(F.round("probability", 6).alias("probability")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("positives")
-    )
+    return _leaf_sums(scored)
 
 
 def _boosted_sql() -> str:
@@ -168,13 +173,11 @@ def _boosted_sql() -> str:
 @query("boosted_scores", _boosted_sql())
 def _(spark, sf):
     """Boosting rounds on all rows, exported as nodes and scored by a join: rows and positives per probability."""
-    df = _split_rows(spark, sf).persist()
-    boosted = GBTClassifier(featuresCol=VECTOR, labelCol="label", maxIter=ROUNDS, maxDepth=BOOST_DEPTH, maxBins=64, stepSize=RATE, seed=1)
+    df = _split_rows(spark, sf)
+    boosted = GBTClassifier(featuresCol=VECTOR, labelCol="label", weightCol=WEIGHT, maxIter=ROUNDS, maxDepth=BOOST_DEPTH, maxBins=64, stepSize=RATE, seed=1)
     model = Pipeline(stages=[VectorAssembler(inputCols=SPLITS, outputCol=VECTOR), boosted]).fit(df)
     scored = R.score_trees(df, SPLITS, R.tree_nodes(spark, model), BOOST_DEPTH, boosted=True)
-    return scored.groupBy(F.round("probability", 6).alias("probability")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("positives")
-    )
+    return _leaf_sums(scored)
 
 
 # --- calibration ------------------------------------------------------------------------------------

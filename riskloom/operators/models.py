@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from dataclasses import dataclass, field
 
@@ -13,7 +14,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.feature import Bucketizer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,9 @@ from riskloom.operators.metrics import performance
 FAMILIES = ("logistic_regression", "random_forest", "gradient_boosting", "svm")
 SEED = 42
 VECTOR = "features_vector"
+WEIGHT = "__weight"
+#: Quantiles that the bins are chosen from.
+_GRID = 1024
 
 # Search ranges (inclusive). A Spark tree has no minimum split
 # size, so that range of the original search is not represented.
@@ -49,7 +53,16 @@ DEFAULTS: dict[str, dict] = {
 }
 
 
-ROWS_PER_PARTITION = 12_500
+# A fit's passes pay for each partition: a result to the driver, and in a forest the statistics of every open node. So
+# partitions stay ``PARTITIONS`` in number until they are full, and then grow with the rows.
+PARTITIONS = 24
+ROWS_PER_PARTITION = 1_000_000
+SMALL_PARTITION = 12_500
+
+
+def layout_partitions(rows: int) -> int:
+    """One for ``SMALL_PARTITION`` rows up to ``PARTITIONS``, then one for ``ROWS_PER_PARTITION`` rows without an upper end."""
+    return max(1, min(-(-rows // SMALL_PARTITION), PARTITIONS), -(-rows // ROWS_PER_PARTITION))
 
 
 def stable_layout(
@@ -57,14 +70,59 @@ def stable_layout(
 ) -> DataFrame:
     """Fixed placement by key hash and fixed order, so a seeded tree fit sees the same rows every time.
 
-    Neither the layout of the input nor a session setting moves a row. Without an explicit number there is a
-    partition for every ``ROWS_PER_PARTITION`` rows, without an upper end; ``rows`` saves a count when known.
+    Neither the layout of the input nor a session setting moves a row. Without an explicit number there are
+    ``layout_partitions``; ``rows`` saves a count when known.
     """
     if partitions is None:
-        partitions = max(1, -(-(df.count() if rows is None else rows) // ROWS_PER_PARTITION))
+        partitions = layout_partitions(df.count() if rows is None else rows)
     return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
+def distinct_rows(df: DataFrame, cols: list[str], weight: str = WEIGHT) -> DataFrame:
+    """The distinct rows of ``cols`` and how many rows each stands for, as the double ``weight``.
+
+    A weighted fit without row sampling on them is the fit on all rows: its sums are the same sums.
+    """
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias(weight))
+
+
+def bin_edges(df: DataFrame, features: list[str], bins: int) -> list[list[float]]:
+    """Per feature the splits of a ``Bucketizer``: every value its own bin if they are at most ``bins``, else even quantiles.
+
+    All rows are read, by one sketch; the grid sees every value that at least one row in ``_GRID`` has.
+    """
+    grid = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
+    found = df.agg(*[F.percentile_approx(F.col(f"`{c}`"), grid, F.lit(10 * _GRID)) for c in features]).first()
+    edges = []
+    for values in found:
+        distinct = sorted(set(values or []))
+        if len(distinct) > bins:
+            distinct = [distinct[0], *sorted({values[_GRID * i // bins] for i in range(1, bins)} - {distinct[0]})]
+        edges.append([-math.inf, *(distinct[1:] or [0.0]), math.inf])
+    return edges
+
+
+def _fit_boosted(df: DataFrame, features: list[str], label: str, params: dict, seed: int) -> PipelineModel:
+    """Boosting on binned features: rows that agree in all bins and the label are one weighted row.
+
+    A boosted tree only ever sees a row's bins, and rows alike have the same residual in every round; so the fit's passes, a few
+    a round, go over cells, whose number stops growing with the rows.
+    """
+    stages, boosted = _estimator("gradient_boosting", label, params, seed)
+    binned = [f"{c}__bin" for c in features]
+    slim = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
+    edges = bin_edges(slim, features, boosted.getMaxBins())
+    bucketizer = Bucketizer(splitsArray=edges, inputCols=list(features), outputCols=binned)
+    cells = distinct_rows(bucketizer.transform(slim), [*binned, label]).persist()
+    try:
+        boosted.setWeightCol(WEIGHT)
+        laid = stable_layout(cells, [*binned, label])
+        fitted = Pipeline(stages=[VectorAssembler(inputCols=binned, outputCol=VECTOR), *stages]).fit(laid)
+    finally:
+        cells.unpersist()
+    return PipelineModel(stages=[bucketizer, *fitted.stages])
+
+
 def _estimator(family: str, label: str, params: dict, seed: int):
     """(stages after the assembler, the stage that carries the search parameters)."""
     p = {**DEFAULTS[family], **params}
@@ -133,6 +191,8 @@ def train(
     p = {**DEFAULTS[family], **(params or {})}
     if "c" in p:
         p["reg"] = 1.0 / (p["c"] * max(df.count(), 1))
+    if family == "gradient_boosting":
+        return _fit_boosted(df, features, label, p, seed)
     return pipeline(family, features, label, p, seed).fit(df)
 
 
