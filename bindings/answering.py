@@ -13,6 +13,7 @@ from riskloom.plans import respond
 from riskloom.streaming import stream_respond
 
 LIMIT = 6
+ROWS_PER_FILE = 500_000
 RUN_TS = "2024-01-02 03:04:05"
 RESPOND_SQL = f"""with l as (
     select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) as position
@@ -25,6 +26,11 @@ RESPOND_SQL = f"""with l as (
   from checked group by l_orderkey"""
 
 
+def request_files(rows: int) -> int:
+    """Four files or, of a large table, one for ``ROWS_PER_FILE`` lines."""
+    return max(4, -(-rows // ROWS_PER_FILE))
+
+
 def requests(spark, sf) -> DataFrame:
     """An order is a batch, its lines are the members."""
     members = F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", *FEATURES)))  # an order's lines
@@ -64,8 +70,9 @@ def _(spark, sf):
 def _(spark, sf):
     """The same requests as files of a stream, answered in several micro-batches."""
     root = workspace(spark, "requests")
-    requests(spark, sf).repartition(4).write.parquet(f"{root}/in")
+    files = request_files(lines(spark, sf).count())
+    requests(spark, sf).repartition(files).write.parquet(f"{root}/in")
     schema = spark.read.parquet(f"{root}/in").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files // 2).parquet(f"{root}/in")
     stream_respond(stream, answering(spark, sf), f"{root}/out", f"{root}/state")
     return digest(spark.read.parquet(f"{root}/out/responses"), spark.read.parquet(f"{root}/out/messages"))
