@@ -20,8 +20,11 @@ def labeled(spark, sf):
     return lines(spark, sf).select(*KEY, *FEATURES).withColumn("label", label())
 
 
-def prepared(spark, sf):
-    """(prep, raw test rows, prepared train rows, prepared test rows): exact 80/20 split, fit on train only."""
+def prepared(spark, sf, laid=False):
+    """(prep, raw test rows, prepared train rows, prepared test rows): exact 80/20 split, fit on train only.
+
+    ``laid`` gives the training rows the fixed layout that a forest's draws need.
+    """
     train, test = written_split(labeled(spark, sf), "label", 0.2, L.SEED, KEY, workspace(spark, "splits"))
     prep = PrepModel(LINES).fit(train)
 
@@ -29,11 +32,12 @@ def prepared(spark, sf):
         columns = [F.col(c).cast("double").alias(c) for c in NAMES]
         return prep.transform(df).select(*KEY, F.col("label").cast("double").alias("label"), *columns)
 
-    return prep, test, L.stable_layout(ready(train), KEY), ready(test)
+    rows = L.stable_layout(ready(train), KEY, rows=train.count()) if laid else ready(train)
+    return prep, test, rows, ready(test)
 
 
 def _family(spark, sf, family):
-    _prep, _raw, train, test = prepared(spark, sf)
+    _prep, _raw, train, test = prepared(spark, sf, laid=family == "random_forest")
     train, test = train.persist(), test.persist()
     try:
         trained = L.baselines(train, test, NAMES, "label", (family,))
@@ -66,7 +70,7 @@ def _(spark, sf):
 @query("baselines")
 def _(spark, sf):
     """Sweep over all families, best first, with the winner marked."""
-    _prep, _raw, train, test = prepared(spark, sf)
+    _prep, _raw, train, test = prepared(spark, sf, laid=True)
     train, test = train.persist(), test.persist()
     try:
         results = L.results_table(spark, L.baselines(train, test, NAMES, "label"))
@@ -102,7 +106,7 @@ def _(spark, sf):
 
 @query("feature_importances")
 def _(spark, sf):
-    _prep, _raw, train, _test = prepared(spark, sf)
+    _prep, _raw, train, _test = prepared(spark, sf, laid=True)
     model = L.train(train, "random_forest", NAMES, "label")
     return rounded(L.importances(model, NAMES, spark))
 

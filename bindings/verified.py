@@ -13,8 +13,8 @@ from bindings.fitting import NUMERIC, _prep_sql, _scaled
 from bindings.projections import ENGINEERED_SQL
 from riskloom.operators import calibration as C
 from riskloom.operators import relations as R
-from riskloom.operators.models import VECTOR, WEIGHT, distinct_rows, stable_layout
-from riskloom.operators.stage import scoring_pipeline
+from riskloom.operators.models import VECTOR, WEIGHT, distinct_rows, stable_layout, weighted_fit
+from riskloom.operators.stage import fit_scoring
 
 # --- one saved object, and the conditions that its fit must meet ---------------------------------
 
@@ -43,7 +43,7 @@ def _saved_pipeline(spark, sf):
     """(rows, the pipeline from raw rows to probabilities, saved and loaded again)."""
     df = labelled_lines(spark, sf).persist()
     path = f"{workspace(spark, 'models')}/pipeline"
-    scoring_pipeline(LINES, "logistic_regression", EXACT, df.count()).fit(df).write().save(path)
+    fit_scoring(df, LINES, "logistic_regression", EXACT).write().save(path)
     return df, PipelineModel.load(path)
 
 
@@ -221,9 +221,11 @@ def _(spark, sf):
     features = ["l_quantity", "l_extendedprice", "l_discount"]
     scaled = df.withColumns({"l_extendedprice": F.col("l_extendedprice") / 10_000, "l_quantity": F.col("l_quantity") / 10})
     margins = C.held_out_margins(scaled, features, "label", KEY, params={"max_iter": 100})
-    sliced = VectorSlicer(inputCol="margins", outputCol="margin", indices=[1]).transform(margins).select("fold", "label", "margin").persist()
-    platt = LogisticRegression(featuresCol="margin", labelCol="label", predictionCol="platt", tol=1e-12).fit(sliced)
-    expected = platt.transform(sliced).agg(F.round(F.sum(vector_to_array("probability")[1]), 1)).first()[0]
-    return sliced.groupBy("fold").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("positives"), F.lit(expected).alias("expected")
+    sliced = VectorSlicer(inputCol="margins", outputCol="margin", indices=[1]).transform(margins)
+    margin = vector_to_array("margin")[0]
+    cells = distinct_rows(sliced.select("fold", "label", margin.alias("value")), ["fold", "label", "value"]).persist()
+    platt = weighted_fit(cells, ["value"], "label", [LogisticRegression(featuresCol=VECTOR, labelCol="label", predictionCol="platt", tol=1e-12)])
+    expected = platt.transform(cells).agg(F.round(F.sum(F.col(WEIGHT) * vector_to_array("probability")[1]), 1)).first()[0]
+    return cells.groupBy("fold").agg(
+        F.sum(WEIGHT).cast("bigint").alias("n"), F.sum(F.col(WEIGHT) * F.col("label")).cast("bigint").alias("positives"), F.lit(expected).alias("expected")
     )

@@ -8,7 +8,7 @@ from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.models import DEFAULTS, VECTOR
+from riskloom.operators.models import DEFAULTS, VECTOR, WEIGHT, distinct_rows, weighted_fit
 
 FOLDS = 3
 #: Distinct scores, after rounding, that the isotonic fit holds at most.
@@ -39,16 +39,21 @@ def held_out_margins(
 ) -> DataFrame:
     """``df`` plus ``fold`` and ``margins``, each row's from a linear SVM that was fitted on the other folds.
 
-    The folds are scored in one plan; ``df`` is read once per fold to fit and once to score.
+    The folds are scored in one plan; ``df`` is read once to combine equal rows of a fold, which the fits go over, and
+    once to score.
     """
     p = {**DEFAULTS["svm"], **(params or {})}
     keyed = VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(df).withColumn("fold", fold_of(key, folds))
-    sizes = {r.fold: r.n for r in keyed.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a fold
-    parts = []
-    for k in sorted(sizes):
-        others = sum(n for f, n in sizes.items() if f != k)
-        model = _svc(label, p, others).fit(keyed.where(F.col("fold") != k))
-        parts.append(model.transform(keyed.where(F.col("fold") == k)))
+    cells = distinct_rows(keyed, ["fold", *features, label], WEIGHT).persist()
+    try:
+        sizes = {r.fold: int(r.n) for r in cells.groupBy("fold").agg(F.sum(WEIGHT).alias("n")).collect()}  # a row a fold
+        parts = []
+        for k in sorted(sizes):
+            others = sum(n for f, n in sizes.items() if f != k)
+            model = weighted_fit(cells.where(F.col("fold") != k), features, label, [_svc(label, p, others)]).stages[-1]
+            parts.append(model.transform(keyed.where(F.col("fold") == k)))
+    finally:
+        cells.unpersist()
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -83,7 +83,7 @@ def distinct_rows(df: DataFrame, cols: list[str], weight: str = WEIGHT) -> DataF
 
     A weighted fit without row sampling on them is the fit on all rows: its sums are the same sums.
     """
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias(weight))
+    return df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).cast("double").alias(weight))
 
 
 def bin_edges(df: DataFrame, features: list[str], bins: int) -> list[list[float]]:
@@ -115,9 +115,7 @@ def _fit_boosted(df: DataFrame, features: list[str], label: str, params: dict, s
     bucketizer = Bucketizer(splitsArray=edges, inputCols=list(features), outputCols=binned)
     cells = distinct_rows(bucketizer.transform(slim), [*binned, label]).persist()
     try:
-        boosted.setWeightCol(WEIGHT)
-        laid = stable_layout(cells, [*binned, label])
-        fitted = Pipeline(stages=[VectorAssembler(inputCols=binned, outputCol=VECTOR), *stages]).fit(laid)
+        fitted = weighted_fit(cells, binned, label, stages)
     finally:
         cells.unpersist()
     return PipelineModel(stages=[bucketizer, *fitted.stages])
@@ -184,15 +182,39 @@ def pipeline(family: str, features: list[str], label: str, params: dict | None =
     return Pipeline(stages=[assembler, *stages])
 
 
+def weighted_fit(cells: DataFrame, features: list[str], label: str, stages: list) -> PipelineModel:
+    """The stages that take weights, fitted on ``distinct_rows`` in a stable layout."""
+    for stage in stages:
+        if stage.hasParam("weightCol"):
+            stage.setWeightCol(WEIGHT)
+    laid = stable_layout(cells, [*features, label])
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=VECTOR), *stages]).fit(laid)
+
+
+def _fit_linear(df: DataFrame, family: str, features: list[str], label: str, params: dict, seed: int) -> PipelineModel:
+    slim = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
+    cells = distinct_rows(slim, [*features, label]).persist()
+    try:
+        if "c" in params:
+            rows = cells.agg(F.sum(WEIGHT)).first()[0] or 0
+            params = {**params, "reg": 1.0 / (params["c"] * max(rows, 1))}
+        return weighted_fit(cells, features, label, _estimator(family, label, params, seed)[0])
+    finally:
+        cells.unpersist()
+
+
 def train(
     df: DataFrame, family: str, features: list[str], label: str, params: dict | None = None, seed: int = SEED
 ) -> PipelineModel:
-    """Fit one family. An inverse strength ``c`` becomes Spark's mean-loss penalty ``1 / (c * rows)``."""
+    """Fit one family. An inverse strength ``c`` becomes Spark's mean-loss penalty ``1 / (c * rows)``.
+
+    Only a forest, which draws rows, is fitted on the rows as they lie; the other fits go over weighted distinct rows.
+    """
     p = {**DEFAULTS[family], **(params or {})}
-    if "c" in p:
-        p["reg"] = 1.0 / (p["c"] * max(df.count(), 1))
     if family == "gradient_boosting":
         return _fit_boosted(df, features, label, p, seed)
+    if family in ("logistic_regression", "svm"):
+        return _fit_linear(df, family, features, label, p, seed)
     return pipeline(family, features, label, p, seed).fit(df)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import FeatureConfig
-from riskloom.operators.models import DEFAULTS, SEED, VECTOR, family_stages
+from riskloom.operators.models import DEFAULTS, SEED, VECTOR, family_stages, train
 from riskloom.operators.prep import NotFittedError, PrepModel, config_from_dict, config_to_dict
 
 _RAW = "__raw"
@@ -96,3 +96,13 @@ def scoring_pipeline(
     if "c" in p and rows:
         p["reg"] = 1.0 / (p["c"] * rows)
     return Pipeline(stages=[PrepStage(cfg), *family_stages(family, cfg.label, p, seed)])
+
+
+def fit_scoring(df: DataFrame, cfg: FeatureConfig, family: str, params: dict | None = None, seed: int = SEED) -> PipelineModel:
+    """``scoring_pipeline`` fitted on ``df``: medians and scaling from all rows, linear models over distinct rows."""
+    if family not in ("logistic_regression", "svm"):
+        return scoring_pipeline(cfg, family, params, df.count(), seed).fit(df)
+    prep = PrepModel(cfg).fit(df)
+    ready = prep.transform(df).select(cfg.label, *[F.col(c).cast("double").alias(c) for c in prep.feature_names])
+    fitted = train(ready, family, prep.feature_names, cfg.label, params, seed)
+    return PipelineModel(stages=[stage_of(prep), *fitted.stages[1:]])

@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from bindings.answering import ROWS_PER_FILE, request_files
+from riskloom.operators import calibration as C
 from riskloom.operators import models as L
 
 
@@ -45,3 +47,32 @@ def test_bins_hold_every_value_if_few_else_quantiles(spark):
     assert flag[1:-1] == [1.0, 2.0] and len(x) == 33
     (constant,) = L.bin_edges(df.withColumn("x", F.lit(4.0)), ["x"], 32)
     assert len(constant) == 3
+
+
+@pytest.mark.parametrize("family", ["logistic_regression", "svm"])
+def test_linear_fits_see_distinct_rows(spark, monkeypatch, family):
+    df = _rows(spark, 5)
+    seen, laid = [], L.stable_layout
+
+    def counted(frame, *args, **kwargs):
+        seen.append(frame.agg(F.count("*"), F.sum(L.WEIGHT)).first())
+        return laid(frame, *args, **kwargs)
+
+    monkeypatch.setattr(L, "stable_layout", counted)
+    params = {"max_iter": 20, "c": 1.0, "tol": 1e-10}
+    fitted = L.train(df, family, ["x", "flag"], "y", params).stages[1]
+    assert seen[0][0] <= 600 and seen[0][1] == 3000
+    rows = L.pipeline(family, ["x", "flag"], "y", {**params, "reg": 1 / 3000}).fit(df).stages[1]
+    near = 0.05 if family == "svm" else 1e-6  # the hinge has edges, where the order of a sum decides a step
+    assert list(fitted.coefficients) == pytest.approx(list(rows.coefficients), rel=near, abs=1e-9)
+
+
+def test_held_out_folds_keep_every_row(spark):
+    df = _rows(spark, 4)
+    margins = C.held_out_margins(df, ["x", "flag"], "y", ["x", "flag", "copy"], params={"max_iter": 5})
+    assert margins.count() == df.count()
+
+
+def test_files_of_a_stream_stay_bounded_in_rows():
+    assert request_files(60_000) == 4
+    assert 216_000_000 / request_files(216_000_000) <= ROWS_PER_FILE
