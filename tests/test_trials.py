@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import Bucketizer
@@ -65,3 +67,18 @@ def test_search_over_too_many_cells_fits_on_the_rows(spark, noisy, monkeypatch):
     space = {"n_estimators": (2, 3), "max_depth": (2, 3), "min_samples_leaf": (1, 2)}
     tuned = L.search(noisy, "random_forest", ["a", "b"], "y", trials=2, space=space)
     assert set(tuned.params) == set(space) and tuned.metrics["validation_f1"] > 0.5
+
+
+def test_baselines_fit_side_by_side(spark, noisy, monkeypatch):
+    running, most = [0], [0]
+
+    def slow(*args, **kwargs):
+        running[0] += 1
+        most[0] = max(most[0], running[0])
+        time.sleep(0.5)
+        running[0] -= 1
+
+    monkeypatch.setattr(L, "train", slow)
+    monkeypatch.setattr(L, "evaluate", lambda *a: {"accuracy": 1.0})
+    found = L.baselines(noisy, noisy, ["a", "b"], "y")
+    assert [t.family for t in found] == list(L.FAMILIES) and most[0] == len(L.FAMILIES)
