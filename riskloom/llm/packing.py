@@ -35,6 +35,7 @@ RESERVE = 16  # sequences' worth of the stream, and of short documents, that a t
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 CACHED_WORDS = 1_300_000  # words whose ids a worker remembers, at most
+GROUP_BYTES = 1 << 17  # of text whose new words are learned at once
 #: the end of a pattern that takes runs of letters, single digits, and runs of anything else
 _LETTERS_APART = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: letters that lower-case one by one, and punctuation without apostrophes or marks of special tokens
@@ -135,15 +136,29 @@ class WordIds:
         known.update(zip((w for w, _ in whole), self.encode([t for _, t in whole])))
 
     def __call__(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        missing = set(words).difference(self.known)
+        return next(self.each([text]))
+
+    def each(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+        """Ids of one text after the other; new words of ``GROUP_BYTES`` of text are learned at once."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text.split())
+            size += len(text)
+            if size >= GROUP_BYTES:
+                yield from self._ids(group)
+                group, size = [], 0
+        yield from self._ids(group)
+
+    def _ids(self, group: list[list[bytes]]) -> Iterator[np.ndarray]:
+        missing = set().union(*group).difference(self.known)
         if missing:
             if len(self.known) > self.half:
                 self.old, self.known = self.known, {}
-                missing = set(words)
+                missing = set().union(*group)
             self.learn(missing)
-        ids = b"".join(map(self.known.__getitem__, words))
-        return np.frombuffer(ids + _END, "<u4")
+        ids_of = self.known.__getitem__
+        for words in group:
+            yield np.frombuffer(b"".join(map(ids_of, words)) + _END, "<u4")
 
 
 class _Open:
@@ -258,8 +273,9 @@ def _pack(path: str, capacity: int, classes: int):
         open_ = _Open(capacity, classes, TaskContext.get().partitionId() << 33)
         out = Rows(_PIECES)
         for batch in slices(batches, 256):
-            for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                for piece in open_.put(doc, coder(text or b"")):
+            texts = (text or b"" for text in utf8(batch.column(1)))
+            for doc, ids in zip(batch.column(0).to_pylist(), coder.each(texts)):
+                for piece in open_.put(doc, ids):
                     if out.add(piece, len(piece[3])):
                         yield out.batch()
         for piece in open_.end():
