@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.config import AdviceThresholds, MonitorThresholds, RetrainThresholds
@@ -173,12 +175,16 @@ def recommendations(board: DataFrame, thresholds: AdviceThresholds = AdviceThres
 
 
 def run_sections(sections: dict[str, Callable[[], object]]) -> tuple[dict[str, object], dict[str, str]]:
-    """Run each section on its own: (results, error text per failed section)."""
+    """Run each section on its own, all side by side: (results, error text per failed section)."""
+    spark = SparkSession.getActiveSession()
     done: dict[str, object] = {}
     errors: dict[str, str] = {}
-    for name, work in sections.items():
+    with ThreadPoolExecutor(max(1, len(sections))) as pool:
+        # each thread gets its own copy of the caller's local properties
+        started = {name: pool.submit(inheritable_thread_target(spark)(work) if spark else work) for name, work in sections.items()}
+    for name, future in started.items():
         try:
-            done[name] = work()
+            done[name] = future.result()
         except Exception as error:  # one broken section must not stop the others
             log.exception("section %s failed", name)
             errors[name] = f"{type(error).__name__}: {error}".splitlines()[0]

@@ -80,6 +80,7 @@ def monitor(ref: DataFrame, cur: DataFrame, cfg: MonitorConfig, run_id: str, run
         cur = score_table(cur, *scorer, roles.prediction, roles.score or "probability")
     cur = cur.persist()
     held = [cur]
+    n_rows = cur.count()  # holds every row before the sections, which run side by side, ask for them
 
     def keep(name: str, frame: DataFrame) -> DataFrame:
         frames[name] = frame.persist()
@@ -130,7 +131,7 @@ def monitor(ref: DataFrame, cur: DataFrame, cfg: MonitorConfig, run_id: str, run
     row = (
         run_id,
         as_datetime(run_ts),
-        cur.count(),
+        n_rows,
         len(cur.columns),
         *[numbers.get(k) for k in ("drift_share", "failed_tests", "passed_tests", "total_tests", "accuracy", "f1")],
         numbers.get("parity", {}),
