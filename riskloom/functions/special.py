@@ -11,7 +11,10 @@ _SHIFT = 10
 _TINY = 1e-300
 
 
-def _number(x: Column | float) -> Column:
+def _number(x: Column | str | float) -> Column:
+    """A column, a column's name or a number."""
+    if isinstance(x, str):
+        x = F.col(x)
     return (x if isinstance(x, Column) else F.lit(x)).cast("double")
 
 
@@ -65,12 +68,12 @@ def _away(x: Column) -> Column:
     return F.when(F.abs(x) < _TINY, F.lit(_TINY)).otherwise(x)
 
 
-def chi2_tail(value: Column | float, dof: Column | float) -> Column:
+def chi2_tail(value: Column | str | float, dof: Column | str | float) -> Column:
     """P(X >= value) for a chi-square variable."""
     return gamma_tail(_number(dof) / 2, _number(value) / 2)
 
 
-def normal_two_sided(z: Column | float) -> Column:
+def normal_two_sided(z: Column | str | float) -> Column:
     """P(|Z| >= |z|) for a standard normal variable."""
     z = _number(z)
     return gamma_tail(F.when(z.isNotNull(), F.lit(0.5)), z * z / 2)

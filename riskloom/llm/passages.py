@@ -23,7 +23,8 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import identified, query, rows_among, settled, slices, stored, table, utf8
+from riskloom.llm.common import identified, query, settled, slices, stored, table, utf8
+from riskloom.llm.common import rows_among as _row_filter
 from riskloom.session import cut_lineage
 
 WINDOW = 13
@@ -312,7 +313,7 @@ def _ranges(source: DataFrame, whole: DataFrame, window: int) -> DataFrame:
     pairs = found.select("h", "row").join(shared, "h").groupBy("row").agg(F.collect_list(F.struct("h", "n")).alias("anchors"))
     wanted = cut_lineage(pairs.join(whole.where("not copy").select("row"), "row", "left_semi"))
     total = wanted.agg(F.sum(F.size("anchors"))).first()[0] or 0
-    texts = rows_among(source, wanted).join(wanted, "row")
+    texts = _row_filter(source, wanted).join(wanted, "row")
     schema = "h bigint, n bigint, row bigint, doc bigint, start bigint, words binary"
     fragments = stored(texts.mapInArrow(_fragments(window), schema), "fragments")
     shards = max(1, total // SHARD_PAIRS)
@@ -344,7 +345,7 @@ def drop_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = cut_lineage(digests.join(firsts, ["sha", "n"]).select("row", "doc", "n", "sha", copy.alias("copy")))
     ranges = _ranges(source, whole, window).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     ranges = cut_lineage(ranges)
-    cut = rows_among(source, ranges).join(ranges, "row")
+    cut = _row_filter(source, ranges).join(ranges, "row")
     cut = cut.mapInArrow(_keep_words, "row bigint, removed bigint, left_sha string, left_text binary")
     none = hashlib.sha256(b"").hexdigest()
     return whole.join(cut, "row", "left").select(

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from riskloom.functions import safe_divide
-from riskloom.functions.special import chi2_tail, normal_two_sided
+from riskloom.functions.special import chi2_tail as _chi2_tail
+from riskloom.functions.special import normal_two_sided as _normal_two_sided
 from riskloom.operators.joins import compare_counts, tag_snapshots
 from riskloom.operators.ordered import ROWS_PER_BUCKET, ranked_values
 from riskloom.operators.profile import digested, per_column
@@ -200,7 +201,7 @@ def chi2_stat(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def chi2(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    return chi2_stat(ref, cur, cols).withColumn("p_value", chi2_tail(F.col("chi2"), F.col("dof")))
+    return chi2_stat(ref, cur, cols).withColumn("p_value", _chi2_tail(F.col("chi2"), F.col("dof")))
 
 
 def prop_z(ref: DataFrame, cur: DataFrame, tests: dict[str, Column | str]) -> DataFrame:
@@ -230,7 +231,7 @@ def prop_z(ref: DataFrame, cur: DataFrame, tests: dict[str, Column | str]) -> Da
 def z_test(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """Two-sided p-value for 0/1 columns."""
     tests = {c: F.col(c).cast("int") == 1 for c in cols}
-    return prop_z(ref, cur, tests).withColumn("p_value", normal_two_sided(F.col("z")))
+    return prop_z(ref, cur, tests).withColumn("p_value", _normal_two_sided(F.col("z")))
 
 
 _SCORES = {
