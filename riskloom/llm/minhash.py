@@ -5,10 +5,11 @@ that share a band are candidates. A candidate pair's signatures are compared bat
 similarity has, from a uniform prior, the posterior Beta(m + 1, n - m + 1); as soon as the chance that it reaches the threshold falls
 under the chosen miss probability, the pair is dropped. What survives is verified on the full sets.
 
-Equal sets are one node from the start. A band that many documents share is not expanded into pairs: each of its members
-is held against one pivot of the band, first the member that shares most bands with others, then members drawn by hash,
-and links found so join documents into one component. Only pairs that no component joins are enumerated at the end,
-and only with an equal enough size and a one-bit sketch of the signature that agrees as far as a linked pair's would.
+Equal sets are one node from the start. Each member of a band that many documents share is first held against one pivot of the
+band, first the member that shares most bands with others, then members drawn by hash, and links found so join documents
+into one component. Pairs that no component joins then meet inside tasks, a band's members at a time (two tiles of them, where
+they are many): signatures first; the sets are fetched, once for a band, only for members that a likely partner is left for.
+No row is made for a pair, only for a member of a band and for links that join something.
 """
 
 from __future__ import annotations
@@ -47,6 +48,10 @@ BANDS, BAND = 32, 4
 BATCH = 32
 MISS = 1e-10
 SEED = 11
+#: A band of so many members is held against pivots first.
+CROWD = 128
+#: Members of a band, and hashes of their sets, that one side of a tile holds, about.
+TILE, TILE_HASHES = 1024, 1 << 21
 #: Links a pivot verifies in one task.
 PIVOT_PAIRS = 512
 #: Pivots that a member is held against in one round.
@@ -55,6 +60,8 @@ PIVOTS = 4
 ROUNDS, WORTH = 4, 50
 _WORDS = 1 << 17
 _CHUNK = 2048
+_PAIRS = 1 << 16
+_COLUMNS = 4096
 
 _SKETCH = "row bigint, doc bigint, n bigint, digest binary, signature binary"
 _SETS = pa.schema([("row", pa.int64()), ("hashes", pa.binary())])
@@ -98,7 +105,7 @@ class Shingles:
 
 
 class Signer:
-    """Minimum of each of many hash functions over a set."""
+    """Minimum of each of many hash functions over a set, its low 16 bits: others of these agree once in 65,536 times."""
 
     def __init__(self, size: int = BANDS * BAND, seed: int = SEED):
         self.factors, self.shifts = _odd(seed + 1, size, np.uint32)[:, None], _odd(seed + 2, size, np.uint32)[:, None]
@@ -108,7 +115,7 @@ class Signer:
         high = (hashes >> np.uint64(32)).astype(np.uint32)
         for at in range(0, len(high), _CHUNK):
             out = np.minimum(out, (high[None, at : at + _CHUNK] * self.factors + self.shifts).min(1))
-        return out
+        return out.astype(np.uint16)
 
 
 def least_agreements(n: int, threshold: float = LEAST / PARTS, miss: float = MISS) -> int:
@@ -150,7 +157,7 @@ def _sketches(shingle: int, bands: int, band: int):
 
 
 def _band_keys(bands: int, band: int):
-    """(rep, n, bits_a, bits_b, keys): a key for each band, and a two-word sketch of one bit a signature value."""
+    """(rep, n, keys): a key for each band."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _odd(SEED + 3, band, np.uint64)
@@ -158,24 +165,12 @@ def _band_keys(bands: int, band: int):
             n = batch.num_rows
             if not n:
                 continue
-            signs = np.frombuffer(b"".join(utf8(batch.column("signature"))), np.uint32).reshape(n, -1)
+            signs = np.frombuffer(b"".join(utf8(batch.column("signature"))), np.uint16).reshape(n, -1)
             keys = (signs.reshape(n, bands, band) * factors).sum(2, dtype=np.uint64)
             keys = (keys ^ (keys >> np.uint64(29))) + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            bits = np.packbits((signs[:, :128] >> np.uint32(16)) & np.uint32(1), axis=1)
-            full = np.zeros((n, 16), np.uint8)
-            full[:, : bits.shape[1]] = bits
-            words = full.view(np.int64)
             offsets = np.arange(0, n * bands + 1, bands, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("rep"),
-                    batch.column("n"),
-                    pa.array(words[:, 0]),
-                    pa.array(words[:, 1]),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1).view(np.int64))),
-                ],
-                names=["rep", "n", "bits_a", "bits_b", "keys"],
-            )
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("n"), lists], names=["rep", "n", "keys"])
 
     return run
 
@@ -195,9 +190,13 @@ def _sets(shingle: int, keep: Callable[[pa.RecordBatch], pa.RecordBatch]):
     return run
 
 
+def _needed(batch_size: int, size: int, miss: float, threshold: float) -> list[tuple[int, int]]:
+    return [(k, least_agreements(k, threshold, miss)) for k in [*range(batch_size, size, batch_size), size]]
+
+
 def _compare(batch_size: int, size: int, miss: float, threshold: float):
     """Of rows (b, a, salt, lead, signature) sorted by pivot, the lead first: pairs that outlive every batch."""
-    needed = [(k, least_agreements(k, threshold, miss)) for k in [*range(batch_size, size, batch_size), size]]
+    needed = _needed(batch_size, size, miss, threshold)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, pivot = None, None
@@ -207,7 +206,7 @@ def _compare(batch_size: int, size: int, miss: float, threshold: float):
                 continue
             groups = list(zip(batch.column("a").to_pylist(), batch.column("salt").to_pylist()))
             lead = batch.column("lead").to_numpy(zero_copy_only=False)
-            signs = np.frombuffer(b"".join(utf8(batch.column("body"))), np.uint32).reshape(n, -1)
+            signs = np.frombuffer(b"".join(utf8(batch.column("body"))), np.uint16).reshape(n, -1)
             pivots = np.empty_like(signs)
             for i in range(n):
                 if lead[i]:
@@ -266,12 +265,177 @@ def _beside_pivots(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     return heads.unionByName(follow).repartition("a", "salt").sortWithinPartitions("a", "salt", F.desc("lead"))
 
 
+_TILE = ("key", "p", "q")
+_MEMBER = "key bigint, p int, q int, part int, band int, rep bigint, root bigint, n bigint, body binary"
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of whole groups of rows that are sorted by ``names``, each with the groups' bounds."""
+    held: list[pa.RecordBatch] = []
+
+    def bounds(batch: pa.RecordBatch) -> np.ndarray:
+        new = np.zeros(max(0, batch.num_rows - 1), bool)
+        for name in names:
+            values = batch.column(name).to_numpy()
+            new |= values[1:] != values[:-1]
+        return np.r_[0, np.flatnonzero(new) + 1, batch.num_rows]
+
+    def made() -> tuple[pa.RecordBatch, np.ndarray]:
+        batch = held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        held.clear()
+        return batch, bounds(batch)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cut = int(bounds(batch)[-2])
+        if held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in names):
+            yield made()
+        if cut:
+            held.append(batch.slice(0, cut))
+            yield made()
+        held.append(batch.slice(cut))
+    if held:
+        yield made()
+
+
+def pairs_within(bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows i < j of one group, some at a time."""
+    starts, sizes = bounds[:-1], np.diff(bounds)
+    for size in np.unique(sizes[sizes > 1]).tolist():
+        own = starts[sizes == size]
+        if size * size <= _PAIRS:
+            i, j = np.triu_indices(size, 1)
+            step = max(1, _PAIRS // len(i))
+            for at in range(0, len(own), step):
+                first = own[at : at + step, None]
+                yield (first + i).ravel(), (first + j).ravel()
+        else:
+            step = max(1, _PAIRS // size)
+            for first in own.tolist():
+                for at in range(0, size - 1, step):
+                    i, j = np.arange(at, min(at + step, size - 1)), np.arange(at + 1, size)
+                    i, j = np.repeat(i, len(j)), np.tile(j, len(i))
+                    yield first + i[j > i], first + j[j > i]
+
+
+class Likely:
+    """Pairs of a tile that no component joins and whose signatures agree enough, each in the first band that it shares."""
+
+    def __init__(self, bands: int, band: int, miss: float, parts: int, least: int):
+        self.bands, self.band, self.parts, self.least = bands, band, parts, least
+        self.needed = _needed(BATCH, bands * band, miss, least / parts)
+
+    def __call__(self, batch: pa.RecordBatch, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        root, n, part, own = (batch.column(c).to_numpy() for c in ("root", "n", "part", "band"))
+        inside = batch.column("p").to_numpy() == batch.column("q").to_numpy()
+        signs = np.frombuffer(b"".join(utf8(batch.column("body"))), np.uint16).reshape(len(n), -1)
+        for i, j in pairs_within(bounds):
+            go = (root[i] != root[j]) & (inside[i] | (part[i] != part[j])) & (own[i] == own[j])
+            i, j = i[go], j[go]
+            go = self.parts * np.minimum(n[i], n[j]) >= self.least * np.maximum(n[i], n[j])
+            i, j = i[go], j[go]
+            agreed, done = np.zeros(len(i), np.int64), 0
+            for seen, least in self.needed:
+                agreed += (signs[i, done:seen] == signs[j, done:seen]).sum(1)
+                go, done = agreed >= least, seen
+                i, j, agreed = i[go], j[go], agreed[go]
+            shared = (signs[i] == signs[j]).reshape(len(i), self.bands, self.band).all(2)
+            go = shared[np.arange(len(i)), own[i]] & (shared.argmax(1) == own[i])
+            if go.any():
+                yield i[go], j[go]
+
+
+def _left(likely: Likely):
+    """The members of tiles that have a likely partner there."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, bounds in whole_groups(batches, _TILE):
+            left = np.zeros(batch.num_rows, bool)
+            for i, j in likely(batch, bounds):
+                left[i] = left[j] = True
+            yield batch.filter(pa.array(left))
+
+    return run
+
+
+def shared_sizes(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Size of the intersection of each sets[i], sets[j]: what occurs in two sets or more is a column of a bit table."""
+    _, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    owner, codes = owner[counts[codes] > 1], codes[counts[codes] > 1]
+    codes = (np.cumsum(counts > 1) - 1)[codes]
+    out, width = np.zeros(len(i), np.int64), int((counts > 1).sum())
+    for low in range(0, width, _COLUMNS):
+        here = (codes >= low) & (codes < low + _COLUMNS)
+        table = np.zeros((len(sets), -(-min(_COLUMNS, width - low) // 64) * 64), bool)
+        table[owner[here], codes[here] - low] = True
+        bits = np.packbits(table, axis=1).view(np.uint64)
+        for at in range(0, len(i), _COLUMNS):
+            both = bits[i[at : at + _COLUMNS]] & bits[j[at : at + _COLUMNS]]
+            out[at : at + _COLUMNS] += np.bitwise_count(both).sum(1, dtype=np.int64)
+    return out
+
+
+class _Joins(dict):
+    """Components among roots; a root that is not named is its own."""
+
+    def top(self, x: int) -> int:
+        while (up := self.get(x, x)) != x:
+            self[x] = x = self.get(up, up)
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.top(a), self.top(b)
+        self[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _links(likely: Likely):
+    """(a, b) for tiles with the members' sets: links that join what no link before them in the tile does."""
+    parts, least = likely.parts, likely.least
+
+    def found(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+        reps, roots = batch.column("rep").to_pylist(), batch.column("root").to_pylist()
+        n, sets = batch.column("n").to_numpy(), [np.frombuffer(x, np.uint64) for x in utf8(batch.column("hashes"))]
+        joins = _Joins()
+        for i, j in likely(batch, np.array([0, batch.num_rows])):
+            if joins:
+                tops = np.array([joins.top(r) for r in roots])
+                i, j = i[tops[i] != tops[j]], j[tops[i] != tops[j]]
+            both = shared_sizes(sets, i, j)
+            for at in np.flatnonzero(parts * both >= least * (n[i] + n[j] - both)).tolist():
+                a, b = int(i[at]), int(j[at])
+                if joins.join(roots[a], roots[b]):
+                    yield reps[a], reps[b]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, bounds in whole_groups(batches, _TILE):
+            out = [x for low, high in zip(bounds[:-1], bounds[1:]) for x in found(batch.slice(low, high - low))]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def in_tiles(members: DataFrame, tile: int, hashes: int) -> DataFrame:
+    """``members(key, rep, n, ...)`` with (p, q, part): every two members of a key meet in one tile (key, p, q) with p <= q.
+
+    Members are dealt over parts of about ``tile`` members and ``hashes`` in their sets; a tile with p < q holds two parts.
+    """
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("n") / hashes)).cast("int")
+    sizes = members.groupBy("key").agg(parts.alias("parts"))
+    dealt = members.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return dealt.withColumns({"p": F.least("part", "other"), "q": F.greatest("part", "other")}).drop("parts", "other")
+
+
 class Links:
     """Verified links among the representatives of bands."""
 
-    def __init__(self, signatures: DataFrame, sets: DataFrame, size: int, parts: int, least: int, miss: float):
+    def __init__(self, signatures: DataFrame, sets: DataFrame, bands: int, band: int, parts: int, least: int, miss: float):
         self.signatures, self.sets = signatures, sets
-        self.compare = _compare(BATCH, size, miss, least / parts)
+        self.likely = Likely(bands, band, miss, parts, least)
+        self.compare = _compare(BATCH, bands * band, miss, least / parts)
         self.verify = _verify(parts, least)
 
     def of(self, pairs: DataFrame) -> DataFrame:
@@ -279,6 +443,17 @@ class Links:
         likely = _beside_pivots(pairs, self.signatures).mapInArrow(self.compare, "a bigint, b bigint")
         return compact(_beside_pivots(compact(likely), self.sets).mapInArrow(self.verify, "a bigint, b bigint"))
 
+    def among(self, members: DataFrame, tile: int = TILE, hashes: int = TILE_HASHES) -> DataFrame:
+        """Links (a, b) among ``members(key, rep, band, root, n)`` of one key that join all that linked pairs would join."""
+
+        def tiles(frame: DataFrame) -> DataFrame:
+            return frame.repartition(*_TILE).sortWithinPartitions(*_TILE)
+
+        signed = in_tiles(members, tile, hashes).join(self.signatures, "rep").select(*(c.split()[0] for c in _MEMBER.split(", ")))
+        left = tiles(signed).mapInArrow(_left(self.likely), _MEMBER)
+        with_sets = left.join(self.sets.select("rep", F.col("body").alias("hashes")), "rep")
+        return compact(tiles(with_sets).mapInArrow(_links(self.likely), "a bigint, b bigint").distinct())
+
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """(rep, n, root) after ``links`` between representatives join the components of ``roots``."""
@@ -311,56 +486,25 @@ def _to_pivots(members: DataFrame, roots: DataFrame, rank: Column, parts: int, l
 
 
 def linked_roots(
-    members: DataFrame, attributes: DataFrame, links: Links, parts: int, least: int, bits: int, rounds: int = ROUNDS
+    members: DataFrame, nodes: DataFrame, links: Links, parts: int, least: int, rounds: int = ROUNDS, crowd: int = CROWD
 ) -> DataFrame:
-    """(rep, n, root): components over all links between members (key, rep) of one band.
-
-    ``attributes(rep, n, bits_a, bits_b, keys)`` holds a row for each representative.
-    """
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
-    weights = compact(members.join(sizes, "key").groupBy("rep").agg(F.sum("k").alias("weight")))
-    roots = attributes.join(weights, "rep").select("rep", "n", F.col("rep").alias("root"))
-    roots = compact(roots)
-    before = roots.count()
-    weighted = members.join(weights, "rep")
-    for turn in range(rounds + 1):
+    """(rep, n, root): components over all links between members (key, rep, band) of one band; ``nodes(rep, n)`` are all."""
+    roots = compact(members.select("rep").distinct().join(nodes, "rep").select("rep", "n", F.col("rep").alias("root")))
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > crowd)
+    crowded = compact(members.join(sizes, "key"))
+    weights = compact(crowded.groupBy("rep").agg(F.sum("k").alias("weight")))
+    before = weights.count()
+    for turn in range(rounds + 1 if before else 0):
         rank = F.struct("weight", "rep") if turn == 0 else F.struct(F.xxhash64("rep", F.lit(turn)), F.col("rep"))
-        pairs = _to_pivots(weighted if turn == 0 else members, roots, rank, parts, least)
+        pairs = _to_pivots(crowded.join(weights, "rep") if turn == 0 else crowded, roots, rank, parts, least)
         roots = _joined(roots, links.of(compact(pairs)))
-        after = roots.select("root").distinct().count()
+        after = roots.join(weights, "rep", "left_semi").select("root").distinct().count()
         if turn and before - after <= before // WORTH:
             break
         before = after
     now = members.join(roots, "rep")
     open_keys = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    rest = now.join(open_keys, "key").join(attributes.drop("n"), "rep")
-    rest = cut_lineage(rest.withColumn("band", F.array_position("keys", F.col("key")).cast("int")))
-    x, y = rest.alias("x"), rest.alias("y")
-    apart = F.bit_count(F.col("x.bits_a").bitwiseXOR(F.col("y.bits_a"))) + F.bit_count(
-        F.col("x.bits_b").bitwiseXOR(F.col("y.bits_b"))
-    )
-    earlier = F.exists(F.arrays_zip(F.slice("x.keys", F.lit(1), F.col("x.band") - 1).alias("p"), F.slice("y.keys", F.lit(1), F.col("x.band") - 1).alias("q")), lambda z: z["p"] == z["q"])
-    met = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.rep") < F.col("y.rep"))
-        & (F.col("x.root") != F.col("y.root"))
-        & _near_in_size(F.col("x.n"), F.col("y.n"), parts, least)
-        & (apart <= bits)
-        & ~earlier,  # a pair is met in the first band it shares
-    )
-    pairs = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-    return _joined(roots, links.of(compact(pairs)))
-
-
-def most_unequal_bits(n: int, similarity: float, miss: float) -> int:
-    """Of ``n`` one-bit values: the count that a pair of that similarity exceeds with a chance under ``miss``."""
-    p, above = (1 - similarity) / 2, 0.0
-    for k in range(n, -1, -1):
-        above += math.comb(n, k) * p**k * (1 - p) ** (n - k)
-        if above >= miss:
-            return k
-    return 0
+    return _joined(roots, links.among(now.join(open_keys, "key")))
 
 
 def near_documents(
@@ -390,11 +534,11 @@ def near_documents(
     )
     signed = worded.select(F.col("row").alias("rep"), "n", "signature").join(nodes.select("rep"), "rep", "left_semi")
     attributes = stored(
-        signed.mapInArrow(_band_keys(bands, band), "rep bigint, n bigint, bits_a bigint, bits_b bigint, keys array<bigint>"), "bands"
+        signed.mapInArrow(_band_keys(bands, band), "rep bigint, n bigint, keys array<bigint>"), "bands"
     )
-    keyed = attributes.select("rep", F.explode("keys").alias("key"))
+    keyed = attributes.select("rep", F.posexplode("keys").alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
-    members = stored(keyed.join(shared, "key").select("key", "rep"), "members")
+    members = stored(keyed.join(shared, "key").select("key", "rep", "band"), "members")
     members = few_tasks(members, members.count())
     wanted = cut_lineage(members.select(F.col("rep").alias("row")).distinct())
     signatures = stored(
@@ -403,9 +547,8 @@ def near_documents(
     found = source.select("row", "text").mapInArrow(_sets(shingle, row_filter(wanted)), "row bigint, hashes binary")
     sets = found.join(wanted, "row", "left_semi").select(F.col("row").alias("rep"), F.col("hashes").alias("body"))
     sets = stored(sets, "sets")
-    links = Links(signatures, sets, bands * band, parts, least, miss)
-    bits = most_unequal_bits(min(128, bands * band), least / parts, miss)
-    roots = linked_roots(members, attributes, links, parts, least, bits)
+    links = Links(signatures, sets, bands, band, parts, least, miss)
+    roots = linked_roots(members, attributes.select("rep", "n"), links, parts, least)
     rooted = nodes.join(roots.select("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     names = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.join(names, "root").select("digest", "component_id")

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -78,6 +79,58 @@ def test_a_hot_group_of_near_copies_with_chains(store):
     assert fast_components(df) == slow_components(rows)
 
 
+def test_similar_texts_that_are_no_links_make_no_rows_of_pairs(store, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    rows = []
+    for k in range(160):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 6, 7, 8])):
+            words[at] = f"x{rng.randrange(100_000)}"
+        rows.append((k, " ".join(words)))
+    handed = []
+    of = minhash.Links.of
+    monkeypatch.setattr(minhash.Links, "of", lambda self, pairs: handed.append(pairs.count()) or of(self, pairs))
+    assert fast_components(store(rows, "doc_id bigint, text string", parts=4)) == slow_components(rows)
+    assert max(handed, default=0) <= minhash.PIVOTS * len(rows)
+
+
+def test_tiles_let_every_two_members_meet_once(spark):
+    members = spark.range(90).selectExpr("id % 2 as key", "id as rep", "id as n")
+    met = minhash.in_tiles(members, 10, 10**9).collect()
+    tiles = defaultdict(list)
+    for r in met:
+        tiles[r.key, r.p, r.q].append((r.rep, r.part))
+    pairs = Counter()
+    for (_, p, q), own in tiles.items():
+        pairs.update((a, b) for a, x in own for b, y in own if a < b and (p == q or x != y))
+    assert pairs == Counter({(a, b): 1 for a in range(90) for b in range(a + 2, 90, 2)})
+    assert max(len(x) for x in tiles.values()) < 45
+
+
+def test_groups_and_pairs_of_sorted_rows():
+    rng = np.random.default_rng(4)
+    keys = np.repeat(np.arange(40), rng.choice([1, 2, 5, 300], 40))
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[at : at + 97])], names=["k"]) for at in range(0, len(keys), 97)]
+    found, seen = Counter(), []
+    for batch, bounds in minhash.whole_groups(iter(batches), ("k",)):
+        own = batch.column("k").to_numpy()
+        assert (own[bounds[:-1]] == np.unique(own)).all()
+        seen.extend(own.tolist())
+        for i, j in minhash.pairs_within(bounds):
+            assert (own[i] == own[j]).all() and (i < j).all() and len({*zip(i.tolist(), j.tolist())}) == len(i)
+            found.update(own[i].tolist())
+    assert seen == keys.tolist()
+    assert found == Counter({k: n * (n - 1) // 2 for k, n in Counter(keys.tolist()).items() if n > 1})
+
+
+def test_sizes_of_intersections():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 20_000, n).astype(np.uint64)) for n in (1, 500, 9000, 9000, 12_000)]
+    i, j = np.triu_indices(len(sets), 1)
+    assert minhash.shared_sizes(sets, i, j).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)]
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
     assert minhash.least_agreements(32) < minhash.least_agreements(64) < minhash.least_agreements(128) < 128 * 0.85
     for n in (32, 64, 128):
