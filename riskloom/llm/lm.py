@@ -18,6 +18,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import identified, query, settled, slices, table, utf8
+from riskloom.llm.common import identified, query, settled, slices, stored, table, utf8
 from riskloom.session import cut_lineage
 
 HEAD_CLASSES = 16
@@ -41,6 +42,7 @@ SEED = 5
 SMOOTH = 0.1
 _FLUSH = 400_000
 _SCORE_TOKENS = 1_000_000  # tokens that are scored side by side, about
+_ROWS = 2048  # of the output layer at once
 _TOP = np.float32(60)  # states lie between -1 and 1 and weights stay small; keeps exp finite
 _LN10 = math.log(10)
 
@@ -65,34 +67,57 @@ class Words:
     def start(self) -> int:
         return self.n_head + TAIL_CLASSES
 
-    def id_of(self, word: bytes) -> int:
-        found = self.head.get(word)
-        return self.n_head + tail_class(word) if found is None else found
+    @cached_property
+    def slots(self) -> Slots:
+        """Made once by a worker."""
+        return Slots(self)
 
 
 def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL_CLASSES
 
 
-class Ids:
-    """Input ids of texts, with a bounded memory of words."""
+class Slots(dict):
+    """The place of each listed word in tables of all listed words; words that are not listed share the places of their endings behind them."""
 
     def __init__(self, words: Words):
-        self.words, self.known = words, {}
-
-    def __call__(self, tokens: list[bytes]) -> np.ndarray:
-        known = self.known
-        new = set(tokens).difference(known)
-        if new:
-            if len(known) > 200_000:
-                known.clear()
-                new = set(tokens)
-            known.update((w, self.words.id_of(w)) for w in new)
-        out = np.zeros(len(tokens) + 1, np.int32)  # the last is the end
-        out[:-1] = np.fromiter(map(known.__getitem__, tokens), np.int32, len(tokens))
+        super().__init__(zip(words.counts, range(len(words.counts))))
+        self.listed = len(self)
+        classes = np.array([tail_class(w) for w in words.counts], np.int32).reshape(-1)
+        self.ids = np.concatenate([classes, np.arange(TAIL_CLASSES)]).astype(np.int32) + words.n_head
+        heads = [(self[w], k) for w, k in words.head.items()]
+        at = np.array([x[0] for x in heads], np.int64)
+        self.ids[at] = [x[1] for x in heads]
+        share = np.log10(words.tail_tokens + SMOOTH * (words.tail_words + 1))
+        #: log10 of a listed word's smoothed count
+        self.logs = np.zeros(len(self.ids))
+        self.logs[: self.listed] = np.log10(np.fromiter(words.counts.values(), float, self.listed) + SMOOTH)
+        #: log10 of a listed word's share in its tail class; of any other the class's part alone
+        self.shares = self.logs - share[np.maximum(self.ids - words.n_head, 0)]
+        self.shares[at] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        return self.listed + tail_class(word)
+
+    def of(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
+
+    def coded(self, slots: np.ndarray) -> np.ndarray:
+        """Input ids; the last is the end."""
+        out = np.zeros(len(slots) + 1, np.int32)
+        self.ids.take(slots, out=out[:-1])
         return out
 
 
+def _logits(rows: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Logits of ``rows``, whose values lie between -1 and 1, kept below _TOP where the weights could pass it."""
+    out = rows @ w
+    out += b
+    if (np.abs(w).sum(0) + b).max() > _TOP:
+        np.minimum(out, _TOP, out=out)
+    return out
+
+
 class Network:
     """One gated recurrent layer and the factored output; all weights are float32."""
 
@@ -145,88 +170,125 @@ class Network:
     def step(self, ids: np.ndarray, state: np.ndarray):
         """The gates and the next state."""
         n = self.hidden
-        x, u = self.w["x"][ids], state @ self.w["u"]
-        gates = 1 / (1 + np.exp(-(x[:, : 2 * n] + u[:, : 2 * n])))
-        z, r = gates[:, :n], gates[:, n:]
-        new = np.tanh(x[:, 2 * n :] + r * u[:, 2 * n :])
-        return z, r, new, u[:, 2 * n :], new + z * (state - new)
+        x, u = self.w["x"].take(ids, 0), state @ self.w["u"]
+        gates = x[:, : 2 * n] + u[:, : 2 * n]
+        np.exp(np.negative(gates, out=gates), out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        z, r, un = gates[:, :n], gates[:, n:], u[:, 2 * n :]
+        new = r * un
+        new += x[:, 2 * n :]
+        new *= -2  # tanh, by the faster exponential
+        np.exp(new, out=new)
+        new += 1
+        np.divide(2, new, out=new)
+        new -= 1
+        after = state - new
+        after *= z
+        after += new
+        return z, r, new, un, after
 
-    def log_chance(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log of each target's chance: its class, and its word inside a class of frequent words."""
+    @staticmethod
+    def classes(targets: np.ndarray) -> np.ndarray:
         head = targets < HEAD_CLASSES * CLASS_WORDS
-        classes = np.where(head, targets // CLASS_WORDS, targets - HEAD_CLASSES * CLASS_WORDS + HEAD_CLASSES).astype(np.int16)
-        logits = states @ self.w["class_w"] + self.w["class_b"]
-        np.minimum(logits, _TOP, out=logits)
-        out = logits[np.arange(len(targets)), classes]
-        out = out - np.log(np.exp(logits, out=logits).sum(1))
+        return np.where(head, targets // CLASS_WORDS, targets - HEAD_CLASSES * CLASS_WORDS + HEAD_CLASSES).astype(np.int16)
+
+    def _of_classes(self, classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """The rows with frequent words, sorted by class, and (class, start, stop) there."""
         order = np.argsort(classes, kind="stable")
-        ends = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1))
-        for c in range(HEAD_CLASSES):
-            rows = order[ends[c] : ends[c + 1]]
-            if len(rows):
-                span = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-                inner = states[rows] @ self.w["word_w"][span].T + self.w["word_b"][span]
-                np.minimum(inner, _TOP, out=inner)
-                picked = inner[np.arange(len(rows)), targets[rows] - c * CLASS_WORDS]
-                out[rows] += picked - np.log(np.exp(inner, out=inner).sum(1))
+        ends = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1)).tolist()
+        return order[: ends[-1]], [(c, ends[c], ends[c + 1]) for c in range(HEAD_CLASSES) if ends[c] < ends[c + 1]]
+
+    def log_chance(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        """Natural log of each target's chance: its class, and its word inside a class of frequent words."""
+        w, classes = self.w, self.classes(targets)
+        out = np.empty(len(targets), states.dtype)
+        for at in range(0, len(targets), _ROWS):
+            logits = _logits(states[at : at + _ROWS], w["class_w"], w["class_b"])
+            out[at : at + _ROWS] = logits[np.arange(len(logits)), classes[at : at + _ROWS]]
+            np.exp(logits, out=logits)
+            out[at : at + _ROWS] -= np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+        order, spans = self._of_classes(classes)
+        own, goals = states.take(order, 0), targets[order] - classes[order] * CLASS_WORDS
+        ones, inside = np.ones(CLASS_WORDS, own.dtype), np.empty(len(order), out.dtype)
+        for c, low, high in spans:
+            span = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
+            inner = _logits(own[low:high], w["word_w"][span].T, w["word_b"][span])
+            picked = inner[np.arange(high - low), goals[low:high]]
+            np.exp(inner, out=inner)
+            inside[low:high] = picked - np.log(inner @ ones)
+        out[order] += inside
         return out
 
     def gradient(self, ids: np.ndarray, targets: np.ndarray, state: np.ndarray, start: int):
         """Of the mean loss over one window of (steps, lanes); also the state after it."""
         steps, lanes, n, w = *ids.shape, self.hidden, self.w
-        kept, states = [], np.empty((steps, lanes, n), np.float32)
+        kind = w["u"].dtype
+        before, states, new, un = (np.empty((steps, lanes, n), kind) for _ in range(4))
+        z, r = np.empty((2, steps, lanes, n), kind)
+        begins = ids == start
+        some = begins.any(1)
         for t in range(steps):
-            state = np.where((ids[t] == start)[:, None], np.float32(0), state)
-            z, r, new, un, after = self.step(ids[t], state)
-            kept.append((state, z, r, new, un))
-            states[t] = state = after
+            if some[t]:
+                state = np.where(begins[t][:, None], kind.type(0), state)
+            before[t] = state
+            z[t], r[t], new[t], un[t], state = self.step(ids[t], state)
+            states[t] = state
         flat, goal = states.reshape(-1, n), targets.ravel()
-        scale = np.float32(1 / len(goal))
-        head = goal < HEAD_CLASSES * CLASS_WORDS
-        classes = np.where(head, goal // CLASS_WORDS, goal - HEAD_CLASSES * CLASS_WORDS + HEAD_CLASSES).astype(np.int16)
-        p = flat @ w["class_w"] + w["class_b"]
-        np.exp(np.minimum(p, _TOP, out=p), out=p)
-        p /= p.sum(1)[:, None]
-        p[np.arange(len(goal)), classes] -= 1
-        p *= scale
-        g = {"class_w": flat.T @ p, "class_b": p.sum(0), "word_w": np.zeros_like(w["word_w"]), "word_b": np.zeros_like(w["word_b"])}
-        back = p @ w["class_w"].T
-        order = np.argsort(classes, kind="stable")
-        ends = np.searchsorted(classes[order], np.arange(HEAD_CLASSES + 1))
-        for c in range(HEAD_CLASSES):
-            rows = order[ends[c] : ends[c + 1]]
-            if len(rows):
-                span = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-                own = flat[rows]
-                q = own @ w["word_w"][span].T + w["word_b"][span]
-                np.exp(np.minimum(q, _TOP, out=q), out=q)
-                q /= q.sum(1)[:, None]
-                q[np.arange(len(rows)), goal[rows] - c * CLASS_WORDS] -= 1
-                q *= scale
-                g["word_w"][span] = q.T @ own
-                g["word_b"][span] = q.sum(0)
-                back[rows] += q @ w["word_w"][span]
+        scale = kind.type(1 / len(goal))
+        classes = self.classes(goal)
+        every = np.ones(len(goal), kind)
+        g = {k: np.zeros_like(w[k]) for k in ("class_w", "class_b", "word_w", "word_b")}
+        back = np.empty((len(goal), n), kind)
+        for at in range(0, len(goal), _ROWS):  # what fits a core's memory
+            some_rows = flat[at : at + _ROWS]
+            p = _logits(some_rows, w["class_w"], w["class_b"])
+            np.exp(p, out=p)
+            p *= (scale / (p @ np.ones(p.shape[1], kind)))[:, None]
+            p[np.arange(len(p)), classes[at : at + _ROWS]] -= scale
+            g["class_w"] += some_rows.T @ p
+            g["class_b"] += every[: len(p)] @ p
+            np.matmul(p, w["class_w"].T, out=back[at : at + _ROWS])
+        order, spans = self._of_classes(classes)
+        own, goals = flat.take(order, 0), goal[order] - classes[order] * CLASS_WORDS
+        ones, inside = np.ones(CLASS_WORDS, kind), np.empty((len(order), n), kind)
+        for c, low, high in spans:
+            span = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
+            q = _logits(own[low:high], w["word_w"][span].T, w["word_b"][span])
+            np.exp(q, out=q)
+            q *= (scale / (q @ ones))[:, None]
+            q[np.arange(high - low), goals[low:high]] -= scale
+            g["word_w"][span] = q.T @ own[low:high]
+            g["word_b"][span] = every[: high - low] @ q
+            inside[low:high] = q @ w["word_w"][span]
+        back[order] += inside
         back = back.reshape(steps, lanes, n)
-        gates = np.empty((steps, lanes, 3 * n), np.float32)
-        g["u"] = np.zeros_like(w["u"])
-        inner = np.empty((lanes, 3 * n), np.float32)
-        dh = np.zeros((lanes, n), np.float32)
+        # what does not depend on later steps, for all steps at once
+        rest = 1 - z
+        to_z = (before - new) * z * rest
+        rest *= 1 - new * new
+        to_r = un * r * (1 - r)
+        inner = np.empty((steps, lanes, 4 * n), kind)  # of the new state's part of u, of z, of r, of the new state
+        dh, u = np.zeros((lanes, n), kind), np.concatenate([w["u"][:, 2 * n :], w["u"][:, : 2 * n]], axis=1).T.copy()
         for t in range(steps - 1, -1, -1):
-            before, z, r, new, un = kept[t]
-            dh = dh + back[t]
-            dn = dh * (1 - z) * (1 - new * new)
-            gates[t, :, :n] = inner[:, :n] = dh * (before - new) * z * (1 - z)
-            gates[t, :, n : 2 * n] = inner[:, n : 2 * n] = dn * un * r * (1 - r)
-            gates[t, :, 2 * n :] = dn
-            inner[:, 2 * n :] = dn * r
-            g["u"] += before.T @ inner
-            dh = dh * z + inner @ w["u"].T
-            dh[ids[t] == start] = 0
+            dh += back[t]
+            here = inner[t]
+            dn = dh * rest[t]
+            np.multiply(dn, r[t], out=here[:, :n])
+            np.multiply(dh, to_z[t], out=here[:, n : 2 * n])
+            np.multiply(dn, to_r[t], out=here[:, 2 * n : 3 * n])
+            here[:, 3 * n :] = dn
+            dh *= z[t]
+            dh += here[:, : 3 * n] @ u
+            if some[t]:
+                dh[begins[t]] = 0
+        inner = inner.reshape(-1, 4 * n)
+        g["u"] = np.roll(before.reshape(-1, n).T @ inner[:, : 3 * n], -n, axis=1)
         flat_ids = ids.ravel()
         order = np.argsort(flat_ids.astype(np.int16), kind="stable")  # a few hundred ids
         firsts = np.flatnonzero(np.r_[True, np.diff(flat_ids[order]) != 0])
         rows = flat_ids[order][firsts]
-        return g, (rows, np.add.reduceat(gates.reshape(-1, 3 * n)[order], firsts)), state
+        return g, (rows, np.add.reduceat(inner[:, n:][order], firsts)), state
 
 
 class Trainer:
@@ -294,34 +356,36 @@ def score_documents(network: Network, documents: list[np.ndarray], start: int) -
         held[k].append(i)
         heapq.heappush(loads, (load + len(documents[i]), k))
     held.sort(key=lambda own: -sum(len(documents[i]) for i in own))
-    goals = [np.concatenate([documents[i] for i in own]) for own in held if own]
-    owners = [np.repeat(own, [len(documents[i]) for i in own]) for own in held if own]
-    inputs = []
-    for own, goal in zip(held, goals):
-        ids = np.empty(len(goal), np.int32)
-        ids[1:] = goal[:-1]
-        ids[np.cumsum([0, *(len(documents[i]) for i in own[:-1])])] = start
-        inputs.append(ids)
-    lengths = np.array([len(x) for x in goals])
+    held = [own for own in held if own]
+    order = [i for own in held for i in own]
+    sizes = np.array([len(documents[i]) for i in order], np.int64)
+    goals = np.concatenate([documents[i] for i in order]) if order else np.empty(0, np.int32)
+    owners = np.repeat(order, sizes)
+    inputs = np.empty(len(goals), np.int32)
+    inputs[1:] = goals[:-1]
+    inputs[np.cumsum(sizes) - sizes] = start
+    lengths = np.array([sum(len(documents[i]) for i in own) for own in held], np.int64)
+    firsts = np.cumsum(lengths) - lengths
     out = np.zeros(len(documents))
-    state = np.zeros((len(goals), network.hidden), np.float32)
+    state = np.zeros((len(held), network.hidden), np.float32)
     block = 64
-    for t in range(0, int(lengths[0]), block):
-        active = int((lengths > t).sum())
-        size = [min(block, int(lengths[k]) - t) for k in range(active)]
-        ids = np.full((block, active), start, np.int32)
-        for k in range(active):
-            ids[: size[k], k] = inputs[k][t : t + size[k]]
-        states = np.empty((max(size), active, network.hidden), np.float32)
+    for t in range(0, int(lengths.max(initial=0)), block):
+        active = int((lengths > t).sum())  # the longest lanes come first
+        steps = min(block, int(lengths[0]) - t)
+        at = np.arange(t, t + steps)[:, None]
+        there = at < lengths[:active]
+        places = np.where(there, firsts[:active] + at, 0)
+        ids = np.where(there, inputs[places], start)
+        states = np.empty((steps, active, network.hidden), np.float32)
         state = state[:active]
-        for s in range(max(size)):
-            state = np.where((ids[s] == start)[:, None], np.float32(0), state)
+        begins = ids == start
+        some = begins.any(1)
+        for s in range(steps):
+            if some[s]:
+                state = np.where(begins[s][:, None], np.float32(0), state)
             states[s] = state = network.step(ids[s], state)[-1]
-        picked = np.concatenate([np.arange(n) * active + k for k, n in enumerate(size)])
-        targets = np.concatenate([goals[k][t : t + n] for k, n in enumerate(size)])
-        owner = np.concatenate([owners[k][t : t + n] for k, n in enumerate(size)])
-        chance = network.log_chance(states.reshape(-1, network.hidden)[picked], targets)
-        out += np.bincount(owner, chance, len(documents))
+        chance = network.log_chance(states[there], goals[places[there]])
+        out += np.bincount(owners[places[there]], chance, len(documents))
     return out
 
 
@@ -343,22 +407,50 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield made()
 
 
-def _documents(batches: Iterable[pa.RecordBatch], ids: Ids) -> Iterator[np.ndarray]:
+def _encode(shared):
+    """Per document its ids and its sums over listed words; words that no task lists follow as rows of their own."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Words = shared.value
+        slots, end_log, known_end = words.slots, math.log10(words.ends + SMOOTH), int(words.ends > 0)
+        for batch in slices(batches, 256):
+            rows, found, rare = batch.column("row").to_pylist(), [], []
+            for row, text in zip(rows, utf8(batch.column("text"))):
+                tokens = (text or b"").lower().split()
+                places = slots.of(tokens)
+                others = np.flatnonzero(places >= slots.listed)
+                rare.extend((row, word, c) for word, c in Counter(tokens[i] for i in others.tolist()).items())
+                # the share of listed words of tail classes, of other words the class's part alone
+                tail, listed = float(slots.shares.take(places).sum()), float(slots.logs.take(places).sum())
+                ids = slots.coded(places).astype("<i2").tobytes()
+                found.append((len(tokens) + 1, len(tokens) - len(others) + known_end, end_log + listed, tail, ids))
+            docs, more = len(found), len(rare)
+            made = [pa.concat_arrays([batch.column("row"), pa.array([x[0] for x in rare], pa.int64())])]
+            made.append(pa.concat_arrays([batch.column("trains"), pa.nulls(more, pa.bool_())]))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+            made += [pa.concat_arrays([pa.array([x[k] for x in found], kind), pa.nulls(more, kind)]) for k, kind in enumerate(kinds)]
+            for k, kind in ((1, pa.binary()), (2, pa.int64())):
+                made.append(pa.concat_arrays([pa.nulls(docs, kind), pa.array([x[k] for x in rare], kind)]))
+            yield pa.RecordBatch.from_arrays(made, names=["row", "trains", "n", "known", "listed", "tail", "ids", "word", "c"])
+
+    return run
+
+
+def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for batch in slices(batches, 256):
-        for text in utf8(batch.column("text")):
-            yield ids((text or b"").lower().split())
+        for ids in utf8(batch.column("ids")):
+            yield np.frombuffer(ids, "<i2").astype(np.int32)
 
 
 _PARTS = 64
 
 
-def _train(shared, blob):
+def _train(start: int, blob):
     """Weights of this task's model, in parts that are averaged apart from each other."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        trainer = Trainer(Network.of(np.frombuffer(blob.value, np.float32)), words.start)
-        trainer.fit(_documents(batches, Ids(words)))
+        trainer = Trainer(Network.of(np.frombuffer(blob.value, np.float32)), start)
+        trainer.fit(_documents(batches))
         if trainer.tokens:
             pieces = np.array_split(trainer.network.blob(), _PARTS)
             yield pa.RecordBatch.from_arrays(
@@ -384,59 +476,33 @@ def _mean(table: pa.Table) -> pa.Table:
     return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "weights": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
-def _score(shared, blob):
-    """Per document the sums over listed words; words that no task lists follow as rows of their own."""
+def _score(start: int, blob):
+    """The network's log10 chance of each document, with what its words of tail classes add."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Words = shared.value
-        network, ids = Network.of(np.frombuffer(blob.value, np.float32)), Ids(words)
-        logs = {w: math.log10(c + SMOOTH) for w, c in words.counts.items()}
-        share = np.log10(words.tail_tokens + SMOOTH * (words.tail_words + 1))
-        end_log = math.log10(words.ends + SMOOTH)
-        head_log = np.zeros(words.n_head)
-        for word, k in words.head.items():
-            head_log[k] = logs[word]
-        waiting: list[tuple] = []
+        network = Network.of(np.frombuffer(blob.value, np.float32))
+        waiting: list[pa.RecordBatch] = []
+        documents: list[np.ndarray] = []
         size = 0
 
-        def made() -> pa.RecordBatch:
-            chances = score_documents(network, [w[1] for w in waiting], words.start) / _LN10
-            cols: list[list] = [[] for _ in range(7)]
-            for (row, tokens, n, known, listed, tail, rare), chance in zip(waiting, chances):
-                for col, v in zip(cols, (row, None, n, known, listed, float(chance) + tail, None)):
-                    col.append(v)
-                for word, c in rare.items():
-                    for col, v in zip(cols, (row, word, None, None, None, None, c)):
-                        col.append(v)
+        def made() -> Iterator[pa.RecordBatch]:
+            chances, at = score_documents(network, documents, start) / _LN10, 0
+            for batch in waiting:
+                score = chances[at : at + batch.num_rows] + batch.column("tail").to_numpy()
+                at += batch.num_rows
+                columns = [batch.column(c) for c in ("row", "n", "known", "listed")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=["row", "n", "known", "listed", "score"])
             waiting.clear()
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)], names=["row", "word", "n", "known", "listed", "score", "c"]
-            )
+            documents.clear()
 
         for batch in slices(batches, 256):
-            for row, text in zip(batch.column("row").to_pylist(), utf8(batch.column("text"))):
-                tokens = (text or b"").lower().split()
-                coded = ids(tokens)
-                counts = Counter(tokens)
-                listed, known, rare = end_log, int(words.ends > 0), {}
-                for word, c in counts.items():
-                    log = logs.get(word)
-                    if log is None:
-                        rare[word] = c
-                    else:
-                        known += c
-                        listed += c * log
-                is_tail = coded >= words.n_head
-                # listed words of tail classes, in their share of the class
-                tail = listed - end_log - float(head_log[coded[~is_tail]].sum() + share[coded[is_tail] - words.n_head].sum())
-                waiting.append((row, coded, len(coded), known, listed, tail, rare))
-                size += len(coded)
-                if size >= _SCORE_TOKENS:
-                    yield made()
-                    size = 0
-        if waiting:
-            yield made()
+            documents.extend(_documents([batch]))
+            waiting.append(batch.drop_columns(["ids"]))
+            size += sum(map(len, documents[-batch.num_rows :])) if batch.num_rows else 0
+            if size >= _SCORE_TOKENS:
+                yield from made()
+                size = 0
+        yield from made()
 
     return run
 
@@ -488,32 +554,34 @@ def score_texts(
         trains=F.coalesce(training, F.lit(False)),
         text=F.col(text_col).cast("binary"),
     )
-    train = source.where("trains").select("row", "text")
-    words, counts = learn_words(train, listed)
+    words, counts = learn_words(source.where("trains").select("row", "text"), listed)
     shared = spark.sparkContext.broadcast(words)  # LISTED words at most
     network = Network.fresh(words)
+    columns = "row bigint, trains boolean, n bigint, known bigint, listed double, tail double, ids binary, word binary, c bigint"
+    encoded = stored(source.select("row", "trains", "text").mapInArrow(_encode(shared), columns), "ids")
+    train = encoded.where("trains").select("row", "ids")
     # at most warm_documents texts, chosen by hash
     first = train.select("row").orderBy(F.xxhash64("row", F.lit(SEED)), "row").limit(warm_documents)
     sample = train.join(F.broadcast(first), "row").repartition(1).sortWithinPartitions("row")
 
     def fitted(frame: DataFrame, network: Network) -> Network:
         blob = spark.sparkContext.broadcast(network.blob().tobytes())
-        pieces = frame.mapInArrow(_train(shared, blob), "part int, task int, tokens bigint, weights binary")
+        pieces = frame.mapInArrow(_train(words.start, blob), "part int, task int, tokens bigint, weights binary")
         mean = pieces.groupBy("part").applyInArrow(_mean, "part int, weights binary").orderBy("part").collect()
         return Network.of(np.concatenate([np.frombuffer(r.weights, np.float32) for r in mean])) if mean else network
 
     network = fitted(train, fitted(sample, network))
     blob = spark.sparkContext.broadcast(network.blob().tobytes())
-    columns = "row bigint, word binary, n bigint, known bigint, listed double, score double, c bigint"
-    scored = cut_lineage(source.mapInArrow(_score(shared, blob), columns))
-    rare = scored.where("word is not null").select("row", "word", "c")
+    documents = encoded.where("ids is not null").select("row", "n", "known", "listed", "tail", "ids")
+    scored = cut_lineage(documents.mapInArrow(_score(words.start, blob), "row bigint, n bigint, known bigint, listed double, score double"))
+    rare = encoded.where("word is not null").select("row", "word", "c")
     found = rare.join(counts.withColumnRenamed("c", "seen"), "word", "left")
     log = F.log10(F.coalesce("seen", F.lit(0)) + SMOOTH)
     extra = found.groupBy("row").agg(
         F.sum(F.col("c") * log).alias("rare_log"), F.sum(F.when(F.col("seen").isNotNull(), F.col("c"))).alias("rare_known")
     )
     under = math.log10(words.total + SMOOTH * (words.distinct + 1))
-    joined = scored.where("word is null").drop("word", "c").join(extra, "row", "left")
+    joined = scored.join(extra, "row", "left")
     joined = joined.join(source.select("row", "doc", "trains"), "row")
     more = F.coalesce("rare_log", F.lit(0.0))
     return joined.select(

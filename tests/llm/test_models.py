@@ -272,6 +272,21 @@ def small_words():
     return lm.Words({b"a": 5, b"b": 2}, {b"a": 1}, 3, 10, 3, tail, tail)
 
 
+def test_places_of_words_hold_what_the_counts_say():
+    counts = {b"a": 5, b"b": 2, b"xing": 2, b"ring": 1}
+    tail = np.arange(1.0, lm.TAIL_CLASSES + 1)
+    words = lm.Words(counts, {b"a": 1}, 3, 13, 5, tail, tail)
+    tokens = [b"a", b"ring", b"b", b"sing", b"ring", b"zz"]
+    places = words.slots.of(tokens)
+    want = [words.head.get(t, words.n_head + lm.tail_class(t)) for t in tokens]
+    assert words.slots.coded(places).tolist() == [*want, 0] and max(want) < words.start < 2**15
+    assert (places >= words.slots.listed).tolist() == [t not in counts for t in tokens]
+    logs = [math.log10(counts[t] + lm.SMOOTH) if t in counts else 0 for t in tokens]
+    share = [math.log10((lm.tail_class(t) + 1) * (1 + lm.SMOOTH) + lm.SMOOTH) for t in tokens]
+    assert words.slots.logs[places].tolist() == pytest.approx(logs)
+    assert words.slots.shares[places].tolist() == pytest.approx([0 if t == b"a" else x - y for t, x, y in zip(tokens, logs, share)])
+
+
 def test_gradients_match_differences():
     dice, words = np.random.default_rng(0), small_words()
     net = lm.Network.fresh(words)
