@@ -17,6 +17,7 @@ import os
 import re
 from collections import deque
 from collections.abc import Iterable, Iterator
+from operator import add
 
 import numpy as np
 import public_tokenizers
@@ -39,7 +40,9 @@ GROUP_BYTES = 1 << 17  # of text whose new words are learned at once
 #: the end of a pattern that takes runs of letters, single digits, and runs of anything else
 _LETTERS_APART = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: letters that lower-case one by one, and punctuation without apostrophes or marks of special tokens
-_LATIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([.,;:!?%*#$&\"()\[\]+=@/_^~`{}\\-]*)")
+_LATIN = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([.,;:!?%*#$&\"()\[\]+=@/_^~`{}\\-]*)"
+#: one word a line: its letters and its punctuation, or whatever else it is
+_LINES = re.compile(rf"(?:{_LATIN}|([^\n]+))\n")
 _END = END_ID.to_bytes(4, "little")
 _PIECES = pa.schema(
     [
@@ -95,8 +98,8 @@ class WordIds:
                 yield np.array(coded.ids, "<u4").tobytes()
 
     def learn_parts(self, parts: list[str]) -> None:
-        for at in range(0, len(parts), 2000):
-            some = parts[at : at + 2000]
+        for at in range(0, len(parts), 200):  # a long text costs the tokenizer more a part
+            some = parts[at : at + 200]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(stops) == len(some):
@@ -111,28 +114,30 @@ class WordIds:
         if len(self.parts) > self.half:
             self.old_parts, self.parts = self.parts, {}
         known, old, parts, old_parts = self.known, self.old, self.parts, self.old_parts
-        whole, split, new = [], [], {}
+        fresh = []
         for word in words:
             ids = old.get(word)
-            if ids is not None:
-                known[word] = ids
-                continue
-            text = word.decode()
-            found = _LATIN.fullmatch(text) if self.by_parts else None
-            if found:
-                letters, rest = found[1].lower(), found[2]
-                split.append((word, letters, rest))
-                for part in (letters, rest) if rest else (letters,):
-                    if part not in parts:
-                        if part in old_parts:
-                            parts[part] = old_parts[part]
-                        else:
-                            new[part] = None
+            if ids is None:
+                fresh.append(word)
             else:
-                whole.append((word, text))
-        self.learn_parts(list(new))
-        for word, letters, rest in split:
-            known[word] = parts[letters] + parts[rest] if rest else parts[letters]
+                known[word] = ids
+        if not self.by_parts:
+            known.update(zip(fresh, self.encode([w.decode() for w in fresh])))
+            return
+        fresh.append(b"")
+        found = _LINES.findall(b"\n".join(fresh).decode())  # a word has no line end
+        fresh.pop()
+        letters = "\n".join([f[0] for f in found]).lower().split("\n")
+        rests = [f[1] for f in found]
+        new = set(letters).union(rests).difference(parts)
+        new.discard("")
+        back = [part for part in new if part in old_parts]
+        parts.update(zip(back, map(old_parts.__getitem__, back)))
+        self.learn_parts(sorted(new.difference(back)))
+        parts[""] = b""
+        ids_of = parts.__getitem__
+        known.update(zip(fresh, map(add, map(ids_of, letters), map(ids_of, rests))))
+        whole = [(word, other) for word, (_, _, other) in zip(fresh, found) if other]
         known.update(zip((w for w, _ in whole), self.encode([t for _, t in whole])))
 
     def __call__(self, text: bytes) -> np.ndarray:

@@ -20,3 +20,20 @@ def test_words_of_many_texts_are_learned_at_once(monkeypatch):
     assert learned(packing.CACHED_WORDS) == 1
     monkeypatch.setattr(packing, "GROUP_BYTES", 300)
     assert 10 < learned(40) < 100  # words are forgotten between groups, and no id changes
+
+
+def test_new_words_of_any_kind_are_learned_in_short_texts():
+    coder, handed = packing.WordIds(packing.public_tokenizers.path(packing.TOKENIZER), cached=400), []
+    whole = coder.tokenizer
+
+    class Noted:
+        def encode_batch_fast(self, texts, **options):
+            handed.extend(len(t.split()) for t in texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    coder.tokenizer = Noted()
+    odd = ["it's", "ÉTÉ,", "İx", "Σας", "x1.", "(a", "b)", "--", "İ.", "naïve!?", "日本", "a.b", "ﬁn", "é", " z", "\x1cq", "u v"]
+    texts = [" ".join([f"{odd[k % len(odd)]}{'q' * (k % 7)}", *odd, f"Word{chr(65 + k % 26)}{chr(97 + k // 26)},"]) for k in range(600)]
+    for text, ids in zip(texts, coder.each(t.encode() for t in texts)):
+        assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, packing.END_ID]
+    assert max(handed) <= 200
