@@ -197,10 +197,10 @@ def _bits_of(rows: np.ndarray, bits: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(31))) % np.uint64(bits)).astype(np.int64)
 
 
-def row_filter(rows: DataFrame) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+def row_filter(rows: DataFrame, per_row: int = BITS_PER_ROW) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
     """Keeps the rows of a batch whose ``row`` may be among ``rows(row)``: a bit set of bounded size, for use in tasks."""
     spark = rows.sparkSession
-    bits = int(min(MAX_BITS, max(64, BITS_PER_ROW * rows.count())))
+    bits = int(min(MAX_BITS, max(64, per_row * rows.count())))
 
     def places(batches):
         for batch in batches:

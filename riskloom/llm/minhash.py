@@ -52,6 +52,8 @@ SEED = 11
 CROWD = 128
 #: Members of a band, and hashes of their sets, that one side of a tile holds, about.
 TILE, TILE_HASHES = 1024, 1 << 21
+#: Bits a document of the filter that picks signatures and sets, before a join.
+BODY_BITS = 32
 #: Links a pivot verifies in one task.
 PIVOT_PAIRS = 512
 #: Pivots that a member is held against in one round.
@@ -251,16 +253,31 @@ def _verify(parts: int, least: int):
     return run
 
 
+def _passing(keep: Callable[[pa.RecordBatch], pa.RecordBatch]):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(keep, batches)
+
+    return run
+
+
+def bodies_of(reps: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Rows of ``bodies(rep, body)`` that may be among ``reps(rep)``: a join behind it shuffles few others."""
+    keep = row_filter(reps.select(F.col("rep").alias("row")).distinct(), BODY_BITS)
+    rows = bodies.select(F.col("rep").alias("row"), "body")
+    return rows.mapInArrow(_passing(keep), "row bigint, body binary").withColumnRenamed("row", "rep")
+
+
 def _beside_pivots(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """(a, salt, lead, b, body): each b of ``pairs(a, b)`` with its body, after a row with the body of its a.
 
     The pairs of a frequent a are dealt over several salts, each with the pivot's body in front.
     """
+    leads, others = (bodies_of(pairs.select(F.col(c).alias("rep")), bodies) for c in ("a", "b"))
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIVOT_PAIRS).alias("parts"))
     other = F.pmod(F.xxhash64("b"), F.col("parts"))
     dealt = pairs.join(parts, "a").select("a", other.alias("salt"), "b")
-    follow = dealt.join(bodies.select(F.col("rep").alias("b"), "body"), "b").select("a", "salt", F.lit(False).alias("lead"), "b", "body")
-    heads = dealt.select("a", "salt").distinct().join(bodies.select(F.col("rep").alias("a"), "body"), "a")
+    follow = dealt.join(others.withColumnRenamed("rep", "b"), "b").select("a", "salt", F.lit(False).alias("lead"), "b", "body")
+    heads = dealt.select("a", "salt").distinct().join(leads.withColumnRenamed("rep", "a"), "a")
     heads = heads.select("a", "salt", F.lit(True).alias("lead"), F.lit(None).cast("bigint").alias("b"), "body")
     return heads.unionByName(follow).repartition("a", "salt").sortWithinPartitions("a", "salt", F.desc("lead"))
 
@@ -450,8 +467,8 @@ class Links:
             return frame.repartition(*_TILE).sortWithinPartitions(*_TILE)
 
         signed = in_tiles(members, tile, hashes).join(self.signatures, "rep").select(*(c.split()[0] for c in _MEMBER.split(", ")))
-        left = tiles(signed).mapInArrow(_left(self.likely), _MEMBER)
-        with_sets = left.join(self.sets.select("rep", F.col("body").alias("hashes")), "rep")
+        left = stored(tiles(signed).mapInArrow(_left(self.likely), _MEMBER), "left")
+        with_sets = left.join(bodies_of(left, self.sets).withColumnRenamed("body", "hashes"), "rep")
         return compact(tiles(with_sets).mapInArrow(_links(self.likely), "a bigint, b bigint").distinct())
 
 
@@ -485,6 +502,23 @@ def _to_pivots(members: DataFrame, roots: DataFrame, rank: Column, parts: int, l
     return best.select(F.explode("best.pivot").alias("a"), F.col("rep").alias("b"))
 
 
+def open_keys(members: DataFrame) -> DataFrame:
+    """(key) of ``members(key, rep, band, root)`` whose members lie in several components.
+
+    Of keys with the same members, as near copies have many, only that of the first band is left: what their pairs share first.
+    """
+    seen = members.groupBy("key").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.min("band").alias("band"),
+        F.max("band").alias("last"),
+        F.count(F.lit(1)).alias("k"),
+        *(F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"digest{i}") for i in range(2)),
+    )
+    alike = ["low", "high", "k", "digest0", "digest1", F.when(F.col("band") < F.col("last"), F.col("key")).alias("alone")]
+    return seen.where("low < high").groupBy(*alike).agg(F.min_by("key", "band").alias("key")).select("key")
+
+
 def linked_roots(
     members: DataFrame, nodes: DataFrame, links: Links, parts: int, least: int, rounds: int = ROUNDS, crowd: int = CROWD
 ) -> DataFrame:
@@ -503,8 +537,7 @@ def linked_roots(
             break
         before = after
     now = members.join(roots, "rep")
-    open_keys = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    return _joined(roots, links.among(now.join(open_keys, "key")))
+    return _joined(roots, links.among(now.join(open_keys(now), "key")))
 
 
 def near_documents(
@@ -541,12 +574,11 @@ def near_documents(
     members = stored(keyed.join(shared, "key").select("key", "rep", "band"), "members")
     members = few_tasks(members, members.count())
     wanted = cut_lineage(members.select(F.col("rep").alias("row")).distinct())
-    signatures = stored(
-        worded.join(wanted, "row", "left_semi").select(F.col("row").alias("rep"), F.col("signature").alias("body")), "signatures"
-    )
-    found = source.select("row", "text").mapInArrow(_sets(shingle, row_filter(wanted)), "row bigint, hashes binary")
-    sets = found.join(wanted, "row", "left_semi").select(F.col("row").alias("rep"), F.col("hashes").alias("body"))
-    sets = stored(sets, "sets")
+    keep = row_filter(wanted, BODY_BITS)  # a few others pass, which no join below finds
+    signatures = worded.select("row", F.col("signature").alias("body")).mapInArrow(_passing(keep), "row bigint, body binary")
+    signatures = stored(signatures.withColumnRenamed("row", "rep"), "signatures")
+    found = source.select("row", "text").mapInArrow(_sets(shingle, keep), "row bigint, hashes binary")
+    sets = stored(found.select(F.col("row").alias("rep"), F.col("hashes").alias("body")), "sets")
     links = Links(signatures, sets, bands, band, parts, least, miss)
     roots = linked_roots(members, attributes.select("rep", "n"), links, parts, least)
     rooted = nodes.join(roots.select("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))

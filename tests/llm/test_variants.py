@@ -95,6 +95,22 @@ def test_similar_texts_that_are_no_links_make_no_rows_of_pairs(store, monkeypatc
     assert max(handed, default=0) <= minhash.PIVOTS * len(rows)
 
 
+def test_near_copies_are_handed_on_in_one_of_the_bands_they_share(store, monkeypatch):
+    base = [f"w{i}" for i in range(300)]
+    rows = [(k, " ".join([*base, f"end{k}"])) for k in range(2)]
+    rows += [(k, " ".join(f"v{k}x{i}" for i in range(50))) for k in range(10, 40)]
+    handed, among = [], minhash.Links.among
+    monkeypatch.setattr(minhash.Links, "among", lambda self, members: handed.append(members.count()) or among(self, members))
+    assert fast_components(store(rows, "doc_id bigint, text string")) == slow_components(rows)
+    assert handed == [2]
+
+
+def test_only_wanted_bodies_go_to_a_join(spark):
+    bodies = spark.range(5000).selectExpr("id as rep", "cast('b' as binary) as body")
+    passed = {r.rep for r in minhash.bodies_of(spark.range(0, 5000, 50).selectExpr("id as rep"), bodies).collect()}
+    assert passed >= set(range(0, 5000, 50)) and len(passed) < 500
+
+
 def test_tiles_let_every_two_members_meet_once(spark):
     members = spark.range(90).selectExpr("id % 2 as key", "id as rep", "id as n")
     met = minhash.in_tiles(members, 10, 10**9).collect()
