@@ -17,7 +17,8 @@ import os
 import re
 from collections import deque
 from collections.abc import Iterable, Iterator
-from operator import add
+from itertools import chain, compress, count, repeat
+from operator import add, is_
 
 import numpy as np
 import public_tokenizers
@@ -26,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from riskloom.llm.common import Rows, query, slices, table, utf8
 
@@ -41,6 +43,8 @@ GROUP_BYTES = 1 << 17  # of text whose new words are learned at once
 _LETTERS_APART = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: letters that lower-case one by one, and punctuation without apostrophes or marks of special tokens
 _LATIN = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([.,;:!?%*#$&\"()\[\]+=@/_^~`{}\\-]*)"
+#: the same punctuation
+_MARKS = b".,;:!?%*#$&\"()[]+=@/_^~`{}\\-"
 #: one word a line: its letters and its punctuation, or whatever else it is
 _LINES = re.compile(rf"(?:{_LATIN}|([^\n]+))\n")
 _END = END_ID.to_bytes(4, "little")
@@ -60,6 +64,23 @@ _PIECES_SQL = (
 )
 
 
+def _keeps_letters(model: dict) -> bool:
+    """Whether a run of the letters a to z reaches the model of such a tokenizer unchanged and in one piece."""
+
+    def harmless(step: dict) -> bool:
+        blanks = step["type"] == "Replace" and step["pattern"] == {"Regex": r"\s+"}
+        return blanks or step["type"] in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase")
+
+    normalizer, (split, *others) = model["normalizer"], model["pre_tokenizer"]["pretokenizers"]
+    before = split["pattern"]["Regex"].removesuffix(_LETTERS_APART)
+    return (
+        all(map(harmless, normalizer.get("normalizers", [normalizer])))
+        and all(x.startswith("'") for x in before.split("|") if x)
+        and all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in others)
+        and not any(x["content"].isalpha() for x in model["added_tokens"])
+    )
+
+
 class WordIds:
     """Ids of whole texts for a tokenizer that never joins ids across ASCII white space.
 
@@ -68,7 +89,8 @@ class WordIds:
 
     Where the tokenizer lower-cases, splits letters from all else and marks the ends of words, a Latin word with
     punctuation behind it is its lower-case letters and its punctuation, and many such parts are encoded in one text and
-    told apart at the end marks. Other words, and all words of other tokenizers, are encoded one by one.
+    told apart at the end marks. Parts of the letters a to z alone go straight to the tokenizer's model, if its
+    other steps leave them as they are. Other words, and all words of other tokenizers, are encoded one by one.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -91,6 +113,10 @@ class WordIds:
             vocabulary = self.tokenizer.get_vocab()
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[k for token, k in vocabulary.items() if token.endswith(suffix)]] = True
+        self.plain = None
+        if self.by_parts and _keeps_letters(model):
+            self.plain = Tokenizer(self.tokenizer.model)  # the same model, without the steps before it
+            self.plain.pre_tokenizer = WhitespaceSplit()
 
     def encode(self, words: list[str]) -> Iterator[bytes]:
         for at in range(0, len(words), 10_000):
@@ -98,9 +124,16 @@ class WordIds:
                 yield np.array(coded.ids, "<u4").tobytes()
 
     def learn_parts(self, parts: list[str]) -> None:
+        if self.plain:
+            letters = [part for part in parts if part.isascii() and part.isalpha()]
+            self._learn_parts(letters, self.plain)
+            parts = [part for part in parts if not (part.isascii() and part.isalpha())]
+        self._learn_parts(parts, self.tokenizer)
+
+    def _learn_parts(self, parts: list[str], tokenizer: Tokenizer) -> None:
         for at in range(0, len(parts), 200):  # a long text costs the tokenizer more a part
             some = parts[at : at + 200]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(stops) == len(some):
                 raw, start = ids.tobytes(), 0
@@ -124,11 +157,18 @@ class WordIds:
         if not self.by_parts:
             known.update(zip(fresh, self.encode([w.decode() for w in fresh])))
             return
-        fresh.append(b"")
-        found = _LINES.findall(b"\n".join(fresh).decode())  # a word has no line end
-        fresh.pop()
-        letters = "\n".join([f[0] for f in found]).lower().split("\n")
-        rests = [f[1] for f in found]
+        lower = b"\n".join(fresh).lower().split(b"\n")  # a word has no line end
+        stems = [word.rstrip(_MARKS) for word in lower]
+        odd = [word for word, stem in zip(fresh, stems) if not stem.isalpha()]  # of bytes: a to z only
+        if odd:
+            even = [stem.isalpha() for stem in stems]
+            lower, stems, fresh = (list(compress(x, even)) for x in (lower, stems, fresh))
+        letters = b"\n".join(stems).decode().split("\n") if fresh else []
+        rests = b"\n".join([word[len(stem) :] for word, stem in zip(lower, stems)]).decode().split("\n") if fresh else []
+        found = _LINES.findall(b"\n".join([*odd, b""]).decode())
+        letters += "\n".join([f[0] for f in found]).lower().split("\n") if found else []
+        fresh += odd
+        rests += [f[1] for f in found]
         new = set(letters).union(rests).difference(parts)
         new.discard("")
         back = [part for part in new if part in old_parts]
@@ -137,7 +177,7 @@ class WordIds:
         parts[""] = b""
         ids_of = parts.__getitem__
         known.update(zip(fresh, map(add, map(ids_of, letters), map(ids_of, rests))))
-        whole = [(word, other) for word, (_, _, other) in zip(fresh, found) if other]
+        whole = [(word, other) for word, (_, _, other) in zip(odd, found) if other]
         known.update(zip((w for w, _ in whole), self.encode([t for _, t in whole])))
 
     def __call__(self, text: bytes) -> np.ndarray:
@@ -155,15 +195,19 @@ class WordIds:
         yield from self._ids(group)
 
     def _ids(self, group: list[list[bytes]]) -> Iterator[np.ndarray]:
-        missing = set().union(*group).difference(self.known)
-        if missing:
+        words = list(chain.from_iterable(group))
+        ids = list(map(self.known.get, words))
+        gaps = list(compress(count(), map(is_, ids, repeat(None))))
+        if gaps:
             if len(self.known) > self.half:
                 self.old, self.known = self.known, {}
-                missing = set().union(*group)
-            self.learn(missing)
-        ids_of = self.known.__getitem__
-        for words in group:
-            yield np.frombuffer(b"".join(map(ids_of, words)) + _END, "<u4")
+            self.learn({words[i] for i in gaps})
+            for i in gaps:
+                ids[i] = self.known[words[i]]
+        start = 0
+        for own in group:
+            yield np.frombuffer(b"".join(ids[start : start + len(own)]) + _END, "<u4")
+            start += len(own)
 
 
 class _Open:

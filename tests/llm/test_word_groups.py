@@ -37,3 +37,18 @@ def test_new_words_of_any_kind_are_learned_in_short_texts():
     for text, ids in zip(texts, coder.each(t.encode() for t in texts)):
         assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, packing.END_ID]
     assert max(handed) <= 200
+
+
+def test_parts_of_plain_letters_go_straight_to_the_model():
+    coder, handed = packing.WordIds(packing.public_tokenizers.path(packing.TOKENIZER)), []
+    whole = coder.tokenizer
+
+    class Noted:
+        def encode_batch_fast(self, texts, **options):
+            handed.extend(w for t in texts for w in t.split())
+            return whole.encode_batch_fast(texts, **options)
+
+    coder.tokenizer = Noted()
+    text = "The Café's don't DON'T end, endtext. (x) re ve ll s t m d 've ﬁre İx a1b startoftext <|endoftext|> -- .a ,; été Ünd... x.y"
+    assert coder(text.encode()).tolist() == [*whole.encode(text, add_special_tokens=False).ids, packing.END_ID]
+    assert "end" not in handed and "the" not in handed and "café" not in handed and "<|endoftext|>" in handed
