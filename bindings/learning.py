@@ -20,31 +20,34 @@ def labeled(spark, sf):
     return lines(spark, sf).select(*KEY, *FEATURES).withColumn("label", label())
 
 
-def prepared(spark, sf, laid=False):
-    """(prep, raw test rows, prepared train rows, prepared test rows): exact 80/20 split, fit on train only.
-
-    ``laid`` gives the training rows the fixed layout that a forest's draws need.
-    """
+def split_prepared(spark, sf):
+    """(prep, raw train rows, raw test rows, rows to features): exact 80/20 split, fit on train only."""
     train, test = written_split(labeled(spark, sf), "label", 0.2, L.SEED, KEY, workspace(spark, "splits"))
     prep = PrepModel(LINES).fit(train)
 
     def ready(df):
+        kept = [c for c in (*KEY, L.WEIGHT) if c in df.columns]
         columns = [F.col(c).cast("double").alias(c) for c in NAMES]
-        return prep.transform(df).select(*KEY, F.col("label").cast("double").alias("label"), *columns)
+        return prep.transform(df).select(*kept, F.col("label").cast("double").alias("label"), *columns)
+
+    return prep, train, test, ready
+
+
+def prepared(spark, sf):
+    """(prep, raw test rows, prepared train rows, prepared test rows)."""
+    prep, train, test, ready = split_prepared(spark, sf)
+    return prep, test, ready(train), ready(test)
 
-    rows = L.stable_layout(ready(train), KEY, rows=train.count()) if laid else ready(train)
-    return prep, test, rows, ready(test)
+
+def _trained(spark, sf, families):
+    """Metrics of the families. Prepared rows are made anew for each pass."""
+    _prep, train, test, ready = split_prepared(spark, sf)
+    trained = L.baselines(ready(train), ready(test), NAMES, "label", families, key=KEY)
+    return L.results_table(spark, trained)
 
 
 def _family(spark, sf, family):
-    _prep, _raw, train, test = prepared(spark, sf, laid=family == "random_forest")
-    train, test = train.persist(), test.persist()
-    try:
-        trained = L.baselines(train, test, NAMES, "label", (family,))
-    finally:
-        train.unpersist()
-        test.unpersist()
-    return rounded(L.results_table(spark, trained))
+    return rounded(_trained(spark, sf, (family,)))
 
 
 @query("logistic_regression")
@@ -70,13 +73,7 @@ def _(spark, sf):
 @query("baselines")
 def _(spark, sf):
     """Sweep over all families, best first, with the winner marked."""
-    _prep, _raw, train, test = prepared(spark, sf, laid=True)
-    train, test = train.persist(), test.persist()
-    try:
-        results = L.results_table(spark, L.baselines(train, test, NAMES, "label"))
-    finally:
-        train.unpersist()
-        test.unpersist()
+    results = _trained(spark, sf, L.FAMILIES)
     best = pick_best(results).select(F.col("model").alias("winner"))
     ordered = comparison(results)
     return rounded(ordered.withColumn("is_best", F.col("model") == best.scalar()))
@@ -106,8 +103,8 @@ def _(spark, sf):
 
 @query("feature_importances")
 def _(spark, sf):
-    _prep, _raw, train, _test = prepared(spark, sf, laid=True)
-    model = L.train(train, "random_forest", NAMES, "label")
+    _prep, _raw, train, _test = prepared(spark, sf)
+    model = L.train(train, "random_forest", NAMES, "label", key=KEY)
     return rounded(L.importances(model, NAMES, spark))
 
 

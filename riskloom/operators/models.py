@@ -22,10 +22,12 @@ from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.operators.forests import fit_on_cells
 from riskloom.operators.metrics import performance
 from riskloom.operators.trials import validate_forests
 
 FAMILIES = ("logistic_regression", "random_forest", "gradient_boosting", "svm")
+LINEAR = ("logistic_regression", "svm")
 SEED = 42
 VECTOR = "features_vector"
 WEIGHT = "__weight"
@@ -61,6 +63,9 @@ DEFAULTS: dict[str, dict] = {
 PARTITIONS = 24
 ROWS_PER_PARTITION = 1_000_000
 SMALL_PARTITION = 12_500
+#: A forest is fitted on cells from so many rows a cell, on the rows below; and the cells of a partition then.
+ROWS_PER_CELL = 4
+CELLS_PER_PARTITION = 100_000
 #: Places in trees (rows times trees) that a forest's fit keeps from level to level, four bytes each; it walks the trees anew above.
 NODE_IDS = 1 << 29
 
@@ -91,6 +96,11 @@ def distinct_rows(df: DataFrame, cols: list[str], weight: str = WEIGHT) -> DataF
     return df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).cast("double").alias(weight))
 
 
+def laid_distinct(df: DataFrame, cols: list[str], rows: int) -> DataFrame:
+    """``distinct_rows`` in a stable layout for ``rows`` rows, the number of ``df``'s or more than the distinct ones."""
+    return stable_layout(distinct_rows(df, cols), cols, rows=rows)
+
+
 def bin_edges(df: DataFrame, features: list[str], bins: int) -> list[list[float]]:
     """Per feature the splits of a ``Bucketizer``: every value its own bin if they are at most ``bins``, else even quantiles.
 
@@ -107,23 +117,52 @@ def bin_edges(df: DataFrame, features: list[str], bins: int) -> list[list[float]
     return edges
 
 
-def _fit_boosted(df: DataFrame, features: list[str], label: str, params: dict, seed: int) -> PipelineModel:
-    """Boosting on binned features: rows that agree in all bins and the label are one weighted row.
+@dataclass
+class Cells:
+    """``frame``: rows that agree in all bins (``names``, whole numbers in the features' order) and the label are one weighted row."""
+
+    bucketizer: Bucketizer
+    names: list[str]
+    frame: DataFrame
+
+
+def binned_cells(df: DataFrame, features: list[str], label: str, bins: int) -> Cells:
+    """The cells of ``df``. A tree only ever sees a row's bins; cells stop growing in number with the rows.
 
-    A boosted tree only ever sees a row's bins, and rows alike have the same residual in every round; so the fit's passes, a few
-    a round, go over cells, whose number stops growing with the rows.
+    Bins are numbers in order, not categories as the ``Bucketizer`` marks them.
     """
-    stages, boosted = _estimator("gradient_boosting", label, params, seed)
-    binned = [f"{c}__bin" for c in features]
+    names = [f"{c}__bin" for c in features]
     slim = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
-    edges = bin_edges(slim, features, boosted.getMaxBins())
-    bucketizer = Bucketizer(splitsArray=edges, inputCols=list(features), outputCols=binned)
-    cells = distinct_rows(bucketizer.transform(slim), [*binned, label]).persist()
+    bucketizer = Bucketizer(splitsArray=bin_edges(slim, features, bins), inputCols=list(features), outputCols=names)
+    binned = bucketizer.transform(slim).select(*[F.col(f"`{c}`").cast("int").alias(c) for c in names], label)
+    return Cells(bucketizer, names, distinct_rows(binned, [*names, label]))
+
+
+def _fit_boosted(cells: Cells, label: str, params: dict, seed: int) -> PipelineModel:
+    """Boosting on cells: rows alike have the same residual in every round, so the fit's passes, a few a round, go over cells."""
+    stages, _ = _estimator("gradient_boosting", label, params, seed)
+    return PipelineModel(stages=[cells.bucketizer, *weighted_fit(cells.frame, cells.names, label, stages).stages])
+
+
+def _fit_forest(
+    df: DataFrame, cells: Cells, features: list[str], label: str, params: dict, seed: int, key: list[str] | None
+) -> PipelineModel:
+    """A forest on cells, whose draws are those of their rows, or on the rows while these are few a cell."""
+    n, rows, top = cells.frame.agg(F.count(F.lit(1)), F.sum(WEIGHT), F.max(label)).first()
+    if rows is not None and rows >= ROWS_PER_CELL * n:
+        forest = _estimator("random_forest", label, params, seed)[1]
+        laid = stable_layout(cells.frame, [*cells.names, label], -(-n // CELLS_PER_PARTITION))
+        assembler = VectorAssembler(inputCols=cells.names, outputCol=VECTOR)
+        return PipelineModel(stages=[cells.bucketizer, assembler, fit_on_cells(laid, cells.names, label, WEIGHT, max(2, int(top) + 1), forest)])
+    plan = pipeline("random_forest", features, label, params, seed)
+    plan.getStages()[-1].setCacheNodeIds((rows or 0) * params["n_estimators"] <= NODE_IDS)
+    if not key:
+        return plan.fit(df)
+    laid = stable_layout(df, key, rows=int(rows or 0)).persist()
     try:
-        fitted = weighted_fit(cells, binned, label, stages)
+        return plan.fit(laid)
     finally:
-        cells.unpersist()
-    return PipelineModel(stages=[bucketizer, *fitted.stages])
+        laid.unpersist()
 
 
 def _estimator(family: str, label: str, params: dict, seed: int):
@@ -187,42 +226,68 @@ def pipeline(family: str, features: list[str], label: str, params: dict | None =
     return Pipeline(stages=[assembler, *stages])
 
 
-def weighted_fit(cells: DataFrame, features: list[str], label: str, stages: list) -> PipelineModel:
-    """The stages that take weights, fitted on ``distinct_rows`` in a stable layout."""
+def _weighted_pipeline(features: list[str], stages: list) -> Pipeline:
     for stage in stages:
         if stage.hasParam("weightCol"):
             stage.setWeightCol(WEIGHT)
-    laid = stable_layout(cells, [*features, label])
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=VECTOR), *stages]).fit(laid)
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=VECTOR), *stages])
 
 
-def _fit_linear(df: DataFrame, family: str, features: list[str], label: str, params: dict, seed: int) -> PipelineModel:
-    slim = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
+def weighted_fit(cells: DataFrame, features: list[str], label: str, stages: list) -> PipelineModel:
+    """The stages that take weights, fitted on ``distinct_rows`` in a stable layout."""
+    return _weighted_pipeline(features, stages).fit(stable_layout(cells, [*features, label]))
+
+
+def _fit_linear(
+    df: DataFrame, family: str, features: list[str], label: str, params: dict, seed: int, weighted: bool
+) -> PipelineModel:
+    def penalised(cells: DataFrame) -> list:
+        p = params
+        if "c" in p:
+            p = {**p, "reg": 1.0 / (p["c"] * max(cells.agg(F.sum(WEIGHT)).first()[0] or 0, 1))}
+        return _estimator(family, label, p, seed)[0]
+
+    slim = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label), *[WEIGHT] * weighted)
+    if weighted:
+        return _weighted_pipeline(features, penalised(slim)).fit(slim)
     cells = distinct_rows(slim, [*features, label]).persist()
     try:
-        if "c" in params:
-            rows = cells.agg(F.sum(WEIGHT)).first()[0] or 0
-            params = {**params, "reg": 1.0 / (params["c"] * max(rows, 1))}
-        return weighted_fit(cells, features, label, _estimator(family, label, params, seed)[0])
+        return weighted_fit(cells, features, label, penalised(cells))
     finally:
         cells.unpersist()
 
 
 def train(
-    df: DataFrame, family: str, features: list[str], label: str, params: dict | None = None, seed: int = SEED
+    df: DataFrame,
+    family: str,
+    features: list[str],
+    label: str,
+    params: dict | None = None,
+    seed: int = SEED,
+    key: list[str] | None = None,
+    cells: Cells | None = None,
+    weighted: bool = False,
 ) -> PipelineModel:
     """Fit one family. An inverse strength ``c`` becomes Spark's mean-loss penalty ``1 / (c * rows)``.
 
-    Only a forest, which draws rows, is fitted on the rows as they lie; the other fits go over weighted distinct rows.
+    Linear fits go over weighted distinct rows, trees over weighted cells of equal bins (``cells`` if they are at hand). A forest
+    with few rows a cell is fitted on the rows: as they lie, or with ``key`` in a stable layout. ``weighted``: the rows of ``df``
+    have their weights and their layout already (``laid_distinct``), for a linear fit.
     """
     p = {**DEFAULTS[family], **(params or {})}
-    if family == "gradient_boosting":
-        return _fit_boosted(df, features, label, p, seed)
-    if family in ("logistic_regression", "svm"):
-        return _fit_linear(df, family, features, label, p, seed)
-    plan = pipeline(family, features, label, p, seed)
-    plan.getStages()[-1].setCacheNodeIds(df.count() * p["n_estimators"] <= NODE_IDS)
-    return plan.fit(df)
+    if family in LINEAR:
+        return _fit_linear(df, family, features, label, p, seed, weighted)
+    tree_estimator = _estimator(family, label, p, seed)[1]
+    used = cells or binned_cells(df, features, label, tree_estimator.getMaxBins())
+    if not cells:
+        used.frame.persist()
+    try:
+        if family == "gradient_boosting":
+            return _fit_boosted(used, label, p, seed)
+        return _fit_forest(df, used, features, label, p, seed, key)
+    finally:
+        if not cells:
+            used.frame.unpersist()
 
 
 def score(
@@ -263,23 +328,38 @@ def baselines(
     families: tuple[str, ...] = FAMILIES,
     params: dict[str, dict] | None = None,
     seed: int = SEED,
+    key: list[str] | None = None,
+    distinct: DataFrame | None = None,
 ) -> list[TrainedModel]:
     """Fit every family on the same training rows and evaluate it on the test rows.
 
-    The families are fitted side by side: boosting is many short jobs one after the other, which leave cores to a forest's long ones.
+    The families are fitted side by side: boosting is many short jobs one after the other, which leave cores to the others. Both
+    families of trees share the cells of the training rows. ``distinct``: the training rows once more, as weighted distinct rows in a
+    stable layout, for the linear fits; ``key`` as for ``train``.
     """
     chosen = params or {}
+    shared = None
+    if any(f in SPACES for f in families):
+        bins = {_estimator(f, label, {}, seed)[1].getMaxBins() for f in families if f in SPACES}
+        shared = binned_cells(train_df, features, label, *bins)
+        shared.frame.persist()
 
     def one(family: str) -> TrainedModel:
-        model = train(train_df, family, features, label, chosen.get(family), seed)
+        linear = distinct is not None and family in LINEAR
+        rows = distinct if linear else train_df
+        model = train(rows, family, features, label, chosen.get(family), seed, key, shared, linear)
         return TrainedModel(
             family, model, {**DEFAULTS[family], **chosen.get(family, {})}, evaluate(model, test_df, label)
         )
 
-    with ThreadPoolExecutor(max(1, len(families))) as pool:
-        # each thread gets its own copy of the caller's local properties
-        futures = [pool.submit(inheritable_thread_target(train_df.sparkSession)(one), family) for family in families]
-        return [future.result() for future in futures]
+    try:
+        with ThreadPoolExecutor(max(1, len(families))) as pool:
+            # each thread gets its own copy of the caller's local properties
+            futures = [pool.submit(inheritable_thread_target(train_df.sparkSession)(one), family) for family in families]
+            return [future.result() for future in futures]
+    finally:
+        if shared:
+            shared.frame.unpersist()
 
 
 RESULT_SCHEMA = (

@@ -7,10 +7,12 @@ certificates recompute from the training rows what a fit must satisfy, and so fa
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, LinearSVCModel, LogisticRegressionModel, RandomForestClassificationModel
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,23 +34,36 @@ def tree_nodes(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """(tree, node, left, right, feature, threshold, prediction, n, stats, gain, weight) of a forest or a boosted ensemble.
 
     ``left`` and ``right`` are -1 in a leaf; ``stats`` are the row weights per class in a forest, and count, sum and sum of
-    squares of the residuals in a boosted tree. Features are continuous. Nodes count from 0, the root, in every tree.
+    squares of the residuals in a boosted tree; ``n`` is the rows' weight. Features are continuous; of trees on bins, the thresholds
+    are those of the features. Nodes count from 0, the root, in every tree.
     """
     stage = fitted_stage(model, _TREES)
     path = shared_dir(spark, "models", uuid.uuid4().hex)
     stage.write().save(path)
     weights = spark.createDataFrame(list(enumerate(map(float, stage.treeWeights))), "tree int, weight double")
     nodes = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    stats, feature = F.col("impurityStats"), F.col("split.featureIndex")
+    threshold = F.get(F.col("split.leftCategoriesOrThreshold"), F.lit(0))
+    binned = next((s for s in getattr(model, "stages", []) if isinstance(s, Bucketizer)), None)
+    if binned is not None:
+        edges = spark.createDataFrame(
+            [(f, b, math.nextafter(e, -math.inf)) for f, cuts in enumerate(binned.getSplitsArray()) for b, e in enumerate(cuts[1:])],
+            "edge_feature int, bin int, edge double",
+        )
+        # bins up to b hold what lies below the edge b + 1; a few rows a feature
+        own = (feature == F.col("edge_feature")) & (F.floor(threshold) == F.col("bin"))
+        nodes, threshold = nodes.join(F.broadcast(edges), own, "left"), F.col("edge")
+    rows = F.get(stats, F.lit(0)) if isinstance(stage, GBTClassificationModel) else F.aggregate(stats, F.lit(0.0), lambda s, x: s + x)
     return nodes.join(F.broadcast(weights), "tree").select(  # a row a tree
         "tree",
         F.col("id").alias("node"),
         F.col("leftChild").alias("left"),
         F.col("rightChild").alias("right"),
-        F.col("split.featureIndex").alias("feature"),
-        F.get(F.col("split.leftCategoriesOrThreshold"), F.lit(0)).alias("threshold"),
+        feature.alias("feature"),
+        threshold.alias("threshold"),
         "prediction",
-        F.col("rawCount").alias("n"),
-        F.col("impurityStats").alias("stats"),
+        F.round(rows).cast("bigint").alias("n"),
+        stats.alias("stats"),
         "gain",
         "weight",
     )
