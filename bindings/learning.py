@@ -40,9 +40,18 @@ def prepared(spark, sf):
 
 
 def _trained(spark, sf, families):
-    """Metrics of the families. Prepared rows are made anew for each pass."""
+    """Metrics of the families. Prepared rows are made anew for each pass; of a table only its distinct raw rows are held."""
     _prep, train, test, ready = split_prepared(spark, sf)
-    trained = L.baselines(ready(train), ready(test), NAMES, "label", families, key=KEY)
+    distinct = None
+    if any(f in L.LINEAR for f in families):
+        distinct = L.laid_distinct(train, [*FEATURES, "label"], train.count()).persist()
+    try:
+        trained = L.baselines(
+            ready(train), ready(test), NAMES, "label", families, key=KEY, distinct=ready(distinct) if distinct is not None else None
+        )
+    finally:
+        if distinct is not None:
+            distinct.unpersist()
     return L.results_table(spark, trained)
 
 

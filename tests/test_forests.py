@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import functions as F
 
+from bindings.base import FEATURES, KEY, LINES, QUERIES
 from riskloom.operators import forests as G
 from riskloom.operators import models as L
 from riskloom.operators import relations as R
@@ -91,3 +92,14 @@ def test_bins_are_numbers_in_order_not_categories(spark, noisy):
     assert not any(f.metadata for f in cells.frame.select(*cells.names).schema)
     model = L.train(noisy, "gradient_boosting", NAMES, "y", {"n_estimators": 3})
     assert " in {" not in model.stages[-1].toDebugString
+
+
+def test_svm_holds_no_prepared_rows(spark, sf, monkeypatch):
+    """Before, prepared training and test rows were held, and the distinct rows went through two exchanges with all prepared features."""
+    frame = type(spark.range(0))
+    held, real = [], frame.persist
+    monkeypatch.setattr(frame, "persist", lambda df, *a: held.append(df.columns) or real(df, *a))
+    (row,) = QUERIES["svm"](spark, sf).collect()
+    assert row.model == "svm" and row.accuracy > 0.9
+    assert held and not any((set(LINES.output) - set(FEATURES)) & set(cols) for cols in held)
+    assert not any(KEY[0] in cols for cols in held)
