@@ -94,6 +94,21 @@ def test_bins_are_numbers_in_order_not_categories(spark, noisy):
     assert " in {" not in model.stages[-1].toDebugString
 
 
+def test_baselines_bin_the_rows_once(spark, sf, monkeypatch, on_cells):
+    """Before, each family of trees binned or laid out all rows for itself, and the linear fits each counted distinct prepared rows."""
+    small = {"random_forest": {"n_estimators": 3, "max_depth": 4, "min_samples_leaf": 1}, "gradient_boosting": {"n_estimators": 2, "learning_rate": 0.1, "max_depth": 2}}
+    for family, params in small.items():
+        monkeypatch.setitem(L.DEFAULTS, family, params)
+    binned, counted, bins, distinct = [], [], L.bin_edges, L.distinct_rows
+    monkeypatch.setattr(L, "bin_edges", lambda *a: binned.append(a) or bins(*a))
+    monkeypatch.setattr(L, "distinct_rows", lambda df, cols, *a: counted.append(cols) or distinct(df, cols, *a))
+    rows = QUERIES["baselines"](spark, sf).collect()
+    assert {r.model for r in rows} == set(L.FAMILIES) and sum(r.is_best for r in rows) == 1
+    assert all(r.accuracy > 0.9 for r in rows)
+    assert len(binned) == 1
+    assert sorted(map(len, counted)) == [len(FEATURES) + 1, len(LINES.output) + 1]
+
+
 def test_svm_holds_no_prepared_rows(spark, sf, monkeypatch):
     """Before, prepared training and test rows were held, and the distinct rows went through two exchanges with all prepared features."""
     frame = type(spark.range(0))
