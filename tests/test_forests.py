@@ -94,6 +94,16 @@ def test_bins_are_numbers_in_order_not_categories(spark, noisy):
     assert " in {" not in model.stages[-1].toDebugString
 
 
+def test_feature_importances_lay_out_no_rows(spark, sf, monkeypatch, on_cells):
+    """Before, all training rows were sorted by their keys and every tree went over them."""
+    keys, real = [], L.stable_layout
+    monkeypatch.setattr(L, "stable_layout", lambda df, key, *a, **k: keys.append(key) or real(df, key, *a, **k))
+    monkeypatch.setitem(L.DEFAULTS, "random_forest", {"n_estimators": 3, "max_depth": 4, "min_samples_leaf": 1})
+    found = QUERIES["feature_importances"](spark, sf).collect()
+    assert {r.feature for r in found} == set(LINES.output) and sum(r.importance for r in found) == pytest.approx(1, abs=1e-4)
+    assert keys and not any(KEY[0] in key for key in keys)
+
+
 def test_baselines_bin_the_rows_once(spark, sf, monkeypatch, on_cells):
     """Before, each family of trees binned or laid out all rows for itself, and the linear fits each counted distinct prepared rows."""
     small = {"random_forest": {"n_estimators": 3, "max_depth": 4, "min_samples_leaf": 1}, "gradient_boosting": {"n_estimators": 2, "learning_rate": 0.1, "max_depth": 2}}
