@@ -5,6 +5,8 @@ to shards, so every shard has an integer quota of blocks per source. A source's
 order, three times over, and this stream is cut into blocks. A seeded permutation ranks the blocks that start in one pass; the first
 ones in (pass, rank) are selected, and the rank also names the shard. What a source's target leaves below a block is
 settled exactly by the next block in rank, so a source shorter than a block keeps its share beside huge ones.
+
+``mix`` takes the words of the selected blocks, ``mixed_documents`` the whole documents that begin in them, shard by shard.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import free_name, identified, query, settled, table, with_row
-from riskloom.llm.order import before, digits_for, seeded, source_key
+from riskloom.llm.order import ROWS_PER_BUCKET, before, digits_for, seeded, source_key
 from riskloom.session import cut_lineage
 
 WEIGHTS = (1, 2, 3)
@@ -21,6 +23,8 @@ MAX_EPOCHS = 3
 BLOCK_WORDS = 256
 SHARDS = 8
 SEED = 17
+#: Takes of whole documents in a partition of a shard.
+ROWS_PER_PARTITION = 8192
 #: Factors of the block permutation; one of them at least does not divide a number of blocks below 2^41.
 FACTORS = (786433, 1572869, 3145739)
 
@@ -131,6 +135,14 @@ def block_plan(quotas: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SE
     )
 
 
+def _place(j: Column, block_words: int) -> Column:
+    """Place of block ``j`` of the stream in its source's selection."""
+    begins = F.least(F.floor(j * block_words / F.col("source_size")), F.lit(MAX_EPOCHS - 1)).cast("int")
+    own = F.element_at("passes", begins + 1)
+    place = own["first"] + (own["factor"] * (j - own["first"]) + own["shift"]) % own["count"]
+    return F.when(j < F.col("blocks"), place).otherwise(F.col("blocks"))
+
+
 def _pieces(block_words: int, shards: int) -> Column:
     """Array of (block, place, shard, first, words): what the mix takes of a document, block by block.
 
@@ -143,10 +155,7 @@ def _pieces(block_words: int, shards: int) -> Column:
         blocks = F.sequence(F.floor(low / block_words), F.floor((low + F.col("size") - 1) / block_words))
 
         def piece(j: Column) -> Column:
-            begins = F.least(F.floor(j * block_words / F.col("source_size")), F.lit(MAX_EPOCHS - 1)).cast("int")
-            own = F.element_at("passes", begins + 1)
-            place = own["first"] + (own["factor"] * (j - own["first"]) + own["shift"]) % own["count"]
-            place = F.when(j < F.col("blocks"), place).otherwise(F.col("blocks"))
+            place = _place(j, block_words)
             left = F.greatest(F.lit(0), F.least(F.lit(block_words), F.col("wanted") - place * block_words))
             first = F.greatest(low, j * block_words)
             words = F.least(low + F.col("size"), j * block_words + left) - first
@@ -173,7 +182,7 @@ def _laid(df: DataFrame, id_col: str, text_col: str, source_col: str, block_word
     digits = digits_for(sized.count())
     order = sized.withColumn("place", seeded("id", seed, "row")).withColumn("bucket", F.substring("place", 1, digits))
     laid = before(order, "src", "bucket", ["place", "id", "size"], F.col("size"), "start")
-    return laid.drop("place").join(plan.drop("rows"), "src")
+    return laid.drop("place").join(plan, "src")
 
 
 def mix(
@@ -269,18 +278,39 @@ def op4_source_mixing(spark, sf):
     )
 
 
+def document_takes(laid: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """(row, shard) a take: which documents the blocks' selection takes whole, and the shard that gets each.
+
+    In each pass a document belongs to the block it begins in. Blocks follow their place in the selection, a block's documents
+    the stream, up to the words wanted of the source; the document at the end is taken if more than half of it is wanted. The
+    block's place also deals its documents to a shard, as ``mix`` does.
+    """
+    begun = F.explode(F.transform(F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1)), lambda e: e * F.col("source_size") + F.col("start")))
+    copies = laid.where("size > 0").withColumn("low", begun).withColumn("block", F.floor(F.col("low") / BLOCK_WORDS))
+    copies = copies.withColumn("place", _place(F.col("block"), BLOCK_WORDS))
+    # the seeded places spread a source's documents, so so many blocks hold about ROWS_PER_BUCKET of them
+    run = F.greatest(F.lit(1), F.floor(ROWS_PER_BUCKET * F.col("blocks") / (MAX_EPOCHS * F.col("rows"))))
+    copies = copies.withColumn("bucket", F.floor(F.col("place") / run))
+    ordered = before(copies, "src", "bucket", ["place", "low"], F.col("size"), "ahead_words")
+    shard = F.pmod(F.col("ahead") + F.col("place"), F.lit(shards)).cast("int")
+    return ordered.where("2 * (wanted - ahead_words) >= size").select("row", shard.alias("shard"))
+
+
 def mixed_documents(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED
 ) -> DataFrame:
     """The mix by whole documents: a row for each take, with all columns as they are.
 
-    A source's target is the mix's. Its documents are taken in seeded order, whole passes first; the document at
-    the target's border is taken whole if that lies nearer to the target, else not at all. Documents without words are not taken.
+    Targets, quotas, blocks, their seeded selection and their shards are those of ``mix``; a block stands for the documents that begin in it
+    (``document_takes``), so no text is cut, and a source's words come within half a document of its target. Every
+    shard has partitions of its own, ``ROWS_PER_PARTITION`` takes each. Documents without words are not taken.
     """
     df = settled(df)
-    laid = _laid(df, id_col, text_col, source_col, BLOCK_WORDS, seed).where("size > 0")
-    rest = F.expr("2 * (wanted % source_size - start) >= size")
-    plan = laid.select("row", (F.expr("wanted div source_size") + rest.cast("int")).cast("int").alias("takes")).where("takes > 0")
-    row, takes = free_name(df), free_name(df, "takes")
-    plan = plan.select(F.col("row").alias(row), F.explode(F.sequence(F.lit(1), "takes")).alias(takes))
-    return with_row(df, row).join(plan, row).select(*(F.col(f"`{c}`") for c in df.columns))
+    laid = _laid(df, id_col, text_col, source_col, BLOCK_WORDS, seed)
+    takes = cut_lineage(document_takes(laid))  # two numbers a take
+    row, shard = free_name(df), free_name(df, "shard")
+    plan = takes.select(F.col("row").alias(row), F.col("shard").alias(shard))
+    parts = max(1, -(-takes.count() // (SHARDS * ROWS_PER_PARTITION)))
+    part = F.col(shard) * parts + F.pmod(F.xxhash64(row), F.lit(parts)).cast("int")
+    dealt = with_row(df, row).join(plan, row).repartitionById(SHARDS * parts, part)
+    return dealt.select(*(F.col(f"`{c}`") for c in df.columns))

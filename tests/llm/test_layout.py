@@ -201,6 +201,44 @@ def test_mixed_documents_are_whole_and_near_the_targets(spark, sf, odd_docs, no_
     assert mixing.mixed_documents(no_docs).count() == 0
 
 
+@pytest.fixture(scope="module")
+def three_sources(spark, tmp_path_factory):
+    rows = [(i, " ".join(["w"] * (20 + i * 37 % 380)), "abc"[i % 3]) for i in range(900)]
+    path = str(tmp_path_factory.mktemp("sources") / "t")
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_whole_documents_follow_the_selected_blocks_and_their_shards(three_sources):
+    """Before, blocks, quotas and shards had no part in it: a source's documents were taken as a prefix of its seeded order."""
+    laid = mixing._laid(three_sources, "doc_id", "text", "source", mixing.BLOCK_WORDS, mixing.SEED)
+    takes = Counter((r.row, r.shard) for r in mixing.document_takes(laid).collect())
+    begun, source_of = Counter(), {}
+    for r in mixing.mix(three_sources).collect():
+        source_of[r.row] = r.source_size
+        begun.update((r.row, p.shard) for p in r.pieces if p.first == 0)
+    for size in set(source_of.values()):  # what the two have differently lies at the end of a source's selection
+        own = {k for k in takes | begun if source_of[k[0]] == size}
+        assert sum(abs(takes[k] - begun[k]) for k in own) <= 6 < sum(takes[k] for k in own) / 10
+    for k in range(8):  # every shard has every source's share
+        words = Counter()
+        sizes = {r.row: (r.source_size, r["size"]) for r in laid.select("row", "source_size", "size").collect()}
+        for (row, shard), n in takes.items():
+            words[sizes[row][0]] += n * sizes[row][1] if shard == k else 0
+        wanted = {r.source_size: r.wanted for r in laid.select("source_size", "wanted").distinct().collect()}
+        assert all(abs(words[s] - w / 8) < 0.35 * w / 8 for s, w in wanted.items())
+
+
+def test_a_shard_of_whole_documents_has_partitions_of_its_own(three_sources, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_PER_PARTITION", 70)
+    laid = mixing._laid(three_sources, "doc_id", "text", "source", mixing.BLOCK_WORDS, mixing.SEED)
+    named = mixing.document_takes(laid).join(laid.select("row", "id"), "row").collect()
+    parts = -(-len(named) // (8 * 70))
+    assert parts > 1
+    got = mixing.mixed_documents(three_sources).select("doc_id", F.spark_partition_id().alias("p")).collect()
+    assert Counter((r.doc_id, r.p // parts) for r in got) == Counter((r.id, r.shard) for r in named)
+
+
 def test_a_tiny_source_beside_huge_ones_is_taken(spark, tmp_path):
     """Eight million words and more: a share of 2^20 of them is longer than the tiny sources."""
     huge = spark.range(8).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 1 << 20).alias("text"), F.concat(F.lit("huge"), F.col("id") % 2).alias("source"))
