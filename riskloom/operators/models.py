@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.forests import fit_on_cells
 from riskloom.operators.metrics import performance
+from riskloom.operators.ordered import order_statistics
 from riskloom.operators.trials import validate_forests
 
 FAMILIES = ("logistic_regression", "random_forest", "gradient_boosting", "svm")
@@ -31,8 +32,6 @@ LINEAR = ("logistic_regression", "svm")
 SEED = 42
 VECTOR = "features_vector"
 WEIGHT = "__weight"
-#: Quantiles that the bins are chosen from.
-_GRID = 1024
 
 # Search ranges (inclusive). A Spark tree has no minimum split
 # size, so that range of the original search is not represented.
@@ -104,15 +103,19 @@ def laid_distinct(df: DataFrame, cols: list[str], rows: int) -> DataFrame:
 def bin_edges(df: DataFrame, features: list[str], bins: int) -> list[list[float]]:
     """Per feature the splits of a ``Bucketizer``: every value its own bin if they are at most ``bins``, else even quantiles.
 
-    All rows are read, by one sketch; the grid sees every value that at least one row in ``_GRID`` has.
+    All rows are read and the quantiles are exact, so the same rows give the same bins from any layout.
     """
-    grid = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
-    found = df.agg(*[F.percentile_approx(F.col(f"`{c}`"), grid, F.lit(10 * _GRID)) for c in features]).first()
+    value = {c: F.col(f"`{c}`").cast("double") for c in features}
+    seen = df.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(v) for v in value.values()]).first()
+    maybe = [c for c, k in zip(features, seen[1:]) if k <= 2 * bins]  # the estimate is good to a few per cent
+    listed = df.agg(*[F.sort_array(F.collect_set(value[c])) for c in maybe]).first() if maybe else []
+    few = {c: values for c, values in zip(maybe, listed) if len(values) <= bins}
+    rest = [c for c in features if c not in few]
+    ranks = lambda k: {k * i // bins for i in range(bins)}
+    found = order_statistics(df.select(*[value[c].alias(c) for c in rest]), rest, ranks, seen["n"])[0] if rest else {}
     edges = []
-    for values in found:
-        distinct = sorted(set(values or []))
-        if len(distinct) > bins:
-            distinct = [distinct[0], *sorted({values[_GRID * i // bins] for i in range(1, bins)} - {distinct[0]})]
+    for c in features:
+        distinct = sorted({v for v in few[c] if v == v} if c in few else set(found[c].values()))  # no NaN, one zero
         edges.append([-math.inf, *(distinct[1:] or [0.0]), math.inf])
     return edges
 

@@ -28,6 +28,8 @@ from pyspark.sql.window import Window
 ROWS_PER_BUCKET = 100_000
 SELECT_BUCKETS = 128
 _SAMPLE_PER_BUCKET = 200
+#: Ranks above which these are looked up by joins; a condition for each in one expression is too long to be compiled.
+MANY_RANKS = 64
 
 
 def bucket_cuts(
@@ -197,9 +199,23 @@ def order_statistics(
     if not wanted:
         return found, present
     hits = {c: sorted({b for f, b, *_ in wanted if f == c}) for c in cols}
-    counts = long_values(df, cols, cuts, only=hits).groupBy("feature", "bucket", "value").agg(F.count("*").alias("n"))
+    many = len(wanted) > MANY_RANKS
+    if many:
+        listed = reduce(lambda x, y: x | y, [(F.col("feature") == c) & F.col("bucket").isin(hits[c]) for c in cols if hits[c]])
+        inside = long_values(df, cols, cuts).where(listed)
+    else:
+        inside = long_values(df, cols, cuts, only=hits)
+    counts = inside.groupBy("feature", "bucket", "value").agg(F.count("*").alias("n"))
     order = Window.partitionBy("feature", "bucket").orderBy("value")
     upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if many:
+        places = df.sparkSession.createDataFrame(wanted, "feature string, bucket int, start bigint, rank bigint")
+        offset = F.col("rank") - F.col("start")
+        here = (F.col("upto") > offset) & (F.col("upto") - F.col("n") <= offset)
+        # a row a wanted rank
+        for row in counts.withColumn("upto", upto).join(F.broadcast(places), ["feature", "bucket"]).where(here).collect():
+            found[row["feature"]][row["rank"]] = row["value"]
+        return found, present
     here = lambda c, b, offset: (
         (F.col("feature") == c) & (F.col("bucket") == b) & (F.col("upto") > offset) & (F.col("upto") - F.col("n") <= offset)
     )

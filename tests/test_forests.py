@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from bindings.base import FEATURES, KEY, LINES, QUERIES
 from riskloom.operators import forests as G
 from riskloom.operators import models as L
+from riskloom.operators import ordered as O
 from riskloom.operators import relations as R
 
 NAMES = ["a", "b", "c"]
@@ -86,6 +87,23 @@ def test_the_same_forest_from_any_layout_and_after_saving(spark, noisy, on_cells
     assert [r.probability for r in relation] == pytest.approx(scores[0], abs=1e-9)
 
 
+@pytest.mark.parametrize("rows_per_bucket", [100_000, 500])
+def test_bins_are_exact_from_any_layout(spark, monkeypatch, rows_per_bucket):
+    """Before, a sketch chose them, whose result depends on the order in which its parts meet."""
+    monkeypatch.setattr(O, "ROWS_PER_BUCKET", rows_per_bucket)
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.lognormal(0, 2, 15_000), np.full(5_000, 0.5)])
+    rows = [(float(v), float(i % 7), float(i == 3), 4.0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "x double, few double, rare double, same double").persist()
+    found = L.bin_edges(df, ["x", "few", "rare", "same"], 32)
+    ranks = sorted({float(np.sort(x)[len(x) * i // 32]) for i in range(32)})
+    assert found[0][1:-1] == ranks[1:] and found[1][1:-1] == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
+    assert found[2][1:-1] == [1.0] and found[3][1:-1] == [0.0]
+    assert L.bin_edges(df.repartition(11), ["x", "few", "rare", "same"], 32) == found
+    monkeypatch.setattr(O, "MANY_RANKS", 0)
+    assert L.bin_edges(df, ["x", "few", "rare", "same"], 32) == found
+
+
 def test_bins_are_numbers_in_order_not_categories(spark, noisy):
     """As categories, a split may part the bins of one feature in any way, which no threshold does."""
     cells = L.binned_cells(noisy, NAMES, "y", 32)
