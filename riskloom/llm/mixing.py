@@ -290,7 +290,8 @@ def document_takes(laid: DataFrame, shards: int = SHARDS) -> DataFrame:
     copies = copies.withColumn("place", _place(F.col("block"), BLOCK_WORDS))
     # the seeded places spread a source's documents, so so many blocks hold about ROWS_PER_BUCKET of them
     run = F.greatest(F.lit(1), F.floor(ROWS_PER_BUCKET * F.col("blocks") / (MAX_EPOCHS * F.col("rows"))))
-    copies = copies.withColumn("bucket", F.floor(F.col("place") / run))
+    copies = copies.withColumn("bucket", F.floor(F.col("place") / run)).select("row", "src", "size", "low", "place", "bucket", "ahead", "wanted")
+    copies = copies.repartition("src", "bucket")  # else the join by source keeps a whole source in one task
     ordered = before(copies, "src", "bucket", ["place", "low"], F.col("size"), "ahead_words")
     shard = F.pmod(F.col("ahead") + F.col("place"), F.lit(shards)).cast("int")
     return ordered.where("2 * (wanted - ahead_words) >= size").select("row", shard.alias("shard"))
